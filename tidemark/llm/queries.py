@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, packing
+from . import exact_dedup, language_id, mixing, near_dedup, packing
 from .common import held_out, table
 
 
@@ -30,11 +30,16 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_mix_sources": op2_mix_sources,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {
