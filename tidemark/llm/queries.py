@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, near_dedup, packing
+from . import ann, exact_dedup, language_id, mixing, near_dedup, packing
 from .common import held_out, table
 
 
@@ -26,6 +26,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_mix_sources": op2_mix_sources,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_ngram_jaccard": op9_ngram_jaccard,
 }
