@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, language_id, mixing, near_dedup, packing
+from . import ann, exact_dedup, language_id, license_scan, lm_score, mixing, near_dedup, packing
 from .common import held_out, table
 
 
@@ -30,6 +30,10 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -38,13 +42,19 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), held_out("doc_id", 7, 2), held_out("doc_id", 7, 3))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_mix_sources": op2_mix_sources,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_nearest_neighbours": op4_nearest_neighbours,
+    "op6_license_scan": op6_license_scan,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_ngram_jaccard": op9_ngram_jaccard,
+    "op10_lm_score": op10_lm_score,
 }
 
 ORACLE_SQL: dict[str, str] = {
