@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact_dedup, language_id, license_scan, lm_score, mixing, near_dedup, packing
+from . import ann, exact_dedup, language_id, license_scan, lm_score, mixing, near_dedup, packing, pii, toxicity
 from .common import held_out, table
 
 
@@ -30,6 +30,10 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out("doc_id", 5, 0))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup_report(table(spark, sf_dir, "documents"))
 
@@ -51,8 +59,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_nearest_neighbours": op4_nearest_neighbours,
+    "op5_toxicity": op5_toxicity,
     "op6_license_scan": op6_license_scan,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_pii": op8_pii,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_lm_score": op10_lm_score,
 }
