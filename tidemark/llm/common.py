@@ -12,13 +12,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Characters fed to numpy at a time; bounds a Python worker's memory whatever the split size.
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 500_000
+#: Rows of an Arrow batch: with long texts and sets the default of 10,000 is hundreds of MB a Python worker.
+BATCH_ROWS = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """df, in a session that hands Python workers BATCH_ROWS rows at a time."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a local one only where none is set, as in tests."""
     at = spark.conf.get("spark.checkpoint.dir", None)
@@ -56,7 +64,7 @@ def sheltered(df: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
     return df.select(*(F.col(f"`{c}`").alias(names[c]) for c in df.columns)), [F.col(names[c]).alias(c) for c in df.columns]
 
 
-def ranked_in_groups(df: DataFrame, group: str, order: list[Column], rank: str, rows_per_bucket: int = 20_000) -> DataFrame:
+def ranked_in_groups(df: DataFrame, group: str, order: list[Column], rank: str, rows_per_bucket: int = 5_000) -> DataFrame:
     """Adds a dense 0-based rank of each row within its group, however large one group is.
 
     Rows are dealt by (group, hash bucket); each bucket is ranked by itself and shifted by the

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, sheltered
+from .common import chunks, in_small_batches, sheltered
 
 #: N-grams in a profile.
 PROFILE = 400
@@ -118,7 +118,7 @@ def learn_profiles(df: DataFrame, text: str = "text", lang: str = "lang", size:
         if held:
             yield out()
 
-    rows = df.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
+    rows = in_small_batches(df).select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
     counts = rows.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     top = counts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("rank") <= size)
     profiles: dict[str, list[int]] = {}
@@ -160,7 +160,7 @@ def identify(df: DataFrame, profiles: dict[str, list[int]], text: str = "text",
     ranks = np.full((len(grams) + 1, len(names)), -1, np.int64)
     for k, name in enumerate(names):
         ranks[np.searchsorted(grams, profiles[name]), k] = np.arange(len(profiles[name]))
-    own, columns = sheltered(df.drop("lang_pred", "score"), text)
+    own, columns = sheltered(in_small_batches(df).drop("lang_pred", "score"), text)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields), "lang_pred string, score double"])
 
     def tag(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

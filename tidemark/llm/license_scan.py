@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import chunks, in_small_batches
 
 MIN_MATCH = 4
 #: Words that may lie between two chained matches, in the text and in the template.
@@ -222,6 +222,6 @@ def license_scan(df: DataFrame) -> DataFrame:
             rows[["first_word", "last_word"]] = rows[["first_word", "last_word"]].astype("Int64")
             yield rows.assign(doc_id=f["doc_id"].to_numpy(object))
 
-    safe = df.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    safe = in_small_batches(df).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = safe.mapInPandas(scan, f"doc_id string, {schema}")
     return out.withColumn("doc_id", F.col("doc_id").cast(key))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import sheltered, words_of, written
+from .common import in_small_batches, sheltered, words_of, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -295,7 +295,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def similarity_classes(df: DataFrame) -> DataFrame:
     """doc_id, digest, class_id, n_links of every row of df (doc_id, text)."""
-    df = df.select("doc_id", F.col("text").cast("string").alias("text"))
+    df = in_small_batches(df).select("doc_id", F.col("text").cast("string").alias("text"))
     rows = written(sketches(df))
     classes = written(rows.where("size > 0").groupBy("digest").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("sig").alias("sig")))
 

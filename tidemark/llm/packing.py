@@ -24,13 +24,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, ranked_in_groups, written
+from .common import chunks, in_small_batches, ranked_in_groups, written
 
 CAPACITY = 1024
 END = 2
 TOKENIZER = "byte_bpe_50k.json"
 #: Words whose ids a Python worker keeps.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 200_000
 # Fixed value: the vocabulary's own rule for cutting text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -95,7 +95,7 @@ def pieces(df: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
             yield pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
 
     # ids as text keep what pandas can't: nulls beside large integers
-    safe = df.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    safe = in_small_batches(df).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = safe.mapInPandas(cut, schema.replace(f"doc_id {key}", "doc_id string", 1))
     return out.withColumn("doc_id", F.col("doc_id").cast(key))
 
