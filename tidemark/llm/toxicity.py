@@ -27,18 +27,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import chunks, in_small_batches
 
 #: Labelled documents of each kind that the classifier is fitted on, about (the only sample here).
 TOXIC_SAMPLE, CLEAN_SAMPLE = 6_000, 12_000
 #: A feature is so many times likelier in toxic documents, by so much evidence (log-likelihood ratio).
 LEAST_ODDS, LEAST_EVIDENCE = 12.0, 25.0
 MOST_FEATURES = 4_000
+#: Of the sample, documents of each kind that the field is trained on, about: their words meet on the driver.
+FIELD_SAMPLE = 1_200
 #: Words on either side of a marked one that the field is trained on, and words of a training sequence.
-AROUND, SEQUENCE = 5, 48
+AROUND, SEQUENCE = 4, 32
 PARTS = (4, 5, 6)
 #: Distinct words whose weights a Python worker keeps.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 250_000
 
 _TRIM = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -68,14 +70,17 @@ def _kin(text: str) -> str:
     return "-".join(str(min((xxhash.xxh3_64_intdigest(w, k) for w in set(text.split())), default=0)) for k in range(4))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[DataFrame, dict[int, float]]:
-    """doc_id, text, y of a sample bounded by TOXIC_SAMPLE and CLEAN_SAMPLE, and each kind's sampled share."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[DataFrame, dict[int, float], dict[int, float]]:
+    """doc_id, text, y of a sample bounded by TOXIC_SAMPLE and CLEAN_SAMPLE, each kind's sampled share,
+    and how much of its bound it fills."""
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max((F.col(label) > 0).cast("int")).alias("y"))
     n = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     share = {y: min(1.0, most / max(1, n.get(y, 0))) for y, most in ((0, CLEAN_SAMPLE), (1, TOXIC_SAMPLE))}
     draw = F.shiftrightunsigned(F.xxhash64("doc_id"), 1) / F.lit(float(2**63))
     picked = known.where(draw < F.when(F.col("y") == 1, share[1]).otherwise(share[0])).limit(2 * (TOXIC_SAMPLE + CLEAN_SAMPLE))
-    return docs.select("doc_id", "text").where("text is not null").join(F.broadcast(picked), "doc_id"), share
+    # how full each kind's part of the sample is
+    full = {y: max(1e-9, min(1.0, n.get(y, 0) / most)) for y, most in ((0, CLEAN_SAMPLE), (1, TOXIC_SAMPLE))}
+    return docs.select("doc_id", "text").where("text is not null").join(F.broadcast(picked), "doc_id"), share, full
 
 
 def learn_features(sample: DataFrame) -> list[str]:
@@ -172,7 +177,7 @@ def train_field(sequences: list[tuple[list[list[int]], list[int]]], names: list[
     """Maximum likelihood with an L2 penalty by Adam. sequences: each word's features and its state."""
     n, t = len(sequences), max(len(y) for _, y in sequences)
     width = max([1, *(len(f) for x, _ in sequences for f in x)])
-    feature, mask, y = np.full((n, t, width), len(names)), np.zeros((n, t), bool), np.zeros((n, t))
+    feature, mask, y = np.full((n, t, width), len(names), np.int32), np.zeros((n, t), bool), np.zeros((n, t))
     for i, (xs, ys) in enumerate(sequences):
         mask[i, : len(ys)], y[i, : len(ys)] = True, ys
         for j, f in enumerate(xs):
@@ -244,11 +249,13 @@ def fit_curve(rows: np.ndarray, rounds: int = 60, decay: float = 1e-4) -> np.nda
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[Field, np.ndarray] | None:
-    sample, share = labelled_sample(docs, labels, label)
+    sample, share, full = labelled_sample(docs, labels, label)
     names = learn_features(sample)
     if not names:
         return None
-    field = train_field(training_sequences(sample, names), names)
+    part = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(1)), 1) / F.lit(float(2**63))
+    few = sample.where(part < F.when(F.col("y") == 1, min(1.0, FIELD_SAMPLE / TOXIC_SAMPLE)).otherwise(min(1.0, FIELD_SAMPLE / CLEAN_SAMPLE)) / (F.when(F.col("y") == 1, full[1]).otherwise(full[0])))
+    field = train_field(training_sequences(few, names), names)
 
     def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = Emissions(field.weights)
@@ -262,7 +269,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[Field
 
 def score(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxic") -> DataFrame:
     """doc_id, held_out, score, predicted, spans (start:end in code points) of every row of docs."""
-    model = fit(docs.where(~held_out), labels, label)
+    model = fit(in_small_batches(docs).where(~held_out), labels, label)
     key = docs.schema["doc_id"].dataType.simpleString()
     schema = "doc_id string, held_out boolean, score double, predicted int, spans string"
 
