@@ -288,8 +288,11 @@ UnderlyingMaxDrawdown = _panel(lambda p: F.max(100 * (1 - F.try_divide("close",
 
 
 def PriceChangeSinceOpen(asset: Any = None, percent: bool = False) -> Indicator:
-    change = F.col("close") - F.col("open")
-    return Indicator(lambda p: p.of(asset, 100 * F.try_divide(change, "open") if percent else change))
+    def build(p: Panel) -> Column:
+        change = F.col("close") - F.col("open")
+        return p.of(asset, 100 * F.try_divide(change, "open") if percent else change)
+
+    return Indicator(build)
 
 
 def Volume(asset: Any = None, metric: str = "volume") -> Indicator:
@@ -377,8 +380,11 @@ def RelativeStrengthIndex(asset: Any = None, length: int = 30, interval: str = "
 
 
 def BollingerBand(asset: Any = None, length: int = 30, interval: str = "Day", num_standard_deviations: float = 1) -> Indicator:
-    x = F.col("close")
-    return Indicator(lambda p: p.of(asset, p.full(x, length, F.avg) + num_standard_deviations * p.full(x, length, F.stddev_pop)))
+    def build(p: Panel) -> Column:
+        x = F.col("close")
+        return p.of(asset, p.full(x, length, F.avg) + num_standard_deviations * p.full(x, length, F.stddev_pop))
+
+    return Indicator(build)
 
 
 def _before(p: Panel, x: Indicator) -> Column:

@@ -137,6 +137,21 @@ _panel(
 )
 
 
+def _typed(name: str, node: I.Indicator, expr: str) -> None:
+    """Parts as assets: a type by their number, tags from their type and name."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        p = spark.read.parquet(f"{sf_dir}/part.parquet")
+        panel = p.select(F.col("p_partkey").alias("ticker"), F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")).alias("ts"), F.when(F.col("p_partkey") % 3 == 0, "Stock").when(F.col("p_partkey") % 3 == 1, "Option").alias("asset_type"), F.split(F.concat_ws(" ", "p_type", "p_name"), " ").alias("industries"))
+        return I.evaluate(panel, value=node).select("ticker", rounded("value").alias("value"))
+
+    register(name, query, f"SELECT p_partkey AS ticker, {r(expr)} AS value FROM part")
+
+
+_typed("fn24_is_asset_type", I.IsAssetType(), "coalesce(p_partkey % 3 = 0, false)::INT")
+_typed("fn25_is_industry", I.IsIndustry(None, "SMALL"), "(list_contains(string_split(p_type || ' ' || p_name, ' '), 'SMALL'))::INT")
+
+
 def _st5(interval: str, unit: str) -> None:
     from tidemark.operators.bars import bars
 

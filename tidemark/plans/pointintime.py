@@ -242,16 +242,16 @@ def _ps8(spark: SparkSession, sf_dir: str) -> DataFrame:
 register("ps8_last_order_price", _ps8, f"WITH {_DO}, e AS (SELECT ticker, seen, arg_max(price, order_no) AS price FROM {_BUY} GROUP BY 1, 2) SELECT b.ticker, b.ts, {r('e.price')} AS price FROM b ASOF LEFT JOIN e ON b.ticker = e.ticker AND b.ts >= e.seen")
 
 
-def _sum_orders(name: str, amount: Column, sql: str) -> None:
+def _sum_orders(name: str, amount: Callable[[], Column], sql: str) -> None:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = L.sum_orders(some_days(spark, sf_dir), orders(spark, sf_dir), ["ticker"], "ts", "at", amount, 30 * 86_400, status="Filled", side="Buy")
+        out = L.sum_orders(some_days(spark, sf_dir), orders(spark, sf_dir), ["ticker"], "ts", "at", amount(), 30 * 86_400, status="Filled", side="Buy")
         return out.select("ticker", "ts", rounded("value").alias("value"))
 
     register(name, query, f"WITH {_DO}, e AS (SELECT * FROM {_BUY}) SELECT b.ticker, b.ts, {r(f'coalesce((SELECT sum({sql}) FROM e WHERE e.ticker = b.ticker AND e.seen <= b.ts AND e.seen >= b.ts - INTERVAL 30 DAY), 0)')} AS value FROM b")
 
 
-_sum_orders("ag14_sum_order_amount", F.col("quantity") * F.col("price"), "quantity * price")
-_sum_orders("ag15_sum_order_quantity", F.col("quantity"), "quantity")
+_sum_orders("ag14_sum_order_amount", lambda: F.col("quantity") * F.col("price"), "quantity * price")
+_sum_orders("ag15_sum_order_quantity", lambda: F.col("quantity"), "quantity")
 
 
 # -- positions -----------------------------------------------------------------------------------

@@ -235,10 +235,10 @@ def _sql(metric: str = "roc", where: str = "roc IS NOT NULL", limit: object = 3,
 
 _gene("ev4_fitness", {"k": [1, 2, 3]}, lambda p: _by(p, "roc", F.col("k")), _sql(limit="k"))
 _gene("ev7_gene_subject", {"subject": [1, 4, 7]}, lambda p: _by(p.where(F.col("ticker") == F.col("subject")), "roc", 1), _sql(where="roc IS NOT NULL AND ticker = subject", limit=1))
-_ENTRY = {0: F.col("up"), 1: F.col("roc") > 5}
-_gene("ev8_gene_entry_condition", {"entry": [0, 1]}, lambda p: _by(p.where(F.coalesce(E.chosen(_ENTRY, "entry"), F.lit(False))), "roc", 3), _sql(where="roc IS NOT NULL AND CASE entry WHEN 0 THEN up ELSE roc > 5 END"))
-_EXIT = {0: F.col("roc") < -5, 1: ~F.col("up")}
-_gene("ev9_gene_exit_condition", {"leave": [0, 1]}, lambda p: _by(p.where(~F.coalesce(E.chosen(_EXIT, "leave"), F.lit(False))), "roc", 3), _sql(where="roc IS NOT NULL AND NOT coalesce(CASE leave WHEN 0 THEN roc < -5 ELSE NOT up END, false)"))
+_ENTRY = lambda: {0: F.col("up"), 1: F.col("roc") > 5}
+_gene("ev8_gene_entry_condition", {"entry": [0, 1]}, lambda p: _by(p.where(F.coalesce(E.chosen(_ENTRY(), "entry"), F.lit(False))), "roc", 3), _sql(where="roc IS NOT NULL AND CASE entry WHEN 0 THEN up ELSE roc > 5 END"))
+_EXIT = lambda: {0: F.col("roc") < -5, 1: ~F.col("up")}
+_gene("ev9_gene_exit_condition", {"leave": [0, 1]}, lambda p: _by(p.where(~F.coalesce(E.chosen(_EXIT(), "leave"), F.lit(False))), "roc", 3), _sql(where="roc IS NOT NULL AND NOT coalesce(CASE leave WHEN 0 THEN roc < -5 ELSE NOT up END, false)"))
 _gene("ev11_gene_rank_signal", {"signal": ["roc", "metric"]}, lambda p: _by(p.where("roc is not null").withColumn("m", E.chosen({"roc": F.col("roc"), "metric": F.col("metric")}, "signal")), "m", 3), _sql(metric="CASE signal WHEN 'roc' THEN roc ELSE metric END"))
 for _id, _g in (("ev12_gene_buying_power_pct", "power"), ("ev13_gene_allocation_pct", "allocation"), ("ev14_gene_total_budget_pct", "budget"), ("ev15_gene_deployment_pct", "deployment")):
     _gene(_id, {_g: [25, 50, 100]}, lambda p, g=_g: _by(p, "roc", 3).withColumn("weight", F.col("weight") * F.col(g) / 100), _sql(scale=f"{_g} / 100.0"))
