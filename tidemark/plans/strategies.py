@@ -62,7 +62,7 @@ _q(
     lambda p: K.dynamic_rebalance(p, [lambda d: K.select_top(d, "roc", 5)], can_sell=F.col("up")).select("ts", "ticker", rounded("weight").alias("weight")),
     f""", v AS (SELECT ts, ticker, 1.0 / count(*) OVER (PARTITION BY ts) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY ts ORDER BY roc DESC, ticker) AS n FROM pp WHERE roc IS NOT NULL) WHERE n <= 5),
     a AS (SELECT pp.ts, pp.ticker, pp.up, v.weight, lag(v.weight) OVER (PARTITION BY pp.ticker ORDER BY pp.ts) AS was FROM pp LEFT JOIN v ON v.ts = pp.ts AND v.ticker = pp.ticker)
-    SELECT ts, ticker, {r('coalesce(weight, CASE WHEN NOT up THEN was END)')} AS weight FROM a WHERE coalesce(weight, CASE WHEN NOT up THEN was END) IS NOT NULL""".replace(", v AS", ", v AS", 1),
+    SELECT ts, ticker, {r('coalesce(weight, CASE WHEN NOT up THEN was END)')} AS weight FROM a WHERE coalesce(weight, CASE WHEN NOT up THEN was END) IS NOT NULL""",
 )
 _q(
     "rk5_sleeves",
