@@ -15,6 +15,8 @@ the first by kind; repeated rows are scanned alike; an empty table gives an empt
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +30,10 @@ VALID = 1 << 1
 ROUNDS = 50
 #: Characters before a span in which cue words count.
 BEFORE = 32
+#: Spans of a run: what is copied for each span added, whatever the text's length.
+RUN = 64
 _SPAN = "array<struct<match:string,start:int,end:int,before:string,after:string>>"
+_RUNS = f"array<struct<at:int,out:{_SPAN}>>"
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
 #: What each kind's base matches must look like. Possessive where the next character can't belong to
@@ -74,15 +79,22 @@ def _spans(matches: Column, gaps: str) -> Column:
     """Matches with their offsets and surroundings. gaps: the column of what lies between them."""
     between = F.col(gaps)
     pieces = F.transform(matches, lambda m, i: F.struct(m.alias("match"), F.get(between, i).alias("gap"), F.substring(F.get(between, i + 1), 1, 1).alias("after")))
-    start = F.struct(F.lit(0).alias("at"), F.lit(None).cast(_SPAN).alias("out"))
+    none = F.array().cast(_SPAN)
 
     def add(state: Column, p: Column) -> Column:
         begin = state["at"] + F.length(p["gap"])
         end = begin + F.length(p["match"])
         span = F.struct(p["match"].alias("match"), begin.alias("start"), end.alias("end"), F.right(p["gap"], F.lit(BEFORE)).alias("before"), p["after"].alias("after"))
-        return F.struct(end.alias("at"), F.concat(F.coalesce(state["out"], F.array().cast(_SPAN)), F.array(span)).cast(_SPAN).alias("out"))
+        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).cast(_SPAN).alias("out"))
 
-    return F.coalesce(F.aggregate(pieces, start, add, lambda s: s["out"]), F.array().cast(_SPAN))
+    def add_run(state: Column, run: Column) -> Column:
+        start = F.struct(F.coalesce(F.get(state, F.size(state) - 1)["at"], F.lit(0)).alias("at"), none.alias("out"))
+        return F.concat(state, F.array(F.aggregate(run, start, add))).cast(_RUNS)
+
+    # an array grows by copying, so spans are added in runs, and runs to the list of runs
+    runs = F.transform(F.sequence(F.lit(1), F.size(pieces), F.lit(RUN)), lambda i: F.slice(pieces, i, RUN))
+    done = F.aggregate(runs, F.array().cast(_RUNS), add_run, lambda s: F.flatten(F.transform(s, lambda r: r["out"])))
+    return F.when(F.size(pieces) > 0, done).otherwise(none)
 
 
 def _digits(text: Column) -> Column:
@@ -222,7 +234,14 @@ def scan(df: DataFrame) -> DataFrame:
     parted = found.select("doc_id", base.alias("base"), F.filter("spans", lambda s: ~s["base"] & (s["votes"].bitwiseAND(VALID) > 0) & likely(s)).alias("more"))
     free = F.filter("more", lambda s: ~F.exists("base", lambda b: meets(s, b)))
     parted = parted.withColumn("more", free)
-    parted = parted.withColumn("more", F.filter("more", lambda s: ~F.exists("more", lambda o: (o["kind"] < s["kind"]) & meets(s, o))))
+    of_kind = lambda k: F.filter("more", lambda s: s["kind"] == KINDS.index(k))
+    parted = parted.withColumns({f"more_{k}": of_kind(k) for k in FURTHER})
+
+    def alone(kind: str) -> Column:
+        before = [o for o in FURTHER if KINDS.index(o) < KINDS.index(kind)]
+        return F.filter(f"more_{kind}", lambda s: ~reduce(or_, [F.exists(f"more_{o}", lambda x: meets(s, x)) for o in before], F.lit(False)))
+
+    parted = parted.withColumn("more", F.concat(*map(alone, FURTHER)))
     name = F.array(*map(F.lit, KINDS))
 
     def text(spans: Column) -> Column:
