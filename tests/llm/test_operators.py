@@ -99,6 +99,18 @@ def test_schedule_deviates_less_than_a_block(weights):
         assert release <= slot < due
 
 
+def test_mixing_keeps_to_the_target_weights(spark):
+    weights = [0.9, 0.05, 0.03, 0.01, 0.005, 0.003, 0.001, 0.001]
+    d = spark.range(4000).select(F.col("id").alias("doc_id"), F.expr("array_position(transform(array(3600, 3800, 3920, 3960, 3980, 3992, 3996, 4000), x -> id < x), true)").cast("string").alias("source"))
+    out = mixing.mix_sources(d, {str(i + 1): w for i, w in enumerate(weights)}, block_rows=1).toPandas()
+    order = out.sort_values("mix_slot").source.astype(int).to_numpy()
+    had = np.cumsum(order[:, None] == np.arange(1, 9), axis=0)
+    assert len(order) == 4000 and (out.mix_phase == 0).all() and sorted(out.mix_slot) == list(range(4000))
+    assert np.abs(had - np.outer(np.arange(1, 4001), weights)).max() < 1
+    for odd_weights in ([1e6, 1, 1 / 3], [n**0.7 for n in (1_000_003, 977, 12, 1)]):  # far longer periods than slots
+        assert mixing.max_deviation(mixing.whole_weights(odd_weights), 3000) < 1
+
+
 def test_mixing_places_every_row_once(spark):
     d = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") < 100, None).otherwise((F.col("id") % 7).cast("string")).alias("source"), F.lit(9).alias("t"))
     out = mixing.mix_sources(d, block_rows=16).toPandas()

@@ -3,10 +3,12 @@
 Each source's documents are cut into blocks of equal size. Block i of a source of weight w is
 released at slot floor(i / w) and due by ceil((i + 1) / w); of the released blocks the one with the
 earliest deadline takes the slot. So after any number of slots each source has had its weight's
-share to within less than one block. Weights are rounded to fractions of one period, and the
-schedule of one period is a small table that repeats, so rows find their slot by a join, at any
-size. When a source has no block left, the others go on with their weights scaled up (a new phase),
-so that no row is dropped or repeated.
+share to within less than one block. Weights are exact fractions (a float is the decimal that it
+prints as), brought to whole numbers, so that nothing is rounded. Their sum is the period after which
+the schedule repeats; of a period longer than there are blocks only the slots that are needed are
+made, so the schedule has at most one row for each block, and rows find their slot by a join. When a
+source has no block left, the others go on with their weights scaled up (a new phase, which counts
+its slots and blocks anew), so that no row is dropped or repeated.
 
 Defined cases: a null source is a source of its own; weights of sources that have no rows count for
 nothing; a source without a stated weight raises; an empty table gives an empty result; repeated
@@ -16,8 +18,14 @@ rows each take a place of their own; the order inside a source is pseudo-random
 from __future__ import annotations
 
 import heapq
+import math
+from array import array
+from collections.abc import Iterator
 from fractions import Fraction
+from itertools import islice
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +37,10 @@ BLOCK = 64
 TEMPERATURE = 0.7
 #: Sources that may be mixed at once: the schedule of their phases is built on the driver.
 MOST_SOURCES = 4096
+#: Rows of a schedule that are sent to every task; a longer one is shuffled.
+SENT = 500_000
+#: Deadlines beyond this are this: no table has so many blocks.
+FAR = 1 << 60
 #: The columns that mix_sources adds; a caller's columns of these names are replaced.
 MADE = ("mix_phase", "mix_block", "mix_slot", "mix_release", "mix_deadline", "mix_place")
 
@@ -44,51 +56,72 @@ def quotas(weights: list[float], period: int) -> list[int]:
     return out
 
 
-def schedule(quota: list[int]) -> list[tuple[int, int, int, int]]:
-    """Earliest-deadline-first over one period: for each slot (source, block, release, deadline)."""
+def whole_weights(weights: list[float | Fraction]) -> list[int]:
+    """Whole numbers in exactly the weights' proportions, without a common divisor."""
+    exact = [Fraction(str(w)) for w in weights]
+    scale = math.lcm(*(w.denominator for w in exact))
+    out = [int(w * scale) for w in exact]
+    divisor = math.gcd(*out)
+    return [w // divisor for w in out]
+
+
+def _slots(quota: list[int]) -> Iterator[tuple[int, int, int, int]]:
     period = sum(quota)
     release = lambda s, i: i * period // quota[s]
     due = lambda s, i: -(-(i + 1) * period // quota[s])
     waiting = [(0, s, 0) for s in range(len(quota))]
     ready: list[tuple[int, int, int]] = []
-    out = []
-    for slot in range(period):
+    slot = 0
+    while waiting or ready:
         while waiting and waiting[0][0] <= slot:
             _, s, i = heapq.heappop(waiting)
             heapq.heappush(ready, (due(s, i), s, i))
         deadline, s, i = heapq.heappop(ready)
-        out.append((s, i, release(s, i), deadline))
+        yield s, i, release(s, i), deadline
         if i + 1 < quota[s]:
             heapq.heappush(waiting, (release(s, i + 1), s, i + 1))
-    return out
+        slot += 1
+
 
+def schedule(quota: list[int], slots: int | None = None) -> list[tuple[int, int, int, int]]:
+    """Earliest-deadline-first over one period, or its first slots: for each (source, block, release, deadline)."""
+    return list(islice(_slots(quota), slots))
 
-def phases(blocks: list[int], weights: list[float]) -> list[dict]:
-    """The schedule of each phase: sources left, blocks each has had before, slots before, length."""
+
+def phases(blocks: list[int], weights: list[float | Fraction]) -> list[dict]:
+    """The schedule of each phase: sources left, blocks each has had before, slots before, period.
+
+    plan: source, block, release and deadline of each slot of a period, or of the phase if that is
+    shorter; quota: how many blocks of each source the plan has.
+    """
     done, begun, out = [0] * len(blocks), 0, []
     live = [s for s, n in enumerate(blocks) if n]
     while live:
-        period = max(64, 1 << (8 * len(live) - 1).bit_length())
-        quota = quotas([weights[s] for s in live], period)
-        plan = schedule(quota)
+        quota = whole_weights([weights[s] for s in live])
         # whole periods before any source runs dry, then slot by slot up to the first that does
         whole = min((blocks[s] - done[s]) // q for s, q in zip(live, quota, strict=True))
         left = [blocks[s] - done[s] - whole * q for s, q in zip(live, quota, strict=True)]
-        length = whole * period
-        for k, _, _, _ in plan if all(left) else ():
-            left[k] -= 1
-            length += 1
-            if not left[k]:
+        plan, had, length, over = tuple(array("q") for _ in range(4)), [0] * len(live), 0, not all(left)
+        for k, i, release, deadline in _slots(quota):
+            if over and not whole:
                 break
-        out.append({"live": live, "quota": quota, "plan": plan, "done": [done[s] for s in live], "begun": begun, "period": period})
+            for column, x in zip(plan, (k, i, release, min(deadline, FAR)), strict=True):
+                column.append(x)
+            had[k] += 1
+            if not over:
+                left[k] -= 1
+                length += 1
+                over = not left[k]
+        period = len(plan[0])
+        out.append({"live": live, "quota": had, "plan": plan, "done": [done[s] for s in live], "begun": begun, "period": period})
         for k, s in enumerate(live):
             done[s] = blocks[s] - left[k]
-        begun += length
+        begun += whole * period + length
         live = [s for s in live if done[s] < blocks[s]]
     return out
 
 
-def mix_sources(df: DataFrame, weights: dict[str | None, float] | None = None, source: str = "source", block_rows: int = BLOCK) -> DataFrame:
+def mix_sources(df: DataFrame, weights: dict[str | None, float | Fraction] | None = None, source: str = "source", block_rows: int = BLOCK) -> DataFrame:
     """df's rows with mix_block (of its source), mix_slot, mix_release, mix_deadline, mix_phase, mix_place.
 
     Sorting by (mix_slot, mix_place) gives the mixed order. weights: by source, the default is each
@@ -101,47 +134,51 @@ def mix_sources(df: DataFrame, weights: dict[str | None, float] | None = None, s
     if len(found) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     found = sorted(found, key=lambda r: (r["s"] is None, str(r["s"])))
-    share = [float(weights[r["s"]]) if weights is not None else r["n"] ** TEMPERATURE for r in found]
+    share = [weights[r["s"]] if weights is not None else r["n"] ** TEMPERATURE for r in found]
     if any(w <= 0 for w in share):
         raise ValueError("weights must be positive")
     names = spark.createDataFrame([(i, None if r["s"] is None else str(r["s"])) for i, r in enumerate(found)], "no int, s string")
     numbered = df.join(F.broadcast(names.withColumnRenamed("no", key)), df[source].cast("string").eqNullSafe(F.col("s")))
     ranked = ranked_in_groups(numbered, key, [F.col("doc_id")], rank)
 
-    # a row for each phase, source and block of a period; the phase of a block is known by its number
-    rows = []
+    # a row for each phase, source and block of a plan; the phase of a block is known by its number
+    parts, steps = [], [[] for _ in found]
     for p, x in enumerate(phases([-(-r["n"] // block_rows) for r in found], share)):
-        place = {(k, i): (t, rel, due) for t, (k, i, rel, due) in enumerate(x["plan"])}
-        for k, s in enumerate(x["live"]):
-            rows += [(s, p, x["done"][k], x["quota"][k], i, x["period"], x["begun"], *place[k, i]) for i in range(x["quota"][k])]
-    template = spark.createDataFrame(rows, "src int, phase int, first long, quota int, i int, period int, begun long, t int, rel int, due int")
-    bounds = template.groupBy("src").agg(F.array_sort(F.collect_set(F.struct("first", "phase", "quota"))).alias("steps"))
+        k, i, release, due = (np.frombuffer(c, np.int64) for c in x["plan"])
+        parts.append((np.array(x["live"])[k], np.full(len(k), p), i, np.full(len(k), x["period"]), np.full(len(k), x["begun"]), np.arange(len(k)), release, due))
+        for s, first, quota in zip(x["live"], x["done"], x["quota"], strict=True):
+            if quota:
+                steps[s].append((first, p, quota))
+    kinds = {"src": "int32", "phase": "int32", "i": "int64", "period": "int64", "begun": "int64", "t": "int64", "rel": "int64", "due": "int64"}
+    whole = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.empty(0)] * len(kinds)
+    template = spark.createDataFrame(pa.table({name: c.astype(kind) for (name, kind), c in zip(kinds.items(), whole, strict=True)}))
+    template = F.broadcast(template) if len(whole[0]) <= SENT else template
+    bounds = spark.createDataFrame(list(enumerate(steps)), "src int, steps array<struct<first: long, phase: int, quota: long>>")
     block = (F.col(rank) / F.lit(block_rows)).cast("long")
-    # of equal firsts (a phase without a slot for this source) the later phase holds
     ph = F.element_at(F.filter("steps", lambda s: s["first"] <= F.col("mix_block")), -1)
     placed = (
         ranked.withColumn("mix_block", block)
         .join(F.broadcast(bounds.withColumnRenamed("src", key)), key)
         .withColumn("ph", ph)
-        .withColumns({"mix_phase": F.col("ph.phase"), "i": ((F.col("mix_block") - F.col("ph.first")) % F.col("ph.quota")).cast("int"), "turn": ((F.col("mix_block") - F.col("ph.first")) / F.col("ph.quota")).cast("long")})
+        .withColumns({"mix_phase": F.col("ph.phase"), "i": ((F.col("mix_block") - F.col("ph.first")) % F.col("ph.quota")).cast("long"), "turn": ((F.col("mix_block") - F.col("ph.first")) / F.col("ph.quota")).cast("long")})
         .drop("steps", "ph")
-        .join(F.broadcast(template.select(F.col("src").alias(key), F.col("phase").alias("mix_phase"), "i", "period", "begun", "t", "rel", "due")), [key, "mix_phase", "i"])
+        .join(template.withColumnsRenamed({"src": key, "phase": "mix_phase"}), [key, "mix_phase", "i"])
     )
     base = F.col("begun") + F.col("turn") * F.col("period")
     made = {"mix_slot": base + F.col("t"), "mix_release": base + F.col("rel"), "mix_deadline": base + F.col("due"), "mix_place": (F.col(rank) % block_rows).cast("int")}
     return placed.withColumns(made).select(*columns, *MADE)
 
 
-def mixed(df: DataFrame, weights: dict[str | None, float] | None = None) -> DataFrame:
+def mixed(df: DataFrame, weights: dict[str | None, float | Fraction] | None = None) -> DataFrame:
     """df's rows and columns, stored in mixed order: by slot over and within partitions."""
     out = mix_sources(df, weights).repartitionByRange("mix_slot").sortWithinPartitions("mix_slot", "mix_place")
     return out.select(*df.columns)
 
 
-def max_deviation(quota: list[int]) -> Fraction:
-    """Largest distance, in blocks, between what a source has had and its share, over one period."""
+def max_deviation(quota: list[int], slots: int | None = None) -> Fraction:
+    """Largest distance, in blocks, between what a source has had and its share, over one period or its first slots."""
     period, had, worst = sum(quota), [0] * len(quota), Fraction(0)
-    for t, (s, *_rest) in enumerate(schedule(quota), 1):
+    for t, (s, *_rest) in enumerate(schedule(quota, slots), 1):
         had[s] += 1
         worst = max([worst, *(abs(Fraction(q * t, period) - h) for q, h in zip(quota, had, strict=True))])
     return worst
