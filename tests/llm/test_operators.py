@@ -222,6 +222,27 @@ def test_license_scan(spark):
     assert license_scan.license_scan(gpl).first()["labels"] == "gpl-3" and license_scan.license_scan(empty(spark)).count() == 0
 
 
+def test_every_place_of_a_notice_is_a_span(spark):
+    mpl = license_scan.TEMPLATES["mpl-2"][0]
+    n = len(license_scan.words(mpl))
+    cut = " ".join(mpl.split()[:11])  # enough of it
+    texts = {1: f"{mpl} {mpl}", 2: f"{mpl} " + "other words " * 50 + mpl + " then " + cut, 3: f"{mpl} " * 2000}
+    got = {r["doc_id"]: r for r in license_scan.license_scan(spark.createDataFrame([*texts.items()], "doc_id long, text string")).collect()}
+    assert got[1]["spans"] == f"mpl-2:0:{n},mpl-2:{n}:{2 * n}"
+    assert got[2]["spans"] == f"mpl-2:0:{n},mpl-2:{n + 100}:{2 * n + 100},mpl-2:{2 * n + 101}:{2 * n + 112}"
+    assert got[3]["spans"].split(",") == [f"mpl-2:{k * n}:{k * n + n}" for k in range(2000)]
+    assert all(r["labels"] == "mpl-2" and r["score"] == 1 for r in got.values())
+
+
+def test_whole_licenses_are_one_span(spark):
+    texts = [(f.stem, f.read_text(encoding="utf-8")) for f in sorted(license_scan.FULL_TEXTS.glob("*.txt"))]
+    docs = spark.createDataFrame([(label, "some words before " + t + " and after") for label, t in texts], "doc_id string, text string")
+    got = {r["doc_id"]: r for r in license_scan.license_scan(docs).collect()}
+    assert len(texts) == 6
+    for label, t in texts:
+        assert f"{label}:3:{3 + len(license_scan.words(t))}" in got[label]["spans"].split(",") and got[label]["score"] == 1
+
+
 # -- 7 --------------------------------------------------------------------------------------------------
 
 

@@ -3,7 +3,9 @@
 The automaton accepts every run of words of every template. A text's words are streamed through it,
 which gives for each place the longest template run that ends there (matching statistics). Maximal
 runs of MIN_MATCH words or more are chained, in template order and with small gaps on both sides,
-into spans; a template whose words a chain covers well enough gives its label. Only stretches whose
+into spans; a template whose words a chain covers well enough gives its label. The best chain is taken
+with all matches that share words with it, and what is left is chained again, so that each place of a
+notice gives its own span. Only stretches whose
 neighbouring words are neighbours in some template can hold such runs, so only they are streamed.
 
 Defined cases: A-Z is lower-cased, words are runs of 0-9, a-z and everything beyond ASCII; a null
@@ -13,9 +15,11 @@ count; repeated rows are scanned alike; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import cache
 from itertools import repeat
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
@@ -62,6 +66,9 @@ TEMPLATES = {
     "mpl-2": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
 }
 
+# Whole licenses, the file's name is the label; where the text names a holder, from the grant on.
+FULL_TEXTS = Path(__file__).parent / "licenses"
+
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
@@ -137,24 +144,63 @@ class SuffixAutomaton:
         return out
 
 
-def chain(matches: list[Match], gap: int = GAP) -> tuple[int, int, int]:
-    """(template words covered, first word, end word) of the best chain of one template's matches."""
+def _chained(ordered: list[Match], gap: int) -> list[tuple[int, int, int]]:
+    """For each match (in order of start) the best chain that ends with it, as in chains()."""
     best: list[tuple[int, int, int]] = []
-    for m in (ordered := sorted(matches)):
+    reach = gap + max(m.length for m in ordered)
+    for i, m in enumerate(ordered):
         top = (m.length, m.start, m.start + m.length)
-        for before, (covered, first, _) in zip(ordered, best, strict=False):
+        for j in range(i - 1, -1, -1):
+            before = ordered[j]
+            if m.start - before.start > reach:
+                break
             text, template = m.start - before.start - before.length, m.at - before.at - before.length
             shared = max(0, -text, -template)
             if m.start > before.start and m.at > before.at and max(text, template) <= gap and shared < m.length:
-                top = max(top, (covered + m.length - shared, first, m.start + m.length))
+                top = max(top, (best[j][0] + m.length - shared, best[j][1], m.start + m.length))
         best.append(top)
-    return max(best)
+    return best
+
+
+def chains(matches: list[Match], least: float, gap: int = GAP) -> list[tuple[int, int, int]]:
+    """(template words covered, first word, end word) of chains of one template's matches that share no words.
+
+    The best chain comes first, whatever it covers; then the best of what is left, and so on, while
+    they cover `least` words.
+    """
+    out: list[tuple[int, int, int]] = []
+    taken: list[tuple[int, int]] = []
+
+    def free(first: int, end: int) -> bool:
+        k = bisect_left(taken, (end, end))
+        return not k or taken[k - 1][1] <= first
+
+    left = sorted(matches)
+    while left:
+        best = _chained(left, gap)
+        for k in sorted(range(len(left)), key=best.__getitem__, reverse=True):
+            covered, first, end = best[k]
+            if out and covered < least:
+                break
+            if free(first, end):
+                out.append(best[k])
+                insort(taken, (first, end))
+            elif free(left[k].start, left[k].start + left[k].length):
+                break  # its match is left, but not all of its chain: chained again
+        else:
+            return out
+        if out and covered < least:
+            return out
+        left = [m for m in left if free(m.start, m.start + m.length)]
+    return out
 
 
 class Scanner:
     def __init__(self) -> None:
-        self.labels = [label for label, texts in TEMPLATES.items() for _ in texts]
-        templates = [words(t) for texts in TEMPLATES.values() for t in texts]
+        full = [(f.stem, f.read_text(encoding="utf-8")) for f in sorted(FULL_TEXTS.glob("*.txt"))]
+        texts = [(label, t) for label, own in TEMPLATES.items() for t in own] + full
+        self.labels = [label for label, _ in texts]
+        templates = [words(t) for _, t in texts]
         phrases = [p.encode().split() for p in PHRASES]
         self.vocabulary = {w: i for i, w in enumerate(sorted({w for t in (*templates, *phrases) for w in t}))}
         ids = lambda t: [self.vocabulary[w] for w in t]
@@ -196,12 +242,12 @@ class Scanner:
             starts, own = [s for s, _ in base[d]], {x for _, x in base[d]}
             labels, score, spans = set(own), float(bool(own)), []
             for k in sorted({m.template for m in found.get(d, ())}):
-                covered, first, end = chain([m for m in found[d] if m.template == k])
-                share = min(1.0, covered / len(self.templates[k]))
-                score = max(score, share)
-                if share >= COVERAGE:
-                    labels.add(self.labels[k])
-                    spans.append(f"{self.labels[k]}:{first}:{end}")
+                size, label = len(self.templates[k]), self.labels[k]
+                own_chains = chains([m for m in found[d] if m.template == k], COVERAGE * size)
+                score = max(score, min(1.0, own_chains[0][0] / size))
+                places = sorted((first, end) for covered, first, end in own_chains if covered / size >= COVERAGE)
+                labels.update([label] * bool(places))
+                spans += [f"{label}:{first}:{end}" for first, end in places]
             out.append((bounds[d + 1] - bounds[d] - 1, len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(own)), ",".join(sorted(labels)), score, ",".join(spans)))
         return out
 
