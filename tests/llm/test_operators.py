@@ -168,6 +168,20 @@ def test_neighbours(spark):
     assert [r["rank"] for r in few] == [1, 2]
 
 
+def test_neighbours_of_repeated_ids(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(101, 8))
+    x[1] = 3 * x[0]  # the nearest, many times, and with a second vector
+    rows = [(i, v.tolist(), i == 0) for i, v in enumerate(x)] + [(1, x[1].tolist(), False)] * 40 + [(1, (x[1] + [9, *[0] * 7]).tolist(), False), (0, x[0].tolist(), True), (1, None, False)]
+    out = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>, own boolean"), F.col("own"), k=20).toPandas()
+    s = x @ x[0]
+    s[0] = -np.inf
+    want = np.lexsort((np.arange(101), -s))[:20]
+    assert list(out.sort_values("rank").vec_id) == list(want) and np.allclose(out.sort_values("rank").score, s[want])
+    (ids, _), = ann.best_of_page(x[:1], np.array([0]), np.vstack([x, x[[1] * 30]]), np.array([*range(101), *[1] * 30]), 20)
+    assert list(ids) == list(want)
+
+
 # -- 5 --------------------------------------------------------------------------------------------------
 
 

@@ -7,11 +7,11 @@ Every row is indexed: it goes to its nearest centroid's list, and to those of ot
 are nearly as near (boundary vectors), the nearest REPLICAS at most. A query finds its nearest
 centroids through the graph, reads the lists within a ratio of its nearest centroid's distance, and
 ranks all their vectors exactly. Lists are stored in pages of bounded size, so that one crowded list
-is many tasks' work.
+is many tasks' work; a page's queries pass by in blocks.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold null or non-finite
 components take no part; a query's own row (same vec_id) is no candidate; rows that repeat a vec_id
-count once; ties go to the smaller vec_id; queries with fewer than k candidates get all of them; an
+count once, with the smallest of their usable vectors, and ask if one of them asks; ties go to the smaller vec_id; queries with fewer than k candidates get all of them; an
 empty table gives an empty result.
 """
 
@@ -128,7 +128,9 @@ def _merged(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np
 
 
 def best_of_page(q: np.ndarray, own: np.ndarray, v: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each query its k best rows of a page: a fast product first, then exactly what may count."""
+    """For each query its k best ids of a page: a fast product first, then exactly what may count."""
+    ids, first = np.unique(ids, return_index=True)
+    v = v[first]
     fast = q @ v.T
     fast[own[:, None] == ids] = -np.inf
     if fast.shape[1] > k:
@@ -150,7 +152,7 @@ def search(df: DataFrame, queries: Column, k: int = 20, vector: str = "embedding
     if sizes is None:
         return empty
     size = sizes["n"]
-    rows = df.where(_usable(F.col("v"), size))
+    rows = written(df.where(_usable(F.col("v"), size)).groupBy("vec_id").agg(F.min("v").alias("v"), F.max("asks").alias("asks")))
     squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     n, top = rows.agg(F.count("*"), F.max(squares)).first()
     if not n:
@@ -192,47 +194,42 @@ def search(df: DataFrame, queries: Column, k: int = 20, vector: str = "embedding
     held_rows = indexed.join(F.broadcast(per_list), "list") if pages_of is None else indexed.withColumn("pages", pages_of[F.col("list")])
     page = (F.shiftrightunsigned(F.xxhash64("vec_id"), 1) % F.col("pages")).cast("int")
     stored = held_rows.select("list", page.alias("page"), F.lit(False).alias("query"), F.col("vec_id").alias("id"), "vector")
-    asked = indexed.where("asks and first").select("vec_id", "vector").dropDuplicates(["vec_id"]).mapInPandas(ask, "list int, page int, query boolean, id long, vector binary")
+    asked = indexed.where("asks and first").select("vec_id", "vector").mapInPandas(ask, "list int, page int, query boolean, id long, vector binary")
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-        def page_of(parts: list[pd.DataFrame]) -> None:
-            g = pd.concat(parts)
-            asks = g["query"].to_numpy()
-            if asks.all() or not asks.any():
-                return
-            x = np.stack([np.frombuffer(b) for b in g["vector"]])
-            ids = g["id"].to_numpy()
-            who, q = ids[asks], x[asks]
-            for a in range(0, len(q), 256):
-                for one, (i, s) in zip(who[a : a + 256], best_of_page(q[a : a + 256], who[a : a + 256], x[~asks], ids[~asks], k), strict=True):
-                    if one in best:
-                        i, s = _merged(np.concatenate([best[one][0], i]), np.concatenate([best[one][1], s]), k)
-                    best[one] = i, s
-
         def out() -> pd.DataFrame:
             made = pd.DataFrame({"query_id": list(best), "ids": [i for i, _ in best.values()], "scores": [s for _, s in best.values()]})
             best.clear()
             return made
 
-        parts: list[pd.DataFrame] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         last = None
         for f in frames:
-            for at, g in f.groupby(["list", "page"], sort=False):
-                if at != last and parts:
-                    page_of(parts)
-                    parts = []
-                    if len(best) > 20_000:
-                        yield out()
-                parts.append(g)
-                last = at
-        if parts:
-            page_of(parts)
+            # a page's rows come before its queries
+            for (at, page, asks), g in f.groupby(["list", "page", "query"], sort=False):
+                if (at, page) != last:
+                    held, last = [], (at, page)
+                x, ids = np.stack([np.frombuffer(b) for b in g["vector"]]), g["id"].to_numpy()
+                if not asks:
+                    held.append((x, ids))
+                    continue
+                if not held:
+                    continue
+                if len(held) > 1:
+                    held = [tuple(np.concatenate(part) for part in zip(*held, strict=True))]
+                for a in range(0, len(x), 256):
+                    for one, (i, s) in zip(ids[a : a + 256], best_of_page(x[a : a + 256], ids[a : a + 256], *held[0], k), strict=True):
+                        if one in best:
+                            i, s = _merged(np.concatenate([best[one][0], i]), np.concatenate([best[one][1], s]), k)
+                        best[one] = i, s
+                if len(best) > 20_000:
+                    yield out()
         if best:
             yield out()
 
-    both = stored.unionByName(asked).repartition("list", "page").sortWithinPartitions("list", "page")
+    both = stored.unionByName(asked).repartition("list", "page").sortWithinPartitions("list", "page", "query")
     found = both.mapInPandas(scan, "query_id long, ids array<long>, scores array<double>")
     # a query has a row from each task at most: k of each meet here
     pairs = F.flatten(F.collect_list(F.arrays_zip("ids", "scores")))
