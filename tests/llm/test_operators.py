@@ -437,3 +437,26 @@ def test_pipeline_keeps_clean_documents(spark):
     assert kept == {r["doc_id"] for r in report.where("kept").select("doc_id").collect()}
     packed = P.run(spark, SF)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == kept
+
+
+def test_pipeline_rejects_texts_in_no_language(spark):
+    import base64
+
+    import corpus_pipeline as P
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(4)
+    junk = [
+        " ".join("".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(2, 11, 500)),
+        base64.b64encode(rng.bytes(15_000)).decode(),
+        rng.bytes(3_000).hex(),
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια",
+        "12345 !!",
+        None,
+    ]
+    planted = [(-i - 1, t, None) for i, t in enumerate(junk)] + [(-100, "of it", None)]
+    out = P.in_a_language(spark, docs.unionByName(spark.createDataFrame(planted, "doc_id long, text string, lang string")), SF)
+    clean = {r["doc_id"] for r in docs.select("doc_id").collect()}
+    assert {r["doc_id"] for r in out.select("doc_id").collect()} == clean | {-100}
