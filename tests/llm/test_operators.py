@@ -387,6 +387,17 @@ def test_near_dedup(spark):
     assert near_dedup.near_dedup(odd(spark)).count() == 9 and near_dedup.near_dedup(empty(spark)).count() == 0
 
 
+def test_copies_of_a_hot_text_are_compared_once(spark, monkeypatch):
+    words = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(words))] * 300 + [(2, " ".join([*words[:-1], "z"]))]
+    sizes, grouped = [], near_dedup._grouped
+    monkeypatch.setattr(near_dedup, "_grouped", lambda df: (sizes.append(df.count()), grouped(df))[1])
+    out = near_dedup.near_dedup_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sizes[1] <= sizes[0] <= 2 * near_dedup.BANDS
+    assert {(r["doc_id"], r["class_id"], r["n_links"]) for r in out} == {(1, 1, 300), (2, 1, 300)}
+    assert near_dedup.filter_bits(5) == near_dedup.FILTER_BITS and near_dedup.filter_bits(3_500_000) >= 16 * 3_500_000
+
+
 def test_pruning_bound():
     for n, least in near_dedup.least_matches().items():
         tail = lambda m: sum(math.comb(n + 1, k) * 0.8**k * 0.2 ** (n + 1 - k) for k in range(m + 1))  # noqa: B023, E731

@@ -37,8 +37,8 @@ STEP = 16
 TOLERANCE = 1e-7
 #: Representatives of a bucket in a block.
 BLOCK = 256
-#: Bits of the filter that spares most texts the second reading; its size never grows.
-FILTER_BITS = 1 << 23
+#: Bits of the filters that spare most texts a second reading: at least, at most, and for each id.
+FILTER_BITS, MOST_BITS, BITS_AN_ID = 1 << 23, 1 << 30, 16
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -248,8 +248,13 @@ def _compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame(out, columns=["digest", "links", "root"])
 
 
+def filter_bits(ids: int) -> int:
+    """Bits for a filter of so many ids: a sixteenth of the other ids pass at most, until MOST_BITS are reached."""
+    return min(MOST_BITS, max(FILTER_BITS, 1 << (BITS_AN_ID * ids).bit_length()))
+
+
 def bitmap(ids: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
-    """A set of hashed ids of fixed size: false alarms, no misses."""
+    """A set of hashed ids: false alarms, no misses."""
     rows = (
         ids.select((_position(column, bits) + 1).alias("at"))  # Spark's buckets and bits begin with the number 1
         .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
@@ -308,7 +313,8 @@ def similarity_classes(df: DataFrame) -> DataFrame:
     worth = written(dealt.mapInPandas(_worth_comparing, columns))
 
     reps = worth.select("digest").distinct().join(classes.select("digest", "rep"), "digest")
-    held = df.sparkSession.sparkContext.broadcast(bitmap(reps, "rep"))
+    bits = filter_bits(reps.count())
+    held = df.sparkSession.sparkContext.broadcast(bitmap(reps, "rep", bits))
 
     def again(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -316,7 +322,8 @@ def similarity_classes(df: DataFrame) -> DataFrame:
             sets = [h for h in map(shingles, f["text"]) if len(h)]
             yield pd.DataFrame({"digest": [_digest(h) for h in sets], "shingles": [h.tobytes() for h in sets]})
 
-    found = df.select(_position("doc_id").alias("at"), "text").mapInPandas(again, "digest binary, shingles binary")
+    # copies have equal sets: of the rows that pass the filter one for each digest is joined
+    found = df.select(_position("doc_id", bits).alias("at"), "text").mapInPandas(again, "digest binary, shingles binary").dropDuplicates(["digest"])
     verified = _grouped(worth.join(found, "digest")).mapInPandas(_compared, "digest binary, links long, root binary")
     links = written(verified)
 
@@ -351,7 +358,9 @@ def near_dedup(df: DataFrame) -> DataFrame:
     own, columns = sheltered(df, "doc_id", "text")
     report = written(similarity_classes(own).select("doc_id", "digest", "kept"))
     by_id = report.groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_and("kept").alias("all_kept"))
-    held = own.sparkSession.sparkContext.broadcast(bitmap(by_id.where("n > 1 or not all_kept"), "doc_id"))
+    doubted = by_id.where("n > 1 or not all_kept")
+    bits = filter_bits(doubted.count())
+    held = own.sparkSession.sparkContext.broadcast(bitmap(doubted, "doc_id", bits))
 
     @F.pandas_udf("boolean")
     def doubtful(at: pd.Series) -> pd.Series:
@@ -361,7 +370,7 @@ def near_dedup(df: DataFrame) -> DataFrame:
     def digest(texts: pd.Series) -> pd.Series:
         return pd.Series([_digest(shingles(t)) for t in texts])
 
-    marked = own.withColumn("doubt", doubtful(_position("doc_id")))
+    marked = own.withColumn("doubt", doubtful(_position("doc_id", bits)))
     stay = report.where("kept").select(F.col("doc_id").alias("stay_id"), F.col("digest").alias("stay_digest")).distinct()
     unsure = marked.where("doubt").withColumn("digest", digest("text"))
     unsure = unsure.join(stay, F.col("doc_id").eqNullSafe(F.col("stay_id")) & (F.col("digest") == F.col("stay_digest")), "left_semi")
