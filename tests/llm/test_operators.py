@@ -93,12 +93,31 @@ def test_language_held_out_accuracy(spark):
 
 @pytest.mark.parametrize("weights", [[1.0], [1, 1, 1], [0.7, 0.2, 0.1], [5, 3, 3, 1, 0.01]])
 def test_schedule_deviates_less_than_a_block(weights):
-    quota = mixing.quotas(weights, 128)
-    assert sum(quota) == 128 and mixing.max_deviation(quota) < 1
+    quota = mixing.whole_weights(weights)
+    assert [q / sum(quota) for q in quota] == pytest.approx([w / sum(weights) for w in weights])
+    assert mixing.max_deviation(quota) < 1
     for slot, (_, _, release, due) in enumerate(mixing.schedule(quota)):
         assert release <= slot < due
 
 
+def test_schedule_equals_a_plain_earliest_deadline_first():
+    quota = mixing.whole_weights([0.55, 0.25, 0.125, 0.075])
+    period, done, want = sum(quota), [0] * 4, []
+    for slot in range(period):
+        due = {s: -(-(i + 1) * period // quota[s]) for s, i in enumerate(done) if i < quota[s] and i * period // quota[s] <= slot}
+        s = min(due, key=lambda x: (due[x], x))
+        want.append((s, done[s]))
+        done[s] += 1
+    assert [(s, i) for s, i, _, _ in mixing.schedule(quota)] == want
+
+
+def test_mixing_of_many_sources_and_null_ids(spark):
+    d = spark.range(9000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), (F.col("id") % 4500).cast("string").alias("source"))
+    out = mixing.mix_sources(d, {str(i): 1 for i in range(4500)}).toPandas()
+    assert len(out) == 9000 and out.doc_id.isna().sum() == 3000
+    assert out.groupby(["mix_slot", "mix_place"]).size().max() == 1 and sorted(out.mix_slot.unique()) == list(range(4500))
+
+
 def test_mixing_keeps_to_the_target_weights(spark):
     weights = [0.9, 0.05, 0.03, 0.01, 0.005, 0.003, 0.001, 0.001]
     d = spark.range(4000).select(F.col("id").alias("doc_id"), F.expr("array_position(transform(array(3600, 3800, 3920, 3960, 3980, 3992, 3996, 4000), x -> id < x), true)").cast("string").alias("source"))
@@ -144,6 +163,14 @@ def test_exact_dedup(spark, counters):
     assert exact_dedup.exact_dedup(empty(spark)).count() == 0
 
 
+def test_repeated_rows_of_a_frequent_text_keep_one(spark):
+    d = spark.range(3000, numPartitions=8).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("hot  text")).when(F.col("id") % 3 == 1, F.lit("hottext")).otherwise(F.col("id").cast("string")).alias("text"))
+    out = exact_dedup.exact_dedup_report(d, 16).toPandas()
+    hot = out[out.group_size == 2000]
+    assert len(out) == 3000 and len(hot) == 2000 and hot.kept.sum() == 1 and (hot.keep_id == 5).all() and hot[hot.kept].doc_id.tolist() == [5]
+    assert out[out.group_size == 1].kept.all() and len(out[out.group_size == 1]) == 1000
+
+
 # -- 4 --------------------------------------------------------------------------------------------------
 
 
@@ -210,6 +237,25 @@ def test_toxicity_learns_words(spark):
     assert toxicity.score(empty(spark), labels, held_out("doc_id", 5, 0)).count() == 0
 
 
+def test_held_out_labels_teach_nothing(spark, monkeypatch):
+    for name, most in (("TOXIC_SAMPLE", 60), ("CLEAN_SAMPLE", 80), ("FIELD_SAMPLE", 20)):
+        monkeypatch.setattr(toxicity, name, most)
+    docs = spark.createDataFrame([(i, f"some plain words {i} here " + ("you utter grumbler! " if i % 4 == 0 else "dear friend ") * (1 + i % 3)) for i in range(800)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    out = held_out("doc_id", 5, 0)
+    flipped = labels.withColumn("toxic", F.when(out, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b, c = (sorted(map(tuple, toxicity.score(docs, x, out).collect())) for x in (labels, flipped, labels.where(~out)))
+    assert a == b == c and {r[3] for r in a} == {0, 1}
+
+
+def test_curve_of_separable_and_huge_inputs():
+    rows = np.array([[float(i > 5), 1.0, float(i > 5), 900.0 * (i > 5)] for i in range(12)])
+    beta = toxicity.fit_curve(rows)
+    p = toxicity.logistic(np.column_stack([np.ones(12), rows[:, 2:]]) @ beta)
+    assert np.isfinite(beta).all() and (p[:6] < 0.1).all() and (p[6:] > 0.9).all()
+    assert toxicity.logistic(np.array([-1e9, 1e9])).tolist() == pytest.approx([0, 1])
+
+
 # -- 6 --------------------------------------------------------------------------------------------------
 
 
@@ -246,6 +292,8 @@ def test_every_place_of_a_notice_is_a_span(spark):
     assert got[2]["spans"] == f"mpl-2:0:{n},mpl-2:{n + 100}:{2 * n + 100},mpl-2:{2 * n + 101}:{2 * n + 112}"
     assert got[3]["spans"].split(",") == [f"mpl-2:{k * n}:{k * n + n}" for k in range(2000)]
     assert all(r["labels"] == "mpl-2" and r["score"] == 1 for r in got.values())
+    many = license_scan.scanner().scan([f"{mpl} " * 20_000])[0]
+    assert len(many[-1].split(",")) == 20_000
 
 
 def test_whole_licenses_are_one_span(spark):
@@ -265,9 +313,8 @@ def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
     tk = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tk.encode_special_tokens = True
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(odd(spark).select("doc_id", "text").where("doc_id is not null and doc_id <> 7").withColumn("doc_id", -F.col("doc_id")))
-    docs = docs.unionByName(spark.createDataFrame([(-100, "two  spaces \n\n tabs\t\there <|endoftext|> it's x "), (-101, " lead and trail ")], "doc_id long, text string"))
+    docs = docs.unionByName(spark.createDataFrame([(-100, "two  spaces \n\n tabs\t\there <|endoftext|> it's x "), (-101, " lead and trail "), (-102, "a <|endoftext|> b"), (-103, "<|endoftext|><|endoftext|>x <|endof text|>")], "doc_id long, text string"))
     p = packing.pack_documents(docs, with_ids=True).toPandas()
     for doc, text in docs.collect():
         ids = np.array([*tk.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
@@ -277,7 +324,26 @@ def test_packing_round_trip(spark):
     q = p.sort_values(["sequence_id", "offset"])
     assert (q.offset == q.groupby("sequence_id").length.cumsum() - q.length).all() and q.groupby("sequence_id").length.sum().max() <= 1024
     assert p.sequence_id.nunique() <= math.ceil(p.length.sum() / 1024) * 1.02 + 1
-    assert packing.pack_documents(odd(spark)).where("doc_id is null").count() == 1 and packing.pack_documents(empty(spark)).count() == 0
+    assert p[p.doc_id == -102].length.tolist() == [5] and np.frombuffer(p[p.doc_id == -102].ids.iloc[0], "<u4").tolist() == [64, 220, 50256, 275, 2]
+    o = packing.pack_documents(odd(spark)).toPandas()
+    assert o.doc_id.isna().sum() == 1 and packing.pack_documents(empty(spark)).count() == 0
+    # repeated rows are packed each
+    assert o[o.doc_id == 7].piece.value_counts().unique().tolist() == [2] and not o.duplicated(["sequence_id", "offset"]).any()
+
+
+def test_sequences_follow_the_order_of_documents(spark):
+    rng = np.random.default_rng(6)
+    cut = spark.createDataFrame([(i, 0, int(n), i) for i, n in enumerate(rng.integers(1, 1025, 6000))], "doc_id long, piece int, length long, place long")
+    p = packing.pack(cut).toPandas()
+    assert len(p) == 6000 and p.doc_id.nunique() == 6000 and not p.duplicated(["sequence_id", "offset"]).any()
+    assert p.groupby("sequence_id").doc_id.min().is_monotonic_increasing and p.doc_id.corr(p.sequence_id) > 0.7
+    assert packing.pack(cut.drop("place")).toPandas().sequence_id.nunique() == p.sequence_id.nunique()
+
+
+def test_equal_pieces_are_fixed_together():
+    counts = np.zeros(1025, np.int64)
+    counts[[500, 520, 200, 250]] = 40_000
+    assert len(packing.plan(counts)) < 20
 
 
 def fewest(lengths, capacity):
@@ -398,6 +464,12 @@ def test_copies_of_a_hot_text_are_compared_once(spark, monkeypatch):
     assert near_dedup.filter_bits(5) == near_dedup.FILTER_BITS and near_dedup.filter_bits(3_500_000) >= 16 * 3_500_000
 
 
+def test_components_of_a_star_and_a_chain(spark):
+    edges = [(f"s{i:05d}", "hub") for i in range(10_000)] + [(f"c{i:03d}", f"c{i + 1:03d}") for i in range(200)]
+    got = near_dedup.components(spark.createDataFrame(edges, "u string, v string")).toPandas()
+    assert set(got.root) == {"hub", "c000"} and len(got) == 10_000 + 200
+
+
 def test_pruning_bound():
     for n, least in near_dedup.least_matches().items():
         tail = lambda m: sum(math.comb(n + 1, k) * 0.8**k * 0.2 ** (n + 1 - k) for k in range(m + 1))  # noqa: B023, E731
@@ -408,28 +480,86 @@ def test_pruning_bound():
 
 
 def test_lm_score(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(odd(spark).select("doc_id", "text").where("doc_id is not null and doc_id <> 7").withColumn("doc_id", F.col("doc_id") + 10_000))
-    rows = docs.collect()
-    tokens = {d: [w.decode() for w in (t or "").encode().lower().split()] + ["<end>"] for d, t in rows}
-    out_of = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
-    c = Counter(w for d, t in tokens.items() if not out_of(d) for w in t)
-    n, v = sum(c.values()), len(c)
-    got = lm_score.score(docs, held_out("doc_id", 7, 2), held_out("doc_id", 7, 3)).toPandas().set_index("doc_id")
-    for d, t in tokens.items():
-        r = got.loc[d]
-        assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (len(t), sum(c[w] > 0 for w in t), n, out_of(d))
-        assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), abs=1e-6)
-    h = got[got.held_out]
-    assert h.score.sum() > h.base_score.sum() and (got.score < 0).all()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(odd(spark).select("doc_id", "text").withColumn("doc_id", F.col("doc_id") + 10_000))
+    rows = [(d, (t or "").encode().lower().split()) for d, t in docs.collect()]
+    part = lambda d: {2: "out", 3: "deleted"}.get(zlib.crc32(str(d).encode()) % 7, "kept") if d is not None else "kept"
+    end = b" "
+    grams = lambda t: [tuple([b"^", b"^", *t, end][i : i + 3]) for i in range(len(t) + 1)]
+
+    def counts(parts):
+        seen = [g for d, t in rows if part(d) in parts for g in grams(t)]
+        c = [Counter(g[2 - k :] for g in seen) for k in range(3)]
+        return c, [Counter(g[2 - k : -1] for g in seen) for k in range(3)]
+
+    def estimates(g, c, ctx):
+        f = [c[k][g[2 - k :]] / max(1, ctx[k][g[2 - k : -1]]) for k in (2, 1, 0)]
+        a, b = ctx[2][g[:-1]], ctx[1][g[1:-1]]
+        return (64 + a.bit_length() - 1 if a else b.bit_length() - 1 if b else 128), [*f, 1 / (len(c[0]) + 1)]
+
+    kept, train = counts({"kept"}), counts({"kept", "deleted"})
+    held = [estimates(g, *kept) for d, t in rows if part(d) == "deleted" for g in grams(t)]
+    weights = lm_score.mixture_weights(np.array([b for b, _ in held]), np.array([f for _, f in held]), np.ones(len(held)))
+    n, v = sum(train[0][0].values()), len(train[0][0])
+    want = Counter()
+    for d, t in rows:
+        g = grams(t)
+        model = sum(math.log10(weights[b] @ f) for b, f in (estimates(x, *train) for x in g))
+        base = sum(math.log10((train[0][0][x[2:]] + 1) / (n + v + 1)) for x in g)
+        want[d, part(d) == "out", len(g), sum(train[0][0][x[2:]] > 0 for x in g), n, round(base, 6), round(model, 1)] += 1
+    got = lm_score.score(docs, held_out("doc_id", 7, 2), held_out("doc_id", 7, 3)).collect()
+    near = sorted(want.elements(), key=str)
+    mine = sorted(((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), r["score"]) for r in got), key=str)
+    by_id = lambda rs: sorted(rs, key=lambda r: (r[0] is None, r[0] or 0))
+    for a, b in zip(by_id(near), by_id(mine), strict=True):
+        assert a[:6] == b[:6] and b[6] == pytest.approx(a[6], rel=0.01, abs=0.06)
+    assert sum(r["score"] for r in got if r["held_out"]) > sum(r["base_score"] for r in got if r["held_out"])
     assert lm_score.score(empty(spark), held_out("doc_id", 7, 2), held_out("doc_id", 7, 3)).count() == 0
 
 
+def test_lm_chunks_and_ranges_change_nothing(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(120).withColumn("part", F.lit("x")).withColumn("n", F.lit(1))
+    args = held_out("doc_id", 7, 2), held_out("doc_id", 7, 3)
+    a = lm_score.score(docs, *args).toPandas().sort_values("doc_id", ignore_index=True)
+    monkeypatch.setattr(lm_score, "CHUNK", 3_000)
+    monkeypatch.setattr(lm_score, "RANGE", 500)
+    b = lm_score.score(docs, *args).toPandas().sort_values("doc_id", ignore_index=True)
+    assert (a.n_known == b.n_known).all() and np.allclose(a.base_score, b.base_score) and np.allclose(a.score, b.score)
+
+
+def test_lm_without_training_texts_is_uniform(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    out = lm_score.score(docs, F.lit(True), F.lit(False)).orderBy("doc_id").collect()
+    assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["score"]) for r in out] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0)]
+
+
 def test_mixture_is_a_distribution():
     rng = np.random.default_rng(1)
-    kept = rng.poisson(0.02, (lm_score.SYMBOLS, lm_score.SYMBOLS))
-    kept[:, 0] = 0  # nothing follows by the start
-    table = 10 ** lm_score.log_table(kept, rng.poisson(0.01, kept.shape) * (kept[0:1] >= 0))
-    assert table[5, 1:].sum() == pytest.approx(1, abs=0.02)
+    texts = [rng.integers(0, 6, n) for n in rng.integers(1, 9, 40)]
+    flat = np.concatenate([np.append(t + 1, 0) for t in texts])
+    lengths = np.array([len(t) + 1 for t in texts])
+    words = rng.integers(1, 2**62, 8).astype(np.uint64)
+    c = [dict(zip(*np.unique(h, return_counts=True), strict=True)) for h in lm_score.Grams(lengths, words, flat, 40).hashes]
+    held = rng.integers(0, 129, 500), rng.random((500, 4)), np.ones(500)
+    weights = lm_score.mixture_weights(*held)
+    for before in ([], [1], [1, 2], [7, 7], [3, 7], [7, 3]):  # 7 is never seen
+        total = 0.0
+        for word in range(8):
+            g = lm_score.Grams(np.array([len(before) + 1]), words, np.array([*before, word]), 40)
+            counts = [np.array([seen.get(h, 0) for h in hashes]) for seen, hashes in zip(c, g.hashes, strict=True)]
+            bucket, parts = lm_score.estimates(counts, g.begins, len(texts), len(flat))
+            w = weights[bucket[-1]] * (lm_score.default_weights()[bucket[-1]] > 0)
+            total += (w / w.sum()) @ [*parts[-1], 1 / 8]
+        assert total == pytest.approx(1)
+
+
+def test_untrained_buckets_take_the_nearest_below():
+    w = lm_score.mixture_weights(np.array([66, 66, 3]), np.array([[0.5, 0.1, 0.1, 0.1], [0.4, 0.2, 0.1, 0.1], [0, 0.5, 0.1, 0.1]]), np.ones(3))
+    assert (w[70] == w[66]).all() and (w[64] == w[66]).all() and (w[9] == w[3]).all() and w[66][0] > 0.5 and w[3][0] == 0
+
+
+def test_packed_numbers():
+    for x in ([], [0], [0, 255, 256, 2**40], [2**64 - 1, 1]):
+        assert lm_score.unpacked(lm_score.packed(np.array(x, np.uint64)), len(x)).tolist() == x
 
 
 # -- the pipeline -----------------------------------------------------------------------------------------
@@ -450,6 +580,26 @@ def test_pipeline_keeps_clean_documents(spark):
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == kept
 
 
+def test_mixing_reaches_the_sequences(spark):
+    import corpus_pipeline as P
+    from tidemark.llm.common import written
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = [r["source"] for r in docs.select("source").distinct().orderBy("source").collect()]
+    share = {}
+    for heavy in (names[0], names[-1]):
+        weights = {n: 50.0 if n == heavy else 1.0 for n in names}
+        slots = mixing.mix_sources(docs, weights, block_rows=1).select("doc_id", "source", "mix_slot").toPandas().set_index("doc_id")
+        stored = written(mixing.mix_sources(docs, weights, block_rows=1).repartitionByRange(3, "mix_slot").sortWithinPartitions("mix_slot").select(*docs.columns))
+        p = P.packed(spark, stored, SF).toPandas().set_index("doc_id").join(slots)
+        assert p.groupby("sequence_id").mix_slot.min().is_monotonic_increasing and p.sequence_id.min() == 0
+        early = p.sort_values("sequence_id").head(len(p) // 8)
+        share[heavy] = (early.source == heavy).mean(), (early.source != heavy).mean()
+    again = [sorted(map(tuple, P.run(spark, SF).collect())) for _ in range(2)]
+    assert again[0] == again[1]
+    assert all(a > b / len(names) for a, b in share.values())
+
+
 def test_pipeline_rejects_texts_in_no_language(spark):
     import base64
 

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Characters fed to numpy at a time; bounds a Python worker's memory whatever the split size.
 BATCH_CHARS = 500_000
-#: Rows of an Arrow batch: with long texts and sets the default of 10,000 is hundreds of MB a Python worker.
+#: Rows of an Arrow batch that are turned into pandas at a time (Spark bounds the batch itself in bytes).
 BATCH_ROWS = 500
 
 
@@ -21,25 +26,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def in_small_batches(df: DataFrame) -> DataFrame:
-    """df, in a session that hands Python workers BATCH_ROWS rows at a time."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df
+def map_frames(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str, rows: int = BATCH_ROWS) -> DataFrame:
+    """df.mapInPandas(fn, schema), with at most `rows` rows of a batch as pandas objects at a time."""
+    out_schema = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frames = (b.slice(a, rows).to_pandas() for b in batches for a in range(0, b.num_rows, rows))
+        for out in fn(frames):
+            yield pa.RecordBatch.from_pandas(out, schema=out_schema, preserve_index=False)
+
+    return df.mapInArrow(run, schema)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where none is set, as in tests."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at
+    """The folder that driver and executors share: the session's spark.checkpoint.dir, else the context's.
+
+    Where neither is set, a folder of this machine will do for local[...] only, as in tests; it is
+    set as the session's and goes when the process ends. On a cluster that raises.
+    """
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if at:
+        return at
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    own = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", f"file://{own}")
+    return f"file://{own}"
+
+
+def new_path(spark: SparkSession, stem: str) -> str:
+    """A path in the shared folder that no other call is given."""
+    return f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}/{stem}-{uuid.uuid4().hex}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Deletes what this application's operators have written; call it once their results have been read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}"
+    path = new_path(spark, "part")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -64,21 +94,29 @@ def sheltered(df: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
     return df.select(*(F.col(f"`{c}`").alias(names[c]) for c in df.columns)), [F.col(names[c]).alias(c) for c in df.columns]
 
 
-def ranked_in_groups(df: DataFrame, group: str, order: list[Column], rank: str, rows_per_bucket: int = 5_000) -> DataFrame:
+def ranked_in_groups(df: DataFrame, group: str, order: list[Column], rank: str, rows_per_bucket: int = 2_000, bucket: Column | None = None) -> DataFrame:
     """Adds a dense 0-based rank of each row within its group, however large one group is.
 
-    Rows are dealt by (group, hash bucket); each bucket is ranked by itself and shifted by the
-    rows in the group's earlier buckets. The order inside a group is pseudo-random by hash of the
-    order columns, then the order columns. group must not be null.
+    Rows are dealt by (group, bucket); each bucket is ranked by itself and shifted by the rows in the
+    group's earlier buckets. bucket: a number that grows with the order, of few rows each. Without
+    one the order inside a group is pseudo-random by hash of the order columns, then the order
+    columns; rows whose order columns are all null are dealt by where they are read. group must not
+    be null.
     """
     h, b, off = (fresh(df, x) for x in ("hash", "bucket", "before"))
-    n = max(1, df.select(group).count())
-    buckets = max(1, -(-n // rows_per_bucket))
-    df = df.withColumn(h, F.xxhash64(*order)).withColumn(b, F.shiftrightunsigned(h, 1) % F.lit(buckets))
+    if bucket is None:
+        n = max(1, df.select(group).count())
+        buckets = max(1, -(-n // rows_per_bucket))
+        nothing = F.forall(F.array(*(x.cast("string") for x in order)), lambda x: x.isNull())
+        df = df.withColumn(h, F.when(nothing, F.xxhash64(F.spark_partition_id())).otherwise(F.xxhash64(*order)))
+        df = df.withColumn(b, F.shiftrightunsigned(h, 1) % F.lit(buckets))
+        order = [F.col(h), *order]
+    else:
+        df = df.withColumn(b, bucket)
     sizes = df.groupBy(group, b).agg(F.count("*").alias(off))
     before = Window.partitionBy(group).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(group, b, F.coalesce(F.sum(off).over(before), F.lit(0)).alias(off))
-    inside = Window.partitionBy(group, b).orderBy(h, *order)
+    inside = Window.partitionBy(group, b).orderBy(*order)
     ranked = df.withColumn(rank, F.row_number().over(inside) - 1)
     return ranked.join(offsets, [group, b]).withColumn(rank, (F.col(rank) + F.col(off)).cast("long")).drop(h, b, off)
 
@@ -94,6 +132,26 @@ def chunks(frames: Iterator[pd.DataFrame], text: str, most: int = BATCH_CHARS) -
             yield frame.iloc[a:b]
 
 
+def whole_groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of frames sorted by keys, one at a time."""
+    held: list[pd.DataFrame] = []
+    for f in frames:
+        if not len(f):
+            continue
+        if held:
+            f = pd.concat([*held, f], ignore_index=True)
+        new = np.zeros(len(f), bool)
+        for k in keys:
+            x = f[k].to_numpy()
+            new[1:] |= x[1:] != x[:-1]
+        cuts = [0, *np.flatnonzero(new)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield f.iloc[a:b]
+        held = [f.iloc[cuts[-1] :]]
+    if held:
+        yield held[0]
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Lower-cased (A-Z) runs of characters other than space and \\x09-\\x0D, in UTF-8."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from .common import fresh, sheltered, written
 
-#: Counters of a Misra-Gries summary. A digest of more than rows / COUNTERS rows is never missed.
+#: Counters of a Misra-Gries summary. A digest of more than rows / (COUNTERS + 1) rows is never missed:
+#: each step that takes c from the COUNTERS + 1 largest counts takes that many rows, so all steps, those
+#: of the merge included, take no more than rows / (COUNTERS + 1) from any digest's count.
 COUNTERS = 4096
 
 
@@ -59,35 +61,41 @@ def heavy_winners(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """
     rows = digests.count()
     summed = misra_gries(digests, "text_sha256", counters).groupBy("text_sha256").agg(F.sum("n").alias("n"))
-    # Summaries of all partitions together: the largest `counters` counts hold every digest above rows / counters.
+    # The merge: what would be left above the (counters + 1)-th largest sum is among the `counters` largest.
     candidates = summed.orderBy(F.desc("n"), "text_sha256").limit(counters).select("text_sha256")
     best = F.max(F.struct("text_length", F.col("doc_id").isNotNull(), -F.col("doc_id")))
     return (
         digests.join(F.broadcast(candidates), "text_sha256")
         .groupBy("text_sha256")
         .agg(F.count("*").alias("heavy_size"), best.alias("best"))
-        .where(F.col("heavy_size") > F.lit(rows / counters))
+        .where((F.col("heavy_size") > F.lit(rows / (counters + 1))) & (F.col("heavy_size") > 1))
         .select("text_sha256", "heavy_size", F.col("best.text_length").alias("heavy_length"), (-F.col("best.col3")).alias("heavy_id"))
     )
 
 
 def mark_duplicates(df: DataFrame, heavy: DataFrame) -> DataFrame:
-    """Adds keep_id, group_size and kept to rows that have text_sha256 and text_length."""
+    """Adds keep_id, group_size and kept to rows that have text_sha256 and text_length.
+
+    Rows of a frequent digest are marked where they are read. Those that equal its winner in length
+    and id (repeated rows) are told apart in two steps, first within what each task has read.
+    """
+    place, part = fresh(df, "place"), fresh(df, "part")
     joined = df.join(F.broadcast(heavy), "text_sha256", "left")
+    frequent = F.col("heavy_size").isNotNull()
     wins = (F.col("text_length") == F.col("heavy_length")) & F.col("doc_id").eqNullSafe(F.col("heavy_id"))
-    removed = F.col("heavy_size").isNotNull() & ~wins
-    at_once = joined.where(removed).withColumns({"keep_id": F.col("heavy_id"), "group_size": F.col("heavy_size"), "kept": F.lit(False)})
+    known = {"keep_id": F.col("heavy_id"), "group_size": F.col("heavy_size")}
+    at_once = joined.where(frequent & ~wins).withColumns({**known, "kept": F.lit(False)})
+    equal = joined.where(frequent & wins).withColumn(part, F.spark_partition_id())
+    equal = equal.withColumn(place, F.row_number().over(Window.partitionBy("text_sha256", part).orderBy("text_length")))
+    first = equal.where(F.col(place) == 1)
+    first = first.withColumn(place, F.row_number().over(Window.partitionBy("text_sha256").orderBy(part)))
+    equal = equal.where(F.col(place) > 1).unionByName(first.withColumn(place, F.when(F.col(place) == 1, 1).otherwise(2)))
+    equal = equal.withColumns({**known, "kept": F.col(place) == 1}).drop(part, place)
     same = Window.partitionBy("text_sha256")
-    rn = fresh(df, "place")
-    rest = (
-        joined.where(~removed)
-        .withColumn(rn, F.row_number().over(same.orderBy(F.desc("text_length"), F.asc_nulls_last("doc_id"))))
-        .withColumn("keep_id", F.first("doc_id").over(same.orderBy(F.desc("text_length"), F.asc_nulls_last("doc_id"))))
-        .withColumn("group_size", F.coalesce("heavy_size", F.count(F.lit(1)).over(same)))
-        .withColumn("kept", F.col(rn) == 1)
-        .drop(rn)
-    )
-    return at_once.unionByName(rest).drop("heavy_size", "heavy_length", "heavy_id")
+    ordered = same.orderBy(F.desc("text_length"), F.asc_nulls_last("doc_id"))
+    rest = joined.where(~frequent).withColumn(place, F.row_number().over(ordered))
+    rest = rest.withColumns({"keep_id": F.first("doc_id").over(ordered), "group_size": F.count(F.lit(1)).over(same), "kept": F.col(place) == 1}).drop(place)
+    return at_once.unionByName(equal).unionByName(rest).drop("heavy_size", "heavy_length", "heavy_id")
 
 
 def exact_dedup(df: DataFrame, counters: int = COUNTERS) -> DataFrame:

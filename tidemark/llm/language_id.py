@@ -7,7 +7,8 @@ nearest profile wins.
 
 Defined cases: null texts and texts without a letter are `und` with score 0, as is every text where
 nothing could be learned; rows without a language teach nothing; ties of count go to the smaller
-n-gram, ties of distance to the smaller language name; an empty table gives an empty result.
+n-gram, ties of distance to the smaller language name; very long texts are counted whole, one at a
+time; repeated rows count and are tagged alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -17,13 +18,16 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, in_small_batches, sheltered
+from .common import BATCH_CHARS, BATCH_ROWS, chunks, map_frames
 
 #: N-grams in a profile.
 PROFILE = 400
+#: Languages that are learned, at most: those with the most rows (profiles are sent with the tasks).
+MOST_LANGUAGES = 1_000
 BOUNDARY = ord("_")
 #: Distinct (language, n-gram) pairs that a task holds before it passes them on.
 HELD = 1_000_000
@@ -84,7 +88,10 @@ def _packed(code: np.ndarray, symbols: np.ndarray) -> np.ndarray:
 
 
 def learn_profiles(df: DataFrame, text: str = "text", lang: str = "lang", size: int = PROFILE) -> dict[str, list[int]]:
-    """Each language's `size` most frequent n-grams over all rows of df, most frequent first."""
+    """Each language's `size` most frequent n-grams over all rows of df, most frequent first.
+
+    Of more than MOST_LANGUAGES languages those with the most rows are learned.
+    """
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names: dict[str, int] = {}
@@ -118,8 +125,11 @@ def learn_profiles(df: DataFrame, text: str = "text", lang: str = "lang", size:
         if held:
             yield out()
 
-    rows = in_small_batches(df).select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    counts = rows.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    rows = df.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
+    names = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).collect()]
+    if len(names) > MOST_LANGUAGES:
+        rows = rows.where(F.col("lang").isin(names[:MOST_LANGUAGES]))
+    counts = map_frames(rows, count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     top = counts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("rank") <= size)
     profiles: dict[str, list[int]] = {}
     for r in top.orderBy("lang", "rank").collect():
@@ -160,12 +170,29 @@ def identify(df: DataFrame, profiles: dict[str, list[int]], text: str = "text",
     ranks = np.full((len(grams) + 1, len(names)), -1, np.int64)
     for k, name in enumerate(names):
         ranks[np.searchsorted(grams, profiles[name]), k] = np.arange(len(profiles[name]))
-    own, columns = sheltered(in_small_batches(df).drop("lang_pred", "score"), text)
+    own = df.drop("lang_pred", "score")
+    out_schema = pa.schema([("lang_pred", pa.string()), ("score", pa.float64())])
+
+    def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # all columns but the text pass by as they are
+        for batch in batches:
+            for a in range(0, batch.num_rows, BATCH_ROWS):
+                rows = batch.slice(a, BATCH_ROWS)
+                texts = rows.column(at).to_pylist()
+                found = [nearest(texts[i:j], names, grams, ranks, size) for i, j in _runs(texts)]
+                made = pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), f.type) for x, f in zip(zip(*found, strict=True), out_schema, strict=True)], schema=out_schema)
+                yield pa.RecordBatch.from_arrays([*rows.columns, *made.columns], names=[*rows.schema.names, *made.schema.names])
+
+    at = own.columns.index(text)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields), "lang_pred string, score double"])
+    return own.mapInArrow(tag, schema)
 
-    def tag(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in chunks(frames, text):
-            lang, score = nearest(f[text].tolist(), names, grams, ranks, size)
-            yield f.assign(lang_pred=lang, score=score)
 
-    return own.mapInPandas(tag, schema).select(*columns, "lang_pred", "score")
+def _runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about BATCH_CHARS characters."""
+    first, held = 0, 0
+    for i, t in enumerate(texts, 1):
+        held += len(t or "")
+        if held >= BATCH_CHARS or i == len(texts):
+            yield first, i
+            first, held = i, 0

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, in_small_batches
+from .common import chunks, map_frames
 
 MIN_MATCH = 4
 #: Words that may lie between two chained matches, in the text and in the template.
@@ -241,9 +241,12 @@ class Scanner:
         for d in range(len(texts)):
             starts, own = [s for s, _ in base[d]], {x for _, x in base[d]}
             labels, score, spans = set(own), float(bool(own)), []
-            for k in sorted({m.template for m in found.get(d, ())}):
+            of_template: dict[int, list[Match]] = {}
+            for m in found.get(d, ()):
+                of_template.setdefault(m.template, []).append(m)
+            for k in sorted(of_template):
                 size, label = len(self.templates[k]), self.labels[k]
-                own_chains = chains([m for m in found[d] if m.template == k], COVERAGE * size)
+                own_chains = chains(of_template[k], COVERAGE * size)
                 score = max(score, min(1.0, own_chains[0][0] / size))
                 places = sorted((first, end) for covered, first, end in own_chains if covered / size >= COVERAGE)
                 labels.update([label] * bool(places))
@@ -268,6 +271,6 @@ def license_scan(df: DataFrame) -> DataFrame:
             rows[["first_word", "last_word"]] = rows[["first_word", "last_word"]].astype("Int64")
             yield rows.assign(doc_id=f["doc_id"].to_numpy(object))
 
-    safe = in_small_batches(df).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = safe.mapInPandas(scan, f"doc_id string, {schema}")
+    safe = df.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    out = map_frames(safe, scan, f"doc_id string, {schema}")
     return out.withColumn("doc_id", F.col("doc_id").cast(key))

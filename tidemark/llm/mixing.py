@@ -6,13 +6,15 @@ earliest deadline takes the slot. So after any number of slots each source has h
 share to within less than one block. Weights are exact fractions (a float is the decimal that it
 prints as), brought to whole numbers, so that nothing is rounded. Their sum is the period after which
 the schedule repeats; of a period longer than there are blocks only the slots that are needed are
-made, so the schedule has at most one row for each block, and rows find their slot by a join. When a
-source has no block left, the others go on with their weights scaled up (a new phase, which counts
-its slots and blocks anew), so that no row is dropped or repeated.
+made, so the schedule has at most one row for each block, and rows find their slot by a join. Blocks
+grow with the table beyond SLOTS of them, so the schedule, which one machine makes in order, doesn't.
+When a source has no block left, the others go on with their weights scaled up (a new phase, which
+counts its slots and blocks anew), so that no row is dropped or repeated.
 
 Defined cases: a null source is a source of its own; weights of sources that have no rows count for
 nothing; a source without a stated weight raises; an empty table gives an empty result; repeated
-rows each take a place of their own; the order inside a source is pseudo-random by doc_id.
+rows each take a place of their own; texts are not looked at, so empty and very long ones are like
+any others; the order inside a source is pseudo-random by doc_id.
 """
 
 from __future__ import annotations
@@ -26,17 +28,16 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ranked_in_groups, sheltered
 
-#: Documents in a block.
-BLOCK = 64
+#: Documents in a block at least, and blocks of a table (besides one more for each source) at most.
+BLOCK, SLOTS = 64, 1 << 20
 #: Default weights are a source's share to this power: below 1, small sources come earlier.
 TEMPERATURE = 0.7
-#: Sources that may be mixed at once: the schedule of their phases is built on the driver.
-MOST_SOURCES = 4096
 #: Rows of a schedule that are sent to every task; a longer one is shuffled.
 SENT = 500_000
 #: Deadlines beyond this are this: no table has so many blocks.
@@ -45,17 +46,6 @@ FAR = 1 << 60
 MADE = ("mix_phase", "mix_block", "mix_slot", "mix_release", "mix_deadline", "mix_place")
 
 
-def quotas(weights: list[float], period: int) -> list[int]:
-    """Whole slots of a period by weight, at least one each, largest remainders first."""
-    total = sum(weights)
-    exact = [w / total * (period - len(weights)) for w in weights]
-    out = [1 + int(x) for x in exact]
-    by_rest = sorted(range(len(weights)), key=lambda i: (int(exact[i]) - exact[i], i))
-    for i in by_rest[: period - sum(out)]:
-        out[i] += 1
-    return out
-
-
 def whole_weights(weights: list[float | Fraction]) -> list[int]:
     """Whole numbers in exactly the weights' proportions, without a common divisor."""
     exact = [Fraction(str(w)) for w in weights]
@@ -121,24 +111,25 @@ def phases(blocks: list[int], weights: list[float | Fraction]) -> list[dict]:
     return out
 
 
-def mix_sources(df: DataFrame, weights: dict[str | None, float | Fraction] | None = None, source: str = "source", block_rows: int = BLOCK) -> DataFrame:
+def mix_sources(df: DataFrame, weights: dict[str | None, float | Fraction] | None = None, source: str = "source", block_rows: int | None = None) -> DataFrame:
     """df's rows with mix_block (of its source), mix_slot, mix_release, mix_deadline, mix_phase, mix_place.
 
     Sorting by (mix_slot, mix_place) gives the mixed order. weights: by source, the default is each
-    source's share of the rows to the power TEMPERATURE.
+    source's share of the rows to the power TEMPERATURE. block_rows: BLOCK, or as many as it takes
+    to have no more than SLOTS blocks.
     """
     spark = df.sparkSession
     df, columns = sheltered(df.drop(*MADE), "doc_id", source)
     key, rank = "source_no", "rank_in_source"
-    found = df.groupBy(F.col(source).alias("s")).agg(F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()
-    if len(found) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    found = sorted(found, key=lambda r: (r["s"] is None, str(r["s"])))
+    # a row for each source: what the schedule is made of
+    found = sorted(df.groupBy(F.col(source).alias("s")).agg(F.count("*").alias("n")).collect(), key=lambda r: (r["s"] is None, str(r["s"])))
+    block_rows = block_rows or max(BLOCK, -(-sum(r["n"] for r in found) // SLOTS))
     share = [weights[r["s"]] if weights is not None else r["n"] ** TEMPERATURE for r in found]
     if any(w <= 0 for w in share):
         raise ValueError("weights must be positive")
     names = spark.createDataFrame([(i, None if r["s"] is None else str(r["s"])) for i, r in enumerate(found)], "no int, s string")
-    numbered = df.join(F.broadcast(names.withColumnRenamed("no", key)), df[source].cast("string").eqNullSafe(F.col("s")))
+    few = F.broadcast(names) if len(found) <= SENT else names
+    numbered = df.join(few.withColumnRenamed("no", key), df[source].cast("string").eqNullSafe(F.col("s")))
     ranked = ranked_in_groups(numbered, key, [F.col("doc_id")], rank)
 
     # a row for each phase, source and block of a plan; the phase of a block is known by its number
@@ -158,7 +149,7 @@ def mix_sources(df: DataFrame, weights: dict[str | None, float | Fraction] | Non
     ph = F.element_at(F.filter("steps", lambda s: s["first"] <= F.col("mix_block")), -1)
     placed = (
         ranked.withColumn("mix_block", block)
-        .join(F.broadcast(bounds.withColumnRenamed("src", key)), key)
+        .join((F.broadcast(bounds) if len(found) <= SENT else bounds).withColumnRenamed("src", key), key)
         .withColumn("ph", ph)
         .withColumns({"mix_phase": F.col("ph.phase"), "i": ((F.col("mix_block") - F.col("ph.first")) % F.col("ph.quota")).cast("long"), "turn": ((F.col("mix_block") - F.col("ph.first")) / F.col("ph.quota")).cast("long")})
         .drop("steps", "ph")
@@ -175,6 +166,17 @@ def mixed(df: DataFrame, weights: dict[str | None, float | Fraction] | None = No
     return out.select(*df.columns)
 
 
+def stored_order(df: DataFrame, name: str) -> DataFrame:
+    """df with a number that grows along its rows as they are stored: by part file and row of a Parquet
+    table, else by partition and row."""
+    try:
+        file = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).try_cast("long")
+        at = F.shiftleft(F.coalesce(file, F.lit(0).cast("long")), 40) + F.col("_metadata.row_index")
+        return df.select("*", at.alias(name))
+    except AnalysisException:
+        return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def max_deviation(quota: list[int], slots: int | None = None) -> Fraction:
     """Largest distance, in blocks, between what a source has had and its share, over one period or its first slots."""
     period, had, worst = sum(quota), [0] * len(quota), Fraction(0)

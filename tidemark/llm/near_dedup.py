@@ -12,7 +12,8 @@ forest leave it, never all pairs.
 Defined cases: words are lower-cased (A-Z) runs of characters other than space and \\x09-\\x0D; a
 text of one to four words has one shingle, all of it; texts without words (and null texts) have no
 shingles, are linked to nothing and are all kept. Links count copies. Of a class the smallest doc_id
-stays (null ids last; repeated rows stay once).
+stays (null ids last; repeated rows stay once). A very long text is one row's work; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_small_batches, sheltered, words_of, written
+from .common import map_frames, sheltered, whole_groups, words_of, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -37,6 +38,8 @@ STEP = 16
 TOLERANCE = 1e-7
 #: Representatives of a bucket in a block.
 BLOCK = 256
+#: Keys that a node's neighbours are dealt over where components() joins by node.
+PARTS = 16
 #: Bits of the filters that spare most texts a second reading: at least, at most, and for each id.
 FILTER_BITS, MOST_BITS, BITS_AN_ID = 1 << 23, 1 << 30, 16
 
@@ -96,7 +99,7 @@ def sketches(df: DataFrame) -> DataFrame:
             yield pd.DataFrame({"doc_id": f["doc_id"].to_numpy(object), "digest": d, "size": np.array(n, np.int32), "sig": s})
 
     safe = df.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    out = safe.mapInPandas(sketch, "doc_id string, digest binary, size int, sig binary")
+    out = map_frames(safe, sketch, "doc_id string, digest binary, size int, sig binary")
     return out.withColumn("doc_id", F.col("doc_id").cast(key))
 
 
@@ -113,26 +116,6 @@ def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) ->
     return out
 
 
-def _whole_groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """The groups of frames sorted by keys, one at a time."""
-    held: list[pd.DataFrame] = []
-    for f in frames:
-        if not len(f):
-            continue
-        if held:
-            f = pd.concat([*held, f], ignore_index=True)
-        new = np.zeros(len(f), bool)
-        for k in keys:
-            x = f[k].to_numpy()
-            new[1:] |= x[1:] != x[:-1]
-        cuts = [0, *np.flatnonzero(new)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            yield f.iloc[a:b]
-        held = [f.iloc[cuts[-1] :]]
-    if held:
-        yield held[0]
-
-
 def _survivors(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of the group's two blocks, and which of their pairs (left by right) are worth comparing."""
     i, j = g["i"].iloc[0], g["j"].iloc[0]
@@ -217,7 +200,7 @@ def _grouped(df: DataFrame) -> DataFrame:
 
 def _worth_comparing(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     out: list[pd.DataFrame] = []
-    for g in _whole_groups(frames, ["key", "i", "j"]):
+    for g in whole_groups(frames, ["key", "i", "j"]):
         left, right, alive = _survivors(g)
         rows = np.union1d(left[alive.any(axis=1)], right[alive.any(axis=0)])
         if len(rows):
@@ -231,7 +214,7 @@ def _worth_comparing(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     out = []
-    for g in _whole_groups(frames, ["key", "i", "j"]):
+    for g in whole_groups(frames, ["key", "i", "j"]):
         g = g.loc[~g["digest"].duplicated()].reset_index(drop=True)
         left, right, alive = _survivors(g)
         links = _linked([np.frombuffer(x, np.uint64) for x in g["shingles"]], left, right, alive)
@@ -278,6 +261,12 @@ def _in_bitmap(at: np.ndarray, held: np.ndarray) -> np.ndarray:
     return (held[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
+def _beside_least(near: DataFrame, low: DataFrame) -> DataFrame:
+    """near (u, v) with low's m of u. A node with very many neighbours is PARTS keys, not one."""
+    near = near.withColumn("part", (F.shiftrightunsigned(F.xxhash64("v"), 1) % F.lit(PARTS)).cast("int"))
+    return near.join(low.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))), ["u", "part"]).drop("part")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the least node it is connected with) of an undirected graph (u, v), by alternating
     large-star and small-star steps until nothing changes; a few rounds whatever the graph's shape."""
@@ -287,10 +276,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         near = both(edges)
         low = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = near.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _beside_least(near.where("v > u"), low).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+        small = _beside_least(large, low).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         edges = written(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
@@ -300,7 +289,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def similarity_classes(df: DataFrame) -> DataFrame:
     """doc_id, digest, class_id, n_links of every row of df (doc_id, text)."""
-    df = in_small_batches(df).select("doc_id", F.col("text").cast("string").alias("text"))
+    df = df.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = written(sketches(df))
     classes = written(rows.where("size > 0").groupBy("digest").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("sig").alias("sig")))
 
@@ -310,7 +299,7 @@ def similarity_classes(df: DataFrame) -> DataFrame:
     candidates = keys.join(full, "key").join(classes.select("digest", "copies", "size", "sig"), "digest")
     columns = "key long, i int, j int, block int, band int, digest binary, copies long, size int, sig binary"
     dealt = _grouped(_blocks(candidates).select(*(c.split()[0] for c in columns.split(", "))))
-    worth = written(dealt.mapInPandas(_worth_comparing, columns))
+    worth = written(map_frames(dealt, _worth_comparing, columns))
 
     reps = worth.select("digest").distinct().join(classes.select("digest", "rep"), "digest")
     bits = filter_bits(reps.count())
@@ -323,8 +312,8 @@ def similarity_classes(df: DataFrame) -> DataFrame:
             yield pd.DataFrame({"digest": [_digest(h) for h in sets], "shingles": [h.tobytes() for h in sets]})
 
     # copies have equal sets: of the rows that pass the filter one for each digest is joined
-    found = df.select(_position("doc_id", bits).alias("at"), "text").mapInPandas(again, "digest binary, shingles binary").dropDuplicates(["digest"])
-    verified = _grouped(worth.join(found, "digest")).mapInPandas(_compared, "digest binary, links long, root binary")
+    found = map_frames(df.select(_position("doc_id", bits).alias("at"), "text"), again, "digest binary, shingles binary").dropDuplicates(["digest"])
+    verified = map_frames(_grouped(worth.join(found, "digest")), _compared, "digest binary, links long, root binary")
     links = written(verified)
 
     roots = components(links.select(F.col("digest").alias("u"), F.col("root").alias("v")))

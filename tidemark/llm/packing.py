@@ -4,11 +4,15 @@ Documents are tokenised, longer ones cut into full pieces (the first may be shor
 has to know is only how many pieces there are of each length, at most `capacity` numbers, so the
 plan is made on that histogram on the driver: sets of one or two pieces that provably dominate every
 other way to fill a sequence (Martello and Toth) are fixed, the rest goes best-fit by decreasing
-length, whole groups of equal sequences at a time. Pieces then look up their place by their rank
-among the pieces of their length.
-
-Defined cases: a null text counts as empty; an empty text is the end token alone; repeated rows and
-null ids are packed like any others; an empty table gives an empty result.
+length, whole groups of equal sequences at a time. Groups are then spread evenly over the output: the
+j-th of n equal sequences stands at (j + 1/2) / n of it, and the places for a length are filled in
+that order by the pieces' rank among those of their length. Where documents come in an order that
+matters, sequences are numbered by the earliest document that they hold, and so follow it as far as
+filling them allows.
+
+Defined cases: a null text counts as empty; an empty text is the end token alone; a very long text is
+cut into as many pieces as it takes; repeated rows and null ids are packed like any others; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,13 +28,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, in_small_batches, ranked_in_groups, written
+from .common import chunks, map_frames, ranked_in_groups, written
 
 CAPACITY = 1024
 END = 2
 TOKENIZER = "byte_bpe_50k.json"
 #: Words whose ids a Python worker keeps.
 KEPT_WORDS = 200_000
+#: Sequences of a group that are worked out together, and of a group at most (so that products fit 64 bits).
+TOGETHER, GROUP = 65_536, 1 << 30
 # Fixed value: the vocabulary's own rule for cutting text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -41,7 +47,14 @@ def _ranks(path: str) -> dict[bytes, int]:
     char = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(sorted({*range(256)} - {*plain}))}
     with open(path, encoding="utf-8") as f:
         vocabulary = json.load(f)["model"]["vocab"]
-    return {bytes(char[c] for c in token): i for token, i in vocabulary.items() if not token.startswith("<|")}
+    return {bytes(char[c] for c in token): i for token, i in vocabulary.items() if token not in _special(path)}
+
+
+@cache
+def _special(path: str) -> dict[str, int]:
+    """The tokens that a vocabulary file takes out of a text before the text is cut."""
+    with open(path, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
 
 
 @cache
@@ -49,18 +62,21 @@ def encoder(tokenizer: str = TOKENIZER) -> Callable[[str], bytes]:
     """text -> its ids as little-endian unsigned 32-bit integers, by a vocabulary file's name or path.
 
     Words repeat, so the ids of what stands between single spaces are kept. That is exact where no
-    two white-space characters meet: a space then always begins the next word.
+    two white-space characters meet and no special token stands: a space then always begins the next
+    word. Special tokens in a text have their own ids.
     """
     import public_tokenizers
     import tiktoken
 
     path = tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer)
-    bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=_ranks(path), special_tokens={})
-    together, known = re.compile(r"\s\s").search, {}
-    get, encode = known.get, lambda s: np.array(bpe.encode_ordinary(s), "<u4").tobytes()
+    special = _special(path)
+    bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=_ranks(path), special_tokens=special)
+    whole_only = re.compile("|".join([r"\s\s", *map(re.escape, special)])).search
+    known: dict[str, bytes] = {}
+    get, encode = known.get, lambda s: np.array(bpe.encode(s, allowed_special="all"), "<u4").tobytes()
 
     def whole(text: str) -> bytes:
-        if together(text):
+        if whole_only(text):
             return encode(text)
         first, *rest = text.split(" ")
         out = list(map(get, rest))
@@ -75,28 +91,28 @@ def encoder(tokenizer: str = TOKENIZER) -> Callable[[str], bytes]:
     return whole
 
 
-def pieces(df: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (and ids, as bytes) of every document's tokens and end."""
+def pieces(df: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, with_ids: bool = False, place: str | None = None) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 (ids, as bytes, and place, df's column of that name) of every document's tokens and end."""
     key = df.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {key}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+    schema = f"doc_id {key}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids + ", place long" * bool(place)
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, end = encoder(tokenizer), int(END).to_bytes(4, "little")
         for f in chunks(frames, "text"):
             rows = []
-            for doc, text in zip(f["doc_id"], f["text"], strict=True):
+            for doc, text, at in zip(f["doc_id"], f["text"], f["place"], strict=True):
                 ids = (encode(text) if text else b"") + end
                 n = len(ids) // 4
                 a, b, k = 0, (n - 1) % capacity + 1, 0
                 while a < n:
                     part = ids[4 * a : 4 * b]
-                    rows.append((doc, k, a, b - a, zlib.crc32(part), *[part] * with_ids))
+                    rows.append((doc, k, a, b - a, zlib.crc32(part), *[part] * with_ids, *[at] * bool(place)))
                     a, b, k = b, b + capacity, k + 1
             yield pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
 
     # ids as text keep what pandas can't: nulls beside large integers
-    safe = in_small_batches(df).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = safe.mapInPandas(cut, schema.replace(f"doc_id {key}", "doc_id string", 1))
+    safe = df.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"), (F.col(place) if place else F.lit(0)).cast("long").alias("place"))
+    out = map_frames(safe, cut, schema.replace(f"doc_id {key}", "doc_id string", 1))
     return out.withColumn("doc_id", F.col("doc_id").cast(key))
 
 
@@ -109,7 +125,9 @@ def dominated(counts: np.ndarray) -> list[tuple[tuple[tuple[int, int], ...], int
     """
     capacity, fixed = len(counts) - 1, []
 
-    def fix(w: int, a: int, n: int) -> None:
+    def fix(w: int, a: int) -> None:
+        # what dominates still does once copies of it are gone: fewer others are left to do better
+        n = int(counts[w]) if not a else int(counts[w]) // 2 if a == w else int(min(counts[w], counts[a]))
         counts[w] -= n
         if a:
             counts[a] -= n
@@ -122,22 +140,14 @@ def dominated(counts: np.ndarray) -> list[tuple[tuple[tuple[int, int], ...], int
             others[w] -= 1
             have = np.flatnonzero(others)
             if not room or not len(have) or have[0] > room:
-                fix(w, 0, int(counts[w]) if not room or (counts.nonzero()[0] > room).all() else 1)
+                fix(w, 0)
                 continue
             a = int(have[have <= room][-1])
-            n = int(counts[w]) // 2 if a == w else int(min(counts[w], counts[a]))
-            if a == room:
-                fix(w, a, n)
-                continue
             least = np.repeat(have[:3], np.minimum(others[have[:3]], 3))[:3]
-            if len(least) < 2 or least[0] + least[1] > room:
-                fix(w, a, n if len(least) >= 2 else 1)
-                continue
-            if len(least) == 3 and least.sum() <= room:
-                break
-            if _longest_pair(have, others, room) > a:
-                break
-            fix(w, a, 1)
+            if a < room and len(least) > 1 and least[0] + least[1] <= room:
+                if len(least) == 3 and least.sum() <= room or _longest_pair(have, others, room) > a:
+                    break
+            fix(w, a)
     return fixed
 
 
@@ -184,41 +194,71 @@ def plan(counts: np.ndarray) -> list[tuple[tuple[tuple[int, int], ...], int]]:
     return fixed + best_fit(rest)
 
 
+def places(groups: np.ndarray, which: int, first: int, end: int) -> pd.DataFrame:
+    """length, rank, sequence_id, offset of every place of sequences first..end-1 of one group.
+
+    groups: (group, sequences, length, how many of it in each, where they begin) of all groups. The
+    rank of a place counts the places for its length that come before it in all groups.
+    """
+    j, out = np.arange(first, end), []
+    own = groups[groups[:, 0] == which]
+    n = int(own[0, 1])
+    ids = ((2 * j + 1) << 31) // (2 * n) << 16 | which
+    for _, _, w, each, at in own:
+        rank = np.zeros(len(j), np.int64)
+        for other, m, _, fits, _ in groups[groups[:, 2] == w]:
+            # sequences i of the other group with (2 i + 1) / 2 m below (2 j + 1) / 2 n; equal ones by group
+            apart = (2 * j + 1) * m - n
+            before = j if other == which else apart // (2 * n) + 1 if other < which else -(-apart // (2 * n))
+            rank += fits * np.clip(before, 0, m)
+        for k in range(each):
+            out.append(pd.DataFrame({"length": w, "rank_of_length": rank + k, "sequence_id": ids, "offset": at + k * w}))
+    return pd.concat(out)
+
+
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """cut (doc_id, piece, length, ...; stored, since it is read more than once) with sequence_id and offset."""
+    """cut (doc_id, piece, length, ...; stored, since it is read more than once) with sequence_id and offset.
+
+    Where cut has a column place, pieces of a length are taken in its order, else in a pseudo-random one.
+    """
+    spark = cut.sparkSession
     counts = np.zeros(capacity + 1, np.int64)
     for r in cut.groupBy("length").count().collect():  # at most `capacity` rows
         counts[r["length"]] = r["count"]
-    rows, used, sequence = [], np.zeros(capacity + 1, np.int64), 0
-    for held, n in plan(counts):
-        at = 0
-        for w, each in held:
-            rows.append((w, used[w], each, sequence, at))
-            used[w] += n * each
-            at += w * each
-        sequence += n
-    table = np.array(sorted(rows), np.int64).reshape(-1, 5)
-    ranked = ranked_in_groups(cut, "length", [F.col("doc_id"), F.col("piece")], "rank_of_length")
-    shared = cut.sparkSession.sparkContext.broadcast(table)
-
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        length, first, each, base, at = shared.value.T
-        keys = length << 48 | first
-        for f in frames:
-            w, rank = f["length"].to_numpy(np.int64), f["rank_of_length"].to_numpy(np.int64)
-            k = np.searchsorted(keys, w << 48 | rank, side="right") - 1
-            turn, within = np.divmod(rank - first[k], each[k])
-            yield f.drop(columns="rank_of_length").assign(sequence_id=base[k] + turn, offset=at[k] + within * w)
-
-    key = cut.schema["doc_id"].dataType.simpleString()
-    safe = ranked.withColumn("doc_id", F.col("doc_id").cast("string"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in safe.schema.fields if f.name != "rank_of_length")
-    return safe.mapInPandas(place, f"{schema}, sequence_id long, offset long").withColumn("doc_id", F.col("doc_id").cast(key))
-
+    equal = [(held, min(GROUP, n - a)) for held, n in plan(counts) for a in range(0, n, GROUP)]
+    rows = [(g, n, w, each, sum(v * k for v, k in held[:i])) for g, (held, n) in enumerate(equal) for i, (w, each) in enumerate(held)]
+    groups = spark.sparkContext.broadcast(np.array(rows, np.int64).reshape(-1, 5))
 
-def pack_documents(df: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids) of all of df."""
-    return pack(written(pieces(df, capacity, tokenizer, with_ids)), capacity)
+    def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for g, a, b in zip(f["g"], f["a"], f["b"], strict=True):
+                for i in range(a, b, TOGETHER):
+                    yield places(groups.value, g, i, min(b, i + TOGETHER))
+
+    runs = [(g, a, min(n, a + 16 * TOGETHER)) for g, (_, n) in enumerate(equal) for a in range(0, n, 16 * TOGETHER)]
+    listed = spark.createDataFrame(runs, "g int, a long, b long").repartition("g", "a")
+    slots = map_frames(listed, spread, "length long, rank_of_length long, sequence_id long, offset long")
+    order = [F.col("doc_id"), F.col("piece")]
+    if "place" in cut.columns:
+        ranked = ranked_in_groups(cut, "length", [F.col("place"), *order], "rank_of_length", bucket=F.shiftright("place", 11))
+    else:
+        ranked = ranked_in_groups(cut, "length", order, "rank_of_length")
+    placed = ranked.join(slots, ["length", "rank_of_length"]).select(*cut.columns, "sequence_id", "offset")
+    if "place" not in cut.columns:
+        return placed
+    placed = written(placed)
+    heads = placed.groupBy("sequence_id").agg(F.min(F.struct("place", "piece")).alias("head")).select("sequence_id", "head.*", F.lit(0).alias("all"))
+    numbers = ranked_in_groups(heads, "all", [F.col("place"), F.col("piece"), F.col("sequence_id")], "number", bucket=F.shiftright("place", 11))
+    renumbered = placed.join(numbers.select("sequence_id", "number"), "sequence_id").withColumn("sequence_id", F.col("number"))
+    return renumbered.select(*(c for c in cut.columns if c != "place"), "sequence_id", "offset")
+
+
+def pack_documents(df: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, with_ids: bool = False, place: str | None = None) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids) of all of df.
+
+    place: a whole-number column by which the documents are in order, for sequences that follow it.
+    """
+    return pack(written(pieces(df, capacity, tokenizer, with_ids, place)), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, in_small_batches
+from .common import chunks, map_frames
 
 #: Labelled documents of each kind that the classifier is fitted on, about (the only sample here).
 TOXIC_SAMPLE, CLEAN_SAMPLE = 6_000, 12_000
@@ -38,6 +38,8 @@ MOST_FEATURES = 4_000
 FIELD_SAMPLE = 1_200
 #: Words on either side of a marked one that the field is trained on, and words of a training sequence.
 AROUND, SEQUENCE = 4, 32
+#: Words of one document that the field is trained on, at most.
+TRAINING_WORDS = 1_024
 PARTS = (4, 5, 6)
 #: Distinct words whose weights a Python worker keeps.
 KEPT_WORDS = 250_000
@@ -100,7 +102,7 @@ def learn_features(sample: DataFrame) -> list[str]:
                 n["", y] += 1
         yield pd.DataFrame([(x, y, k) for (x, y), k in n.items()], columns=["feature", "y", "n"])
 
-    n = once.mapInPandas(counted, "feature string, y int, n long").groupBy("feature").agg(
+    n = map_frames(once, counted, "feature string, y int, n long").groupBy("feature").agg(
         F.coalesce(F.sum(F.when(F.col("y") == 1, F.col("n"))), F.lit(0)).alias("toxic"), F.coalesce(F.sum(F.when(F.col("y") == 0, F.col("n"))), F.lit(0)).alias("clean")
     )
     total = n.where("feature = ''").first()
@@ -213,6 +215,9 @@ def training_sequences(sample: DataFrame, names: list[str]) -> list[tuple[list[l
                 tokens = text.split()
                 marked = [i for i, e in enumerate(map(memo.__getitem__, tokens)) if e is not None]
                 taken = sorted({*range(min(len(tokens), 2 * AROUND)), *(j for i in marked for j in range(max(0, i - AROUND), min(len(tokens), i + AROUND + 1)))})
+                if len(taken) > TRAINING_WORDS:  # stretches from all over the text
+                    step = -(-len(taken) // TRAINING_WORDS)
+                    taken = [j for i, j in enumerate(taken) if i // SEQUENCE % step == 0]
                 parts, on = [], set(marked)
                 for j in taken:
                     if not parts or parts[-1][-1] != j - 1 or len(parts[-1]) == SEQUENCE:
@@ -222,7 +227,7 @@ def training_sequences(sample: DataFrame, names: list[str]) -> list[tuple[list[l
                     rows.append(([[number[x] for x in features(tokens[j]) if x in number] for j in p], [int(y and j in on) for j in p]))
             yield pd.DataFrame(rows, columns=["x", "y"])
 
-    rows = sample.mapInPandas(cut, "x array<array<int>>, y array<int>").collect()
+    rows = map_frames(sample, cut, "x array<array<int>>, y array<int>").collect()
     return [(r["x"], r["y"]) for r in rows]
 
 
@@ -238,16 +243,26 @@ def _summary(p: np.ndarray) -> tuple[float, float]:
 
 
 def fit_curve(rows: np.ndarray, rounds: int = 60, decay: float = 1e-4) -> np.ndarray:
-    """Weighted logistic regression by Newton steps. rows: y, weight, inputs."""
+    """Weighted logistic regression by Newton steps, each halved until it helps. rows: y, weight, inputs."""
     y, weight, x = rows[:, 0], rows[:, 1] / rows[:, 1].sum(), np.column_stack([np.ones(len(rows)), rows[:, 2:]])
+    loss = lambda b: weight @ np.logaddexp(0, np.where(y > 0, -1, 1) * (x @ b)) + decay / 2 * b @ b
     beta = np.zeros(x.shape[1])
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-x @ beta))
+        p = logistic(x @ beta)
         slope = x.T @ (weight * (y - p)) - decay * beta
-        beta += np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + decay * np.eye(len(beta)), slope)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + decay * np.eye(len(beta)), slope)
+        while loss(beta + step) > loss(beta) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        beta = beta + step
+        if np.abs(step).max() < 1e-9:
+            break
     return beta
 
 
+def logistic(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[Field, np.ndarray] | None:
     sample, share, full = labelled_sample(docs, labels, label)
     names = learn_features(sample)
@@ -263,13 +278,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[Field
             got = [_summary(_tagged(t, field, memo)[1]) for t in f["text"]]
             yield pd.DataFrame({"y": f["y"].astype(float), "m": [a for a, _ in got], "k": [b for _, b in got]})
 
-    rows = sample.mapInPandas(summed, "y double, m double, k double").toPandas().to_numpy()  # the bounded sample
+    rows = map_frames(sample, summed, "y double, m double, k double").toPandas().to_numpy()  # the bounded sample
     return field, fit_curve(np.column_stack([rows[:, 0], np.where(rows[:, 0] > 0, 1 / share[1], 1 / share[0]), rows[:, 1:]]))
 
 
 def score(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxic") -> DataFrame:
-    """doc_id, held_out, score, predicted, spans (start:end in code points) of every row of docs."""
-    model = fit(in_small_batches(docs).where(~held_out), labels, label)
+    """doc_id, held_out, score, predicted, spans (start:end in code points) of every row of docs.
+
+    held_out: by doc_id; texts and labels of such rows teach nothing, not even how many there are.
+    """
+    model = fit(docs.where(~held_out), labels.where(~held_out), label)
     key = docs.schema["doc_id"].dataType.simpleString()
     schema = "doc_id string, held_out boolean, score double, predicted int, spans string"
 
@@ -283,7 +301,7 @@ def score(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
                     out.append((0.0, 0, ""))
                     continue
                 at, p, _ = _tagged(text, field, memo)
-                value = 1 / (1 + math.exp(-float(beta @ [1.0, *_summary(p)])))
+                value = float(logistic(beta @ [1.0, *_summary(p)]))
                 bad = {i for i, x in zip(at, p, strict=True) if x >= 0.5}
                 spans = ",".join(f"{m.start()}:{m.end()}" for i, m in enumerate(re.finditer(r"\S+", text)) if i in bad) if bad else ""
                 out.append((value, int(value >= 0.5), spans))
@@ -291,4 +309,4 @@ def score(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
             yield made.assign(doc_id=f["doc_id"].to_numpy(object), held_out=f["held_out"].to_numpy())
 
     safe = docs.select(F.col("doc_id").cast("string").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("string").alias("text"))
-    return safe.mapInPandas(tag, schema).withColumn("doc_id", F.col("doc_id").cast(key))
+    return map_frames(safe, tag, schema).withColumn("doc_id", F.col("doc_id").cast(key))
