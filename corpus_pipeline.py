@@ -2,7 +2,7 @@
 
 Stages read what the one before has written: language ID (texts in no language go), exact and
 near deduplication (one document of each group stays), mixing (rows stored in the order of the
-target weights), packing.
+target weights), packing (sequences numbered along that order).
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, language_id, mixing, near_dedup, packing
-from tidemark.llm.common import shared_dir, table
+from tidemark.llm.common import new_path, table
 
 #: Texts whose profile is further than this from every language's are in none (1: the same profile).
 #: Of all 51,282 documents of check_s the least score is 0.398 and one in a hundred is below 0.52;
@@ -46,7 +46,7 @@ def to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs)
+    return packing.pack_documents(mixing.stored_order(docs, "mixed_place"), place="mixed_place")
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -68,7 +68,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < last:
-            path = f"{shared_dir(spark)}/pipeline-{spark.sparkContext.applicationId}-{id(docs)}-{k}-{name}"
-            docs.write.mode("overwrite").parquet(path)
+            path = new_path(spark, f"pipeline-{k}-{name}")
+            docs.write.parquet(path)
             docs = spark.read.parquet(path)
     return docs
