@@ -64,11 +64,83 @@ def test_types():
 
 
 def test_cap_fails_instead_of_cutting(spark):
-    with pytest.raises(ValueError, match="more than 3"):
-        C.capped(spark.range(4), 3, "the read")
+    for use in (lambda d: d.collect(), lambda d: d.count()):
+        with pytest.raises(Exception, match="more than 3"):
+            use(C.capped(spark.range(4), 3, "the read"))
     assert C.capped(spark.range(3), 3, "the read").count() == 3
 
 
 def test_row_contract(spark):
     d = spark.createDataFrame([("2024-01-01", 1.0, "A"), ("2024-1-1", 1.0, None), ("2024-01-01", float("nan"), None), ("2024-01-01", 1.0, " ")], "timestamp string, value double, ticker string")
     assert [r["reason"] for r in Q.validated(d).select(F.col("reason")).collect()] == [None, "timestamp", "value", "ticker"]
+
+
+def test_point_fields(spark):
+    p = spark.createDataFrame([("2024-01-01", 1.0, "A", "Stock", None)], "timestamp string, value double, ticker string, assetType string, availableAt string")
+    assert A.normalized_points(p).columns == ["timestamp", "value", "ticker", "asset_type", "available_at"]
+    assert A.normalized_points(A.normalized_points(p)).columns == ["timestamp", "value", "ticker", "asset_type", "available_at"]
+    for bad in (p.withColumn("colour", F.lit(1)), p.drop("value"), p.drop("timestamp")):
+        with pytest.raises(ValueError, match="unknown|required"):
+            A.normalized_points(bad)
+
+
+def test_symbols(spark):
+    from tidemark.operators import select as K
+
+    d = spark.createDataFrame([("btc",), (" Eth-usd ",), ("BITCOIN",), (" ",), (None,)], "s string")
+    assert [tuple(r) for r in d.select(K.stock_asset("s"), K.crypto_asset("s")).collect()] == [("BTC", "BTC-USD"), ("ETH-USD", "ETH-USD"), ("BITCOIN", "BITCOIN-USD"), (None, None), (None, None)]
+
+
+def test_inspect_and_contents(spark, tmp_path):
+    spark.createDataFrame([(y, f"t{i}", i) for y in (2020, 2021) for i in range(y - 2015)], "year int, ticker string, val int").write.partitionBy("year").parquet(f"{tmp_path}/facts")
+    spark.range(7).withColumnRenamed("id", "key").write.parquet(f"{tmp_path}/names/current")
+    lake = C.Lake(spark, str(tmp_path), {d.name: d for d in (C.Dataset("facts", "year", "ticker", None), C.Dataset("names", "snapshot", "key", None), C.Dataset("absent", "day", "key", None))})
+    types, head = lake.inspect("facts", 2021, 50)
+    assert dict(types) == {"ticker": "string", "val": "int", "year": "int"} and head.count() == 6
+    assert lake.inspect("names", rows=3)[1].count() == 3
+    for name, year in (("facts", None), ("absent", 2020)):
+        with pytest.raises(ValueError, match="state a year|partition"):
+            lake.inspect(name, year)
+    got = {(r["dataset"], r["part"]): (r["rows"], r["columns"]) for r in lake.contents().collect()}
+    assert got == {("facts", "year=2020"): (5, ["ticker", "val", "year"]), ("facts", "year=2021"): (6, ["ticker", "val", "year"]), ("names", None): (7, ["key"])}
+
+
+def test_a_feed_forgets_old_ids(spark, tmp_path):
+    import datetime as dt
+    import os
+    import time
+
+    from tidemark.streaming import feeds
+
+    days = [("a", 1), ("b", 20), ("c", 21), ("a", 22), ("a", 23)]
+    for k, (i, day) in enumerate(days):
+        spark.createDataFrame([(i, k, "same", dt.datetime(2024, 1, day, 12))], "id string, seq long, digest string, at timestamp").coalesce(1).write.parquet(f"{tmp_path}/in{k}")
+    os.mkdir(f"{tmp_path}/in")
+    for k in range(len(days)):
+        part = next(f for f in os.listdir(f"{tmp_path}/in{k}") if f.endswith(".parquet"))
+        os.rename(f"{tmp_path}/in{k}/{part}", f"{tmp_path}/in/{k}.parquet")
+        os.utime(f"{tmp_path}/in/{k}.parquet", (time.time() + k - 100,) * 2)
+    for forget, want in (("7 days", [(0, False), (1, False), (2, False), (3, False)]), ("60 days", [(0, False), (1, False), (2, False)])):
+        feed = spark.readStream.schema("id string, seq long, digest string, at timestamp").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        out = feeds.absorbed(feed, time="at", forget_after=forget)
+        at = f"{tmp_path}/{forget[:2].strip()}"
+        out.writeStream.format("parquet").option("checkpointLocation", f"{at}/state").outputMode("append").trigger(availableNow=True).start(f"{at}/out").awaitTermination()
+        assert sorted((r["seq"], r["supersedes"]) for r in spark.read.parquet(f"{at}/out").collect()) == want
+
+
+def test_shared_folder(spark):
+    from tidemark.sources import storage
+
+    own = storage.shared_dir(spark)
+    assert own == storage.shared_dir(spark) and storage.new_path(spark, "x") != storage.new_path(spark, "x")
+    spark.range(3).write.parquet(storage.new_path(spark, "x"))
+
+    def session(master, conf=None, context=None):
+        names = {"master": master, "applicationId": "app-1", "getCheckpointDir": staticmethod(lambda: context)}
+        return type("S", (), {"conf": type("C", (), {"get": staticmethod(lambda k, d=None: conf or d)}), "sparkContext": type("X", (), names)})
+
+    assert storage.shared_dir(session("spark://host", "hdfs://a")) == "hdfs://a"
+    assert storage.shared_dir(session("spark://host", None, "hdfs://b")) == "hdfs://b"
+    assert storage.new_path(session("local[2]", "hdfs://a"), "x").startswith("hdfs://a/tidemark-app-1/x-")
+    with pytest.raises(ValueError, match="share"):
+        storage.shared_dir(session("spark://host"))

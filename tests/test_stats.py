@@ -6,6 +6,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import stats as S
 
@@ -39,8 +40,8 @@ def test_align_calendar(spark, rows, days, how, lead, expected):
 
 def test_next_session_refuses_repeated_dates(spark):
     r = spark.createDataFrame([(day("2025-01-03"), 0.01)] * 2, "session_date date, asset_return double")
-    with pytest.raises(ValueError, match="unique"):
-        S.next_session(calendar(spark, [("2025-01-02", 1)]), r)
+    with pytest.raises(Exception, match="unique"):
+        S.next_session(calendar(spark, [("2025-01-02", 1)]), r).collect()
 
 
 def test_benjamini_hochberg(spark):
@@ -67,3 +68,81 @@ def test_slope_and_bootstrap(spark):
     assert abs(got["a"]["slope"] - 2) < 0.2 and got["a"]["p"] < 0.01 and got["flat"]["p"] is None
     boot = [S.block_bootstrap_corr(xy.where("g = 'a'"), ["g"], "i", n_boot=200).first() for _ in range(2)]
     assert boot[0]["ci_low"] == pytest.approx(boot[1]["ci_low"]) and boot[0]["p"] == boot[1]["p"] and boot[0]["r"] > 0.4 and boot[0]["ci_low"] < boot[0]["r"] < boot[0]["ci_high"] and boot[0]["p"] == pytest.approx(1 / 200)
+
+
+def test_bootstrap_equals_its_definition(spark):
+    rng = np.random.default_rng(5)
+    n, block, reps = 43, 5, 300
+    x = rng.normal(size=n)
+    y = 0.5 * x + rng.normal(size=n)
+    xy = spark.createDataFrame([("a", i, float(a), float(b)) for i, (a, b) in enumerate(zip(x, y, strict=True))], "g string, i long, x double, y double")
+    got = S.block_bootstrap_corr(xy, ["g"], "i", block=block, n_boot=reps, seed=9).first()
+    blocks = -(-n // block)
+    starts = xy.sparkSession.range(reps * blocks).selectExpr("id div {0} AS rep".format(blocks), "id % {0} AS b".format(blocks)).select("rep", F.col("b").cast("int").alias("b"))
+    starts = starts.select("rep", "b", F.floor(S._random(9, F.col("rep"), F.col("b"), F.xxhash64(F.lit("a"))) * n).cast("int").alias("s")).collect()
+    boot = []
+    for rep in range(reps):
+        at = [(r["s"] + k) % n for r in sorted((r for r in starts if r["rep"] == rep), key=lambda r: r["b"]) for k in range(block)][:n]
+        boot.append(np.corrcoef(x[at], y[at])[0, 1])
+    assert got["r"] == pytest.approx(np.corrcoef(x, y)[0, 1])
+    assert (got["ci_low"], got["ci_high"]) == pytest.approx(tuple(np.percentile(boot, [2.5, 97.5])))
+    other = np.mean(np.array(boot) <= 0) if got["r"] > 0 else np.mean(np.array(boot) >= 0)
+    assert got["p"] == pytest.approx(min(1, max(1 / reps, 2 * other)))
+
+
+def test_break_by_permutation(spark):
+    rng = np.random.default_rng(11)
+    noise = rng.normal(size=200)
+    rows = [("null", i, float(v)) for i, v in enumerate(noise)] + [("shift", i, float(v + 3 * (i >= 90))) for i, v in enumerate(noise)] + [("short", i, float(i)) for i in range(3)]
+    out = S.mean_shift_break(spark.createDataFrame(rows, "g string, i long, v double"), ["g"], "i", "v", step=10, min_side=20, alpha=0.01, n_perm=100, seed=11)
+    got = {r["g"]: r for r in out.collect()}
+    assert not got["null"]["detected"] and got["null"]["p"] > 0.01
+    assert got["shift"]["detected"] and got["shift"]["p"] == pytest.approx(1 / 101) and got["shift"]["split"] == 90
+    best = max(abs(noise[:k].mean() - noise[k:].mean()) for k in range(20, 181, 10))
+    assert got["null"]["score"] == pytest.approx(best)
+    assert not got["short"]["detected"] and got["short"]["score"] is None
+    again = {r["g"]: r["p"] for r in S.mean_shift_break(out.sparkSession.createDataFrame(rows, "g string, i long, v double").repartition(7), ["g"], "i", "v", step=10, min_side=20, n_perm=100, seed=11).collect()}
+    assert again["null"] == got["null"]["p"]
+
+
+def test_unit_roots(spark):
+    rng = np.random.default_rng(4)
+    steps = rng.normal(size=300)
+    kinds = {"walk": np.cumsum(steps), "noise": steps, "constant": np.ones(50), "short": steps[:5]}
+    rows = [(g, i, float(v)) for g, x in kinds.items() for i, v in enumerate(x)]
+    got = {r["g"]: r["nonstationary"] for r in S.nonstationary(spark.createDataFrame(rows, "g string, i long, v double"), ["g"], "i", "v").collect()}
+    assert got == {"walk": True, "noise": False, "constant": None, "short": None}
+
+
+def test_cooldown(spark):
+    rng = np.random.default_rng(2)
+    days = {t: sorted(rng.choice(200, 60, replace=False).tolist()) for t in (1, 2)}
+    rows = [(t, dt.datetime(2024, 1, 1) + dt.timedelta(days=d)) for t, ds in days.items() for d in ds]
+    want = set()
+    for t, ds in days.items():
+        last = None
+        for d in ds:
+            if last is None or d - last >= 5:
+                last = d
+                want.add((t, dt.datetime(2024, 1, 1) + dt.timedelta(days=d)))
+    got = S.ordered_cooldown(spark.createDataFrame(rows, "ticker int, ts timestamp_ntz"), ["ticker"], "ts", 5).collect()
+    assert {(r["ticker"], r["ts"]) for r in got} == want and len(got) == len(want)
+
+
+def test_covariance_of_gaps_and_many_groups(spark):
+    from tidemark.operators import select as K
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 9)) * 5 + 100
+    x[rng.random(x.shape) < 0.3] = np.nan
+    x[:, 8] = np.nan
+    x[:15, 8] = 1.0
+    rows = [(t, i, float(x[t, i])) for t in range(60) for i in range(9) if x[t, i] == x[t, i]]
+    got = {(r["i"], r["j"]): (r["n"], r["cov"]) for r in K.covariance(spark.createDataFrame(rows, "ts int, ticker int, ret double"), groups=4, parts=3).collect()}
+    for i in range(9):
+        for j in range(9):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            if both.sum() < 20:
+                assert (i, j) not in got
+                continue
+            assert got[i, j][0] == both.sum() and got[i, j][1] == pytest.approx(np.cov(x[both, i], x[both, j])[0, 1] * (1 if i == j else 0.75))

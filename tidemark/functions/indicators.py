@@ -11,11 +11,11 @@ with null is false.
 from __future__ import annotations
 
 import operator
-from collections.abc import Callable, Iterator
+import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -51,11 +51,6 @@ class Panel:
     def full(self, x: Column, n: int, agg: Callable[[Column], Column]) -> Column:
         return F.when(F.count(x).over(self.last(n)) == n, agg(x).over(self.last(n)))
 
-    def of(self, asset: str | int | None, x: Column) -> Column:
-        if asset is None:
-            return x
-        return F.max(F.when(F.col(self.key) == asset, x)).over(Window.partitionBy(self.time))
-
 
 class Indicator:
     def __init__(self, build: Build, *parts: Any, staged: Callable[[DataFrame, Panel, str], DataFrame] | None = None) -> None:
@@ -138,6 +133,22 @@ def _node(x: Any) -> Indicator:
     return x if isinstance(x, Indicator) else Value(x)
 
 
+def _needs_evaluate(p: Panel) -> Column:
+    raise ValueError("this indicator needs evaluate()")
+
+
+def _of(asset: Any, build: Build, *parts: Any) -> Indicator:
+    """build of the row's own ticker, or of one ticker at the same time: its rows are a short series, joined by time."""
+    if asset is None:
+        return Indicator(build, *parts)
+
+    def stage(df: DataFrame, p: Panel, name: str) -> DataFrame:
+        one = df.where(F.col(p.key) == asset).withColumn(name, build(p)).groupBy(p.time).agg(F.max(name).alias(name))
+        return df.join(one, p.time, "left")
+
+    return Indicator(_needs_evaluate, *parts, staged=stage)
+
+
 def compare(left: Any, comparator: str, right: Any) -> Condition:
     a, b = _node(left), _node(right)
     return Condition(lambda p: COMPARATORS[comparator](a.column(p), b.column(p)), a, b)
@@ -255,18 +266,18 @@ def IsNotAsset(match_asset: Any, asset: Any = None) -> Indicator:
 
 
 def IsAssetType(asset: Any = None, asset_type: str = "Stock", column: str = "asset_type") -> Indicator:
-    return Indicator(lambda p: p.of(asset, F.coalesce(F.col(column) == asset_type, F.lit(False)).cast("int")))
+    return _of(asset, lambda p: F.coalesce(F.col(column) == asset_type, F.lit(False)).cast("int"))
 
 
 def IsIndustry(asset: Any, industry: str, column: str = "industries") -> Indicator:
-    return Indicator(lambda p: p.of(asset, F.coalesce(F.array_contains(column, industry), F.lit(False)).cast("int")))
+    return _of(asset, lambda p: F.coalesce(F.array_contains(column, industry), F.lit(False)).cast("int"))
 
 
 # -- prices -------------------------------------------------------------------------------------
 
 
 def _panel(build: Build) -> Callable[..., Indicator]:
-    return lambda asset=None: Indicator(lambda p: p.of(asset, build(p)))
+    return lambda asset=None: _of(asset, build)
 
 
 def _lag(p: Panel, x: str | Column, n: int = 1) -> Column:
@@ -290,14 +301,14 @@ UnderlyingMaxDrawdown = _panel(lambda p: F.max(100 * (1 - F.try_divide("close",
 def PriceChangeSinceOpen(asset: Any = None, percent: bool = False) -> Indicator:
     def build(p: Panel) -> Column:
         change = F.col("close") - F.col("open")
-        return p.of(asset, 100 * F.try_divide(change, "open") if percent else change)
+        return 100 * F.try_divide(change, "open") if percent else change
 
-    return Indicator(build)
+    return _of(asset, build)
 
 
 def Volume(asset: Any = None, metric: str = "volume") -> Indicator:
     """Volume, or another column of the panel by name."""
-    return Indicator(lambda p: p.of(asset, F.col(metric)))
+    return _of(asset, lambda p: F.col(metric))
 
 
 def _true_range(p: Panel) -> Column:
@@ -319,7 +330,11 @@ def _windowed(agg: Callable[[Panel, Column, int], Column], default: int = 30) ->
 
 
 def _of_price(make: Callable[..., Indicator], default: int = 30) -> Callable[..., Indicator]:
-    return lambda asset=None, length=default, interval="Day": Indicator(lambda p: p.of(asset, make(Price(), length, interval).column(p)))
+    def of_price(asset: Any = None, length: int = default, interval: str = "Day") -> Indicator:
+        own = make(Price(), length, interval)
+        return own if asset is None else _of(asset, own.column, own)
+
+    return of_price
 
 
 def _listed(p: Panel, x: Column, n: int, f: Callable[[Column], Column]) -> Column:
@@ -334,19 +349,42 @@ def _mean_deviation(p: Panel, x: Column, n: int) -> Column:
     return _listed(p, x, n, spread)
 
 
-def _swing(sign: int) -> Callable[[Panel, Column, int], Column]:
-    """Largest percent fall (+1) or rise (-1) from the running extreme inside the window."""
+def _swing(sign: int) -> Callable[..., Indicator]:
+    """Largest percent fall (+1) or rise (-1) from the running extreme inside the window.
 
-    def largest(values: Column) -> Column:
-        start = F.struct(F.get(values, 0).alias("top"), F.lit(0.0).alias("most"))
+    A run of bars is summed up by its extremes and its largest swing, two runs that follow each other
+    by theirs; so a window is put together from runs of 1, 2, 4, ... bars, each from two shorter ones.
+    """
 
-        def step(s: Column, v: Column) -> Column:
-            top = F.greatest(s["top"], v) if sign > 0 else F.least(s["top"], v)
-            return F.struct(top.alias("top"), F.greatest(s["most"], 100 * sign * (1 - v / top)).alias("most"))
+    def joined(a: Column, b: Column) -> Column:
+        move = 1 - F.try_divide(b["low"], a["high"]) if sign > 0 else F.try_divide(b["high"], a["low"]) - 1
+        return F.struct(F.greatest(a["high"], b["high"]).alias("high"), F.least(a["low"], b["low"]).alias("low"), F.greatest(a["most"], b["most"], 100 * move).alias("most"))
 
-        return F.aggregate(values, start, step, lambda s: s["most"])
+    def make(operand: Any, length: int = 30, interval: str = "Day") -> Indicator:
+        if length < 1:
+            raise ValueError("length must be positive")
+        x = _node(operand)
+
+        def stage(df: DataFrame, p: Panel, name: str) -> DataFrame:
+            value, run, got, n = f"{name}_x", f"{name}_run", None, 1
+            df = df.withColumn(value, x.column(p).cast("double"))
+            df = df.withColumn(run, F.struct(F.col(value).alias("high"), F.col(value).alias("low"), F.lit(0.0).alias("most")))
+            before = lambda c, k: F.lag(c, k).over(p.ordered()) if k else F.col(c)
+            covered = 0
+            while True:
+                if length & n:
+                    df = df.withColumn(name, joined(before(run, covered), F.col(name)) if got else F.col(run))
+                    got, covered = True, covered + n
+                if 2 * n > length:
+                    break
+                df = df.withColumn(run, joined(before(run, n), F.col(run)))
+                n *= 2
+            full = F.count(value).over(p.last(length)) == length
+            return df.withColumn(name, F.when(full, F.col(name)["most"])).drop(value, run)
+
+        return Indicator(_needs_evaluate, x, staged=stage)
 
-    return lambda p, x, n: _listed(p, x, n, largest)
+    return make
 
 
 IndicatorSimpleMovingAverage = _windowed(lambda p, x, n: p.full(x, n, F.avg))
@@ -363,8 +401,8 @@ PriceStandardDeviation = _of_price(IndicatorStandardDeviation)
 PriceMeanAbsoluteDeviation = _of_price(IndicatorMeanAbsoluteDeviation)
 PriceRateOfChange = _of_price(IndicatorRateOfChange)
 MaximumPrice, MinimumPrice = _of_price(_window_max), _of_price(_window_min)
-MaxDrawdown, MaxDrawup = _of_price(_windowed(_swing(1))), _of_price(_windowed(_swing(-1)))
-AverageTrueRange = lambda asset=None, length=14, interval="Day": Indicator(lambda p: p.of(asset, p.full(_true_range(p), length, F.avg)))
+MaxDrawdown, MaxDrawup = _of_price(_swing(1)), _of_price(_swing(-1))
+AverageTrueRange = lambda asset=None, length=14, interval="Day": _of(asset, lambda p: p.full(_true_range(p), length, F.avg))
 
 
 def RelativeStrengthIndex(asset: Any = None, length: int = 30, interval: str = "Day") -> Indicator:
@@ -374,17 +412,17 @@ def RelativeStrengthIndex(asset: Any = None, length: int = 30, interval: str = "
         change = F.col("close") - _lag(p, "close")
         gain = p.full(F.greatest(change, change * 0), length, F.avg)
         loss = p.full(F.greatest(-change, change * 0), length, F.avg)
-        return p.of(asset, F.when(loss == 0, 100.0).otherwise(100 - 100 / (1 + F.try_divide(gain, loss))))
+        return F.when(loss == 0, 100.0).otherwise(100 - 100 / (1 + F.try_divide(gain, loss)))
 
-    return Indicator(build)
+    return _of(asset, build)
 
 
 def BollingerBand(asset: Any = None, length: int = 30, interval: str = "Day", num_standard_deviations: float = 1) -> Indicator:
     def build(p: Panel) -> Column:
         x = F.col("close")
-        return p.of(asset, p.full(x, length, F.avg) + num_standard_deviations * p.full(x, length, F.stddev_pop))
+        return p.full(x, length, F.avg) + num_standard_deviations * p.full(x, length, F.stddev_pop)
 
-    return Indicator(build)
+    return _of(asset, build)
 
 
 def _before(p: Panel, x: Indicator) -> Column:
@@ -428,38 +466,37 @@ def IndicatorExponentialMovingAverage(operand: Any, length: int = 30, interval:
     def stage(df: DataFrame, p: Panel, name: str) -> DataFrame:
         return smoothed(df.withColumn(name, a.column(p).cast("double")), p, name, weight)
 
-    def build(p: Panel) -> Column:
-        raise ValueError("a recursive average needs evaluate()")
-
-    return Indicator(build, a, staged=stage)
+    return Indicator(_needs_evaluate, a, staged=stage)
 
 
 def ExponentialMovingAverage(asset: Any = None, length: int = 30, interval: str = "Day") -> Indicator:
     own = IndicatorExponentialMovingAverage(Price(), length, interval)
-    return own if asset is None else Indicator(lambda p: p.of(asset, own.column(p)), own)
+    return own if asset is None else _of(asset, own.column, own)
 
 
 def smoothed(df: DataFrame, panel: Panel, name: str, weight: float) -> DataFrame:
-    """The column replaced by its recursive average: one ordered pass, whose state is one number."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last: Any = None
-        before = float("nan")
-        for f in frames:
-            out = []
-            for key, g in f.groupby(panel.key, sort=False, dropna=False):
-                x = g[name]
-                if key == last and before == before:
-                    x = pd.concat([pd.Series([before]), x])
-                    made = x.ewm(alpha=weight, adjust=False, ignore_na=True).mean().iloc[1:]
-                else:
-                    made = x.ewm(alpha=weight, adjust=False, ignore_na=True).mean()
-                out.append(made)
-                last = key
-                before = float(made.iloc[-1])
-            yield f.assign(**{name: pd.concat(out).to_numpy()}) if out else f
-
-    return df.repartition(panel.key).sortWithinPartitions(panel.key, panel.time).mapInPandas(run, df.schema)
+    """The column replaced by its recursive average, in windows by (key, time).
+
+    With q = 1 - weight the average is a sum of weight x q^age over the values so far (the first
+    without the weight). It is taken over blocks of values, so long that what an older block than the
+    one before adds is below any double, as q^place times a running sum of x / q^place.
+    """
+    x, q = F.when(~F.isnan(name), F.col(name)), 1 - weight
+    if q <= 0:
+        return df.withColumn(name, F.last(x, ignorenulls=True).over(panel.so_far()))
+    block = max(1, int(100 * math.log(10) / -math.log(q)))
+    nth, part, own = f"{name}_nth", f"{name}_part", f"{name}_own"
+    df = df.withColumns({name: x, nth: F.count(x).over(panel.so_far()) - 1})
+    df = df.withColumns({part: F.floor(F.col(nth) / block), nth: F.col(nth) % block})
+    place = F.col(nth).cast("double")
+    first = (F.col(part) == 0) & (F.col(nth) == 0)
+    term = F.when(first, F.col(name)).otherwise(weight * F.col(name)) * F.pow(F.lit(1 / q), place)
+    inside = Window.partitionBy(panel.key, part).orderBy(panel.time).rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumn(own, F.sum(term).over(inside) * F.pow(F.lit(q), place))
+    ends = F.when(F.col(name).isNotNull() & (F.col(nth) == block - 1), F.col(own))
+    older = F.last(ends, ignorenulls=True).over(panel.ordered().rowsBetween(Window.unboundedPreceding, -1))
+    df = df.withColumn(own, F.when(F.col(name).isNotNull(), F.col(own) + F.coalesce(older * F.pow(F.lit(q), place + 1), F.lit(0.0))))
+    return df.withColumn(name, F.last(own, ignorenulls=True).over(panel.so_far())).drop(nth, part, own)
 
 
 def evaluate(df: DataFrame, panel: Panel | None = None, **outputs: Indicator | Condition) -> DataFrame:

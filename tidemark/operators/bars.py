@@ -16,9 +16,12 @@ def bars(trades: DataFrame, interval: str = "Day", order: list[str | Column] | N
     (ts, price, volume). Trades without a price are ignored; an empty table gives no bars.
     """
     place = F.struct(*(order or ["ts", "price", "volume"]))
+    bar = F.window("ts", GRAINS[interval])
+    # a stream closes its bars by the whole window; a table's are told apart by the start
+    bar, start = (bar.alias("bar"), "bar.start") if trades.isStreaming else (bar.start.alias("bar"), "bar")
     return (
         trades.where(F.col("price").isNotNull())
-        .groupBy("ticker", F.window("ts", GRAINS[interval]).start.alias("start"))
+        .groupBy("ticker", bar)
         .agg(
             F.min_by("price", place).alias("open"),
             F.max("price").alias("high"),
@@ -26,5 +29,5 @@ def bars(trades: DataFrame, interval: str = "Day", order: list[str | Column] | N
             F.max_by("price", place).alias("close"),
             F.sum("volume").alias("volume"),
         )
-        .select("ticker", F.col("start").alias("ts"), "open", "high", "low", "close", "volume")
+        .select("ticker", F.col(start).alias("ts"), "open", "high", "low", "close", "volume")
     )

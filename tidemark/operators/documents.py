@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ def snake_case(header: str | Column) -> Column:
 def suspect_text(text: str | Column) -> Column:
     """Three or more characters of broken encodings, or words that turn from lower to upper case inside."""
     t = F.col(text) if isinstance(text, str) else text
-    return (F.regexp_count(t, F.lit(r"[\x{FFFD}-\x{FFFF}\x{E000}-\x{F8FF}]")) >= 3) | (F.regexp_count(t, F.lit(r"\b[a-z]+[A-Z]")) >= 3)
+    return (F.regexp_count(t, F.lit(r"[\x{FFFD}-\x{FFFF}\x{E000}-\x{F8FF}]")) >= 3) | (F.regexp_count(t, F.lit(r"(?<![\p{L}\p{N}_])[a-z]+[A-Z]")) >= 3)
 
 
 def grade(average: str | Column, minimum: str | Column) -> Column:
@@ -36,6 +38,11 @@ def review_reason(failure: Column, grade: Column, rows: Column) -> Column:
     return F.coalesce(failure, F.when(rows <= 0, F.when(low, "no_apparent_table_low_confidence").otherwise("no_apparent_table")).when(low, "low_confidence"))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with the value worked out once however often body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _cells(line: Column) -> Column:
     return F.transform(F.split(F.regexp_replace(line, r"^\|+|\|+$", ""), r"\|"), lambda c: F.trim(c))
 
@@ -44,21 +51,26 @@ def table_rows(block: Column) -> Column:
     """The rows of a block that is a pipe table, as arrays of (column, value): keyed by its header, blank
     cells null, all-blank rows dropped, a row as long as the shorter of header and cells; of repeated
     headers the last counts. Empty for other text."""
-    lines = F.filter(F.transform(F.split(block, "\n"), lambda x: F.trim(x)), lambda x: x != "")
-    first, second = F.get(lines, 0), F.get(lines, 1)
-    begin = F.when(F.rlike(second, F.lit(r"^\|?[\s\-:|]+\|?$")), 3).otherwise(2)
-    body = F.filter(F.slice(lines, begin, F.greatest(F.size(lines), F.lit(1))), lambda x: x.startswith("|"))
-    header = F.transform(_cells(first), snake_case)
-
-    def row(line: Column) -> Column:
-        cells = F.transform(_cells(line), lambda c: F.nullif(c, F.lit("")))
-        n = F.least(F.size(header), F.size(cells))
-        pairs = F.arrays_zip(F.slice(header, 1, n).alias("name"), F.slice(cells, 1, n).alias("value"))
-        return F.filter(pairs, lambda p, i: ~F.exists(F.slice(header, i + 2, F.greatest(n - i - 1, F.lit(0))), lambda h: h == p["name"]))
-
-    rows = F.filter(F.transform(body, row), lambda r: F.exists(r, lambda p: p["value"].isNotNull()))
     empty = F.array().cast("array<array<struct<name:string,value:string>>>")
-    return F.when((F.size(lines) >= 2) & first.startswith("|"), rows).otherwise(empty)
+
+    def pairs(header: Column, once: Column, cells: Column) -> Column:
+        n = F.least(F.size(header), F.size(cells))
+        both = F.arrays_zip(F.slice(header, 1, n).alias("name"), F.slice(cells, 1, n).alias("value"))
+        last = F.filter(both, lambda p, i: ~F.exists(F.slice(header, i + 2, F.greatest(n - i - 1, F.lit(0))), lambda h: h == p["name"]))
+        return F.when(once, both).otherwise(last)
+
+    def rows(t: Column) -> Column:
+        row = lambda line: _let(F.transform(_cells(line), lambda c: F.nullif(c, F.lit(""))), lambda cells: pairs(t["header"], t["once"], cells))
+        return F.filter(F.transform(t["body"], row), lambda r: F.exists(r, lambda p: p["value"].isNotNull()))
+
+    def parted(lines: Column) -> Column:
+        begin = F.when(F.rlike(F.get(lines, 1), F.lit(r"^\|?[\s\-:|]+\|?$")), 3).otherwise(2)
+        body = F.filter(F.slice(lines, begin, F.greatest(F.size(lines), F.lit(1))), lambda x: x.startswith("|"))
+        header = F.transform(_cells(F.get(lines, 0)), snake_case)
+        table = _let(header, lambda h: F.struct(h.alias("header"), (F.size(F.array_distinct(h)) == F.size(h)).alias("once"), body.alias("body")))
+        return F.when((F.size(lines) >= 2) & F.get(lines, 0).startswith("|"), _let(table, rows)).otherwise(empty)
+
+    return _let(F.filter(F.transform(F.split(block, "\n"), lambda x: F.trim(x)), lambda x: x != ""), parted)
 
 
 def tables_in_text(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -28,22 +28,22 @@ def backtest(weights: DataFrame, rets: DataFrame, keys: list[str] | None = None,
     keys = keys or []
     inside = rets if start is None else rets.where(F.col(time) >= F.lit(start))
     inside = inside if end is None else inside.where(F.col(time) <= F.lit(end))
-    bars = inside.select(time).distinct()
-    # bars of one market's calendar: numbered once, then joined
-    numbered = bars.withColumn("__k", F.row_number().over(Window.orderBy(time)))
-    w = weights.join(F.broadcast(numbered), time).select(*keys, key, "__k", "weight")
-    now = w.withColumn("was", F.lit(0.0))
-    next_ = w.select(*keys, key, (F.col("__k") + 1).alias("__k"), F.lit(0.0).alias("weight"), F.col("weight").alias("was"))
-    moved = now.unionByName(next_).groupBy(*keys, key, "__k").agg(F.sum("weight").alias("weight"), F.sum("was").alias("was"))
-    earned = moved.join(inside.join(F.broadcast(numbered), time).select(key, "__k", "ret"), [key, "__k"], "left")
-    book = earned.groupBy(*keys, "__k").agg(
+    # the market's calendar: each bar's next one, a row for each bar whatever the names
+    calendar = inside.select(time).distinct().withColumn("__next", F.lead(time).over(Window.orderBy(time)))
+    w = weights.join(calendar, time).withColumn("__side", F.explode(F.array(F.lit(0), F.lit(1))))
+    later = F.col("__side") == 1
+    at = F.when(later, F.col("__next")).otherwise(F.col(time)).alias(time)
+    sides = w.select(*keys, key, at, F.when(later, 0.0).otherwise(F.col("weight")).alias("weight"), F.when(later, F.col("weight")).otherwise(0.0).alias("was")).where(F.col(time).isNotNull())
+    moved = sides.groupBy(*keys, key, time).agg(F.sum("weight").alias("weight"), F.sum("was").alias("was"))
+    earned = moved.join(inside.select(key, time, "ret"), [key, time], "left")
+    book = earned.groupBy(*keys, time).agg(
         F.sum(F.col("was") * F.coalesce("ret", F.lit(0.0))).alias("gross"),
         F.sum(F.abs(F.col("weight") - F.col("was"))).alias("turnover"),
         F.sum(F.greatest(F.col("was") - F.col("weight"), F.lit(0.0))).alias("sold"),
         F.sum("weight").alias("deployed"),
         F.count_if(F.col("weight") > 0).alias("names"),
     )
-    out = book.join(F.broadcast(numbered), "__k").select(*keys, time, (F.col("gross") - F.col("turnover") * cost_bps / 10_000).alias("ret"), "turnover", "sold", "deployed", "names")
+    out = book.select(*keys, time, (F.col("gross") - F.col("turnover") * cost_bps / 10_000).alias("ret"), "turnover", "sold", "deployed", "names")
     path = Window.partitionBy(*keys).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
     growth = F.exp(F.sum(F.log(F.greatest(1 + F.col("ret"), F.lit(1e-12)))).over(path))
     return out.withColumn("equity", initial_value * growth)

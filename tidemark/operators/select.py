@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,22 +17,19 @@ from tidemark.functions import indicators as I
 
 from .asof import in_interval
 
-# Sources of a universe, and pairs that have a name of their own.
+# Sources of a universe.
 SOURCES = ("ALL_US_STOCKS", "SP500", "NASDAQ100", "DJIA", "CRYPTO", "SPECIFIC_ASSETS")
-PAIRS = {"BITCOIN": "BTC-USD", "ETHEREUM": "ETH-USD", "SOLANA": "SOL-USD", "DOGECOIN": "DOGE-USD"}
-#: Names of one covariance panel: pairs grow with the square, so it comes after selection.
-MOST_NAMES = 500
 
 
 def stock_asset(symbol: str | Column) -> Column:
-    return F.upper(F.trim(symbol))
+    """The symbol in upper case; null for a blank one."""
+    return F.nullif(F.upper(F.trim(symbol)), F.lit(""))
 
 
 def crypto_asset(symbol: str | Column) -> Column:
-    """The pair of a coin: by its name, else with -USD appended unless it is there."""
-    s = F.upper(F.trim(symbol))
-    named = F.create_map(*(F.lit(x) for kv in PAIRS.items() for x in kv))
-    return F.coalesce(F.try_element_at(named, s), F.when(s.endswith("-USD"), s).otherwise(F.concat(s, F.lit("-USD"))))
+    """The dollar pair of a coin's symbol: -USD appended unless it is there; null for a blank one."""
+    s = stock_asset(symbol)
+    return F.when(s.endswith("-USD"), s).otherwise(F.concat(s, F.lit("-USD")))
 
 
 def universe(panel: DataFrame, source: str, assets: list | None = None, members: DataFrame | None = None, key: str = "ticker", time: str = "ts", type_column: str = "asset_type") -> DataFrame:
@@ -97,8 +96,8 @@ Stage = Callable[[DataFrame], DataFrame]
 def dynamic_rebalance(panel: DataFrame, pipeline: list[Stage], signal: str | None = None, limit: int | None = None, deployment_percent: float = 100, per_name: float | None = None, can_sell: Column | None = None, key: str = "ticker", time: str = "ts") -> DataFrame:
     """ts, ticker, weight: the universe through the stages in order, limited by signal, weighted.
 
-    can_sell: a condition on the panel's rows. A name held at the bar before that would go while it
-    doesn't hold keeps that bar's weight (looked up one bar back, not carried further).
+    can_sell: a condition on the panel's rows. A name that would go while it doesn't hold keeps its
+    weight, from bar to bar of its own, until it holds or the name is chosen anew.
     """
     chosen = panel
     for stage in pipeline:
@@ -108,10 +107,11 @@ def dynamic_rebalance(panel: DataFrame, pipeline: list[Stage], signal: str | Non
     out = weights(chosen, signal, deployment_percent, per_name, time).select(time, key, "weight")
     if can_sell is None:
         return out
-    w = Window.partitionBy(key).orderBy(time)
-    all_ = panel.select(time, key, can_sell.alias("__can")).join(out, [time, key], "left").withColumn("__was", F.lag("weight").over(w))
-    kept = F.coalesce(F.col("weight"), F.when(~F.coalesce(F.col("__can"), F.lit(False)), F.col("__was")))
-    return all_.select(time, key, kept.alias("weight")).where("weight is not null")
+    w = Window.partitionBy(key).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
+    all_ = panel.select(time, key, F.coalesce(can_sell, F.lit(False)).alias("__can")).join(out, [time, key], "left")
+    # the last bar at which the name was chosen or could go decides
+    settled = F.when(F.col("weight").isNotNull() | F.col("__can"), F.struct("weight"))
+    return all_.select(time, key, F.last(settled, ignorenulls=True).over(w)["weight"].alias("weight")).where("weight is not null")
 
 
 def sleeves(books: dict[str, DataFrame]) -> DataFrame:
@@ -184,15 +184,47 @@ def returns(panel: DataFrame, key: str = "ticker", time: str = "ts", price: str
     return panel.select(key, time, (F.try_divide(price, F.lag(price).over(w)) - 1).alias("ret")).where("ret is not null")
 
 
-def covariance(rets: DataFrame, least: int = 20, shrinkage: float = 0.25, key: str = "ticker", time: str = "ts") -> DataFrame:
+#: Groups of names, and parts of the times, that covariances are worked out by: a task has the returns
+#: of two groups in one part.
+GROUPS, PARTS = 6, 4
+
+
+def covariance(rets: DataFrame, least: int = 20, shrinkage: float = 0.25, key: str = "ticker", time: str = "ts", groups: int = GROUPS, parts: int = PARTS) -> DataFrame:
     """i, j, n, cov of every pair of names (both orders, and a name with itself) with at least `least`
-    common bars; off the diagonal shrunk toward 0. Names are few by now: more than MOST_NAMES raise."""
-    names = rets.select(key).distinct().limit(MOST_NAMES + 1).count()
-    if names > MOST_NAMES:
-        raise ValueError(f"covariance of more than {MOST_NAMES} names: select first")
-    a, b = rets.select(time, F.col(key).alias("i"), F.col("ret").alias("x")), rets.select(time, F.col(key).alias("j"), F.col("ret").alias("y"))
-    pairs = a.join(b, time).groupBy("i", "j").agg(F.count("*").alias("n"), F.covar_samp("x", "y").alias("cov")).where(F.col("n") >= least)
-    return pairs.withColumn("cov", F.when(F.col("i") == F.col("j"), F.col("cov")).otherwise(F.col("cov") * (1 - shrinkage)))
+    common bars; off the diagonal shrunk toward 0.
+
+    Names are dealt to groups and times to parts. Two groups' returns in one part are two matrices,
+    whose products are the sums over common bars that a covariance is made of; the parts' sums are
+    then added. So rows leave a task once for each pair of names, not for each pair and bar.
+    """
+    spread = lambda c, n: F.shiftrightunsigned(F.xxhash64(c), 1) % F.lit(n)
+    mean = F.avg("ret").over(Window.partitionBy(key))  # sums of what is about 0 lose no digits
+    own = rets.select(F.col(key).alias("name"), F.col(time).alias("at"), (F.col("ret") - mean).alias("x"), spread(key, groups).cast("int").alias("g"), spread(time, parts).cast("int").alias("p"))
+    dealt = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumns({"a": F.least("g", "o"), "b": F.greatest("g", "o")})
+    kind = dict(rets.dtypes)[key]
+
+    def products(rows: pd.DataFrame) -> pd.DataFrame:
+        a, b = int(rows["a"].iloc[0]), int(rows["b"].iloc[0])
+        bar, bars = pd.factorize(rows["at"])
+        sides = []
+        for g in (a, b):
+            mine = (rows["g"] == g).to_numpy()
+            who, names = pd.factorize(rows["name"][mine])
+            x, there = np.zeros((len(bars), len(names))), np.zeros((len(bars), len(names)))
+            x[bar[mine], who], there[bar[mine], who] = rows["x"][mine], 1
+            sides.append((np.asarray(names), x, there))
+        (left, x, m), (right, y, k) = sides
+        i, j = np.nonzero(m.T @ k)
+        sums = {"n": m.T @ k, "sx": x.T @ k, "sy": m.T @ y, "sxy": x.T @ y}
+        return pd.DataFrame({"i": left[i], "j": right[j], **{c: v[i, j] for c, v in sums.items()}})
+
+    sums = dealt.select("name", "at", "x", "g", "p", "a", "b").groupBy("a", "b", "p").applyInPandas(products, f"i {kind}, j {kind}, n double, sx double, sy double, sxy double")
+    whole = sums.groupBy("i", "j").agg(*(F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxy"))).where((F.col("n") >= least) & (F.col("n") > 1))
+    cov = (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / (F.col("n") - 1)
+    pairs = whole.select("i", "j", F.col("n").cast("long").alias("n"), F.when(F.col("i") == F.col("j"), cov).otherwise(cov * (1 - shrinkage)).alias("cov"))
+    # names of two groups have met once, as (i, j)
+    other_way = pairs.where(spread("i", groups) != spread("j", groups)).select(F.col("j").alias("i"), F.col("i").alias("j"), "n", "cov")
+    return pairs.unionByName(other_way)
 
 
 def portfolio_variance(w: DataFrame, cov: DataFrame, keys: list[str], key: str = "ticker") -> DataFrame:

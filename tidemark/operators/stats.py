@@ -38,8 +38,8 @@ def align_calendar(calendar: DataFrame, sessions: DataFrame, how: str = "sum", l
 def next_session(calendar: DataFrame, rets: DataFrame, how: str = "sum", lead: int = 1, session: str = "session_date", ret: str = "asset_return") -> DataFrame:
     """align_calendar() joined with the sessions' returns; null returns dropped, repeated dates raise."""
     r = rets.select(F.to_date(session).alias("session_date"), F.col(ret).cast("double").alias("asset_return"))
-    if r.groupBy("session_date").count().where("count > 1").limit(1).count():
-        raise ValueError("return dates must be unique")
+    twice = F.raise_error(F.lit("return dates must be unique")).cast("double")
+    r = r.groupBy("session_date").agg(F.when(F.count("*") > 1, twice).otherwise(F.first("asset_return")).alias("asset_return"))
     aligned = align_calendar(calendar, r, how, lead)
     return aligned.join(r.where("asset_return is not null"), "session_date")
 

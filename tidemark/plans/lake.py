@@ -3,51 +3,72 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as Q
 from tidemark.sources import catalog as C
+from tidemark.sources.storage import new_path
 
 from .common import r, register, rounded, table
 
 _FACTS = C.Dataset("order_facts", "year", "ticker", ("ticker", "day", "val"))
-_SHIP = C.Dataset("shipments", "day", "ticker", ("ticker", "day", "value"))
+_DAYS = C.Dataset("activity", "day", "ticker", ("ticker", "day", "value"))
 _SNAP = C.Dataset("suppliers", "snapshot", "s_suppkey", ("s_suppkey", "s_name"))
 
 
 def _folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share; a local one only where none is set, as in tests."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{at or 'file://' + tempfile.mkdtemp(prefix='tidemark-')}/lake-{uuid.uuid4().hex}"
+    return new_path(spark, "lake")
 
 
-def lake(spark: SparkSession, sf_dir: str, name: str) -> C.Lake:
+def lake(spark: SparkSession, sf_dir: str, *names: str) -> C.Lake:
+    """A lake that holds the named ones of three datasets."""
     root = _folder(spark)
+    for name in names:
+        _write(spark, sf_dir, f"{root}/{name}", name)
+    return C.Lake(spark, root, {d.name: d for d in (_FACTS, _DAYS, _SNAP)})
+
+
+def _write(spark: SparkSession, sf_dir: str, at: str, name: str) -> None:
     if name == "order_facts":
         o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("ticker"), F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").alias("val"), F.year("o_orderdate").alias("year"))
-        o.repartition("year").write.partitionBy("year").parquet(f"{root}/{name}")
-    elif name == "shipments":
-        li = table(spark, sf_dir, "lineitem").where("l_shipdate < '1995-06-01'").groupBy(F.col("l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("day")).agg(F.count("*").alias("value"))
-        li.repartition("day").write.partitionBy("day").parquet(f"{root}/{name}")
+        o.repartition("year").write.partitionBy("year").parquet(at)
+    elif name == "activity":
+        e = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("ticker"), F.to_date("ts").alias("day")).agg(F.count("*").alias("value"))
+        e.repartition("day").write.partitionBy("day").parquet(at)
     else:
-        table(spark, sf_dir, "supplier").write.parquet(f"{root}/{name}/current")
-    return C.Lake(spark, root, {d.name: d for d in (_FACTS, _SHIP, _SNAP)})
+        table(spark, sf_dir, "supplier").write.parquet(f"{at}/current")
 
 
 _Y = "SELECT o_custkey AS ticker, CAST(o_orderdate AS DATE) AS day, {v} AS val FROM orders WHERE {w}"
 _V = r("o_totalprice")
 register("sc3_read_years", lambda s, d: lake(s, d, "order_facts").read_years("order_facts", [1996, 1998], where="val > :low", args={"low": 50000}).withColumn("val", rounded("val")), _Y.format(v=_V, w="year(o_orderdate) IN (1996, 1998) AND o_totalprice > 50000"))
 register("sc3_read_years_of_dates", lambda s, d: lake(s, d, "order_facts").read_years("order_facts", start=dt.date(1998, 3, 1), end=dt.date(1997, 6, 1), columns=["ticker", "day"]), "SELECT o_custkey AS ticker, CAST(o_orderdate AS DATE) AS day FROM orders WHERE year(o_orderdate) IN (1997, 1998)")
-register("sc4_read_days", lambda s, d: lake(s, d, "shipments").read_days("shipments", dt.date(1995, 3, 10), dt.date(1995, 2, 1)), "SELECT l_suppkey AS ticker, CAST(l_shipdate AS DATE) AS day, count(*) AS value FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1995-02-01' AND DATE '1995-03-10' GROUP BY 1, 2")
+register("sc4_read_days", lambda s, d: lake(s, d, "activity").read_days("activity", dt.date(2024, 1, 24), dt.date(2024, 1, 5)), "SELECT user_id AS ticker, CAST(ts AS DATE) AS day, count(*) AS value FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-24' GROUP BY 1, 2")
 register("sc5_read_snapshot", lambda s, d: lake(s, d, "suppliers").read_snapshot("suppliers", "s_nationkey = 3"), "SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey = 3")
 register("sc15_inspect_table", lambda s, d: lake(s, d, "suppliers").inspect("suppliers", rows=5)[1])
 register("sc16_years_present", lambda s, d: (lambda k: k.years().select("dataset", F.explode("years").alias("year")))(lake(s, d, "order_facts")), "SELECT DISTINCT 'order_facts' AS dataset, year(o_orderdate) AS year FROM orders")
-register("sc20_catalog", lambda s, d: (lambda k: (k.register(), k.spark.sql("SELECT * FROM order_facts").schema, k.listing())[2])(lake(s, d, "order_facts")))
-register("sc2_catalog_of_datasets", lambda s, d: C.Lake(s, d).listing().join(table(s, d, "region").agg(F.count("*").alias("regions")), how="cross"))
+register(
+    "sc20_catalog",
+    lambda s, d: lake(s, d, "order_facts").contents().select("dataset", "part", "rows", F.array_join("columns", ",").alias("columns")),
+    "SELECT 'order_facts' AS dataset, 'year=' || year(o_orderdate) AS part, count(*) AS rows, 'ticker,day,val,year' AS columns FROM orders GROUP BY 2",
+)
+
+
+def _sc2(s: SparkSession, d: str) -> DataFrame:
+    """What the catalog says of each dataset beside what lies on disk."""
+    k = lake(s, d, "order_facts", "activity", "suppliers")
+    held = k.contents().groupBy("dataset").agg(F.count("*").alias("parts"), F.sum("rows").alias("rows"))
+    return k.listing().join(held, F.col("name") == F.col("dataset")).select("dataset", "grain", "identity", F.array_join("partitions", ",").alias("partitions"), "parts", "rows")
+
+
+register(
+    "sc2_catalog_of_datasets",
+    _sc2,
+    """SELECT 'order_facts' AS dataset, 'year' AS grain, 'ticker' AS identity, 'year' AS partitions, count(DISTINCT year(o_orderdate)) AS parts, count(*) AS rows FROM orders
+    UNION ALL SELECT 'activity', 'day', 'ticker', 'day', count(DISTINCT CAST(ts AS DATE)), count(DISTINCT (user_id, CAST(ts AS DATE))) FROM events UNION ALL SELECT 'suppliers', 'snapshot', 's_suppkey', '', 1, count(*) FROM supplier""",
+)
 
 
 def _sc19(s: SparkSession, d: str) -> DataFrame:
@@ -72,7 +93,7 @@ register("sc7_union_by_name", _sc7, f"SELECT id, {r('balance')} AS balance, segm
 def _sc6(s: SparkSession, d: str) -> DataFrame:
     """The shards of years: a manifest lists two for 1997, other years have the canonical one."""
     base = _folder(s)
-    years = [r_["y"] for r_ in table(s, d, "orders").select(F.year("o_orderdate").alias("y")).distinct().orderBy("y").limit(50).collect()]
+    years = [r_["y"] for r_ in table(s, d, "orders").select(F.year("o_orderdate").alias("y")).distinct().orderBy("y").collect()]  # a row for each year
     s.createDataFrame([('{"shards": ["1997-a.parquet", "1997-b.parquet"]}',)], "value string").coalesce(1).write.text(f"{base}/tmp")
     path = s._jvm.org.apache.hadoop.fs.Path(f"{base}/tmp")
     fs = path.getFileSystem(s._jsc.hadoopConfiguration())
@@ -98,7 +119,7 @@ def _chain(s: SparkSession, d: str) -> DataFrame:
 
 
 register("sc12_read_options_daily", lambda s, d: C.options_of(_chain(s, d), ["U3"], [1997], option_type="call"), "SELECT o_orderkey AS ticker, 'u3' AS underlying, 'Call' AS \"optionType\", o_orderdate AS timestamp FROM orders WHERE o_custkey % 20 = 3 AND year(o_orderdate) = 1997 AND o_orderkey % 2 = 0")
-register("sc13_event_windows", lambda s, d: C.event_windows(_chain(s, d).where("underlying = 'u3'"), table(s, d, "orders").where("o_custkey % 97 = 1").select(F.col("o_orderdate").alias("date")), 3, 2).select("ticker", "timestamp"), "SELECT o_orderkey AS ticker, o_orderdate AS timestamp FROM orders o WHERE o_custkey % 20 = 3 AND EXISTS (SELECT 1 FROM orders e WHERE e.o_custkey % 97 = 1 AND CAST(o.o_orderdate AS DATE) BETWEEN CAST(e.o_orderdate AS DATE) - 3 AND CAST(e.o_orderdate AS DATE) + 2)")
+register("sc13_event_windows", lambda s, d: C.event_windows(_chain(s, d), table(s, d, "orders").groupBy(F.year("o_orderdate")).agg(F.max_by("o_orderdate", F.struct("o_totalprice", "o_orderkey")).alias("date")), 3, 2).select("ticker", "timestamp"), "WITH e AS (SELECT arg_max(o_orderdate, (o_totalprice, o_orderkey)) AS at FROM orders GROUP BY year(o_orderdate)) SELECT o_orderkey AS ticker, o_orderdate AS timestamp FROM orders o WHERE EXISTS (SELECT 1 FROM e WHERE CAST(o.o_orderdate AS DATE) BETWEEN CAST(e.at AS DATE) - 3 AND CAST(e.at AS DATE) + 2)")
 register("sc16_fallback_to_backup", lambda s, d: C.with_backup(*(table(s, d, "orders").select(F.year("o_orderdate").alias("year"), "o_orderkey", F.lit(x).alias("role")).where(w) for x, w in (("standard", "year <> 1996"), ("backup", "year < 1998")))), "SELECT year(o_orderdate) AS year, o_orderkey, CASE WHEN year(o_orderdate) = 1996 THEN 'backup' ELSE 'standard' END AS role FROM orders")
 register("sc18_typed_rows", lambda s, d: C.typed_rows(table(s, d, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, F.lit("n/a")).otherwise(F.col("user_id").cast("string")).alias("a"), F.when(F.col("event_id") % 2 == 0, F.to_date("ts").cast("string")).otherwise(F.lit("soon")).alias("t")), {"a": "int", "t": "timestamp"}).withColumn("t", F.col("t").cast("timestamp_ntz")), "SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN user_id END AS a, CASE WHEN event_id % 2 = 0 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) END AS t FROM events")
 register("sc23_empty_relation", lambda s, d: C.empty_relation(s, [("a", "BIGINT"), ("b", "VARCHAR(9)"), ("c", "DOUBLE[]")]).unionByName(table(s, d, "orders").select(F.col("o_orderkey").alias("a"), F.col("o_orderstatus").alias("b"), F.array("o_totalprice").alias("c"))).select("a", "b"), "SELECT o_orderkey AS a, o_orderstatus AS b FROM orders")

@@ -15,19 +15,19 @@ from .common import DAILY, MINUTES, T, daily, minutes, r, register, rounded, tab
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A disclosed value for ten tickers: an order's total, public on its date."""
+    """A disclosed value of tickers, that is customers: an order's total, public on its date."""
     o = table(spark, sf_dir, "orders")
-    return o.groupBy((F.col("o_custkey") % 10).alias("ticker"), F.col("o_orderdate").alias("at")).agg(F.max("o_totalprice").alias("value"))
+    return o.groupBy(F.col("o_custkey").alias("ticker"), F.col("o_orderdate").alias("at")).agg(F.max("o_totalprice").alias("value"))
 
 
-FACTS = "f AS (SELECT o_custkey % 10 AS ticker, o_orderdate AS seen, max(o_totalprice) AS value FROM orders GROUP BY 1, 2)"
+FACTS = "f AS (SELECT o_custkey AS ticker, o_orderdate AS seen, max(o_totalprice) AS value FROM orders GROUP BY 1, 2)"
 
 
-def some_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily(spark, sf_dir).where("ticker < 10").select("ticker", "ts", "close")
+def days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily(spark, sf_dir).select("ticker", "ts", "close")
 
 
-DAYS = f"{DAILY}, b AS (SELECT ticker, ts, close FROM bars WHERE ticker < 10)"
+DAYS = f"{DAILY}, b AS (SELECT ticker, ts, close FROM bars)"
 CLOCK = f"{MINUTES}, c AS (SELECT ticker, ts FROM bars)"
 
 
@@ -40,7 +40,7 @@ def events(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
 
 def _jn3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.asof(some_days(spark, sf_dir), facts(spark, sf_dir), ["ticker"], "ts", "at", {"value": F.col("value")}).select("ticker", "ts", rounded("value").alias("value"))
+    return A.asof(days(spark, sf_dir), facts(spark, sf_dir), ["ticker"], "ts", "at", {"value": F.col("value")}).select("ticker", "ts", rounded("value").alias("value"))
 
 
 register("jn3_fundamental", _jn3, f"WITH {DAYS}, {FACTS} SELECT b.ticker, b.ts, {r('f.value')} AS value FROM b ASOF LEFT JOIN f ON b.ticker = f.ticker AND b.ts >= f.seen")
@@ -52,8 +52,8 @@ def _earnings(name: str, forward: bool) -> None:
         return out.select("ticker", "ts", (A.days_between("e", "ts") if forward else A.days_between("ts", "e")).alias("days"))
 
     e = "e AS (SELECT DISTINCT user_id AS ticker, ts AS seen FROM events WHERE event_type = 'view')"
-    days = "date_diff('day', CAST(c.ts AS DATE), CAST(e.seen AS DATE))" if forward else "date_diff('day', CAST(e.seen AS DATE), CAST(c.ts AS DATE))"
-    register(name, query, f"WITH {CLOCK}, {e} SELECT c.ticker, c.ts, {days} AS days FROM c ASOF LEFT JOIN e ON c.ticker = e.ticker AND c.ts {'<=' if forward else '>='} e.seen")
+    apart = "date_diff('day', CAST(c.ts AS DATE), CAST(e.seen AS DATE))" if forward else "date_diff('day', CAST(e.seen AS DATE), CAST(c.ts AS DATE))"
+    register(name, query, f"WITH {CLOCK}, {e} SELECT c.ticker, c.ts, {apart} AS days FROM c ASOF LEFT JOIN e ON c.ticker = e.ticker AND c.ts {'<=' if forward else '>='} e.seen")
 
 
 _earnings("jn4_days_until_earnings", True)
@@ -85,7 +85,7 @@ register("pf11_universe", _pf11, f"WITH {DAILY}, {MEMBERS} SELECT b.ticker, b.ts
 
 
 def _pt2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = V.compound_growth(some_days(spark, sf_dir), facts(spark, sf_dir), 2, "ticker", "ts", "at", "value")
+    out = V.compound_growth(days(spark, sf_dir), facts(spark, sf_dir), 2, "ticker", "ts", "at", "value")
     return out.select("ticker", "ts", rounded("growth").alias("growth"))
 
 
@@ -115,7 +115,7 @@ def _pt5(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = facts(spark, sf_dir).select("ticker", F.to_date("at").cast("string").alias("timestamp"), "value", F.lit(None).cast("string").alias("available_at"))
     known = V.availability(points, "period_aggregate", "1d").groupBy("ticker", "available").agg(F.max("value").alias("value"))
     known = known.withColumn("available", F.col("available").cast("timestamp_ntz"))
-    return A.asof(some_days(spark, sf_dir), known, ["ticker"], "ts", "available", {"value": F.col("value")}).select("ticker", "ts", rounded("value").alias("value"))
+    return A.asof(days(spark, sf_dir), known, ["ticker"], "ts", "available", {"value": F.col("value")}).select("ticker", "ts", rounded("value").alias("value"))
 
 
 register(
@@ -126,11 +126,11 @@ register(
 
 
 def _pt6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 10).alias("ticker"), F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("at")).agg(F.count("*").alias("score"))
-    return A.asof(some_days(spark, sf_dir), scores, ["ticker"], "ts", "at", {"score": F.col("score")}).select("ticker", "ts", "score")
+    scores = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("ticker"), F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("at")).agg(F.count("*").alias("score"))
+    return A.asof(days(spark, sf_dir), scores, ["ticker"], "ts", "at", {"score": F.col("score")}).select("ticker", "ts", "score")
 
 
-register("pt6_stock_report", _pt6, f"WITH {DAYS}, k AS (SELECT o_custkey % 10 AS ticker, date_trunc('month', o_orderdate) AS seen, count(*) AS score FROM orders GROUP BY 1, 2) SELECT b.ticker, b.ts, k.score FROM b ASOF LEFT JOIN k ON b.ticker = k.ticker AND b.ts >= k.seen")
+register("pt6_stock_report", _pt6, f"WITH {DAYS}, k AS (SELECT o_custkey AS ticker, date_trunc('month', o_orderdate) AS seen, count(*) AS score FROM orders GROUP BY 1, 2) SELECT b.ticker, b.ts, k.score FROM b ASOF LEFT JOIN k ON b.ticker = k.ticker AND b.ts >= k.seen")
 
 
 def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,13 +192,13 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
     status = F.when(F.col("o_orderstatus") == "F", "Filled").when(F.col("o_orderstatus") == "O", "Pending").otherwise("Partially Filled")
     return o.select(
-        (F.col("o_custkey") % 10).alias("ticker"), F.col("o_orderdate").alias("at"), k.alias("order_no"), F.col("o_totalprice").alias("price"), (k % 5 + 1).alias("quantity"), status.alias("status"),
+        F.col("o_custkey").alias("ticker"), F.col("o_orderdate").alias("at"), k.alias("order_no"), F.col("o_totalprice").alias("price"), (k % 5 + 1).alias("quantity"), status.alias("status"),
         F.when(F.col("o_orderpriority") < "3", "Buy").otherwise("Sell").alias("side"), F.when(k % 2 == 0, "call").otherwise("put").alias("option_type"), F.when(k % 3 == 0, "open").otherwise("close").alias("position_effect"),
         F.when(k % 4 == 0, "vertical").otherwise("custom").alias("spread_type"), (k % 60).alias("dte"), F.when(k % 7 == 0, "rebalance_option").otherwise("order").alias("kind"), F.when(k % 5 < 3, "long").otherwise("short").alias("direction"),
     )
 
 
-ORDERS = """q AS (SELECT o_custkey % 10 AS ticker, o_orderdate AS seen, o_orderkey AS order_no, o_totalprice AS price, o_orderkey % 5 + 1 AS quantity,
+ORDERS = """q AS (SELECT o_custkey AS ticker, o_orderdate AS seen, o_orderkey AS order_no, o_totalprice AS price, o_orderkey % 5 + 1 AS quantity,
     CASE o_orderstatus WHEN 'F' THEN 'Filled' WHEN 'O' THEN 'Pending' ELSE 'Partially Filled' END AS status, CASE WHEN o_orderpriority < '3' THEN 'Buy' ELSE 'Sell' END AS side,
     CASE WHEN o_orderkey % 2 = 0 THEN 'call' ELSE 'put' END AS option_type, CASE WHEN o_orderkey % 3 = 0 THEN 'open' ELSE 'close' END AS position_effect,
     CASE WHEN o_orderkey % 4 = 0 THEN 'vertical' ELSE 'custom' END AS spread_type, o_orderkey % 60 AS dte, CASE WHEN o_orderkey % 7 = 0 THEN 'rebalance_option' ELSE 'order' END AS kind FROM orders)"""
@@ -219,11 +219,11 @@ _buy = lambda s, d: L.matching(orders(s, d), status="Filled", side="Buy")  # noq
 _opt = lambda s, d: L.matching(orders(s, d), status="Filled", option_type="call", spread_type="vertical", position_effect="open", min_dte=5, max_dte=50)
 _reb = lambda s, d: L.matching(orders(s, d), status="Filled", kind="rebalance_option")
 _BUY, _OPT = "q WHERE status = 'Filled' AND side = 'Buy'", "q WHERE status = 'Filled' AND option_type = 'call' AND spread_type = 'vertical' AND position_effect = 'open' AND dte BETWEEN 5 AND 50"
-_recency("ps9_days_since_order", some_days, _buy, "days", _DO, "b", _BUY)
-_recency("ps10_minutes_since_order", some_days, _buy, "minutes", _DO, "b", _BUY)
-_recency("ps11_days_since_option_order", some_days, _opt, "days", _DO, "b", _OPT)
-_recency("ps12_minutes_since_option_order", some_days, _opt, "minutes", _DO, "b", _OPT)
-_recency("ps13_days_since_last_rebalance_option_order", some_days, _reb, "days", _DO, "b", "q WHERE status = 'Filled' AND kind = 'rebalance_option'")
+_recency("ps9_days_since_order", days, _buy, "days", _DO, "b", _BUY)
+_recency("ps10_minutes_since_order", days, _buy, "minutes", _DO, "b", _BUY)
+_recency("ps11_days_since_option_order", days, _opt, "days", _DO, "b", _OPT)
+_recency("ps12_minutes_since_option_order", days, _opt, "minutes", _DO, "b", _OPT)
+_recency("ps13_days_since_last_rebalance_option_order", days, _reb, "days", _DO, "b", "q WHERE status = 'Filled' AND kind = 'rebalance_option'")
 _app = lambda kind: (lambda s, d: events(s, d, kind))
 _APP = "(SELECT user_id AS ticker, ts AS seen FROM events WHERE event_type = '{}')"
 _recency("ps14_days_since_transaction", clock, _app("signup"), "days", CLOCK, "c", _APP.format("signup"))
@@ -236,7 +236,7 @@ _recency("ps19_days_since_strategy_fired", clock, _fired, "days", CLOCK, "c", "(
 
 
 def _ps8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.last_order_price(some_days(spark, sf_dir), orders(spark, sf_dir), ["ticker"], "ts", "at", side="Buy").select("ticker", "ts", rounded("price").alias("price"))
+    return L.last_order_price(days(spark, sf_dir), orders(spark, sf_dir), ["ticker"], "ts", "at", side="Buy").select("ticker", "ts", rounded("price").alias("price"))
 
 
 register("ps8_last_order_price", _ps8, f"WITH {_DO}, e AS (SELECT ticker, seen, arg_max(price, order_no) AS price FROM {_BUY} GROUP BY 1, 2) SELECT b.ticker, b.ts, {r('e.price')} AS price FROM b ASOF LEFT JOIN e ON b.ticker = e.ticker AND b.ts >= e.seen")
@@ -244,7 +244,7 @@ register("ps8_last_order_price", _ps8, f"WITH {_DO}, e AS (SELECT ticker, seen,
 
 def _sum_orders(name: str, amount: Callable[[], Column], sql: str) -> None:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = L.sum_orders(some_days(spark, sf_dir), orders(spark, sf_dir), ["ticker"], "ts", "at", amount(), 30 * 86_400, status="Filled", side="Buy")
+        out = L.sum_orders(days(spark, sf_dir), orders(spark, sf_dir), ["ticker"], "ts", "at", amount(), 30 * 86_400, status="Filled", side="Buy")
         return out.select("ticker", "ts", rounded("value").alias("value"))
 
     register(name, query, f"WITH {_DO}, e AS (SELECT * FROM {_BUY}) SELECT b.ticker, b.ts, {r(f'coalesce((SELECT sum({sql}) FROM e WHERE e.ticker = b.ticker AND e.seen <= b.ts AND e.seen >= b.ts - INTERVAL 30 DAY), 0)')} AS value FROM b")
@@ -259,7 +259,7 @@ _sum_orders("ag15_sum_order_quantity", lambda: F.col("quantity"), "quantity")
 
 def held(spark: SparkSession, sf_dir: str) -> DataFrame:
     fills = L.matching(orders(spark, sf_dir), status="Filled").select("ticker", F.col("at").alias("filled_at"), F.when(F.col("side") == "Buy", F.col("quantity")).otherwise(-F.col("quantity")).alias("quantity"), (F.col("price") / 1000).alias("price"))
-    return L.positions(some_days(spark, sf_dir), fills)
+    return L.positions(days(spark, sf_dir), fills)
 
 
 HELD = f"""{_DO}, fl AS (SELECT ticker, seen, CASE WHEN side = 'Buy' THEN quantity ELSE -quantity END AS quantity, price / 1000 AS price FROM q WHERE status = 'Filled'),

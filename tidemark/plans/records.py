@@ -103,12 +103,12 @@ def _HEX() -> Column:
 
 
 def _parts(e: DataFrame) -> DataFrame:
-    """A manifest for each user of its first parts: some with a gap, a repeat, a bad digest or a negative size."""
+    """A manifest for each user, of its events: some with a gap, a repeat, a bad digest or a negative size."""
     from pyspark.sql import Window
 
     n = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
     u = F.col("user_id")
-    p = e.withColumn("n", n).where("n < 5")
+    p = e.withColumn("n", n)
     part = F.when((u % 6 == 1) & (F.col("n") == 2), 1).when((u % 6 == 2) & (F.col("n") >= 3), F.col("n") + 1).otherwise(F.col("n"))
     return p.select(u.alias("manifest"), part.alias("part"), F.when((u % 6 == 3) & (F.col("n") == 1), F.lit("abc")).otherwise(_HEX()).alias("sha256"), F.when((u % 6 == 4) & (F.col("n") == 0), -1).otherwise(10).alias("byte_size"))
 
@@ -116,7 +116,7 @@ def _parts(e: DataFrame) -> DataFrame:
 _e(
     "sc22_manifest_audit",
     lambda e: Q.manifest_audit(_parts(e)).select("manifest", "n", "valid"),
-    """WITH p AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS n FROM events), q AS (SELECT user_id AS manifest, CASE WHEN user_id % 6 = 1 AND n = 2 THEN 1 WHEN user_id % 6 = 2 AND n >= 3 THEN n + 1 ELSE n END AS part, (user_id % 6 = 3 AND n = 1) OR (user_id % 6 = 4 AND n = 0) AS bad FROM p WHERE n < 5)
+    """WITH p AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS n FROM events), q AS (SELECT user_id AS manifest, CASE WHEN user_id % 6 = 1 AND n = 2 THEN 1 WHEN user_id % 6 = 2 AND n >= 3 THEN n + 1 ELSE n END AS part, (user_id % 6 = 3 AND n = 1) OR (user_id % 6 = 4 AND n = 0) AS bad FROM p)
     SELECT manifest, count(*) AS n, NOT bool_or(bad) AND count(DISTINCT part) = count(*) AND max(part) = count(*) - 1 AS valid FROM q GROUP BY 1""",
 )
 
@@ -142,8 +142,8 @@ _e("se7_append_points", lambda e: Q.new_points(e.where("event_id % 2 = 0").selec
 _e("se8_replace_series", lambda e: Q.replaced(e.select(F.col("event_type").alias("series"), "value"), e.where("event_type in ('view', 'click')").select("value"), "click").groupBy("series").agg(F.count("*").alias("n")), "SELECT CASE WHEN event_type = 'view' THEN 'view' ELSE event_type END AS series, CASE WHEN event_type = 'click' THEN (SELECT count(*) FROM events WHERE event_type IN ('view', 'click')) ELSE count(*) END AS n FROM events GROUP BY event_type")
 _e(
     "se9_one_to_one",
-    lambda e: Q.one_to_one(e.where("event_id < 4000").select(K().alias("idx")), e.where("event_id % 10 <> 3").select(F.when(K() % 10 == 7, K() - 1).otherwise(K()).alias("idx"))),
-    "WITH x AS (SELECT event_id AS idx FROM events WHERE event_id < 4000), y AS (SELECT CASE WHEN event_id % 10 = 7 THEN event_id - 1 ELSE event_id END AS idx, count(*) AS n FROM events WHERE event_id % 10 <> 3 GROUP BY 1) SELECT coalesce(x.idx, y.idx) AS idx, CASE WHEN x.idx IS NULL THEN 'out of range' WHEN n IS NULL THEN 'missing' ELSE 'duplicate' END AS error FROM x FULL JOIN y ON x.idx = y.idx WHERE x.idx IS NULL OR n IS NULL OR n > 1",
+    lambda e: Q.one_to_one(e.where("event_type <> 'error'").select(K().alias("idx")), e.where("event_id % 10 <> 3").select(F.when(K() % 10 == 7, K() - 1).otherwise(K()).alias("idx"))),
+    "WITH x AS (SELECT event_id AS idx FROM events WHERE event_type <> 'error'), y AS (SELECT CASE WHEN event_id % 10 = 7 THEN event_id - 1 ELSE event_id END AS idx, count(*) AS n FROM events WHERE event_id % 10 <> 3 GROUP BY 1) SELECT coalesce(x.idx, y.idx) AS idx, CASE WHEN x.idx IS NULL THEN 'out of range' WHEN n IS NULL THEN 'missing' ELSE 'duplicate' END AS error FROM x FULL JOIN y ON x.idx = y.idx WHERE x.idx IS NULL OR n IS NULL OR n > 1",
 )
 _e(
     "jn12_upsert",
@@ -266,9 +266,9 @@ def _SUS() -> Column:
 
 
 _SUS_SQL = "CASE WHEN doc_id % 50 = 0 THEN 'aB cD eF ' || text WHEN doc_id % 50 = 1 THEN chr(65533) || chr(57345) || chr(63743) || text ELSE text END"
-_SUSPECT = "(len(regexp_extract_all({0}, '[\\x{{FFFD}}\\x{{E000}}-\\x{{F8FF}}]')) >= 3 OR len(regexp_extract_all({0}, '\\b[a-z]+[A-Z]')) >= 3)"
-register("pf18_suspect_text", lambda s, d: table(s, d, "documents").where("lang = 'en'").select("doc_id", D.suspect_text(_SUS()).alias("suspect")), f"SELECT doc_id, {_SUSPECT.format(_SUS_SQL)} AS suspect FROM documents WHERE lang = 'en'")
-register("tx12_probe", lambda s, d: D.probe(table(s, d, "documents").where("lang = 'en'").withColumn("text", _SUS())).select("doc_id", "chars", "likely_scanned", "suspect", F.length("sample").alias("sampled")), f"SELECT doc_id, length(t) AS chars, length(t) < 200 AS likely_scanned, {_SUSPECT.format('left(t, 600)')} AS suspect, length(left(t, 600)) AS sampled FROM (SELECT doc_id, {_SUS_SQL} AS t FROM documents WHERE lang = 'en')")
+_SUSPECT = "(len(regexp_extract_all({0}, '[\\x{{FFFD}}\\x{{E000}}-\\x{{F8FF}}]')) >= 3 OR len(regexp_extract_all({0}, '(?:^|[^\\p{{L}}\\p{{N}}_])[a-z]+[A-Z]')) >= 3)"
+register("pf18_suspect_text", lambda s, d: table(s, d, "documents").select("doc_id", D.suspect_text(_SUS()).alias("suspect")), f"SELECT doc_id, {_SUSPECT.format(_SUS_SQL)} AS suspect FROM documents")
+register("tx12_probe", lambda s, d: D.probe(table(s, d, "documents").withColumn("text", _SUS())).select("doc_id", "chars", "likely_scanned", "suspect", F.length("sample").alias("sampled")), f"SELECT doc_id, length(t) AS chars, length(t) < 200 AS likely_scanned, {_SUSPECT.format('left(t, 600)')} AS suspect, length(left(t, 600)) AS sampled FROM (SELECT doc_id, {_SUS_SQL} AS t FROM documents)")
 register("fn26_snake_case", lambda s, d: table(s, d, "customer").select("c_custkey", D.snake_case(F.concat(F.lit(" #"), F.col("c_name"), F.lit(" (Seg.) "), F.col("c_mktsegment"), F.lit("! "))).alias("name")), "SELECT c_custkey, regexp_replace(regexp_replace(lower(trim(' #' || c_name || ' (Seg.) ' || c_mktsegment || '! ')), '[^0-9a-zA-Z]+', '_', 'g'), '^_+|_+$', '', 'g') AS name FROM customer")
 
 

@@ -16,12 +16,12 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekdays, with a return made of that day's events of users 0 to 9."""
-    e = table(spark, sf_dir, "events").where("user_id < 10").withColumn("session_date", F.to_date("ts")).where(F.weekday("session_date") < 5)
+    """Weekdays, with a return made of that day's events."""
+    e = table(spark, sf_dir, "events").withColumn("session_date", F.to_date("ts")).where(F.weekday("session_date") < 5)
     return e.groupBy("session_date").agg((F.avg("value") / 100 - 0.5).alias("asset_return"))
 
 
-CAL = "c AS (SELECT CAST(ts AS DATE) AS day, CAST(count(*) AS DOUBLE) AS value FROM events GROUP BY 1), s AS (SELECT CAST(ts AS DATE) AS session_date, avg(value) / 100 - 0.5 AS asset_return FROM events WHERE user_id < 10 AND isodow(ts) < 6 GROUP BY 1)"
+CAL = "c AS (SELECT CAST(ts AS DATE) AS day, CAST(count(*) AS DOUBLE) AS value FROM events GROUP BY 1), s AS (SELECT CAST(ts AS DATE) AS session_date, avg(value) / 100 - 0.5 AS asset_return FROM events WHERE isodow(ts) < 6 GROUP BY 1)"
 
 
 def _align(name: str, how: str, lead: int) -> None:

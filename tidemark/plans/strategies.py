@@ -61,8 +61,8 @@ _q(
     "rk3_can_sell",
     lambda p: K.dynamic_rebalance(p, [lambda d: K.select_top(d, "roc", 5)], can_sell=F.col("up")).select("ts", "ticker", rounded("weight").alias("weight")),
     f""", v AS (SELECT ts, ticker, 1.0 / count(*) OVER (PARTITION BY ts) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY ts ORDER BY roc DESC, ticker) AS n FROM pp WHERE roc IS NOT NULL) WHERE n <= 5),
-    a AS (SELECT pp.ts, pp.ticker, pp.up, v.weight, lag(v.weight) OVER (PARTITION BY pp.ticker ORDER BY pp.ts) AS was FROM pp LEFT JOIN v ON v.ts = pp.ts AND v.ticker = pp.ticker)
-    SELECT ts, ticker, {r('coalesce(weight, CASE WHEN NOT up THEN was END)')} AS weight FROM a WHERE coalesce(weight, CASE WHEN NOT up THEN was END) IS NOT NULL""",
+    a AS (SELECT pp.ts, pp.ticker, last_value(CASE WHEN v.weight IS NOT NULL THEN v.weight WHEN pp.up THEN -1 END IGNORE NULLS) OVER (PARTITION BY pp.ticker ORDER BY pp.ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS weight FROM pp LEFT JOIN v ON v.ts = pp.ts AND v.ticker = pp.ticker)
+    SELECT ts, ticker, {r('weight')} AS weight FROM a WHERE weight >= 0""",
 )
 _q(
     "rk5_sleeves",
@@ -87,10 +87,13 @@ _q("rk10_alert", lambda p: K.strategy(p, "watch", I.Price() > 2000, K.alert("hig
 
 # names and eligibility
 register("pf12_stock_asset", lambda s, d: table(s, d, "customer").select("c_custkey", K.stock_asset("c_name").alias("symbol")), "SELECT c_custkey, upper(trim(c_name)) AS symbol FROM customer")
+# Symbols as users state them, and their pairs; the first ten are all that have one by name.
+_COINS = ("btc", "ETH", " sol", "doge", "ada", "XRP", "avax ", "link", "dot", "matic", "bitcoin", "xrp-usd", "pepe", " ", "")
+_PAIRS = ("BTC-USD", "ETH-USD", "SOL-USD", "DOGE-USD", "ADA-USD", "XRP-USD", "AVAX-USD", "LINK-USD", "DOT-USD", "MATIC-USD", "BITCOIN-USD", "XRP-USD", "PEPE-USD", None, None)
 register(
     "pf13_crypto_asset",
-    lambda s, d: table(s, d, "nation").select("n_nationkey", K.crypto_asset(F.when(F.col("n_nationkey") == 0, "bitcoin").when(F.col("n_nationkey") == 1, "xrp-usd").otherwise(F.col("n_name"))).alias("pair")),
-    "SELECT n_nationkey, CASE WHEN n_nationkey = 0 THEN 'BTC-USD' WHEN n_nationkey = 1 THEN 'XRP-USD' ELSE upper(trim(n_name)) || '-USD' END AS pair FROM nation",
+    lambda s, d: table(s, d, "nation").select("n_nationkey", K.crypto_asset(F.get(F.array(*map(F.lit, _COINS)), F.when(F.col("n_nationkey") < len(_COINS), F.col("n_nationkey")).cast("int"))).alias("pair")),
+    "SELECT n_nationkey, CASE n_nationkey " + " ".join(f"WHEN {i} THEN '{p}'" for i, p in enumerate(_PAIRS) if p) + " END AS pair FROM nation",
 )
 
 
@@ -108,17 +111,17 @@ register(
 )
 
 # what a rebalance would do: the flagship book against the one by volume
-_TARGET = lambda p: K.weights(K.select_top(p.where("ticker < 10"), "roc", 3)).select("ts", "ticker", "weight")
-_CURRENT = lambda p: K.weights(K.select_top(p.where("ticker < 10"), "metric", 4), "metric").select("ts", "ticker", "weight")
-_CH = f"""ta AS (SELECT ts, ticker, 1.0 / count(*) OVER (PARTITION BY ts) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY ts ORDER BY roc DESC, ticker) AS n FROM pp WHERE ticker < 10 AND roc IS NOT NULL) WHERE n <= 3),
-    cu AS (SELECT ts, ticker, metric / sum(metric) OVER (PARTITION BY ts) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY ts ORDER BY metric DESC, ticker) AS n FROM pp WHERE ticker < 10) WHERE n <= 4),
+_TARGET = lambda p: K.weights(K.select_top(p, "roc", 3)).select("ts", "ticker", "weight")
+_CURRENT = lambda p: K.weights(K.select_top(p, "metric", 4), "metric").select("ts", "ticker", "weight")
+_CH = f"""ta AS (SELECT ts, ticker, 1.0 / count(*) OVER (PARTITION BY ts) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY ts ORDER BY roc DESC, ticker) AS n FROM pp WHERE roc IS NOT NULL) WHERE n <= 3),
+    cu AS (SELECT ts, ticker, metric / sum(metric) OVER (PARTITION BY ts) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY ts ORDER BY metric DESC, ticker) AS n FROM pp) WHERE n <= 4),
     ch AS (SELECT coalesce(ta.ts, cu.ts) AS ts, coalesce(ta.ticker, cu.ticker) AS ticker, coalesce(ta.weight, 0) - coalesce(cu.weight, 0) AS change FROM ta FULL JOIN cu ON ta.ts = cu.ts AND ta.ticker = cu.ticker),
-    mn AS (SELECT ticker, avg(close / pc - 1) AS mean FROM pp WHERE ticker < 10 GROUP BY 1),
+    mn AS (SELECT ticker, avg(close / pc - 1) AS mean FROM pp GROUP BY 1),
     me AS (SELECT ts, sum(abs(change)) AS turnover, sum(change * coalesce(mean, 0) * 0.5) * 50000 AS benefit FROM ch LEFT JOIN mn USING (ticker) GROUP BY 1)"""
 
 
 def _means(p: DataFrame) -> DataFrame:
-    return K.returns(p).where("ticker < 10").groupBy("ticker").agg(F.avg("ret").alias("mean"))
+    return K.returns(p).groupBy("ticker").agg(F.avg("ret").alias("mean"))
 
 
 for _name, _metric, _sql in (
@@ -132,17 +135,17 @@ for _name, _metric, _sql in (
 
 
 def _cov(p: DataFrame) -> DataFrame:
-    return K.covariance(K.returns(p.where("ticker < 10")))
+    return K.covariance(K.returns(p))
 
 
-_CV = """re AS (SELECT ticker, ts, close / pc - 1 AS ret FROM pp WHERE ticker < 10 AND pc IS NOT NULL),
+_CV = """re AS (SELECT ticker, ts, close / pc - 1 AS ret FROM pp WHERE pc IS NOT NULL),
     cv AS (SELECT a.ticker AS i, b.ticker AS j, count(*) AS n, covar_samp(a.ret, b.ret) * CASE WHEN a.ticker = b.ticker THEN 1 ELSE 0.75 END AS cov FROM re a JOIN re b USING (ts) GROUP BY 1, 2 HAVING count(*) >= 20)"""
-_EQ = f"eq AS (SELECT ticker, CASE k WHEN 0 THEN 0.1 ELSE (ticker + 1) / 55.0 END AS weight, k FROM (SELECT DISTINCT ticker FROM re), (SELECT unnest([0, 1]) AS k))"
+_EQ = f"eq AS (SELECT ticker, CASE k WHEN 0 THEN 0.01 ELSE (ticker + 1) / 5050.0 END AS weight, k FROM (SELECT DISTINCT ticker FROM re), (SELECT unnest([0, 1]) AS k))"
 
 
 def _two_books(p: DataFrame) -> DataFrame:
-    names = p.where("ticker < 10").select("ticker").distinct()
-    return names.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("weight", F.when(F.col("k") == 0, 0.1).otherwise((F.col("ticker") + 1) / 55))
+    names = p.select("ticker").distinct()
+    return names.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("weight", F.when(F.col("k") == 0, 0.01).otherwise((F.col("ticker") + 1) / 5050))
 
 
 _VAR = "va AS (SELECT a.k, sum(a.weight * b.weight * cov) AS variance FROM eq a JOIN eq b ON a.k = b.k JOIN cv ON cv.i = a.ticker AND cv.j = b.ticker GROUP BY 1)"
@@ -159,18 +162,14 @@ _q(
 # -- evaluation --------------------------------------------------------------------------------------
 
 
-def few(p: DataFrame) -> DataFrame:
-    return p.where("ticker < 10")
-
-
 def _path(p: DataFrame) -> DataFrame:
-    return E.backtest(book(few(p)), K.returns(few(p)))
+    return E.backtest(book(p), K.returns(p))
 
 
 def _path_sql(weights: str, keys: str = "") -> str:
     k = f"{keys}, " if keys else ""
     on = f"m.{keys}, " if keys else ""
-    return f"""re AS (SELECT ticker, ts, close / pc - 1 AS ret FROM pp WHERE ticker < 10 AND pc IS NOT NULL), nb AS (SELECT ts, row_number() OVER (ORDER BY ts) AS k FROM (SELECT DISTINCT ts FROM re)),
+    return f"""re AS (SELECT ticker, ts, close / pc - 1 AS ret FROM pp WHERE pc IS NOT NULL), nb AS (SELECT ts, row_number() OVER (ORDER BY ts) AS k FROM (SELECT DISTINCT ts FROM re)),
     ww AS (SELECT {k}ticker, nb.k AS kk, weight FROM {weights} JOIN nb USING (ts)),
     mv AS (SELECT {k}ticker, kk, sum(weight) AS weight, sum(was) AS was FROM (SELECT {k}ticker, kk, weight, 0.0 AS was FROM ww UNION ALL SELECT {k}ticker, kk + 1, 0.0, weight FROM ww) GROUP BY ALL),
     bk AS (SELECT {on}nb.ts, sum(was * coalesce(ret, 0)) - sum(abs(weight - was)) * 0.001 AS ret, sum(abs(weight - was)) AS turnover, sum(greatest(was - weight, 0)) AS sold, sum(weight) AS deployed, count(*) FILTER (weight > 0) AS names
@@ -178,11 +177,10 @@ def _path_sql(weights: str, keys: str = "") -> str:
     pa AS (SELECT *, 10000 * exp(sum(ln(greatest(1 + ret, 1e-12))) OVER ({'PARTITION BY ' + keys if keys else ''} ORDER BY ts)) AS equity FROM bk)"""
 
 
-_FEWBOOK = BOOK.replace("WHERE up AND", "WHERE ticker < 10 AND up AND")
 _q(
     "ev1_backtest",
     lambda p: _path(p).select("ts", rounded("ret").alias("ret"), rounded("turnover").alias("turnover"), rounded(F.col("equity") / 10_000).alias("growth"), "names"),
-    f", {_FEWBOOK}, {_path_sql('w')} SELECT ts, {r('ret')} AS ret, {r('turnover')} AS turnover, {r('equity / 10000')} AS growth, names FROM pa",
+    f", {BOOK}, {_path_sql('w')} SELECT ts, {r('ret')} AS ret, {r('turnover')} AS turnover, {r('equity / 10000')} AS growth, names FROM pa",
 )
 _q("ev1_baseline", lambda p: E.buy_and_hold(p, 7).select("ts", rounded("baseline").alias("baseline")), f"SELECT ts, {r('10000 * close / first(close) OVER (ORDER BY ts)')} AS baseline FROM pp WHERE ticker = 7")
 _q(
@@ -194,7 +192,7 @@ _q(
 
 def swept(p: DataFrame, genes: dict[str, list], build: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Backtest rows of every combination of the genes."""
-    return E.backtest(build(E.over(few(p), E.grid(p.sparkSession, genes))).select("param_id", "ts", "ticker", "weight"), K.returns(few(p)), ["param_id"])
+    return E.backtest(build(E.over(p, E.grid(p.sparkSession, genes))).select("param_id", "ts", "ticker", "weight"), K.returns(p), ["param_id"])
 
 
 _KEYS = ["param_id", "ts"]
@@ -223,10 +221,10 @@ def _gene(name: str, genes: dict[str, list], build: Callable[[DataFrame], DataFr
 
     values = ", ".join(str((i, *v)) for i, v in enumerate(product(*genes.values())))
     grid = f"g AS (SELECT * FROM (VALUES {values}) t(param_id, {', '.join(names)}))"
-    _q(name, lambda p: _fit(swept(p, genes, build)), f", {grid}, fw AS (SELECT * FROM pp WHERE ticker < 10), w AS ({weights}), {_path_sql('w', 'param_id')}{_FIT}")
+    _q(name, lambda p: _fit(swept(p, genes, build)), f", {grid}, w AS ({weights}), {_path_sql('w', 'param_id')}{_FIT}")
 
 
-_EQW = "SELECT param_id, ts, ticker, {scale} / count(*) OVER (PARTITION BY param_id, ts) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY param_id, ts ORDER BY {metric} DESC, ticker) AS n FROM fw, g WHERE {where}) WHERE n <= {limit}"
+_EQW = "SELECT param_id, ts, ticker, {scale} / count(*) OVER (PARTITION BY param_id, ts) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY param_id, ts ORDER BY {metric} DESC, ticker) AS n FROM pp, g WHERE {where}) WHERE n <= {limit}"
 
 
 def _sql(metric: str = "roc", where: str = "roc IS NOT NULL", limit: object = 3, scale: str = "1.0") -> str:
@@ -254,7 +252,7 @@ _gene("ev20_gene_allocation_policy", {"policy": ["equal", "signal"]}, _policy, _
 _gene("ev21_gene_exposure_policy", {"target": [5, 20]}, lambda p: _by(p, "roc", 3).withColumn("weight", F.col("weight") * F.least(F.lit(1.0), F.col("target") / 100 * 5)), _sql(scale="least(1.0, target / 100.0 * 5)"))
 _gene("ev26_gene_select_top_limit", {"top": [1, 2, 5]}, lambda p: _by(p, "roc", F.col("top")), _sql(limit="top"))
 _gene("ev27_gene_universe_pipeline_filter", {"f": [0, 1]}, lambda p: _by(p.where(F.coalesce(E.chosen({0: F.col("volume") > 20, 1: F.col("close") > 1500}, "f"), F.lit(False))), "roc", 3), _sql(where="roc IS NOT NULL AND CASE f WHEN 0 THEN volume > 20 ELSE close > 1500 END"))
-_K3 = f", g AS (SELECT * FROM (VALUES (0, 1), (1, 2), (2, 3)) t(param_id, k)), fw AS (SELECT * FROM pp WHERE ticker < 10), w AS ({_sql(limit='k')}), {_path_sql('w', 'param_id')}"
+_K3 = f", g AS (SELECT * FROM (VALUES (0, 1), (1, 2), (2, 3)) t(param_id, k)), w AS ({_sql(limit='k')}), {_path_sql('w', 'param_id')}"
 _sweep = lambda p: swept(p, {"k": [1, 2, 3]}, lambda d: _by(d, "roc", F.col("k")))
 _q(
     "ev5_selection_policy",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,25 +16,15 @@ def _source(s: SparkSession, d: str) -> DataFrame:
     return s.readStream.schema(s.read.parquet(f"{d}/events.parquet").schema).parquet(f"{d}/event[s].parquet")
 
 
-def _finished(s: SparkSession, out: DataFrame, mode: str = "append") -> DataFrame:
+def _finished(s: SparkSession, out: DataFrame) -> DataFrame:
     at = _folder(s)
-    if mode == "append":
-        out.writeStream.format("parquet").option("checkpointLocation", f"{at}/state").outputMode("append").trigger(availableNow=True).start(f"{at}/out").awaitTermination()
-        return s.read.schema(out.schema).parquet(f"{at}/out")
-    name = f"s{uuid.uuid4().hex}"
-
-    def keep(df: DataFrame, _: int) -> None:
-        df.write.mode("overwrite").parquet(f"{at}/{name}")
-
-    out.writeStream.foreachBatch(keep).option("checkpointLocation", f"{at}/state").outputMode(mode).trigger(availableNow=True).start().awaitTermination()
-    return s.read.schema(out.schema).parquet(f"{at}/{name}")
-
-
+    out.writeStream.format("parquet").option("checkpointLocation", f"{at}/state").outputMode("append").trigger(availableNow=True).start(f"{at}/out").awaitTermination()
+    return s.read.schema(out.schema).parquet(f"{at}/out")
 
 
 register(
     "st1_absorb_feed",
-    lambda s, d: _finished(s, feeds.absorbed(_source(s, d).select(F.col("user_id").alias("id"), F.col("event_id").alias("seq"), F.col("event_type").alias("digest")))).select("seq", "supersedes"),
+    lambda s, d: _finished(s, feeds.absorbed(_source(s, d).select(F.col("user_id").alias("id"), F.col("event_id").alias("seq"), F.col("event_type").alias("digest"), F.col("ts").cast("timestamp").alias("at")), time="at", forget_after="90 days")).select("seq", "supersedes"),
     "SELECT seq, n > 1 AS supersedes FROM (SELECT event_id AS seq, event_type, lag(event_type) OVER w AS before, row_number() OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) WHERE before IS NULL OR before <> event_type",
 )
 
@@ -54,16 +42,19 @@ register("st3_append_points", _st3, "SELECT event_id, user_id FROM events")
 def _st4(s: SparkSession, d: str) -> DataFrame:
     points = _source(s, d).select(F.col("user_id").alias("ticker"), F.to_date("ts").cast("string").alias("timestamp"), "value", F.lit(None).cast("string").alias("available_at"))
     out = feeds.usable_points(points, "period_aggregate", "1d").groupBy("ticker", "available").agg(F.count("*").alias("n"))
-    return _finished(s, out, "complete").select("ticker", F.date_format("available", "yyyy-MM-dd").alias("day"), "n")
+    return _finished(s, out).select("ticker", F.date_format("available", "yyyy-MM-dd").alias("day"), "n")
 
 
-register("st4_available_points", _st4, "SELECT user_id AS ticker, strftime(CAST(ts AS DATE) + 1, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1, 2")
+# a day's points come out once the watermark, a day behind the last of them, has reached it
+register("st4_available_points", _st4, "SELECT user_id AS ticker, strftime(CAST(ts AS DATE) + 1, '%Y-%m-%d') AS day, count(*) AS n FROM events WHERE CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY 1, 2")
 
 
 def _st5(s: SparkSession, d: str) -> DataFrame:
-    ticks = _source(s, d).select(F.col("user_id").alias("ticker"), "ts", F.col("value").alias("price"), F.lit(1.0).alias("volume"))
-    out = feeds.bars_from(ticks.withColumn("ts", F.col("ts").cast("timestamp")), "Hour")
-    return _finished(s, out, "complete").select("ticker", F.col("ts").cast("timestamp_ntz").alias("ts"), *(rounded(c).alias(c) for c in ("high", "low", "volume")))
+    ticks = _source(s, d).select(F.col("user_id").alias("ticker"), "ts", F.col("value").alias("price"), F.lit(1.0).alias("volume"), "event_id")
+    out = feeds.bars_from(ticks.withColumn("ts", F.col("ts").cast("timestamp")), "Hour", order=["ts", "event_id"])
+    return _finished(s, out).select("ticker", F.col("ts").cast("timestamp_ntz").alias("ts"), *(rounded(c).alias(c) for c in _BAR))
 
 
-register("st5_bars_from_stream", _st5, f"WITH {MINUTES.replace(chr(39) + 'minute' + chr(39), chr(39) + 'hour' + chr(39))} SELECT ticker, ts, {', '.join(f'{r(c)} AS {c}' for c in ('high', 'low', 'volume'))} FROM bars")
+_BAR = ("open", "high", "low", "close", "volume")
+# bars that the watermark, ten minutes behind the last event, has passed
+register("st5_bars_from_stream", _st5, f"WITH {MINUTES.replace(chr(39) + 'minute' + chr(39), chr(39) + 'hour' + chr(39))} SELECT ticker, ts, {', '.join(f'{r(c)} AS {c}' for c in _BAR)} FROM bars WHERE ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE")

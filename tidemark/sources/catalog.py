@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Partition columns of each grain; a snapshot is replaced as a whole.
@@ -57,8 +58,14 @@ CATALOG = {
         Dataset("intraday_stock_monthly", "month", "ticker", _BAR),
         Dataset("intraday_options_v3_type_dte_monthly", "hive", "underlying", None),
         Dataset("intraday_options_day_substrate_v1", "hive", "underlying", None),
-        *(Dataset(f"{origin}{period}_financials", "year", "ticker", _REPORT, "date is the public date") for origin in ("canonical_", "sec_", "") for period in ("quarterly", "annual")),
-        *(Dataset(f"{origin}quarterly_earnings", "year", "ticker", _EARNINGS) for origin in ("sec_", "")),
+        Dataset("canonical_quarterly_financials", "year", "ticker", _REPORT, "date is the public date"),
+        Dataset("canonical_annual_financials", "year", "ticker", _REPORT, "date is the public date"),
+        Dataset("sec_quarterly_financials", "year", "ticker", _REPORT, "date is the public date"),
+        Dataset("sec_annual_financials", "year", "ticker", _REPORT, "date is the public date"),
+        Dataset("quarterly_financials", "year", "ticker", _REPORT, "date is the public date"),
+        Dataset("annual_financials", "year", "ticker", _REPORT, "date is the public date"),
+        Dataset("sec_quarterly_earnings", "year", "ticker", _EARNINGS),
+        Dataset("quarterly_earnings", "year", "ticker", _EARNINGS),
         Dataset("sec_facts", "year", "ticker", ("cik", "ticker", "taxonomy", "concept", "unit", "val", "periodStart", "periodEnd", "filed", "availableAt", "accession")),
         Dataset("economic", "year", "indicator", ("indicator", "date", "value")),
         Dataset("dividends", "year", "ticker", ("ticker", "cashAmount", "declarationDate", "exDividendDate", "recordDate", "payDate", "frequency", "dividendType")),
@@ -124,8 +131,8 @@ class Lake:
                 continue
             try:
                 parts.append(self.table(d.name).select(F.lit(d.name).alias("dataset"), "year").distinct())
-            except Exception as e:  # noqa: BLE001
-                if "PATH_NOT_FOUND" not in str(e):
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
                     raise
         out = parts[0]
         for p in parts[1:]:
@@ -138,8 +145,8 @@ class Lake:
         for name in self.datasets:
             try:
                 self.table(name).createOrReplaceTempView(name)
-            except Exception as e:  # noqa: BLE001
-                if "PATH_NOT_FOUND" not in str(e):
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
                     raise
                 continue
             made.append(name)
@@ -149,6 +156,21 @@ class Lake:
         """A query over the registered views with bound values (scalars, or lists for array_contains)."""
         return capped(self.spark.sql(query, args=args), max_rows, "the query")
 
+    def contents(self) -> DataFrame:
+        """dataset, grain, part, rows, columns of what lies under the root: a row for each partition (a snapshot: one, null)."""
+        parts = []
+        for d in self.datasets.values():
+            try:
+                df = self.table(d.name)
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                continue
+            part = F.concat_ws("/", *(F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in d.partitions)) if d.partitions else F.lit(None).cast("string")
+            counted = df.groupBy(part.alias("part")).agg(F.count("*").alias("rows"))
+            parts.append(counted.select(F.lit(d.name).alias("dataset"), F.lit(d.grain).alias("grain"), "part", "rows", F.array(*(F.lit(c) for c in df.columns)).alias("columns")))
+        return union_by_name(parts)
+
     def listing(self) -> DataFrame:
         rows = [(d.name, d.grain, d.identity, list(d.partitions), d.notes) for d in self.datasets.values()]
         return self.spark.createDataFrame(rows, "name string, grain string, identity string, partitions array<string>, notes string")
@@ -163,10 +185,15 @@ class Lake:
 
 
 def capped(df: DataFrame, cap: int | None, label: str) -> DataFrame:
-    """df, after a check that it has no more than cap rows; a result over the cap fails, it is never cut."""
-    if cap is not None and df.limit(cap + 1).count() > cap:
-        raise ValueError(f"{label} has more than {cap} rows")
-    return df
+    """df's rows, no more than cap of them; a result over the cap fails when it is read, it is never cut.
+
+    A capped result is small, so it is numbered in one task, and is computed once.
+    """
+    if cap is None:
+        return df
+    place = F.row_number().over(Window.orderBy(F.lit(0)))
+    over = F.raise_error(F.lit(f"{label} has more than {cap} rows")).cast("boolean")
+    return df.limit(cap + 1).withColumn("__place", place).where(F.when(F.col("__place") > cap, over).otherwise(True)).drop("__place")
 
 
 def union_by_name(parts: list[DataFrame]) -> DataFrame:
@@ -185,8 +212,8 @@ def shard_paths(spark: SparkSession, base: str, years: list[int]) -> DataFrame:
     canonical = F.concat(F.lit(f"{base}/"), F.col("year").cast("string"), F.lit("-all.parquet"))
     try:
         listed = spark.read.schema("shards array<string>").option("multiLine", True).json(f"{base}/*.manifest.json").withColumn("year", F.regexp_extract(F.input_file_name(), r"(\d{4})\.manifest\.json", 1).cast("int"))
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return wanted.select("year", canonical.alias("path"))
     live = listed.select("year", F.explode("shards").alias("shard"))

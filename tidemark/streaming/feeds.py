@@ -27,19 +27,18 @@ def absorbed(feed: DataFrame, key: str = "id", order: str = "seq", digest: str =
         if state.hasTimedOut:
             state.remove()
             return
-        last = state.get[0] if state.exists else None
         known = state.exists
         rows = pd.concat(list(frames)).sort_values(order)  # one id's rows of one micro-batch
-        out = []
-        for seq, d in zip(rows[order], rows[digest], strict=True):
-            if not known or d != last:
-                out.append((ids[0], seq, d, known))
-            last, known = d, True
-        state.update((last,))
+        now = rows[digest].astype(object).where(rows[digest].notna(), None)
+        before = [state.get[0] if known else None, *now[:-1]]
+        new = [a != b for a, b in zip(now, before, strict=True)]
+        new[0] |= not known
+        state.update((now.iloc[-1],))
         if time is not None:
             newest = int(rows[time].max().timestamp() * 1000)
             state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + ms)
-        yield pd.DataFrame(out, columns=[key, order, digest, "supersedes"])
+        out = rows.assign(**{key: ids[0], "supersedes": [known] + [True] * (len(rows) - 1)})[new]
+        yield out[[key, order, digest, "supersedes"]]
 
     schema = f"{key} {types[key]}, {order} {types[order]}, {digest} {types[digest]}, supersedes boolean"
     timeout = GroupStateTimeout.NoTimeout if time is None else GroupStateTimeout.EventTimeTimeout
@@ -47,9 +46,10 @@ def absorbed(feed: DataFrame, key: str = "id", order: str = "seq", digest: str =
     return feed.groupBy(key).applyInPandasWithState(absorb, schema, "last string", "append", timeout)
 
 
-def bars_from(ticks: DataFrame, interval: str = "Minute", late: str = "10 minutes") -> DataFrame:
-    """Bars of a stream of trades (ticker, ts, price, volume); a bar comes out when the watermark has passed it."""
-    return bars(ticks.withWatermark("ts", late), interval)
+def bars_from(ticks: DataFrame, interval: str = "Minute", late: str = "10 minutes", order: list | None = None) -> DataFrame:
+    """Bars of a stream of trades (ticker, ts, price, volume); in append mode a bar comes out, and its
+    state goes, when the watermark has passed its end."""
+    return bars(ticks.withWatermark("ts", late), interval, order)
 
 
 def usable_points(points: DataFrame, kind: str, period: str | None = None, late: str = "1 day") -> DataFrame:
