@@ -209,6 +209,38 @@ def test_neighbours_of_repeated_ids(spark):
     assert list(ids) == list(want)
 
 
+def test_graph_search_stops_and_finds():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 6))
+    graph, q = ann.CentroidGraph(x), rng.normal(size=(50, 6))
+    far = np.sqrt(((q[:, None] - x) ** 2).sum(axis=2))
+    lists, d = graph.search(q, 4)
+    assert np.isfinite(d).sum(axis=1).mean() < 250  # not all are looked at
+    assert (lists[:, 0] == far.argmin(axis=1)).mean() > 0.95
+    row, at = ann.probes(graph, q, 1.3)
+    want = [{*np.flatnonzero(far[i] <= 1.3 * far[i].min()), *np.argsort(far[i])[:2]} for i in range(50)]
+    found = [{*at[row == i]} for i in range(50)]
+    assert sum(len(a & b) for a, b in zip(want, found, strict=True)) >= 0.95 * sum(map(len, want))
+
+
+def test_long_lists_are_split_into_cells(spark, monkeypatch):
+    for name, value in (("MOST_LISTS", 4), ("PAGE", 64), ("CELL_ROWS", 40), ("TOGETHER", 100)):
+        monkeypatch.setattr(ann, name, value)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(12, 8))
+    x = np.vstack([centres[rng.integers(0, 12, 1500)] + 0.2 * rng.normal(size=(1500, 8)), np.tile(centres[:1], (500, 1))])  # a quarter equal
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    out = ann.search(d, F.col("vec_id") % 20 == 0, k=10).toPandas()
+    found = 0
+    for i in range(0, 2000, 20):
+        s = (x * x[i]).sum(axis=1)
+        s[i] = -np.inf
+        got = out[out.query_id == i].sort_values("rank")
+        assert len(got) == 10 and got.vec_id.is_unique and np.allclose(got.score, s[got.vec_id])
+        found += (got.score.to_numpy() >= np.sort(s)[-10] - 1e-9).sum()
+    assert found >= 0.9 * 1000
+
+
 # -- 5 --------------------------------------------------------------------------------------------------
 
 
@@ -411,6 +443,51 @@ def test_pii(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def test_added_spans_equal_a_plain_reading(spark):
+    import regex
+
+    extra = ["write to jo [at] site [dot] com or ann@x.org", "card 4111 1111 1111 1111 2 and 4111111111111111", "4111-1111-1111-1111 now", "call (555) 123-4567 or 555-123-4567 or +1 555 123 4567 x", "tel 020.123.4567; no 12-34", "a@b.de 10.0.0.1 555.123.4567.89", ""]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame([(-i - 1, t) for i, t in enumerate(extra)], "doc_id long, text string"))
+    rows = docs.collect()
+    digits = lambda x: re.sub(r"[^0-9]", "", x)
+    valid = {"email": lambda m: len(m) <= 254, "ip": lambda m: all(int(x) <= 255 for x in m.split(".")), "card": lambda m: 13 <= len(digits(m)) <= 19 and luhn(digits(m)), "phone": lambda m: 9 <= len(digits(m)) <= 15}
+
+    def seen(kind, pattern, text):
+        end = 0
+        for m in regex.finditer(pattern, text):
+            before, after = text[end : m.start()][-pii.BEFORE :], text[m.end() : m.end() + 1]
+            end = m.end()
+            says = [regex.search(pii.FORM[kind], m[0]), valid[kind](m[0]), regex.search(pii.GAZETTEER[kind], m[0]), regex.search(pii.CUES[kind], before), not regex.search(r"[\p{L}0-9]", before[-1:]) and not regex.search(r"[\p{L}0-9]", after)]
+            yield m.start(), m.end(), sum(bool(v) << k for k, v in enumerate(says)), min(3, (m.end() - m.start()) // 8)
+
+    base, more, patterns = {}, {}, Counter()
+    for doc, text in rows:
+        own, new = [], []
+        for k, kind in enumerate(pii.KINDS):
+            found = list(seen(kind, pii.BASE[kind], text or ""))
+            own += [(k, *s) for s in found if kind == "email" or s[2] & pii.VALID]
+            new += [(k, *s) for s in seen(kind, pii.FURTHER[kind], text or "")] if kind in pii.FURTHER else []
+        base[doc], more[doc] = own, new
+        patterns.update((k, v, size) for k, _, _, v, size in own + new)
+    models = {}
+    for k in range(4):
+        mine = [(v, size, n) for (kind, v, size), n in patterns.items() if kind == k]
+        votes = Counter()
+        for v, _, n in mine:
+            votes[v] += n
+        if mine:
+            models[k] = pii.train(mine, pii.reliabilities(dict(votes))[2])
+    got = {r["doc_id"]: r["spans"] for r in pii.scan(docs).collect()}
+    meets = lambda a, b: a[1] < b[2] and b[1] < a[2]
+    added = 0
+    for doc, _ in rows:
+        good = [s for s in more[doc] if s[3] & pii.VALID and sum(a * b for a, b in zip(models[s[0]], pii._inputs(s[3], s[4]), strict=True)) >= 0 and not any(meets(s, b) for b in base[doc])]
+        alone = [s for s in good if not any(o[0] < s[0] and meets(s, o) for o in good)]
+        added += len(alone)
+        assert got[doc] == ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b, *_ in sorted(base[doc] + alone)), doc
+    assert added
+
+
 def test_reliabilities_find_the_better_labelers():
     counts = {0b11111: 100, 0b00111: 80, 0b00000: 100, 0b11000: 60}
     share, rates, real = pii.reliabilities(counts)
@@ -548,7 +625,7 @@ def test_mixture_is_a_distribution():
             counts = [np.array([seen.get(h, 0) for h in hashes]) for seen, hashes in zip(c, g.hashes, strict=True)]
             bucket, parts = lm_score.estimates(counts, g.begins, len(texts), len(flat))
             w = weights[bucket[-1]] * (lm_score.default_weights()[bucket[-1]] > 0)
-            total += (w / w.sum()) @ [*parts[-1], 1 / 8]
+            total += (w / w.sum()) @ [*(x[-1] for x in parts), 1 / 8]
         assert total == pytest.approx(1)
 
 

@@ -5,19 +5,22 @@ bounded sample is split in halves by balanced two-means until the parts are smal
 the lists' centroids, linked into a graph with their neighbours that lives in each task's memory.
 Every row is indexed: it goes to its nearest centroid's list, and to those of other centroids that
 are nearly as near (boundary vectors), the nearest REPLICAS at most. A query finds its nearest
-centroids through the graph, reads the lists within a ratio of its nearest centroid's distance, and
-ranks all their vectors exactly. Lists are stored in pages of bounded size, so that one crowded list
-is many tasks' work; a page's queries pass by in blocks.
+centroids through the graph, as far as a ratio of its nearest centroid's distance, and reads those
+lists, ranking all their vectors exactly. Where rows are so many that lists are long, each list is
+split the same way into cells, on a bounded sample of its own, and queries read the cells within the
+ratio. Lists and cells are stored in pages of bounded size, so that one crowded by equal vectors is
+many tasks' work; a page's queries pass by in blocks.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold null or non-finite
 components take no part; a query's own row (same vec_id) is no candidate; rows that repeat a vec_id
-count once, with the smallest of their usable vectors, and ask if one of them asks; ties go to the smaller vec_id; queries with fewer than k candidates get all of them; an
-empty table gives an empty result.
+count once, with the smallest of their usable vectors, and ask if one of them asks; ties go to the
+smaller vec_id; queries with fewer than k candidates get all of them; extra columns and texts are not
+looked at; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,12 +37,17 @@ LIST_ROWS, MOST_LISTS = 512, SAMPLE // 16
 REPLICAS, BOUNDARY = 2, 1.05
 #: Lists are read up to this times the nearest centroid's distance.
 RATIO = 1.1
-#: Vectors in a page of a list.
-PAGE = 2048
+#: Vectors in a page of a cell; lists of more are split into cells of CELL_ROWS, about, MOST_CELLS at most.
+PAGE, CELL_ROWS, MOST_CELLS = 2048, 1024, 1024
+#: Rows of a list's sample for each of its cells, and rows of a list that get their cells together.
+CELL_SAMPLE, TOGETHER = 16, 32_768
 #: Neighbours of a centroid in the graph.
 DEGREE = 24
 
 
+Lift = Callable[[np.ndarray], np.ndarray]
+
+
 def fit_lists(x: np.ndarray, lists: int, seed: int = 7) -> np.ndarray:
     """Centroids of balanced parts of x: halved by two-means at the median, largest part first."""
     rng, parts = np.random.default_rng(seed), [np.arange(len(x))]
@@ -75,42 +83,56 @@ class CentroidGraph:
         self.near = np.array([[*s, *[i] * (width - len(s))] for i, s in enumerate(links)], np.int64).reshape(n, width)
         self.entry = np.unique(np.linspace(0, n - 1, min(n, 8)).astype(np.int64))
 
-    def search(self, q: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """Best-first from a few entries: each row's `most` nearest centroids found, and their distances."""
+    def search(self, q: np.ndarray, most: int, reach: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Best-first from a few entries: each row's centroids found, nearest first, and their distances.
+
+        It stops at a centroid that is neither among the `most` nearest found nor within `reach` times
+        the nearest one's distance; those not found come last, infinitely far.
+        """
         n, k = len(self.c), min(most, len(self.c))
+        own = (q**2).sum(axis=1)
         seen, expanded = np.full((len(q), n), np.inf), np.zeros((len(q), n), bool)
-        seen[:, self.entry] = self._distance(q, np.broadcast_to(self.entry, (len(q), len(self.entry))))
+
+        def look(rows: np.ndarray, at: np.ndarray) -> None:
+            new = ~np.isfinite(seen[rows, at])
+            rows, at = rows[new], at[new]
+            seen[rows, at] = np.maximum(own[rows] + self.norm[at] - 2 * np.einsum("pd,pd->p", q[rows], self.c[at]), 0)
+
         live = np.arange(len(q))
+        look(np.repeat(live, len(self.entry)), np.tile(self.entry, len(live)))
         while len(live):
             d = seen[live]
-            worst = np.partition(d, k - 1, axis=1)[:, k - 1]
+            bound = np.maximum(np.partition(d, k - 1, axis=1)[:, k - 1], reach**2 * d.min(axis=1))
             d[expanded[live]] = np.inf
             at = d.argmin(axis=1)
             best = d[np.arange(len(live)), at]
-            go = np.isfinite(best) & (best <= worst)
+            go = np.isfinite(best) & (best <= bound)
             live, at = live[go], at[go]
             expanded[live, at] = True
             near = self.near[at]
-            seen[live[:, None], near] = self._distance(q[live], near)
-        order = np.argsort(seen, axis=1, kind="stable")[:, :k]
-        return order, np.sqrt(np.maximum(np.take_along_axis(seen, order, 1), 0))
-
-    def _distance(self, q: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return (q**2).sum(axis=1)[:, None] + self.norm[at] - 2 * np.einsum("qd,qkd->qk", q, self.c[at])
+            look(np.repeat(live, near.shape[1]), near.ravel())
+        order = np.argsort(seen, axis=1, kind="stable")
+        return order, np.sqrt(np.take_along_axis(seen, order, 1))
 
 
 def homes(graph: CentroidGraph, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, list, whether it is the row's nearest) of the lists that hold each row."""
-    lists, far = graph.search(x, REPLICAS)
+    lists, far = (a[:, :REPLICAS] for a in graph.search(x, REPLICAS))
     row, k = np.nonzero(far <= BOUNDARY * far[:, :1])
     return row, lists[row, k], k == 0
 
 
-def probes(graph: CentroidGraph, q: np.ndarray, primary: np.ndarray, least: int, ratio: float = RATIO) -> tuple[np.ndarray, np.ndarray]:
-    """(query, list) of the lists to read: all within the ratio, and as many as hold `least` rows."""
-    lists, far = graph.search(q, len(graph.c))
-    enough = np.cumsum(primary[lists], axis=1) - primary[lists] < least
-    row, k = np.nonzero((far <= ratio * far[:, :1]) | enough)
+def probes(graph: CentroidGraph, q: np.ndarray, ratio: float = RATIO, primary: np.ndarray | None = None, least: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(query, list) of the lists to read: all within the ratio, the nearest two at least, and as many
+    as hold `least` rows (primary: how many rows have each list as their nearest)."""
+    lists, far = graph.search(q, 2, ratio)
+    read = (far <= ratio * far[:, :1]) | (np.arange(lists.shape[1]) < 2)
+    if primary is not None:
+        few = (primary[lists] * read).sum(axis=1) < least
+        if few.any():  # hardly any rows near: look at all lists
+            lists[few], far[few] = graph.search(q[few], len(graph.c))
+            read[few] |= np.cumsum(primary[lists[few]], axis=1) - primary[lists[few]] < least
+    row, k = np.nonzero(read & np.isfinite(far))
     return row, lists[row, k]
 
 
@@ -143,6 +165,55 @@ def best_of_page(q: np.ndarray, own: np.ndarray, v: np.ndarray, ids: np.ndarray,
         yield _merged(ids[at], (v[at] * q[i]).sum(axis=1), k)
 
 
+def _in_cells(both: DataFrame, long: list[tuple[int, int, int]], lifted: Lift, asking: Lift, ratio: float) -> DataFrame:
+    """both (list, query, id, vector) with the cell of each row, and the cells that each query reads.
+
+    long: (list, cells, rows) of the lists that are split; cell is 0 in all others.
+    """
+    spark = both.sparkSession
+    rows = [(i, cells, -(-n // TOGETHER), min(1.0, CELL_SAMPLE * cells / n)) for i, cells, n in long]
+    plan = F.broadcast(spark.createDataFrame(rows, "list int, cells int, parts int, share double"))  # MOST_LISTS rows at most
+    both = written(both)
+    split = both.join(plan, "list")
+    draw = F.shiftrightunsigned(F.xxhash64("id"), 1)
+
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        x = lifted(np.stack([np.frombuffer(b) for b in rows["vector"]]))
+        centres = fit_lists(x, int(rows["cells"].iloc[0]))
+        return pd.DataFrame({"list": rows["list"].iloc[:1], "vector": [centres.tobytes()]})
+
+    sample = split.where(~F.col("query") & (draw < (F.col("share") * F.lit(float(2**63 - 1))).cast("long")))
+    centres = written(sample.select("list", "cells", "vector").groupBy("list").applyInPandas(fit, "list int, vector binary"))
+    dealt = split.select("list", (draw % F.col("parts")).cast("int").alias("part"), F.when(F.col("query"), 2).otherwise(1).alias("kind"), "id", "vector")
+    every = centres.join(plan, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("id"), "vector")
+
+    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, graph = None, None
+        for f in frames:
+            for (*at, kind), g in f.groupby(["list", "part", "kind"], sort=False):
+                if at != last:
+                    last, graph = at, None
+                if not kind:
+                    graph = CentroidGraph(np.frombuffer(g["vector"].iloc[0]).reshape(-1, width))
+                    continue
+                for a in range(0, len(g), 512):
+                    part = g.iloc[a : a + 512]
+                    x = np.stack([np.frombuffer(b) for b in part["vector"]])
+                    if graph is None:
+                        row, cell = np.arange(len(x)), np.zeros(len(x), np.int64)
+                    elif kind == 1:
+                        row, cell, _ = homes(graph, lifted(x))
+                    else:
+                        row, cell = probes(graph, asking(x), ratio)
+                    yield pd.DataFrame({"list": at[0], "cell": cell, "query": kind == 2, "id": part["id"].to_numpy()[row], "vector": part["vector"].to_numpy()[row]})
+
+    width = len(both.where("not query").first()["vector"]) // 8 + 1
+    both_kinds = dealt.unionByName(every).repartition("list", "part").sortWithinPartitions("list", "part", "kind")
+    placed = both_kinds.mapInPandas(place, "list int, cell int, query boolean, id long, vector binary")
+    others = both.join(plan, "list", "left_anti").withColumn("cell", F.lit(0))
+    return written(placed.unionByName(others))
+
+
 def search(df: DataFrame, queries: Column, k: int = 20, vector: str = "embedding", key: str = "vec_id", ratio: float = RATIO) -> DataFrame:
     """query_id, rank, vec_id, score of each query's k nearest rows found. queries: which rows ask."""
     spark = df.sparkSession
@@ -173,28 +244,29 @@ def search(df: DataFrame, queries: Column, k: int = 20, vector: str = "embedding
                 yield pd.DataFrame({"list": home, "vec_id": part["vec_id"].to_numpy()[row], "first": first, "asks": part["asks"].to_numpy()[row], "vector": [x[i].tobytes() for i in row]})
 
     indexed = written(rows.mapInPandas(index, "list int, vec_id long, first boolean, asks boolean, vector binary"))
-    counts = indexed.groupBy("list").agg(F.count("*").alias("all"), F.count_if("first").alias("first")).collect()  # a row for each list
-    primary, pages = np.zeros(len(graph.c), np.int64), np.ones(len(graph.c), np.int64)
-    for r in counts:
-        primary[r["list"]], pages[r["list"]] = r["first"], -(-r["all"] // PAGE)
+    sizes = indexed.groupBy("list").agg(F.count("*").alias("all"), F.count_if("first").alias("first")).collect()  # a row for each list
+    primary = np.zeros(len(graph.c), np.int64)
+    for r in sizes:
+        primary[r["list"]] = r["first"]
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for a in range(0, len(f), 512):
                 part = f.iloc[a : a + 512]
                 x = np.stack([np.frombuffer(b) for b in part["vector"]])
-                row, at = probes(held.value, asking(x), primary, 2 * (k + 1), ratio)
-                times = pages[at]
-                row, at = np.repeat(row, times), np.repeat(at, times)
-                page = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-                yield pd.DataFrame({"list": at, "page": page, "query": True, "id": part["vec_id"].to_numpy()[row], "vector": part["vector"].to_numpy()[row]})
-
-    pages_of = F.array(*(F.lit(int(p)) for p in pages)) if len(pages) <= 64 else None
-    per_list = spark.createDataFrame([(i, int(p)) for i, p in enumerate(pages)], "list int, pages int")
-    held_rows = indexed.join(F.broadcast(per_list), "list") if pages_of is None else indexed.withColumn("pages", pages_of[F.col("list")])
-    page = (F.shiftrightunsigned(F.xxhash64("vec_id"), 1) % F.col("pages")).cast("int")
-    stored = held_rows.select("list", page.alias("page"), F.lit(False).alias("query"), F.col("vec_id").alias("id"), "vector")
-    asked = indexed.where("asks and first").select("vec_id", "vector").mapInPandas(ask, "list int, page int, query boolean, id long, vector binary")
+                row, at = probes(held.value, asking(x), ratio, primary, 2 * (k + 1))
+                yield pd.DataFrame({"list": at, "query": True, "id": part["vec_id"].to_numpy()[row], "vector": part["vector"].to_numpy()[row]})
+
+    stored = indexed.select("list", F.lit(False).alias("query"), F.col("vec_id").alias("id"), "vector")
+    asked = indexed.where("asks and first").select("vec_id", "vector").mapInPandas(ask, "list int, query boolean, id long, vector binary")
+    both = stored.unionByName(asked)
+    long = [(r["list"], min(MOST_CELLS, -(-r["all"] // CELL_ROWS)), r["all"]) for r in sizes if r["all"] > PAGE]
+    both = _in_cells(both, long, lifted, asking, ratio) if long else both.withColumn("cell", F.lit(0))
+    held_rows = both.where("not query") if long else stored.withColumn("cell", F.lit(0))
+    pages = held_rows.groupBy("list", "cell").agg(F.ceil(F.count("*") / F.lit(PAGE)).cast("int").alias("pages"))
+    page = (F.shiftrightunsigned(F.xxhash64("id"), 1) % F.col("pages")).cast("int")
+    pages_of = F.when(F.col("query"), F.sequence(F.lit(0), F.col("pages") - 1)).otherwise(F.array(page))
+    both = both.join(pages, ["list", "cell"]).select("list", "cell", F.explode(pages_of).alias("page"), "query", "id", "vector")
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -208,9 +280,9 @@ def search(df: DataFrame, queries: Column, k: int = 20, vector: str = "embedding
         last = None
         for f in frames:
             # a page's rows come before its queries
-            for (at, page, asks), g in f.groupby(["list", "page", "query"], sort=False):
-                if (at, page) != last:
-                    held, last = [], (at, page)
+            for (*at, asks), g in f.groupby(["list", "cell", "page", "query"], sort=False):
+                if at != last:
+                    held, last = [], at
                 x, ids = np.stack([np.frombuffer(b) for b in g["vector"]]), g["id"].to_numpy()
                 if not asks:
                     held.append((x, ids))
@@ -229,7 +301,7 @@ def search(df: DataFrame, queries: Column, k: int = 20, vector: str = "embedding
         if best:
             yield out()
 
-    both = stored.unionByName(asked).repartition("list", "page").sortWithinPartitions("list", "page", "query")
+    both = both.repartition("list", "cell", "page").sortWithinPartitions("list", "cell", "page", "query")
     found = both.mapInPandas(scan, "query_id long, ids array<long>, scores array<double>")
     # a query has a row from each task at most: k of each meet here
     pairs = F.flatten(F.collect_list(F.arrays_zip("ids", "scores")))

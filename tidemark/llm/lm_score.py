@@ -37,7 +37,7 @@ from .common import map_frames, whole_groups, words_of, written
 
 ORDER = 3
 #: Tokens of a chunk, about, and distinct n-grams of a range, about.
-CHUNK, RANGE = 1 << 20, 1 << 22
+CHUNK, RANGE = 3 << 18, 1 << 21
 #: Bits by which n-grams' hashes are longer than it takes to number the corpus's tokens.
 SPARE = 20
 ROUNDS = 30
@@ -184,14 +184,18 @@ def with_counts(corpus: DataFrame, answers: DataFrame, column: str, bits: int, u
             got: list[list[np.ndarray]] = [[] for _ in range(ORDER)]
             for r in rows:
                 got[r.gram_order - 1].append(unpacked(r.answer, r.n))
-            counts = [np.concatenate(x).astype(np.int64)[np.unique(h, return_inverse=True)[1]] for x, h in zip(got, grams.hashes, strict=True)]
+            counts = []
+            for n in range(ORDER):  # an order's hashes go once its counts are there
+                which = np.unique(grams.hashes[n], return_inverse=True)[1]
+                grams.hashes[n] = None
+                counts.append(np.concatenate(got[n]).astype(np.int64)[which])
             yield use(row, grams, counts)
 
     return map_frames(both, run, schema)
 
 
-def estimates(counts: list[np.ndarray], begins: np.ndarray, texts: int, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each token's bucket and its maximum-likelihood estimates, longest context first (0 where it is unknown).
+def estimates(counts: list[np.ndarray], begins: np.ndarray, texts: int, total: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The tokens' buckets, and their maximum-likelihood estimates, longest context first (0 where it is unknown).
 
     texts, total: texts and tokens that were counted. A context was seen as often as it was followed,
     that is as often as it occurs, the start of a text as often as there are texts.
@@ -199,7 +203,7 @@ def estimates(counts: list[np.ndarray], begins: np.ndarray, texts: int, total: i
     contexts = [np.full(len(begins), total, np.int64)]
     for c in counts[:-1]:
         contexts.append(np.where(begins, texts, np.concatenate([[0], c[:-1]])))
-    parts = np.column_stack([c / np.maximum(x, 1) for c, x in zip(counts, contexts, strict=True)][::-1])
+    parts = [c / np.maximum(x, 1) for c, x in zip(counts, contexts, strict=True)][::-1]
     level = lambda x: np.log2(np.maximum(x, 1)).astype(np.int64)
     bucket = np.where(contexts[2] > 0, 64 + level(contexts[2]), np.where(contexts[1] > 0, level(contexts[1]), BUCKETS - 1))
     return bucket, parts
@@ -241,10 +245,10 @@ def learn_weights(corpus: DataFrame, answers: DataFrame, bits: int, texts: int,
     def tally(row: object, grams: Grams, counts: list[np.ndarray]) -> pd.DataFrame:
         bucket, parts = estimates(counts, grams.begins, texts, total)
         cell = bucket
-        for x in parts.T:
+        for x in parts:
             cell = cell * _BINS + np.where(x > 0, np.clip(-np.log2(np.maximum(x, 1e-300)), 0, _BINS - 2).astype(np.int64), _BINS - 1)
         cells, which = np.unique(cell, return_inverse=True)
-        sums = {f"s{k}": np.bincount(which, x) for k, x in enumerate(parts.T)}
+        sums = {f"s{k}": np.bincount(which, x) for k, x in enumerate(parts)}
         return pd.DataFrame({"cell": cells, "n": np.bincount(which), **sums})
 
     schema = ", ".join(["cell long, n long", *(f"s{k} double" for k in range(ORDER))])
@@ -276,7 +280,9 @@ def score(df: DataFrame, held_out: Column, deleted: Column) -> DataFrame:
 
     def scored(row: object, grams: Grams, counts: list[np.ndarray]) -> pd.DataFrame:
         bucket, parts = estimates(counts, grams.begins, counted, total)
-        p = (np.column_stack([parts, np.full(len(parts), 1 / (types + 1))]) * weights[bucket]).sum(axis=1)
+        p = weights[bucket, ORDER] / (types + 1)
+        for k, x in enumerate(parts):
+            p += weights[bucket, k] * x
         each = lambda x: np.add.reduceat(x, grams.first)
         return pd.DataFrame(
             {

@@ -71,12 +71,14 @@ def encoder(tokenizer: str = TOKENIZER) -> Callable[[str], bytes]:
     path = tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer)
     special = _special(path)
     bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=_ranks(path), special_tokens=special)
-    whole_only = re.compile("|".join([r"\s\s", *map(re.escape, special)])).search
-    known: dict[str, bytes] = {}
-    get, encode = known.get, lambda s: np.array(bpe.encode(s, allowed_special="all"), "<u4").tobytes()
+    together, known = re.compile(r"\s\s").search, {}
+    get, ids_of = known.get, lambda ids: np.array(ids, "<u4").tobytes()
+    encode = lambda s: ids_of(bpe.encode_ordinary(s))
 
     def whole(text: str) -> bytes:
-        if whole_only(text):
+        if any(t in text for t in special):
+            return ids_of(bpe.encode(text, allowed_special="all"))
+        if together(text):
             return encode(text)
         first, *rest = text.split(" ")
         out = list(map(get, rest))
@@ -243,7 +245,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         ranked = ranked_in_groups(cut, "length", [F.col("place"), *order], "rank_of_length", bucket=F.shiftright("place", 11))
     else:
         ranked = ranked_in_groups(cut, "length", order, "rank_of_length")
-    placed = ranked.join(slots, ["length", "rank_of_length"]).select(*cut.columns, "sequence_id", "offset")
+    # as many rows as pieces, which Spark can't know: never to be sent to every task
+    placed = ranked.join(slots.hint("merge"), ["length", "rank_of_length"]).select(*cut.columns, "sequence_id", "offset")
     if "place" not in cut.columns:
         return placed
     placed = written(placed)

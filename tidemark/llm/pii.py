@@ -54,7 +54,10 @@ FURTHER = {
 NEEDS = {"email": "@", "phone": "+"}
 
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-_DOMAINS = "com|org|net|edu|gov|int|info|io|eu|de|fr|es|uk|us|it|nl|ch|at|be"
+# Domains that aren't two letters (a country), issuers of cards, country codes of phones.
+_DOMAINS = "[a-z]{2}|com|org|net|edu|gov|mil|int|info|biz|name|pro|aero|coop|museum|jobs|mobi|travel|tel|cat|asia|dev|app|xyz|online|site|store|shop|tech|cloud|blog|example"
+_ISSUERS = "4|5[1-5]|2(?:22[1-9]|2[3-9]|[3-6]|7[01]|720)|3[47]|3(?:0[0-5]|095|[689])|6(?:011|4[4-9]|5|2|7)|35(?:2[89]|[3-8])|50|5[6-8]"
+_COUNTRIES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|(?:2[1-69]|3[578]|42|5[09]|6[7-9]|8[0578]|9[679])[0-9]"
 FORM = {
     "email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@.*\.[A-Za-z]{2,}$",
     "ip": r"^(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}$",
@@ -64,14 +67,14 @@ FORM = {
 GAZETTEER = {
     "email": rf"(?i)(?:\.|dot[\])] ?)(?:{_DOMAINS})$",
     "ip": r"^(?!0|10\.|127\.|2(?:2[4-9]|[3-5][0-9])\.)",
-    "card": r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65|3[068])",
-    "phone": r"^(?:\+(?:1|3[0-469]|4[013-9]|5[1-8]|6[0-6]|7|8[1246]|9[0-58])|\()",
+    "card": rf"^(?:{_ISSUERS})",
+    "phone": rf"^(?:\+(?:{_COUNTRIES})|\()",
 }
 CUES = {
-    "email": r"(?i)(?:e-?mail|contact|write|reach|address|from|to|@)\W*$",
-    "ip": r"(?i)(?:\bip\b|host|server|address|from|client)\W*$",
-    "card": r"(?i)(?:card|visa|master|amex|credit|payment|number|no)\W*$",
-    "phone": r"(?i)(?:phone|tel|call|mobile|cell|fax|contact|number)\W*$",
+    "email": r"(?i)(?:e-?mail|mailto|contact|write|reach|address|from|to|cc|reply|@)\W*$",
+    "ip": r"(?i)(?:\bipv?4?\b|host|server|address|from|client|gateway|proxy|login|ping|ssh)\W*$",
+    "card": r"(?i)(?:card|visa|master|amex|maestro|discover|credit|debit|payment|number|pan|no)\W*$",
+    "phone": r"(?i)(?:phone|tel|call|mobile|cell|fax|contact|number|dial|text|sms|whatsapp|line)\W*$",
 }
 
 
