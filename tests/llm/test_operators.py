@@ -164,11 +164,14 @@ def test_exact_dedup(spark, counters):
 
 
 def test_repeated_rows_of_a_frequent_text_keep_one(spark):
-    d = spark.range(3000, numPartitions=8).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("hot  text")).when(F.col("id") % 3 == 1, F.lit("hottext")).otherwise(F.col("id").cast("string")).alias("text"))
+    d = spark.range(3000, numPartitions=8).select("id", F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("hot  text")).when(F.col("id") % 3 == 1, F.lit("hottext")).otherwise(F.col("id").cast("string")).alias("text"))
     out = exact_dedup.exact_dedup_report(d, 16).toPandas()
     hot = out[out.group_size == 2000]
     assert len(out) == 3000 and len(hot) == 2000 and hot.kept.sum() == 1 and (hot.keep_id == 5).all() and hot[hot.kept].doc_id.tolist() == [5]
     assert out[out.group_size == 1].kept.all() and len(out[out.group_size == 1]) == 1000
+    for rows, left in ((d, 1001), (d.where("id % 3 > 0 or id = 0"), 1001)):  # with and without repeated winners
+        kept = exact_dedup.exact_dedup(rows, 16)
+        assert kept.count() == left and kept.where("text like 'hot %'").count() == 1
 
 
 # -- 4 --------------------------------------------------------------------------------------------------
@@ -209,6 +212,13 @@ def test_neighbours_of_repeated_ids(spark):
     assert list(ids) == list(want)
 
 
+def test_ties_of_neighbours_go_to_the_smaller_id(spark):
+    x = [[1.0, 0.0]] * 30 + [[0.5, 0.5]] * 5
+    d = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "vec_id long, embedding array<double>").withColumn("cell", F.lit("x")).withColumn("page", F.lit(2))
+    out = ann.search(d.union(d), F.col("vec_id") == 3, k=20).toPandas().sort_values("rank")
+    assert out.vec_id.tolist() == [i for i in range(22) if i != 3][:20] and (out.score == 1).all()
+
+
 def test_graph_search_stops_and_finds():
     rng = np.random.default_rng(8)
     x = rng.normal(size=(400, 6))
@@ -269,6 +279,36 @@ def test_toxicity_learns_words(spark):
     assert toxicity.score(empty(spark), labels, held_out("doc_id", 5, 0)).count() == 0
 
 
+def test_scores_and_spans_equal_a_dense_chain(spark):
+    rows = [(i, f"some  plain words {i} here " + ("you utter grumbler! grumbling again " * (1 + i % 2) if i % 4 == 0 else "dear friend ") + "the end " * (i % 7)) for i in range(300)]
+    rows += rows[:3] + [(1000, None), (1001, ""), (1002, "grumbler " * 5000), (None, "you grumbler")]
+    docs = spark.createDataFrame([(*r, "x", 1.0) for r in rows], "doc_id long, text string, spans string, y double")
+    labels = docs.where("doc_id < 300").select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    out = held_out("doc_id", 5, 0)
+    field, beta = toxicity.fit(docs.where(~out), labels.where(~out))
+    want = Counter()
+    for doc, text in rows:
+        places = list(re.finditer(r"\S+", text or ""))
+        found = [[field.weights[f] for f in toxicity.features(m[0]) if f in field.weights] for m in places]
+        p = np.zeros(len(places))
+        if any(found):
+            own = np.array([[1.0, math.exp(field.bias + sum(f))] for f in found])
+            a, b = np.empty_like(own), np.ones_like(own)
+            a[0] = own[0] * [1.0, math.exp(field.start)]
+            for i in range(1, len(own)):
+                a[i] = (a[i - 1] / a[i - 1].sum()) @ field.move * own[i]
+            for i in range(len(own) - 2, -1, -1):
+                b[i] = field.move @ (own[i + 1] * b[i + 1] / b[i + 1].sum())
+            p = (a * b)[:, 1] / (a * b).sum(axis=1)
+        marked = [i for i, f in enumerate(found) if f]
+        q = p[marked]
+        value = 1 / (1 + math.exp(-(beta @ ([1.0, q.max(), math.log1p(q.sum())] if len(q) else [1.0, 0.0, 0.0]))))
+        want[doc, round(value, 6), int(value >= 0.5), ",".join(f"{places[i].start()}:{places[i].end()}" for i in marked if p[i] >= 0.5)] += 1
+    got = toxicity.score(docs, labels, out).collect()
+    assert Counter((r["doc_id"], round(r["score"], 6), r["predicted"], r["spans"]) for r in got) == want
+    assert {r["predicted"] for r in got if r["doc_id"] in (0, 4, 1002, None)} == {1} and {r["predicted"] for r in got if r["doc_id"] in (1, 1000, 1001)} == {0}
+
+
 def test_held_out_labels_teach_nothing(spark, monkeypatch):
     for name, most in (("TOXIC_SAMPLE", 60), ("CLEAN_SAMPLE", 80), ("FIELD_SAMPLE", 20)):
         monkeypatch.setattr(toxicity, name, most)
@@ -314,6 +354,22 @@ def test_license_scan(spark):
     assert license_scan.license_scan(gpl).first()["labels"] == "gpl-3" and license_scan.license_scan(empty(spark)).count() == 0
 
 
+def test_phrases_of_the_base_equal_a_plain_reading(spark):
+    extra = ["under the MIT license under the mit license", "Apache License, Version 2.0", "under the mit licenses cc-by-nc CC BY NC cc by nc", "üunder the mit license", None, ""]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame([(-i - 1, t) for i, t in enumerate(extra)], "doc_id long, text string")).withColumn("labels", F.lit("x"))
+    got = {r["doc_id"]: r for r in license_scan.license_scan(docs).collect()}
+    hits = 0
+    for doc, text in docs.select("doc_id", "text").collect():
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+        places = [(i, label) for p, label in license_scan.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
+        r, at = got[doc], [i for i, _ in places]
+        hits += len(at)
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == (len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places})))
+        assert {*r["base_labels"].split(",")} - {""} <= {*r["labels"].split(",")} and 0 <= r["score"] <= 1
+    assert hits > 5
+
+
 def test_every_place_of_a_notice_is_a_span(spark):
     mpl = license_scan.TEMPLATES["mpl-2"][0]
     n = len(license_scan.words(mpl))
@@ -439,6 +495,8 @@ def test_pii(spark):
         assert r["base_sha256"] == hashlib.sha256(",".join(s for _, s in spans).encode()).hexdigest()
         assert {s for _, s in spans} <= {*r["spans"].split(",")}
     assert pii.scan(empty(spark)).count() == 0
+    clash = docs.limit(20).withColumns({"spans": F.lit(1), "base": F.lit("x"), "more": F.lit(2), "s": F.lit(3)})
+    assert sorted(map(tuple, pii.scan(clash).collect()), key=str) == sorted(map(tuple, pii.scan(docs.limit(20)).collect()), key=str)
     plan = pii.candidates(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 

@@ -41,6 +41,8 @@ RATIO = 1.1
 PAGE, CELL_ROWS, MOST_CELLS = 2048, 1024, 1024
 #: Rows of a list's sample for each of its cells, and rows of a list that get their cells together.
 CELL_SAMPLE, TOGETHER = 16, 32_768
+#: Lists and cells whose number of pages is sent to every task; that of more is joined.
+SENT = 100_000
 #: Neighbours of a centroid in the graph.
 DEGREE = 24
 
@@ -165,7 +167,7 @@ def best_of_page(q: np.ndarray, own: np.ndarray, v: np.ndarray, ids: np.ndarray,
         yield _merged(ids[at], (v[at] * q[i]).sum(axis=1), k)
 
 
-def _in_cells(both: DataFrame, long: list[tuple[int, int, int]], lifted: Lift, asking: Lift, ratio: float) -> DataFrame:
+def _in_cells(both: DataFrame, long: list[tuple[int, int, int]], read: Callable[[pd.Series], np.ndarray], lifted: Lift, asking: Lift, ratio: float) -> DataFrame:
     """both (list, query, id, vector) with the cell of each row, and the cells that each query reads.
 
     long: (list, cells, rows) of the lists that are split; cell is 0 in all others.
@@ -178,7 +180,7 @@ def _in_cells(both: DataFrame, long: list[tuple[int, int, int]], lifted: Lift, a
     draw = F.shiftrightunsigned(F.xxhash64("id"), 1)
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        x = lifted(np.stack([np.frombuffer(b) for b in rows["vector"]]))
+        x = lifted(read(rows["vector"]))
         centres = fit_lists(x, int(rows["cells"].iloc[0]))
         return pd.DataFrame({"list": rows["list"].iloc[:1], "vector": [centres.tobytes()]})
 
@@ -198,7 +200,7 @@ def _in_cells(both: DataFrame, long: list[tuple[int, int, int]], lifted: Lift, a
                     continue
                 for a in range(0, len(g), 512):
                     part = g.iloc[a : a + 512]
-                    x = np.stack([np.frombuffer(b) for b in part["vector"]])
+                    x = read(part["vector"])
                     if graph is None:
                         row, cell = np.arange(len(x)), np.zeros(len(x), np.int64)
                     elif kind == 1:
@@ -207,7 +209,7 @@ def _in_cells(both: DataFrame, long: list[tuple[int, int, int]], lifted: Lift, a
                         row, cell = probes(graph, asking(x), ratio)
                     yield pd.DataFrame({"list": at[0], "cell": cell, "query": kind == 2, "id": part["id"].to_numpy()[row], "vector": part["vector"].to_numpy()[row]})
 
-    width = len(both.where("not query").first()["vector"]) // 8 + 1
+    width = lifted(read([both.where("not query").first()["vector"]])).shape[1]
     both_kinds = dealt.unionByName(every).repartition("list", "part").sortWithinPartitions("list", "part", "kind")
     placed = both_kinds.mapInPandas(place, "list int, cell int, query boolean, id long, vector binary")
     others = both.join(plan, "list", "left_anti").withColumn("cell", F.lit(0))
@@ -218,6 +220,8 @@ def search(df: DataFrame, queries: Column, k: int = 20, vector: str = "embedding
     """query_id, rank, vec_id, score of each query's k nearest rows found. queries: which rows ask."""
     spark = df.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    stored_as = "<f4" if df.schema[vector].dataType.simpleString() == "array<float>" else "<f8"
+    read = lambda blobs: np.stack([np.frombuffer(b, stored_as) for b in blobs]).astype(float)
     df = df.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"), F.coalesce(queries, F.lit(False)).alias("asks")).where("vec_id is not null")
     sizes = df.groupBy(F.size("v").alias("n")).count().where("n > 0").orderBy(F.desc("count"), "n").first()
     if sizes is None:
@@ -241,7 +245,7 @@ def search(df: DataFrame, queries: Column, k: int = 20, vector: str = "embedding
                 part = f.iloc[a : a + 2048]
                 x = np.stack(part["v"].to_numpy())
                 row, home, first = homes(held.value, lifted(x))
-                yield pd.DataFrame({"list": home, "vec_id": part["vec_id"].to_numpy()[row], "first": first, "asks": part["asks"].to_numpy()[row], "vector": [x[i].tobytes() for i in row]})
+                yield pd.DataFrame({"list": home, "vec_id": part["vec_id"].to_numpy()[row], "first": first, "asks": part["asks"].to_numpy()[row], "vector": [x[i].astype(stored_as).tobytes() for i in row]})
 
     indexed = written(rows.mapInPandas(index, "list int, vec_id long, first boolean, asks boolean, vector binary"))
     sizes = indexed.groupBy("list").agg(F.count("*").alias("all"), F.count_if("first").alias("first")).collect()  # a row for each list
@@ -253,7 +257,7 @@ def search(df: DataFrame, queries: Column, k: int = 20, vector: str = "embedding
         for f in frames:
             for a in range(0, len(f), 512):
                 part = f.iloc[a : a + 512]
-                x = np.stack([np.frombuffer(b) for b in part["vector"]])
+                x = read(part["vector"])
                 row, at = probes(held.value, asking(x), ratio, primary, 2 * (k + 1))
                 yield pd.DataFrame({"list": at, "query": True, "id": part["vec_id"].to_numpy()[row], "vector": part["vector"].to_numpy()[row]})
 
@@ -261,12 +265,13 @@ def search(df: DataFrame, queries: Column, k: int = 20, vector: str = "embedding
     asked = indexed.where("asks and first").select("vec_id", "vector").mapInPandas(ask, "list int, query boolean, id long, vector binary")
     both = stored.unionByName(asked)
     long = [(r["list"], min(MOST_CELLS, -(-r["all"] // CELL_ROWS)), r["all"]) for r in sizes if r["all"] > PAGE]
-    both = _in_cells(both, long, lifted, asking, ratio) if long else both.withColumn("cell", F.lit(0))
+    both = _in_cells(both, long, read, lifted, asking, ratio) if long else both.withColumn("cell", F.lit(0))
     held_rows = both.where("not query") if long else stored.withColumn("cell", F.lit(0))
     pages = held_rows.groupBy("list", "cell").agg(F.ceil(F.count("*") / F.lit(PAGE)).cast("int").alias("pages"))
     page = (F.shiftrightunsigned(F.xxhash64("id"), 1) % F.col("pages")).cast("int")
     pages_of = F.when(F.col("query"), F.sequence(F.lit(0), F.col("pages") - 1)).otherwise(F.array(page))
-    both = both.join(pages, ["list", "cell"]).select("list", "cell", F.explode(pages_of).alias("page"), "query", "id", "vector")
+    number = len(sizes) + sum(cells for _, cells, _ in long)  # of lists and cells
+    both = both.join(F.broadcast(pages) if number <= SENT else pages, ["list", "cell"]).select("list", "cell", F.explode(pages_of).alias("page"), "query", "id", "vector")
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -283,7 +288,7 @@ def search(df: DataFrame, queries: Column, k: int = 20, vector: str = "embedding
             for (*at, asks), g in f.groupby(["list", "cell", "page", "query"], sort=False):
                 if at != last:
                     held, last = [], at
-                x, ids = np.stack([np.frombuffer(b) for b in g["vector"]]), g["id"].to_numpy()
+                x, ids = read(g["vector"]), g["id"].to_numpy()
                 if not asks:
                     held.append((x, ids))
                     continue

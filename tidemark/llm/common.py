@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -32,15 +33,29 @@ def map_frames(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd
         frames = (b.slice(a, rows).to_pandas() for b in batches for a in range(0, b.num_rows, rows))
         for out in fn(frames):
             yield pa.RecordBatch.from_pandas(out, schema=out_schema, preserve_index=False)
+        pa.default_memory_pool().release_unused()  # workers live on
 
     return df.mapInArrow(run, schema)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """What is run inside hands Python workers `rows` rows at a time; the session's setting comes back after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = new_path(spark, "part")
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ other digests go through an ordinary shuffle by digest, whose groups are small b
 
 Defined cases: a null text counts as empty, empty texts are equal to each other; of equal texts the
 one with the most code points stays, then the smallest doc_id (null ids last); of rows that repeat
-the same id and length one stays. An empty table gives an empty result. Extra columns are kept.
+the same id and length one stays. Very long texts are hashed whole where they are read. An empty table gives an empty result. Extra columns are kept.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, sheltered, written
@@ -73,29 +73,43 @@ def heavy_winners(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
     )
 
 
-def mark_duplicates(df: DataFrame, heavy: DataFrame) -> DataFrame:
+def _wins() -> Column:
+    return (F.col("text_length") == F.col("heavy_length")) & F.col("doc_id").eqNullSafe(F.col("heavy_id"))
+
+
+def repeats_a_winner(digests: DataFrame, heavy: DataFrame) -> bool:
+    """Whether several rows equal a frequent digest's winner in length and id."""
+    equal = digests.join(F.broadcast(heavy), "text_sha256").where(_wins())
+    return not equal.groupBy("text_sha256").count().where("count > 1").isEmpty()
+
+
+def mark_duplicates(df: DataFrame, heavy: DataFrame, repeated: bool = True) -> DataFrame:
     """Adds keep_id, group_size and kept to rows that have text_sha256 and text_length.
 
     Rows of a frequent digest are marked where they are read. Those that equal its winner in length
-    and id (repeated rows) are told apart in two steps, first within what each task has read.
+    and id are told apart in two steps, first within what each task has read; where it is known that
+    there are no such repeated rows, all are marked in one reading.
     """
     place, part = fresh(df, "place"), fresh(df, "part")
     joined = df.join(F.broadcast(heavy), "text_sha256", "left")
     frequent = F.col("heavy_size").isNotNull()
-    wins = (F.col("text_length") == F.col("heavy_length")) & F.col("doc_id").eqNullSafe(F.col("heavy_id"))
     known = {"keep_id": F.col("heavy_id"), "group_size": F.col("heavy_size")}
-    at_once = joined.where(frequent & ~wins).withColumns({**known, "kept": F.lit(False)})
-    equal = joined.where(frequent & wins).withColumn(part, F.spark_partition_id())
+    at_once = joined.where(frequent & ~_wins()).withColumns({**known, "kept": F.lit(False)})
+    same = Window.partitionBy("text_sha256")
+    ordered = same.orderBy(F.desc("text_length"), F.asc_nulls_last("doc_id"))
+    rest = joined.where(~frequent if repeated else ~frequent | _wins()).withColumn(place, F.row_number().over(ordered))
+    size = F.count(F.lit(1)).over(same)
+    rest = rest.withColumns({"keep_id": F.first("doc_id").over(ordered), "group_size": size if repeated else F.coalesce("heavy_size", size), "kept": F.col(place) == 1}).drop(place)
+    out = at_once.unionByName(rest)
+    if not repeated:
+        return out.drop("heavy_size", "heavy_length", "heavy_id")
+    equal = joined.where(frequent & _wins()).withColumn(part, F.spark_partition_id())
     equal = equal.withColumn(place, F.row_number().over(Window.partitionBy("text_sha256", part).orderBy("text_length")))
     first = equal.where(F.col(place) == 1)
     first = first.withColumn(place, F.row_number().over(Window.partitionBy("text_sha256").orderBy(part)))
     equal = equal.where(F.col(place) > 1).unionByName(first.withColumn(place, F.when(F.col(place) == 1, 1).otherwise(2)))
     equal = equal.withColumns({**known, "kept": F.col(place) == 1}).drop(part, place)
-    same = Window.partitionBy("text_sha256")
-    ordered = same.orderBy(F.desc("text_length"), F.asc_nulls_last("doc_id"))
-    rest = joined.where(~frequent).withColumn(place, F.row_number().over(ordered))
-    rest = rest.withColumns({"keep_id": F.first("doc_id").over(ordered), "group_size": F.count(F.lit(1)).over(same), "kept": F.col(place) == 1}).drop(place)
-    return at_once.unionByName(equal).unionByName(rest).drop("heavy_size", "heavy_length", "heavy_id")
+    return out.unionByName(equal).drop("heavy_size", "heavy_length", "heavy_id")
 
 
 def exact_dedup(df: DataFrame, counters: int = COUNTERS) -> DataFrame:
@@ -103,7 +117,8 @@ def exact_dedup(df: DataFrame, counters: int = COUNTERS) -> DataFrame:
     own, columns = sheltered(df, "doc_id", "text")
     d = with_digest(own)
     narrow = written(d.select("doc_id", "text_sha256", "text_length"))
-    kept = mark_duplicates(d, written(heavy_winners(narrow, counters))).where("kept")
+    heavy = written(heavy_winners(narrow, counters))
+    kept = mark_duplicates(d, heavy, repeats_a_winner(narrow, heavy)).where("kept")
     return kept.select(*columns)
 
 

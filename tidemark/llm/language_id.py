@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BATCH_CHARS, BATCH_ROWS, chunks, map_frames
+from .common import BATCH_CHARS, BATCH_ROWS, chunks, fresh, map_frames
 
 #: N-grams in a profile.
 PROFILE = 400
@@ -170,22 +170,21 @@ def identify(df: DataFrame, profiles: dict[str, list[int]], text: str = "text",
     ranks = np.full((len(grams) + 1, len(names)), -1, np.int64)
     for k, name in enumerate(names):
         ranks[np.searchsorted(grams, profiles[name]), k] = np.arange(len(profiles[name]))
-    own = df.drop("lang_pred", "score")
-    out_schema = pa.schema([("lang_pred", pa.string()), ("score", pa.float64())])
-
-    def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # all columns but the text pass by as they are
-        for batch in batches:
-            for a in range(0, batch.num_rows, BATCH_ROWS):
-                rows = batch.slice(a, BATCH_ROWS)
-                texts = rows.column(at).to_pylist()
-                found = [nearest(texts[i:j], names, grams, ranks, size) for i, j in _runs(texts)]
-                made = pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), f.type) for x, f in zip(zip(*found, strict=True), out_schema, strict=True)], schema=out_schema)
-                yield pa.RecordBatch.from_arrays([*rows.columns, *made.columns], names=[*rows.schema.names, *made.schema.names])
-
-    at = own.columns.index(text)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields), "lang_pred string, score double"])
-    return own.mapInArrow(tag, schema)
+
+    @F.arrow_udf("lang_pred string, score double")
+    def tag(texts: pa.Array) -> pa.Array:
+        found: list[tuple[str, float]] = []
+        for a in range(0, len(texts), BATCH_ROWS):
+            part = texts.slice(a, BATCH_ROWS).to_pylist()
+            for i, j in _runs(part):
+                found += zip(*nearest(part[i:j], names, grams, ranks, size), strict=True)
+        lang, score = zip(*found, strict=True) if found else ((), ())
+        return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["lang_pred", "score"])
+
+    # only texts go to Python; all other columns stay where they are
+    own, tagged = df.drop("lang_pred", "score"), fresh(df, "tagged")
+    out = own.withColumn(tagged, tag.asNondeterministic()(F.col(text)))  # so that no filter repeats it
+    return out.select(*(F.col(f"`{c}`") for c in own.columns), F.col(tagged)["lang_pred"].alias("lang_pred"), F.col(tagged)["score"].alias("score"))
 
 
 def _runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:

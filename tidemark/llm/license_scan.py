@@ -10,7 +10,7 @@ neighbouring words are neighbours in some template can hold such runs, so only t
 
 Defined cases: A-Z is lower-cased, words are runs of 0-9, a-z and everything beyond ASCII; a null
 text counts as empty; empty texts have no words and no labels; overlapping places of a phrase all
-count; repeated rows are scanned alike; an empty table gives an empty result.
+count; very long texts are scanned whole, by themselves; repeated rows are scanned alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -43,6 +43,8 @@ SPARE = 20
 ROUNDS = 30
 #: Parts that a chunk's text belongs to: counted at first, counted later, never counted.
 KEPT, DELETED, HELD_OUT = 0, 1, 2
+#: Chunk numbers of rows that tell how many n-grams there are.
+TRAINED, COUNTED = -1, -2
 _START, _END = xxhash.xxh3_64_intdigest(b"\t"), xxhash.xxh3_64_intdigest(b" ")  # no word holds white space
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 #: Buckets: 64 by the pair of tokens before, 64 by the one before, one for neither known.
@@ -131,7 +133,7 @@ def _width(order: int, bits: int) -> int:
 def exchanged(corpus: DataFrame, bits: int, ranges: int) -> DataFrame:
     """chunk, part, gram_order, hash_range, n, counts (of all training texts), kept (of the kept ones, for deleted chunks).
 
-    2^ranges ranges. Rows of chunk -1 tell how many n-grams of a range training and kept texts have.
+    2^ranges ranges. Rows of chunk TRAINED and COUNTED tell how many n-grams of a range training and kept texts have.
     """
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -158,7 +160,7 @@ def exchanged(corpus: DataFrame, bits: int, ranges: int) -> DataFrame:
             ends = np.cumsum(g["n"].to_numpy())
             kept = np.concatenate([c if p == KEPT else np.zeros_like(c) for c, p in zip(own, g["part"], strict=True)])
             total = [np.bincount(which, x, len(distinct)).astype(np.int64) for x in (np.concatenate(own), kept)]
-            out = [(-1, HELD_OUT, order, at, int((total[0] > 0).sum()), None, packed(np.array([(total[1] > 0).sum()])))]
+            out = [(c, HELD_OUT, order, at, int((t > 0).sum()), None, None) for c, t in zip((TRAINED, COUNTED), total, strict=True)]
             for chunk, part, n, e in zip(g["chunk"], g["part"], g["n"], ends, strict=True):
                 mine = which[e - n : e]
                 out.append((chunk, part, order, at, n, packed(total[0][mine]), packed(total[1][mine]) if part == DELETED else None))
@@ -270,10 +272,9 @@ def score(df: DataFrame, held_out: Column, deleted: Column) -> DataFrame:
     tokens, texts = ([size.get(p, (0, 0))[i] for p in (KEPT, DELETED, HELD_OUT)] for i in (0, 1))
     bits = min(64, SPARE + sum(tokens).bit_length())
     answers = written(exchanged(corpus, bits, (sum(tokens) // RANGE).bit_length()))
-    types, kept_types = 0, 0
-    for r in answers.where("chunk < 0 and gram_order = 1").select("n", "kept").toLocalIterator():  # a row for each range
-        types, kept_types = types + r["n"], kept_types + int(unpacked(r["kept"], 1)[0])
-    weights = learn_weights(corpus, answers, bits, texts[KEPT], tokens[KEPT], kept_types)
+    distinct = {r["chunk"]: r["n"] for r in answers.where("chunk < 0 and gram_order = 1").groupBy("chunk").agg(F.sum("n").alias("n")).collect()}
+    types = distinct.get(TRAINED, 0)
+    weights = learn_weights(corpus, answers, bits, texts[KEPT], tokens[KEPT], distinct.get(COUNTED, 0))
     total, counted = tokens[KEPT] + tokens[DELETED], texts[KEPT] + texts[DELETED]
     if not total:
         weights[:] = [0] * ORDER + [1]

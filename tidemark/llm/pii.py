@@ -9,7 +9,7 @@ classifier adds others, such as a card or phone number that runs on into its nei
 
 Defined cases: a null text counts as empty; texts without spans give zeros and empty strings;
 offsets are code points, ends exclusive; of overlapping spans the base one stays, and of added ones
-the first by kind; repeated rows are scanned alike; an empty table gives an empty result.
+the first by kind; very long texts are read whole; repeated rows are scanned alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations
