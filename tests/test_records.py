@@ -144,3 +144,12 @@ def test_shared_folder(spark):
     assert storage.new_path(session("local[2]", "hdfs://a"), "x").startswith("hdfs://a/tidemark-app-1/x-")
     with pytest.raises(ValueError, match="share"):
         storage.shared_dir(session("spark://host"))
+
+
+def test_a_series_may_not_shrink(spark):
+    series = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 3.0)], "series string, value double")
+    new = spark.createDataFrame([(9.0,)], "value double")
+    with pytest.raises(Exception, match="shrink"):
+        Q.replaced(series, new, "a").collect()
+    assert sorted(map(tuple, Q.replaced(series, new, "a", True).collect())) == [("a", 9.0), ("b", 3.0)]
+    assert sorted(map(tuple, Q.replaced(series, new, "b").collect())) == [("a", 1.0), ("a", 2.0), ("b", 9.0)]

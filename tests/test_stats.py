@@ -6,7 +6,6 @@ import datetime as dt
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.operators import stats as S
 
@@ -77,12 +76,10 @@ def test_bootstrap_equals_its_definition(spark):
     y = 0.5 * x + rng.normal(size=n)
     xy = spark.createDataFrame([("a", i, float(a), float(b)) for i, (a, b) in enumerate(zip(x, y, strict=True))], "g string, i long, x double, y double")
     got = S.block_bootstrap_corr(xy, ["g"], "i", block=block, n_boot=reps, seed=9).first()
-    blocks = -(-n // block)
-    starts = xy.sparkSession.range(reps * blocks).selectExpr("id div {0} AS rep".format(blocks), "id % {0} AS b".format(blocks)).select("rep", F.col("b").cast("int").alias("b"))
-    starts = starts.select("rep", "b", F.floor(S._random(9, F.col("rep"), F.col("b"), F.xxhash64(F.lit("a"))) * n).cast("int").alias("s")).collect()
     boot = []
     for rep in range(reps):
-        at = [(r["s"] + k) % n for r in sorted((r for r in starts if r["rep"] == rep), key=lambda r: r["b"]) for k in range(block)][:n]
+        start = np.random.default_rng([9, rep]).integers(0, n, -(-n // block))
+        at = [(s + k) % n for s in start for k in range(block)][:n]
         boot.append(np.corrcoef(x[at], y[at])[0, 1])
     assert got["r"] == pytest.approx(np.corrcoef(x, y)[0, 1])
     assert (got["ci_low"], got["ci_high"]) == pytest.approx(tuple(np.percentile(boot, [2.5, 97.5])))

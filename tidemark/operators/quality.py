@@ -118,7 +118,8 @@ def manifest_audit(parts: DataFrame, manifest: str = "manifest") -> DataFrame:
 
 
 def written_manifest(spark, path: str) -> DataFrame:  # noqa: ANN001
-    """part, path, sha256, byte_size of the Parquet files under path, in name order."""
+    """part, path, sha256, byte_size of the Parquet files under path, in name order. A file is one row's
+    work, so files are of 2 GB at most."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
     named = files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("byte_size"))
     return named.withColumn("part", F.row_number().over(Window.orderBy("path")) - 1)  # a row for each file
@@ -159,9 +160,12 @@ def new_points(points: DataFrame, series: DataFrame, columns: list[str]) -> Data
 
 def replaced(series: DataFrame, points: DataFrame, name: str, allow_shrink: bool = False) -> DataFrame:
     """series with the named one replaced by points; fewer points than before are refused unless allowed."""
-    if not allow_shrink and points.count() < series.where(F.col("series") == name).count():
-        raise ValueError("the series would shrink")
-    return series.where(F.col("series") != name).unionByName(points.withColumn("series", F.lit(name)), allowMissingColumns=True)
+    out = series.where(F.col("series") != name).unionByName(points.withColumn("series", F.lit(name)), allowMissingColumns=True)
+    if allow_shrink:
+        return out
+    sizes = points.agg(F.count("*").alias("new")).crossJoin(series.where(F.col("series") == name).agg(F.count("*").alias("old")))
+    fine = sizes.select(F.when(F.col("new") < F.col("old"), F.raise_error(F.lit("the series would shrink")).cast("boolean")).otherwise(True).alias("__fine"))
+    return out.crossJoin(F.broadcast(fine)).where("__fine").drop("__fine")  # one row: checked as the result is read
 
 
 def one_to_one(expected: DataFrame, returned: DataFrame, index: str = "idx") -> DataFrame:

@@ -2,14 +2,15 @@
 mean-shift breaks, unit roots and specification curves.
 
 Functions take long tables; a `group` column separates series that are worked on together. Nulls and
-NaN are left out. Random replicates come from hashes of (seed, replicate, place), so a seed always
-gives the same result, whatever the partitions; draws are our own.
+NaN are left out. Random replicates come from (seed, replicate), so a seed always gives the same
+result, whatever the partitions; draws are our own. Replicates are made in tasks that hold one
+group's series, as the unit-root test does; all else takes series of any length.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -93,42 +94,57 @@ def hac_slope(xy: DataFrame, group: list[str], order: str, x: str = "x", y: str
     return out.withColumn("t", F.try_divide("slope", "hac_se")).withColumn("p", two_sided_p(F.col("t")))
 
 
-def _random(seed: int, *parts: Column) -> Column:
-    """Uniform in [0, 1) by hash."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *parts), 11) / F.lit(float(1 << 53))
+#: Parts that the replicates of a bootstrap or a permutation test are dealt to, as tasks.
+BATCHES = 16
+
+
+def _replicated(df: DataFrame, group: list[str], order: str, values: list[str], n: int, work: Callable[..., list[tuple]], schema: str) -> DataFrame:
+    """Rows of work(values in order, replicate numbers) of each group, with the group's columns.
+
+    Each of BATCHES tasks has the group's series once and makes its part of the n replicates there.
+    """
+    kinds = dict(df.dtypes)
+    names = [*group, *(c.split()[0] for c in schema.split(", "))]
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        mine = range(int(rows["__batch"].iloc[0]), n, BATCHES)
+        rows = rows.sort_values("__order", kind="stable")
+        key = [rows[g].iloc[0] for g in group]
+        return pd.DataFrame([(*key, *r) for r in work(*(rows[v].to_numpy(float) for v in values), mine)], columns=names)
+
+    dealt = df.select(*group, F.col(order).alias("__order"), *values, F.explode(F.sequence(F.lit(0), F.lit(BATCHES - 1))).alias("__batch"))
+    return dealt.groupBy(*group, "__batch").applyInPandas(run, ", ".join([*(f"{g} {kinds[g]}" for g in group), schema]))
 
 
 def block_bootstrap_corr(xy: DataFrame, group: list[str], order: str, x: str = "x", y: str = "y", block: int = 5, n_boot: int = 2000, seed: int = 12345) -> DataFrame:
     """n, r, ci_low, ci_high, p of each group's Pearson correlation by a circular moving-block bootstrap.
 
-    A replicate is only block starts. Sums over a block are differences of running sums, so a
-    replicate costs a row for each block, not for each point.
+    A replicate is only block starts, drawn by (seed, replicate). Sums over a block are differences of
+    running sums, so a replicate costs a step for each block, not for each point.
     """
-    w = Window.partitionBy(*group)
-    d = finite(xy, x, y).select(*group, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), (F.row_number().over(w.orderBy(order)) - 1).alias("i"), F.count("*").over(w).alias("n"))
-    known = d.groupBy(*group).agg(F.max("n").alias("n"), F.corr("x", "y").alias("r"), (F.max("x") - F.min("x")).alias("sx"), (F.max("y") - F.min("y")).alias("sy"))
-    moments = {"a": F.col("x"), "b": F.col("y"), "aa": F.col("x") * F.col("x"), "bb": F.col("y") * F.col("y"), "ab": F.col("x") * F.col("y")}
-    twice = d.withColumn("i", F.explode(F.array(F.col("i"), F.col("i") + F.col("n"))))
-    upto = w.orderBy("i").rowsBetween(-(block - 1), 0)
-    # the sums of the `length` points that end at i, for whole blocks and for the cut last one
-    sums = [F.sum(m).over(upto).alias(f"s_{k}") for k, m in moments.items()]
-    whole = twice.select(*group, "i", "n", "x", "y", *sums)
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    draws = known.where("n >= 3 and sx > 0 and sy > 0").select(*group, "n", "r").withColumn("b", F.explode(F.sequence(F.lit(0), blocks - 1))).crossJoin(xy.sparkSession.range(n_boot).withColumnRenamed("id", "rep"))
-    keys = [F.xxhash64(*map(F.col, group))] if group else []
-    start = F.floor(_random(seed, F.col("rep"), F.col("b"), *keys) * F.col("n")).cast("int")
-    cut = F.when(F.col("b") == blocks - 1, F.col("n") - F.lit(block) * F.col("b")).otherwise(F.lit(block))
-    drawn = draws.withColumn("start", start).withColumn("length", cut)
-    full = drawn.where(F.col("length") == block).withColumn("i", F.col("start") + block - 1)
-    got = full.join(whole.drop("n", "x", "y"), [*group, "i"]).select(*group, "rep", *(f"s_{k}" for k in moments))
-    part = drawn.where(F.col("length") < block).withColumn("i", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)))
-    got = got.unionByName(part.join(twice.select(*group, "i", "x", "y"), [*group, "i"]).select(*group, "rep", *(m.alias(f"s_{k}") for k, m in moments.items())))
-    reps = got.groupBy(*group, "rep").agg(*(F.sum(f"s_{k}").alias(k) for k in moments)).join(known.select(*group, "n", "r"), group) if group else got.groupBy("rep").agg(*(F.sum(f"s_{k}").alias(k) for k in moments)).crossJoin(known.select("n", "r"))
-    va, vb = F.col("aa") - F.col("a") * F.col("a") / F.col("n"), F.col("bb") - F.col("b") * F.col("b") / F.col("n")
-    boot = F.when((va > 1e-12) & (vb > 1e-12), (F.col("ab") - F.col("a") * F.col("b") / F.col("n")) / F.sqrt(va * vb)).otherwise(0.0)
-    reps = reps.withColumn("boot", boot)
+    d = finite(xy, x, y).select(*group, order, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    known = d.groupBy(*group).agg(F.count("*").alias("n"), F.corr("x", "y").alias("r"), (F.max("x") - F.min("x")).alias("sx"), (F.max("y") - F.min("y")).alias("sy"))
+
+    def draw(x: np.ndarray, y: np.ndarray, reps: range) -> list[tuple]:
+        n = len(x)
+        if n < 3 or not np.ptp(x) or not np.ptp(y):
+            return []
+        x, y = x - x.mean(), y - y.mean()
+        moments = np.stack([x, y, x * x, y * y, x * y])
+        upto = np.concatenate([np.zeros((5, 1)), np.cumsum(np.tile(moments, -(-(n + block) // n)), axis=1)], axis=1)
+        length = np.minimum(block, n - block * np.arange(-(-n // block)))
+        out = []
+        for rep in reps:
+            start = np.random.default_rng([seed, rep]).integers(0, n, len(length))
+            a, b, aa, bb, ab = (upto[:, start + length] - upto[:, start]).sum(axis=1)
+            va, vb = aa - a * a / n, bb - b * b / n
+            out.append((float((ab - a * b / n) / np.sqrt(va * vb)) if va > 1e-12 and vb > 1e-12 else 0.0,))
+        return out
+
+    boots = _replicated(d, group, order, ["x", "y"], n_boot, draw, "boot double")
+    boots = boots.join(known.select(*group, "r"), group) if group else boots.crossJoin(known.select("r"))
     other = F.avg(F.when(F.col("r") > 0, (F.col("boot") <= 0).cast("double")).otherwise((F.col("boot") >= 0).cast("double")))
-    found = reps.groupBy(*group).agg(F.percentile("boot", F.lit(0.025)).alias("ci_low"), F.percentile("boot", F.lit(0.975)).alias("ci_high"), F.least(F.lit(1.0), F.greatest(F.lit(1 / n_boot), 2 * other)).alias("p"))
+    found = boots.groupBy(*group).agg(F.percentile("boot", F.lit(0.025)).alias("ci_low"), F.percentile("boot", F.lit(0.975)).alias("ci_high"), F.least(F.lit(1.0), F.greatest(F.lit(1 / n_boot), 2 * other)).alias("p"))
     left = known.select(*group, "n", F.when((F.col("n") >= 3) & (F.col("sx") > 0) & (F.col("sy") > 0), F.col("r")).alias("r"))
     return left.join(found, group, "left") if group else left.crossJoin(found)
 
@@ -157,11 +173,23 @@ def mean_shift_break(series: DataFrame, group: list[str], order: str, value: str
     out = sizes.join(best, group, "left")
     if min_abs_shift is not None:
         return out.withColumns({"p": F.lit(None).cast("double"), "detected": F.coalesce(F.col("score") >= min_abs_shift, F.lit(False))})
-    reps = finite(series, value).select(*group, F.col(order).alias("o"), F.col(value).alias("v")).crossJoin(F.broadcast(series.sparkSession.range(n_perm).withColumnRenamed("id", "rep")))
-    mixed = reps.withColumn("place", F.xxhash64(F.lit(seed), F.col("rep"), F.col("o").cast("string"), *map(F.col, group)))
-    perm = split_scores(mixed, [*group, "rep"], "place", "v", step, min_side).groupBy(*group, "rep").agg(F.max("score").alias("perm"))
-    exceeding = perm.join(best, group).groupBy(*group).agg(((1 + F.count_if(F.col("perm") >= F.col("score"))) / F.lit(1.0 + n_perm)).alias("p"))
-    return out.join(exceeding, group, "left").withColumn("detected", F.coalesce(F.col("p") < alpha, F.lit(False)))
+
+    def permute(v: np.ndarray, reps: range) -> list[tuple]:
+        n = len(v)
+        splits = np.arange(min_side, n - min_side + 1, step) if n >= 2 * min_side + 1 else np.empty(0, int)
+        if not len(splits):
+            return []
+
+        def score(v: np.ndarray) -> float:
+            before = np.cumsum(v)[splits - 1]
+            return float(np.abs(before / splits - (v.sum() - before) / (n - splits)).max())
+
+        own = score(v)
+        return [(sum(score(np.random.default_rng([seed, r]).permutation(v)) >= own for r in reps), len(reps))]
+
+    counted = _replicated(finite(series, value).withColumn("__v", F.col(value).cast("double")), group, order, ["__v"], n_perm, permute, "__over long, __of long")
+    exceeding = counted.groupBy(*group).agg(((1 + F.sum("__over")) / (1 + F.sum("__of"))).alias("p"))
+    return (out.join(exceeding, group, "left") if group else out.crossJoin(exceeding)).withColumn("detected", F.coalesce(F.col("p") < alpha, F.lit(False)))
 
 
 def predictor_transforms(x: DataFrame, order: str, value: str, baseline: float | None = None, group: list[str] | None = None) -> DataFrame:
