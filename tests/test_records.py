@@ -153,3 +153,18 @@ def test_a_series_may_not_shrink(spark):
         Q.replaced(series, new, "a").collect()
     assert sorted(map(tuple, Q.replaced(series, new, "a", True).collect())) == [("a", 9.0), ("b", 3.0)]
     assert sorted(map(tuple, Q.replaced(series, new, "b").collect())) == [("a", 1.0), ("a", 2.0), ("b", 9.0)]
+
+
+@pytest.mark.parametrize("forward", [False, True])
+def test_asof_by_spans_equals_asof(spark, forward):
+    import datetime as dt
+    import random
+
+    from tidemark.operators.asof import asof
+
+    rnd = random.Random(5)
+    when = lambda: dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randrange(24 * 400)) if rnd.random() < 0.97 else None
+    left = spark.createDataFrame([(rnd.choice([1, 2, None]), when(), i) for i in range(300)], "k int, ts timestamp_ntz, i int")
+    right = spark.createDataFrame([(rnd.choice([1, 2, None]), when(), float(rnd.randrange(9))) for i in range(40)] * 2, "k int, at timestamp_ntz, v double")
+    got = [sorted(map(tuple, asof(left, right, ["k"], "ts", "at", {"v": F.col("v")}, "found", forward, span).collect()), key=str) for span in (None, "month", "day")]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 300

@@ -19,19 +19,42 @@ def _stacked(left: DataFrame, right: DataFrame, keys: list[str], time: str, righ
     return r.unionByName(l, allowMissingColumns=True), [F.col("__t"), F.col("__side"), F.col("__seen")]
 
 
-def asof(left: DataFrame, right: DataFrame, keys: list[str], time: str, right_time: str, values: dict[str, Column], found_at: str | None = None, forward: bool = False) -> DataFrame:
-    """left with the values of the last right row at or before its time (forward: the next at or after it)."""
+def asof(left: DataFrame, right: DataFrame, keys: list[str], time: str, right_time: str, values: dict[str, Column], found_at: str | None = None, forward: bool = False, span: str | None = None) -> DataFrame:
+    """left with the values of the last right row at or before its time (forward: the next at or after it).
+
+    span (year, month, day, ...): a key's history is looked up in tasks of such a length each, and what
+    a span leaves unseen is carried over from the ones before (forward: after); for keys with very
+    long histories.
+    """
     both, order = _stacked(left, right, keys, time, right_time, values, not forward)
-    w = Window.partitionBy(*keys).orderBy(*(order[:2] + [order[2].desc()] if forward else order))
+    parts = list(keys)
+    if span is not None:
+        both = both.withColumn("__span", F.date_trunc(span, "__t"))
+        parts.append("__span")
+    w = Window.partitionBy(*parts).orderBy(*(order[:2] + [order[2].desc()] if forward else order))
     if forward:
         seen = F.first("__seen", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
     else:
         seen = F.last("__seen", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     out = both.withColumn("__seen", seen).where("__side = 1")
+    if span is not None:
+        out = _carried(out, both, keys, forward)
     at = [F.col("__seen.__at").alias(found_at)] if found_at else []
     return out.select("__own.*", *(F.col(f"__seen.{k}").alias(k) for k in values), *at)
 
 
+def _carried(out: DataFrame, both: DataFrame, keys: list[str], forward: bool) -> DataFrame:
+    """out, with what the spans before (forward: after) have last (first) where its own span has nothing."""
+    micros = F.unix_micros(F.col("__t").cast("timestamp"))
+    edge = F.max(F.when(F.col("__side") != 1, F.struct((-micros if forward else micros).alias("__m"), "__seen"))).alias("__edge")
+    w = Window.partitionBy(*keys).orderBy(F.desc("__span") if forward else F.asc("__span")).rowsBetween(Window.unboundedPreceding, -1)
+    edges = both.groupBy(*keys, "__span").agg(edge).withColumn("__edge", F.last("__edge", ignorenulls=True).over(w))
+    names = {c: f"__e_{i}" for i, c in enumerate([*keys, "__span"])}
+    same = [F.col(c).eqNullSafe(F.col(e)) for c, e in names.items()]
+    joined = out.join(edges.withColumnsRenamed(names), same, "left")
+    return joined.withColumn("__seen", F.coalesce("__seen", "__edge.__seen"))
+
+
 def asof_calendar(panel: DataFrame, series: DataFrame, time: str, series_time: str, values: dict[str, Column]) -> DataFrame:
     """One series for every key: looked up once for each distinct time, then joined on the time."""
     calendar = panel.select(time).distinct().withColumn("__one", F.lit(1))

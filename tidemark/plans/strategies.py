@@ -287,4 +287,8 @@ _q(
     lambda p: E.select_by_policy(E.fitness(E.by_fold(_sweep(p), E.windows(p.sparkSession, dt.date(1996, 1, 1), dt.date(2000, 12, 31), 3, 25)), ["fold", "param_id"]).withColumn("sharpeRatio", F.round("sharpeRatio", 6)), ["sharpeRatio"], within=["fold"]).where("rank <= 2").select("fold", "param_id", "rank", rounded("sharpeRatio").alias("sharpe")),
     _K3 + ", wi AS (SELECT k AS fold, DATE '1996-01-01' + CAST(floor(k * floor(1827 / 2.5) * 0.75) AS INT) AS f FROM (SELECT unnest([0, 1, 2]) AS k)), sc AS (SELECT fold, param_id, round(avg(ret) / nullif(stddev_samp(ret), 0) * sqrt(252), 6) AS s FROM pa JOIN wi ON CAST(ts AS DATE) BETWEEN f AND f + CAST(floor(1827 / 2.5) AS INT) - 1 GROUP BY ALL), b AS (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY s DESC NULLS LAST, param_id) AS rank FROM sc) SELECT fold, param_id, rank, " + r("s") + " AS sharpe FROM b WHERE rank <= 2",
 )
-register("ev10_gene_entry_cooldown_days", lambda s, d: S.ordered_cooldown(panel(s, d).where("up").select("ticker", "ts"), ["ticker"], "ts", 5))
+register(
+    "ev10_gene_entry_cooldown_days",
+    lambda s, d: S.ordered_cooldown(panel(s, d).where("up").select("ticker", "ts"), ["ticker"], "ts", 5),
+    f"WITH RECURSIVE {PANEL}, e AS MATERIALIZED (SELECT ticker, ts FROM pp WHERE up), c AS (SELECT ticker, min(ts) AS ts FROM e GROUP BY 1 UNION ALL SELECT e.ticker, min(e.ts) FROM c JOIN e ON e.ticker = c.ticker AND e.ts >= c.ts + INTERVAL 5 DAY GROUP BY 1) SELECT ticker, ts FROM c",
+)
