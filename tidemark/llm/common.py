@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from tidemark.sources.storage import new_path
 
 #: Characters fed to numpy at a time; bounds a Python worker's memory whatever the split size.
-BATCH_CHARS = 500_000
+BATCH_CHARS = 250_000
 #: Rows of an Arrow batch that are turned into pandas at a time (Spark bounds the batch itself in bytes).
 BATCH_ROWS = 500
 

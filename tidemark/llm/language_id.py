@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BATCH_CHARS, BATCH_ROWS, chunks, fresh, map_frames
+from .common import BATCH_CHARS, BATCH_ROWS, chunks, fresh, map_frames, small_batches
 
 #: N-grams in a profile.
 PROFILE = 400
@@ -30,7 +30,7 @@ PROFILE = 400
 MOST_LANGUAGES = 1_000
 BOUNDARY = ord("_")
 #: Distinct (language, n-gram) pairs that a task holds before it passes them on.
-HELD = 1_000_000
+HELD = 500_000
 
 
 @cache
@@ -132,7 +132,9 @@ def learn_profiles(df: DataFrame, text: str = "text", lang: str = "lang", size:
     counts = map_frames(rows, count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     top = counts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("rank") <= size)
     profiles: dict[str, list[int]] = {}
-    for r in top.orderBy("lang", "rank").collect():
+    with small_batches(df.sparkSession):
+        rows = top.orderBy("lang", "rank").collect()
+    for r in rows:
         profiles.setdefault(r["lang"], []).append(r["gram"])
     return profiles
 

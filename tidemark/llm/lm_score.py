@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_frames, whole_groups, words_of, written
+from .common import map_frames, small_batches, whole_groups, words_of, written
 
 ORDER = 3
 #: Tokens of a chunk, about, and distinct n-grams of a range, about.
@@ -274,7 +274,8 @@ def score(df: DataFrame, held_out: Column, deleted: Column) -> DataFrame:
     answers = written(exchanged(corpus, bits, (sum(tokens) // RANGE).bit_length()))
     distinct = {r["chunk"]: r["n"] for r in answers.where("chunk < 0 and gram_order = 1").groupBy("chunk").agg(F.sum("n").alias("n")).collect()}
     types = distinct.get(TRAINED, 0)
-    weights = learn_weights(corpus, answers, bits, texts[KEPT], tokens[KEPT], distinct.get(COUNTED, 0))
+    with small_batches(df.sparkSession):
+        weights = learn_weights(corpus, answers, bits, texts[KEPT], tokens[KEPT], distinct.get(COUNTED, 0))
     total, counted = tokens[KEPT] + tokens[DELETED], texts[KEPT] + texts[DELETED]
     if not total:
         weights[:] = [0] * ORDER + [1]

@@ -34,7 +34,7 @@ CAPACITY = 1024
 END = 2
 TOKENIZER = "byte_bpe_50k.json"
 #: Words whose ids a Python worker keeps.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 #: Sequences of a group that are worked out together, and of a group at most (so that products fit 64 bits).
 TOGETHER, GROUP = 65_536, 1 << 30
 # Fixed value: the vocabulary's own rule for cutting text before merging.

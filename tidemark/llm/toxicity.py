@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, map_frames
+from .common import chunks, map_frames, small_batches
 
 #: Labelled documents of each kind that the classifier is fitted on, about (the only sample here).
 TOXIC_SAMPLE, CLEAN_SAMPLE = 6_000, 12_000
@@ -287,7 +287,8 @@ def score(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
 
     held_out: by doc_id; texts and labels of such rows teach nothing, not even how many there are.
     """
-    model = fit(docs.where(~held_out), labels.where(~held_out), label)
+    with small_batches(docs.sparkSession):
+        model = fit(docs.where(~held_out), labels.where(~held_out), label)
     key = docs.schema["doc_id"].dataType.simpleString()
     schema = "doc_id string, held_out boolean, score double, predicted int, spans string"
 
