@@ -1,6 +1,7 @@
 """A corpus from raw documents to packed sequences, each stage by one operator.
 
-Stages read what the one before has written: language ID (texts in no language go), exact and
+Stages whose last step is Python write their rows themselves, in small batches, which bounds a
+worker's memory. Each reads what the one before has written: language ID (texts in no language go), exact and
 near deduplication (one document of each group stays), mixing (rows stored in the order of the
 target weights), packing (sequences numbered along that order).
 """
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, language_id, mixing, near_dedup, packing
-from tidemark.llm.common import new_path, table
+from tidemark.llm.common import table, written
 
 #: Texts whose profile is further than this from every language's are in none (1: the same profile).
 #: Of all 51,282 documents of check_s the least score is 0.398 and one in a hundred is below 0.52;
@@ -30,7 +31,7 @@ def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     tagged = language_id.identify(docs, language_id.learn_profiles(docs))
     letters = F.length(F.regexp_replace("text", r"\P{L}+", ""))
     alike = F.when(F.col("score") >= LEAST_SCORE, True).otherwise((letters < FEW_LETTERS) & (F.col("score") >= LEAST_SCORE / FEW_LETTERS * letters))
-    return tagged.where((F.col("lang_pred") != "und") & alike).select(*docs.columns)
+    return written(tagged.where((F.col("lang_pred") != "und") & alike).select(*docs.columns))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +39,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.near_dedup(docs)
+    return written(near_dedup.near_dedup(docs))
 
 
 def to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,10 +66,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each one's rows written as Parquet and read again by the next."""
     docs = table(spark, sf_dir, "documents")
     last = len(STAGES) - 1
-    for k, (name, stage) in enumerate(STAGES):
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
-        if k < last:
-            path = new_path(spark, f"pipeline-{k}-{name}")
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
+        docs = written(docs) if k < last else docs
     return docs
