@@ -21,6 +21,14 @@ def test_pointers(spark):
     assert got["/source/blank"][1] == "blank" and got["/nope"][1] == "not found"
 
 
+def test_pointers_to_any_value(spark):
+    raw = '{"a": {"0": "key", "it\'s \\"so\\"": 1, "~": "tilde", "": "empty key"}, "l": [10, null, true, {"x": 2.5}, []], "n": 12345678901234567890}'
+    paths = {"/a/0": ("key", None), "/a/it's \"so\"": ("1", None), "/a/~0": ("tilde", None), "/a/": ("empty key", None), "/l/0": ("10", None), "/l/1": (None, "blank"), "/l/2": ("true", None), "/l/3/x": ("2.5", None), "/l/4": (None, "container"), "/l/00": (None, "not found"), "/l/-1": (None, "not found"), "/n": ("12345678901234567890", None), "a": (None, "not a pointer"), "/nope/~2": (None, "not found")}
+    got = Q.resolved_pointers(spark.createDataFrame([(raw, p, 1) for p in paths] + [("{", "/a", 1), (None, "/a", 1), ("{}", None, 1)], "raw string, path string, value0 int")).collect()
+    assert {r["path"]: (r["value"], r["error"]) for r in got[:-3]} == paths
+    assert [r["error"] for r in got[-3:]] == ["unreadable"] * 3
+
+
 def test_manifest(spark):
     good = "a" * 64
     rows = [("ok", 1, good, 1), ("ok", 0, good, 1), ("twice", 0, good, 1), ("twice", 0, good, 1), ("gap", 0, good, 1), ("gap", 2, good, 1), ("digest", 0, "abc", 1), ("negative", 0, good, -1), ("missing", None, good, 1)]

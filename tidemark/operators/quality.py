@@ -5,10 +5,8 @@ Rows are never dropped silently: checks add columns that say what is wrong, call
 
 from __future__ import annotations
 
-import json
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -206,46 +204,37 @@ def flat_pointer(path: Column) -> Column:
     return F.concat(F.lit("$"), F.array_join(steps, ""))
 
 
+def _looked_up(doc: Column, pointer: Column) -> Column:
+    """struct<v: variant, e: string> of what a JSON pointer finds in a variant, step by step."""
+
+    def step(at: Column, raw: Column) -> Column:
+        key = F.replace(F.replace(raw, F.lit("~1"), F.lit("/")), F.lit("~0"), F.lit("~"))
+        place = F.when(F.rlike(key, F.lit(r"^(0|[1-9]\d{0,8})$")), key.try_cast("int"))
+        fields, items = F.try_variant_get(at["v"], "$", "map<string,variant>"), F.try_variant_get(at["v"], "$", "array<variant>")
+        found = F.coalesce(F.try_element_at(fields, key), F.get(items, place))
+        wrong = F.coalesce(at["e"], F.when(F.rlike(raw, F.lit("~(?![01])")), "bad escape"), F.when(found.isNull(), "not found"))
+        return F.struct(F.when(wrong.isNull(), found).alias("v"), wrong.alias("e"))
+
+    begin = F.when(doc.isNull() | pointer.isNull(), "unreadable").when(pointer == "", "root").when(~pointer.startswith("/"), "not a pointer")
+    steps = F.split(F.coalesce(pointer, F.lit("")), "/")
+    return F.aggregate(F.slice(steps, 2, F.size(steps)), F.struct(doc.alias("v"), begin.alias("e")), step)
+
+
 def resolved_pointers(refs: DataFrame, raw: str = "raw", path: str = "path") -> DataFrame:
     """refs with value and error of each pointer into its record: a scalar that isn't blank, by the path
-    as given, then without a /raw prefix. Full escapes and arrays, in Arrow batches."""
-    def look(doc: object, pointer: str) -> object:
-        if not pointer.startswith("/"):
-            raise ValueError("root" if pointer == "" else "not a pointer")
-        for step in pointer.split("/")[1:]:
-            if step.replace("~0", "").replace("~1", "").count("~"):
-                raise ValueError("bad escape")
-            key = step.replace("~1", "/").replace("~0", "~")
-            if isinstance(doc, dict) and key in doc:
-                doc = doc[key]
-            elif isinstance(doc, list) and key.isdigit() and (key == "0" or key[0] != "0") and int(key) < len(doc):
-                doc = doc[int(key)]
-            else:
-                raise ValueError("not found")
-        if isinstance(doc, (dict, list)):
-            raise ValueError("container")
-        if doc is None or isinstance(doc, str) and not doc.strip():
-            raise ValueError("blank")
-        return doc
-
-    @F.pandas_udf("struct<value:string,error:string>")
-    def both(raws: pd.Series, paths: pd.Series) -> pd.DataFrame:
-        out = []
-        for r, p in zip(raws, paths, strict=True):
-            try:
-                doc = json.loads(r)
-                try:
-                    v = look(doc, p)
-                except ValueError:
-                    if not p.startswith("/raw/"):
-                        raise
-                    v = look(doc, p[4:])
-                out.append((v if isinstance(v, str) else json.dumps(v), None))
-            except (ValueError, TypeError, AttributeError) as e:
-                out.append((None, str(e) if str(e) in ("root", "not a pointer", "bad escape", "not found", "container", "blank") else "unreadable"))
-        return pd.DataFrame(out, columns=["value", "error"])
-
-    return refs.withColumn("__b", both(raw, path)).select("*", "__b.value", "__b.error").drop("__b")
+    as given, then without a /raw prefix. Escapes, arrays and any keys; a record is parsed once."""
+    doc, given = F.col("__doc"), F.col(path)
+
+    def scalar(c: Column) -> Column:
+        text = F.try_variant_get(c["v"], "$", "string")
+        kind = F.schema_of_variant(c["v"])
+        wrong = F.coalesce(c["e"], F.when(F.rlike(kind, F.lit("^(OBJECT|ARRAY)")), "container"), F.when(text.isNull() | ~F.rlike(text, F.lit(r"\S")), "blank"))
+        return F.struct(F.when(wrong.isNull(), text).alias("value"), wrong.alias("error"))
+
+    once = refs.withColumn("__doc", F.try_parse_json(raw)).withColumn("__a", scalar(_looked_up(doc, given)))
+    short = F.col("__a.error").isNotNull() & given.startswith("/raw/")
+    again = once.withColumn("__a", F.when(short, scalar(_looked_up(doc, F.substring(given, 5, 1 << 30)))).otherwise(F.col("__a")))
+    return again.select(*refs.columns, "__a.value", "__a.error")
 
 
 def uncited(requirements: DataFrame, refs: DataFrame, keys: list[str]) -> DataFrame:
