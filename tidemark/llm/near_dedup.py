@@ -361,7 +361,7 @@ def near_dedup(df: DataFrame) -> DataFrame:
 
     marked = own.withColumn("doubt", doubtful(_position("doc_id", bits)))
     stay = report.where("kept").select(F.col("doc_id").alias("stay_id"), F.col("digest").alias("stay_digest")).distinct()
-    unsure = marked.where("doubt").withColumn("digest", digest("text"))
+    unsure = written(marked.where("doubt").withColumn("digest", digest("text")))
     unsure = unsure.join(stay, F.col("doc_id").eqNullSafe(F.col("stay_id")) & (F.col("digest") == F.col("stay_digest")), "left_semi")
     once = Window.partitionBy("doc_id", "digest").orderBy("text")
     unsure = unsure.withColumn("place", F.row_number().over(once)).where("place = 1").drop("digest", "place")
