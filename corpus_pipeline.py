@@ -1,9 +1,9 @@
 """A corpus from raw documents to packed sequences, each stage by one operator.
 
-Stages whose last step is Python write their rows themselves, in small batches, which bounds a
-worker's memory. Each reads what the one before has written: language ID (texts in no language go), exact and
-near deduplication (one document of each group stays), mixing (rows stored in the order of the
-target weights), packing (sequences numbered along that order).
+Stages read what the one before has written: language ID (texts in no language go), exact and near
+deduplication (one document of each group stays), mixing (rows stored in the order of the target
+weights), packing (sequences numbered along that order). Language ID, whose last step is Python on
+all texts, writes its rows itself, in small batches, which bounds a worker's memory.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return written(near_dedup.near_dedup(docs))
+    return near_dedup.near_dedup(docs)
 
 
 def to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
