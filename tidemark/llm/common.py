@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -25,6 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _give_back() -> None:
+    """Returns what a task has freed to the system: Python workers live on after it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def map_frames(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str, rows: int = BATCH_ROWS) -> DataFrame:
     """df.mapInPandas(fn, schema), with at most `rows` rows of a batch as pandas objects at a time."""
     out_schema = to_arrow_schema(StructType.fromDDL(schema))
@@ -33,7 +42,7 @@ def map_frames(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd
         frames = (b.slice(a, rows).to_pandas() for b in batches for a in range(0, b.num_rows, rows))
         for out in fn(frames):
             yield pa.RecordBatch.from_pandas(out, schema=out_schema, preserve_index=False)
-        pa.default_memory_pool().release_unused()  # workers live on
+        _give_back()
 
     return df.mapInArrow(run, schema)
 
