@@ -81,6 +81,24 @@ def _sc19(s: SparkSession, d: str) -> DataFrame:
 register("sc19_sql_with_binds", _sc19, "SELECT o_custkey AS ticker, count(*) AS n FROM orders WHERE year(o_orderdate) IN (1996, 1997) AND o_custkey < 500 GROUP BY 1")
 
 
+def _sc19_limits(s: SparkSession, d: str) -> DataFrame:
+    k = lake(s, d, "order_facts", "activity")
+    k.register()
+    query = """WITH days AS (SELECT day, count(DISTINCT ticker) AS tickers, sum(value) AS value FROM activity GROUP BY day)
+        SELECT day, tickers, value, rank() OVER (ORDER BY value DESC, day) AS place FROM days -- the busiest first
+        WHERE day >= (SELECT min(day) FROM activity WHERE value > :least) ORDER BY place;"""
+    return k.sql(query, {"least": 1}, max_rows=100_000, max_bytes=64 << 20, seconds=600)
+
+
+register(
+    "sc19_sql_within_limits",
+    _sc19_limits,
+    """WITH activity AS (SELECT user_id AS ticker, CAST(ts AS DATE) AS day, count(*) AS value FROM events GROUP BY 1, 2),
+    days AS (SELECT day, count(DISTINCT ticker) AS tickers, sum(value)::BIGINT AS value FROM activity GROUP BY day)
+    SELECT day, tickers, value, (rank() OVER (ORDER BY value DESC, day))::INTEGER AS place FROM days WHERE day >= (SELECT min(day) FROM activity WHERE value > 1)""",
+)
+
+
 def _sc7(s: SparkSession, d: str) -> DataFrame:
     c, p = table(s, d, "customer"), table(s, d, "supplier")
     a = c.select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"))

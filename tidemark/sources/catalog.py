@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .statements import read_only, written_within
+
 #: Partition columns of each grain; a snapshot is replaced as a whole.
 GRAINS = {"year": ("year",), "day": ("day",), "snapshot": (), "flat_date": ("day",), "month": ("month",), "hive": ("month", "type", "dte")}
 #: Calendar days that a read of day partitions may span unless it says otherwise.
@@ -152,9 +154,17 @@ class Lake:
             made.append(name)
         return made
 
-    def sql(self, query: str, args: list | dict | None = None, max_rows: int | None = None) -> DataFrame:
-        """A query over the registered views with bound values (scalars, or lists for array_contains)."""
-        return capped(self.spark.sql(query, args=args), max_rows, "the query")
+    def sql(self, query: str, args: list | dict | None = None, max_rows: int | None = None, max_bytes: int | None = None, seconds: float | None = None) -> DataFrame:
+        """A query over the registered views with bound values (scalars, or lists for array_contains).
+
+        Only queries are let through (NotReadOnly, or a parse error, before anything runs). With max_bytes
+        or seconds the query runs at once and its result is written; over a limit it is cancelled and
+        deleted (OverLimit). Without them it runs when it is read, where max_rows holds too.
+        """
+        df = self.spark.sql(read_only(query), args=args)
+        if max_bytes is None and seconds is None:
+            return capped(df, max_rows, "the query")
+        return written_within(df, "the query", seconds, max_bytes, max_rows)
 
     def contents(self) -> DataFrame:
         """dataset, grain, part, rows, columns of what lies under the root: a row for each partition (a snapshot: one, null)."""

@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -37,7 +38,25 @@ def new_path(spark: SparkSession, stem: str) -> str:
     return f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}/{stem}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under path so far, those still being written included; 0 where it isn't there."""
+    fs, at = _file_system(spark, path)
+    try:
+        return fs.getContentSummary(at).getLength() if fs.exists(at) else 0
+    except Py4JJavaError:  # files move while a job commits; the next look sees them
+        return 0
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+
+
 def clean_up(spark: SparkSession) -> None:
     """Deletes what this application has written there; call it once the results have been read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}")
