@@ -19,6 +19,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from . import rolling
+
 Build = Callable[["Panel"], Column]
 
 
@@ -337,16 +339,17 @@ def _of_price(make: Callable[..., Indicator], default: int = 30) -> Callable[...
     return of_price
 
 
-def _listed(p: Panel, x: Column, n: int, f: Callable[[Column], Column]) -> Column:
-    return F.when(F.count(x).over(p.last(n)) == n, f(F.collect_list(x).over(p.last(n))))
-
+def ranked(operand: Any, length: int, measure: rolling.Measure) -> Indicator:
+    """An order statistic of the last `length` values, found by rank in one ordered pass."""
+    if length < 1:
+        raise ValueError("length must be positive")
+    x = _node(operand)
 
-def _mean_deviation(p: Panel, x: Column, n: int) -> Column:
-    def spread(values: Column) -> Column:
-        mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / n
-        return F.aggregate(F.transform(F.arrays_zip(values.alias("v"), F.array_repeat(mean, n).alias("m")), lambda z: F.abs(z["v"] - z["m"])), F.lit(0.0), lambda a, v: a + v) / n
+    def stage(df: DataFrame, p: Panel, name: str) -> DataFrame:
+        value = f"{name}_x"
+        return rolling.with_rolling(df.withColumn(value, x.column(p).cast("double")), p.key, p.time, value, length, measure, name).drop(value)
 
-    return _listed(p, x, n, spread)
+    return Indicator(_needs_evaluate, x, staged=stage)
 
 
 def _swing(sign: int) -> Callable[..., Indicator]:
@@ -389,7 +392,7 @@ def _swing(sign: int) -> Callable[..., Indicator]:
 
 IndicatorSimpleMovingAverage = _windowed(lambda p, x, n: p.full(x, n, F.avg))
 IndicatorStandardDeviation = _windowed(lambda p, x, n: p.full(x, n, F.stddev_samp))
-IndicatorMeanAbsoluteDeviation = _windowed(_mean_deviation)
+IndicatorMeanAbsoluteDeviation = lambda operand, length=30, interval="Day": ranked(operand, length, rolling.mean_deviation)
 IndicatorRateOfChange = _windowed(lambda p, x, n: 100 * (F.try_divide(x, F.lag(x, n).over(p.ordered())) - 1))
 IndicatorWindowAgo = _windowed(lambda p, x, n: F.lag(x, n).over(p.ordered()))
 TrailingSum = _windowed(lambda p, x, n: p.full(x, n, F.sum), 4)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import indicators as I
+from tidemark.functions import rolling
 
 _AT = ["underlying", "ts"]
 
@@ -51,14 +52,7 @@ def iv_rank(iv: I.Indicator, length: int = 252) -> I.Indicator:
 
 def iv_percentile(iv: I.Indicator, length: int = 252) -> I.Indicator:
     """Percent of the window's values below the current one."""
-
-    def build(p: I.Panel) -> Column:
-        x = iv.column(p)
-        values = F.collect_list(x).over(p.last(length))
-        below = F.aggregate(values, F.lit(0), lambda a, v: a + (v < F.element_at(values, -1)).cast("int"))
-        return F.when(F.count(x).over(p.last(length)) == length, 100 * below / length)
-
-    return I.Indicator(build, iv)
+    return I.ranked(iv, length, rolling.percent_below)
 
 
 def historical_volatility(window: int = 20, price: I.Indicator | None = None) -> I.Indicator:
