@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from .common import written
 
 #: Bytes of text in a slice, about; longer texts are slices of their own, sorted piece by piece.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 23
+#: Rows of counts that a task gives back at a time.
+ROWS_OUT = 100_000
 #: Documents of a language that a kept term is in, at least, and ranks of the terms that are told.
 LEAST_DOCS, MOST_TERMS = 3, 200
 
@@ -72,37 +74,44 @@ def multikey_sort(data: np.ndarray, start: np.ndarray, length: np.ndarray, group
         tied, depth = tied[left == 8], depth + 8
 
 
-def runs(data: np.ndarray, document: np.ndarray, group: np.ndarray) -> Iterator[tuple[int, bytes, int, int]]:
-    """(group, term, occurrences, documents) of the terms in data; document and group are per byte's text.
+def runs(data: np.ndarray, begin: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each distinct (group, term) in data: group, where a place of the term starts, its length, occurrences, documents.
 
-    document: where each text begins in data; group: of each text.
+    begin: where each text begins in data; group: of each text.
     """
     start, length = pointers(data)
     if not len(start):
-        return
-    text = np.searchsorted(document, start, side="right") - 1
+        return (np.empty(0, np.int64),) * 5
+    text = np.searchsorted(begin, start, side="right") - 1
     order, first = multikey_sort(data, start, length, group[text])
     begins = np.flatnonzero(first)
     count = np.diff(np.append(begins, len(order)))
     # Pointers of a run stand as in the buffer, so those of one text are neighbours.
-    docs = np.add.reduceat(first | (np.diff(text[order], prepend=-1) != 0), begins)
-    at, held = order[begins], data.tobytes()
-    for g, a, n, c, d in zip(group[text[at]].tolist(), start[at].tolist(), length[at].tolist(), count.tolist(), docs.tolist(), strict=True):
-        yield g, held[a : a + n], c, d
+    docs = np.add.reduceat((first | (np.diff(text[order], prepend=-1) != 0)).astype(np.int64), begins)
+    at = order[begins]
+    return group[text[at]], start[at], length[at], count, docs
 
 
-def _long_text(data: np.ndarray, most: int) -> Iterator[tuple[int, bytes, int, int]]:
-    """runs() of one long text, by pieces that end between terms."""
-    total: Counter[bytes] = Counter()
+def _strings(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.Array:
+    """The stretches of data as text."""
+    ends = np.cumsum(length)
+    at = np.repeat(start - (ends - length), length) + np.arange(int(length.sum()))
+    return pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(np.append(0, ends).astype(np.int64)), pa.py_buffer(data[at])]).cast(pa.string())
+
+
+def _long_text(data: np.ndarray, most: int) -> tuple[pa.Array, np.ndarray]:
+    """The distinct terms of one long text and their occurrences, by pieces that end between terms."""
+    total: Counter[str] = Counter()
     gaps, at = np.flatnonzero(~_IN_TERM[data]), 0
     while at < len(data):
         k = np.searchsorted(gaps, at + most)
         to = int(gaps[k]) + 1 if k < len(gaps) else len(data)
-        for _, term, n, _ in runs(data[at:to], np.zeros(1, np.int64), np.zeros(1, np.int64)):
+        piece = data[at:to]
+        _, start, length, count, _ = runs(piece, np.zeros(1, np.int64), np.zeros(1, np.int64))
+        for term, n in zip(_strings(piece, start, length).to_pylist(), count.tolist(), strict=True):
             total[term] += n
         at = to
-    for term, n in total.items():
-        yield 0, term, n, 1
+    return pa.array(list(total), pa.string()), np.array(list(total.values()), np.int64)
 
 
 def _slices(batch: pa.RecordBatch, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, pa.RecordBatch]]:
@@ -132,11 +141,18 @@ def term_counts(df: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
                 names: dict[tuple[str, str], int] = {}
                 pairs = zip(rows.column("lang").to_pylist(), rows.column("source").to_pylist(), strict=True)
                 group = np.array([names.setdefault(p, len(names)) for p in pairs], np.int64)
-                whole = _long_text(data, slice_bytes) if len(begin) == 1 and len(data) > slice_bytes else runs(data, begin, group)
-                found = [(g, "", 0, int(d)) for g, d in enumerate(np.bincount(group))] + [(g, t.decode("utf-8", "replace"), n, d) for g, t, n, d in whole]
-                known = list(names)
-                of, term, n, docs = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in ([known[g][0] for g in of], [known[g][1] for g in of], term, n, docs)], schema=schema)
+                if len(begin) == 1 and len(data) > slice_bytes:
+                    term, count = _long_text(data, slice_bytes)
+                    of, docs = np.zeros(len(count), np.int64), np.ones(len(count), np.int64)
+                else:
+                    of, start, length, count, docs = runs(data, begin, group)
+                    term = _strings(data, start, length)
+                k = len(names)
+                of, n, docs = np.append(np.arange(k), of), np.append(np.zeros(k, np.int64), count), np.append(np.bincount(group), docs)
+                named = [pa.array([p[i] for p in names], pa.string()).take(pa.array(of)) for i in (0, 1)]
+                out = pa.RecordBatch.from_arrays([*named, pa.concat_arrays([pa.array([""] * k, pa.string()), term]), pa.array(n), pa.array(docs)], schema=schema)
+                for a in range(0, out.num_rows, ROWS_OUT):
+                    yield out.slice(a, ROWS_OUT)
 
     named = df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
     parts = named.mapInArrow(run, "lang string, source string, term string, n bigint, docs bigint")
