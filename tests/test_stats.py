@@ -135,7 +135,7 @@ def test_covariance_of_gaps_and_many_groups(spark):
     x[:, 8] = np.nan
     x[:15, 8] = 1.0
     rows = [(t, i, float(x[t, i])) for t in range(60) for i in range(9) if x[t, i] == x[t, i]]
-    got = {(r["i"], r["j"]): (r["n"], r["cov"]) for r in K.covariance(spark.createDataFrame(rows, "ts int, ticker int, ret double"), groups=4, parts=3).collect()}
+    got = {(r["i"], r["j"]): (r["n"], r["cov"]) for r in K.covariance(spark.createDataFrame(rows, "ts int, ticker int, ret double"), blocks=(4, 6, 2)).collect()}
     for i in range(9):
         for j in range(9):
             both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
@@ -143,3 +143,33 @@ def test_covariance_of_gaps_and_many_groups(spark):
                 assert (i, j) not in got
                 continue
             assert got[i, j][0] == both.sum() and got[i, j][1] == pytest.approx(np.cov(x[both, i], x[both, j])[0, 1] * (1 if i == j else 0.75))
+
+
+def test_covariance_blocks_are_bounded():
+    from tidemark.operators import select as K
+
+    assert K.covariance_blocks(1, 0, 8)[0] == 1
+    for names, bars, tasks in ((1, 1, 1), (100, 2_500, 8), (3_000, 30, 4), (3_000, 250, 4_000), (100_000, 1_000_000, 4_000)):
+        groups, parts, splits = K.covariance_blocks(names, bars, tasks)
+        assert names / groups <= K.GROUP_NAMES and bars / parts <= K.PART_BARS and splits <= parts
+        assert groups <= max(names / K.GROUP_NAMES + 1, (2 * tasks) ** 0.5)
+        assert groups * (groups + 1) / 2 * splits >= min(tasks, bars)
+
+
+def test_covariance_of_many_names(spark):
+    """3,000 names in blocks that are counted; no task holds a matrix of all names."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import select as K
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(25, 3_000)) + rng.normal(size=(25, 1))
+    rows = spark.createDataFrame([(t, x[t].tolist()) for t in range(25)], "ts int, x array<double>").select("ts", F.posexplode("x").alias("ticker", "ret"))
+    groups = K.covariance_blocks(3_000, 25, spark.sparkContext.defaultParallelism)[0]
+    got = K.covariance(rows, shrinkage=0.0)
+    sums = got.groupBy("i").agg(F.count("*").alias("n"), F.sum("cov").alias("s"), F.sum(F.col("cov") * F.col("j")).alias("by_j"), F.min("n").alias("least")).collect()
+    cov = np.cov(x.T)
+    assert len(sums) == 3_000 and groups >= 3
+    for r in sums:
+        assert (r["n"], r["least"]) == (3_000, 25)
+        assert r["s"] == pytest.approx(cov[r["i"]].sum()) and r["by_j"] == pytest.approx(cov[r["i"]] @ np.arange(3_000))

@@ -6,7 +6,9 @@ null metric is never selected.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import indicators as I
+from tidemark.sources.storage import written
 
 from .asof import in_interval
 
@@ -184,41 +187,90 @@ def returns(panel: DataFrame, key: str = "ticker", time: str = "ts", price: str
     return panel.select(key, time, (F.try_divide(price, F.lag(price).over(w)) - 1).alias("ret")).where("ret is not null")
 
 
-#: Groups of names, and parts of the times, that covariances are worked out by: a task has the returns
-#: of two groups in one part.
-GROUPS, PARTS = 6, 4
+#: Names of a group, and bars of a part, at most about: a task has the returns of two groups in one part,
+#: 4 matrices of PART_BARS x GROUP_NAMES doubles (16 MB) and as many of GROUP_NAMES x GROUP_NAMES (32 MB).
+GROUP_NAMES, PART_BARS = 1024, 512
+#: Names that a group has at least where groups are made for more tasks only.
+FEW_NAMES = 64
 
 
-def covariance(rets: DataFrame, least: int = 20, shrinkage: float = 0.25, key: str = "ticker", time: str = "ts", groups: int = GROUPS, parts: int = PARTS) -> DataFrame:
-    """i, j, n, cov of every pair of names (both orders, and a name with itself) with at least `least`
-    common bars; off the diagonal shrunk toward 0.
+def covariance_blocks(names: int, bars: int, tasks: int) -> tuple[int, int, int]:
+    """groups of names, parts of the bars, and splits of the parts, so that matrices are bounded and tasks enough."""
+    groups = max(1, -(-names // GROUP_NAMES), min(math.isqrt(2 * tasks), -(-names // FEW_NAMES)))
+    parts = max(1, -(-bars // PART_BARS))
+    pairs = groups * (groups + 1) // 2
+    splits = min(max(1, bars), -(-tasks // pairs))
+    return groups, max(parts, splits), splits
 
-    Names are dealt to groups and times to parts. Two groups' returns in one part are two matrices,
-    whose products are the sums over common bars that a covariance is made of; the parts' sums are
-    then added. So rows leave a task once for each pair of names, not for each pair and bar.
-    """
-    spread = lambda c, n: F.shiftrightunsigned(F.xxhash64(c), 1) % F.lit(n)
-    mean = F.avg("ret").over(Window.partitionBy(key))  # sums of what is about 0 lose no digits
-    own = rets.select(F.col(key).alias("name"), F.col(time).alias("at"), (F.col("ret") - mean).alias("x"), spread(key, groups).cast("int").alias("g"), spread(time, parts).cast("int").alias("p"))
-    dealt = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumns({"a": F.least("g", "o"), "b": F.greatest("g", "o")})
-    kind = dict(rets.dtypes)[key]
 
-    def products(rows: pd.DataFrame) -> pd.DataFrame:
-        a, b = int(rows["a"].iloc[0]), int(rows["b"].iloc[0])
+class _CrossSums:
+    """Sums over common bars of the pairs of two groups, as matrices that grow with the names met."""
+
+    def __init__(self) -> None:
+        self.left: dict[object, int] = {}
+        self.right: dict[object, int] = {}
+        self.sums = np.zeros((4, 0, 0))
+
+    def add(self, rows: pd.DataFrame, a: int, b: int) -> None:
         bar, bars = pd.factorize(rows["at"])
         sides = []
-        for g in (a, b):
+        for g, places in ((a, self.left), (b, self.right)):
             mine = (rows["g"] == g).to_numpy()
             who, names = pd.factorize(rows["name"][mine])
             x, there = np.zeros((len(bars), len(names))), np.zeros((len(bars), len(names)))
             x[bar[mine], who], there[bar[mine], who] = rows["x"][mine], 1
-            sides.append((np.asarray(names), x, there))
-        (left, x, m), (right, y, k) = sides
-        i, j = np.nonzero(m.T @ k)
-        sums = {"n": m.T @ k, "sx": x.T @ k, "sy": m.T @ y, "sxy": x.T @ y}
-        return pd.DataFrame({"i": left[i], "j": right[j], **{c: v[i, j] for c, v in sums.items()}})
+            sides.append((np.array([places.setdefault(n, len(places)) for n in names], np.int64), x, there))
+        (i, x, m), (j, y, k) = sides
+        grow = (len(self.left) - self.sums.shape[1], len(self.right) - self.sums.shape[2])
+        self.sums = np.pad(self.sums, ((0, 0), (0, grow[0]), (0, grow[1])))
+        for s, product in zip(self.sums, (m.T @ k, x.T @ k, m.T @ y, x.T @ y), strict=True):
+            s[np.ix_(i, j)] += product
+
+    def pairs(self) -> pd.DataFrame:
+        i, j = np.nonzero(self.sums[0])
+        left, right = (pd.Series(list(names), dtype=object) for names in (self.left, self.right))
+        return pd.DataFrame({"i": left[i].to_numpy(), "j": right[j].to_numpy(), **{c: s[i, j] for c, s in zip(("n", "sx", "sy", "sxy"), self.sums, strict=True)}})
+
+
+def _cross_sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by (a, b, s, p): the matrices of a part at a time, the pairs once for each (a, b, s)."""
+    held, at, sums = [], None, _CrossSums()
+    for rows in chain((f for f in frames if len(f)), [None]):
+        parts = [(None, None)] if rows is None else rows.groupby(["a", "b", "s", "p"], sort=False)
+        for place, part in parts:
+            if held and place != at:
+                sums.add(pd.concat(held, ignore_index=True), *at[:2])
+                held = []
+            if at is not None and (place is None or place[:3] != at[:3]):
+                yield sums.pairs()
+                sums = _CrossSums()
+            if part is not None:
+                held.append(part)
+            at = place
+
+
+def covariance(rets: DataFrame, least: int = 20, shrinkage: float = 0.25, key: str = "ticker", time: str = "ts", blocks: tuple[int, int, int] | None = None) -> DataFrame:
+    """i, j, n, cov of every pair of names (both orders, and a name with itself) with at least `least`
+    common bars; off the diagonal shrunk toward 0.
 
-    sums = dealt.select("name", "at", "x", "g", "p", "a", "b").groupBy("a", "b", "p").applyInPandas(products, f"i {kind}, j {kind}, n double, sx double, sy double, sxy double")
+    Names are dealt to groups and times to parts, of a size that is counted first: whatever their number,
+    a task has two groups' returns in one part, whose products are the sums over common bars that a
+    covariance is made of. It adds up part after part, so rows leave it once for each pair of names.
+    """
+    spark = rets.sparkSession
+    mean = F.avg("ret").over(Window.partitionBy(key))  # sums of what is about 0 lose no digits
+    rets = rets.where(F.col(key).isNotNull() & F.col(time).isNotNull() & F.col("ret").isNotNull())
+    own = written(rets.select(F.col(key).alias("name"), F.col(time).alias("at"), (F.col("ret") - mean).alias("x")), "returns")
+    if blocks is None:
+        names, bars = own.agg(F.approx_count_distinct("name"), F.approx_count_distinct("at")).first()
+        blocks = covariance_blocks(names, bars, spark.sparkContext.defaultParallelism)
+    groups, parts, splits = blocks
+    spread = lambda c, n: F.shiftrightunsigned(F.xxhash64(c), 1) % F.lit(n)
+    dealt = own.withColumns({"g": spread("name", groups).cast("int"), "p": spread("at", parts).cast("int")}).withColumn("s", F.col("p") % splits)
+    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumns({"a": F.least("g", "o"), "b": F.greatest("g", "o")})
+    kind, keys = dict(rets.dtypes)[key], ["a", "b", "s"]
+    dealt = dealt.select("name", "at", "x", "g", "p", *keys).repartition(groups * (groups + 1) // 2 * splits, *keys).sortWithinPartitions(*keys, "p")
+    sums = dealt.mapInPandas(_cross_sums, f"i {kind}, j {kind}, n double, sx double, sy double, sxy double")
     whole = sums.groupBy("i", "j").agg(*(F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxy"))).where((F.col("n") >= least) & (F.col("n") > 1))
     cov = (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / (F.col("n") - 1)
     pairs = whole.select("i", "j", F.col("n").cast("long").alias("n"), F.when(F.col("i") == F.col("j"), cov).otherwise(cov * (1 - shrinkage)).alias("cov"))

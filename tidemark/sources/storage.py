@@ -8,7 +8,7 @@ import tempfile
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 #: Folders of local applications for which none is set.
@@ -38,6 +38,14 @@ def new_path(spark: SparkSession, stem: str) -> str:
     return f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}/{stem}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, stem: str = "part") -> DataFrame:
+    """df as a Parquet table in the shared folder: made once, whatever reads it, and lost executors don't matter."""
+    spark = df.sparkSession
+    path = new_path(spark, stem)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _file_system(spark: SparkSession, path: str) -> tuple:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
