@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import laid_out, least_from_here, ranked
+
 
 def align_calendar(calendar: DataFrame, sessions: DataFrame, how: str = "sum", lead: int = 1, day: str = "day", value: str = "value", session: str = "session_date") -> DataFrame:
     """session_date, predictor, n_days_collapsed: each calendar day goes to its lead-th session after it
@@ -46,14 +48,16 @@ def next_session(calendar: DataFrame, rets: DataFrame, how: str = "sum", lead: i
 
 
 def benjamini_hochberg(p: DataFrame, family: list[str], pvalue: str = "p", alpha: float = 0.05) -> DataFrame:
-    """p with adjusted and reject: step-up over each family; null and NaN stay, untested."""
+    """p with adjusted and reject: step-up over each family; null and NaN stay, untested.
+
+    A family may be all rows: ranks and running minima go over from one range of p-values to the next.
+    """
     ok = F.col(pvalue).isNotNull() & ~F.isnan(pvalue)
-    w = Window.partitionBy(*family, ok)
-    down = w.orderBy(F.desc("__rank"))
-    out = p.withColumn("__rank", F.row_number().over(w.orderBy(pvalue))).withColumn("__raw", F.col(pvalue) * F.count("*").over(w) / F.col("__rank"))
-    adjusted = F.least(F.min("__raw").over(down.rowsBetween(Window.unboundedPreceding, 0)), F.lit(1.0))
-    out = out.withColumn("adjusted", F.when(ok, adjusted)).withColumn("reject", F.coalesce(F.col("adjusted") <= alpha, F.lit(False)))
-    return out.drop("__rank", "__raw")
+    tested = ranked(laid_out(p.where(ok), family, [pvalue]), "__rank", "__tests")
+    raw = tested.withColumn("__raw", F.col(pvalue) * F.col("__tests") / (F.col("__rank") + 1))
+    adjusted = least_from_here(raw, "__raw", "__least").select(*p.columns, F.least("__least", F.lit(1.0)).alias("adjusted"))
+    out = adjusted.unionByName(p.where(~ok).withColumn("adjusted", F.lit(None).cast("double")))
+    return out.withColumn("reject", F.coalesce(F.col("adjusted") <= alpha, F.lit(False)))
 
 
 def finite(df: DataFrame, *columns: str) -> DataFrame:
