@@ -111,6 +111,101 @@ def test_unit_roots(spark):
     assert got == {"walk": True, "noise": False, "constant": None, "short": None}
 
 
+def plain_unit_root(v):
+    """Lag order, statistic and verdict by least squares on the whole series."""
+    n, d = len(v), np.diff(v)
+    if n < 10 or np.ptp(v) == 0:
+        return None, None, None
+    most = max(0, min(int(np.ceil(12 * (n / 100) ** 0.25)), (len(d) - 1) // 2 - 2))
+
+    def fit(lags, start):
+        rows = np.arange(start, len(d))
+        x = np.column_stack([v[rows], np.ones(len(rows)), *(d[rows - k] for k in range(1, lags + 1))])
+        beta = np.linalg.lstsq(x, d[rows], rcond=None)[0]
+        return x, beta, d[rows] - x @ beta
+
+    def criterion(lags):
+        x, _, e = fit(lags, most)
+        return len(x) * np.log(e @ e / len(x)) + 2 * x.shape[1]
+
+    lags = min(range(most + 1), key=criterion)
+    x, beta, e = fit(lags, lags)
+    t = beta[0] / np.sqrt(e @ e / (len(x) - x.shape[1]) * np.linalg.inv(x.T @ x)[0, 0])
+    size = len(x)
+    return lags, t, t > -2.86154 - 2.8903 / size - 4.234 / size**2 - 40.04 / size**3
+
+
+@pytest.mark.parametrize("chunk_rows", [1 << 18, 40])
+def test_unit_roots_equal_least_squares(spark, chunk_rows):
+    """50 series: walks, noise, trends and waves, near and far from 0, in one chunk or many."""
+    rng, kinds = np.random.default_rng(8), {}
+    for k in range(50):
+        n = int(rng.integers(10, 400))
+        e = rng.normal(size=n)
+        smooth = np.convolve(e, [1, 0.6, 0.3], "same")
+        kinds[None if k == 7 else f"s{k}"] = [np.cumsum(e), e, np.cumsum(smooth) + 1e4, 0.05 * np.arange(n) + smooth, np.sin(np.arange(n) / 9) + 0.1 * e][k % 5]
+    rows = [(g, i, float(v)) for g, x in kinds.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "g string, i long, v double").repartition(5)
+    got = {r["g"]: r for r in S.unit_root(df, ["g"], "i", "v", chunk_rows).collect()}
+    assert len(got) == 50
+    for g, x in kinds.items():
+        lags, t, verdict = plain_unit_root(x)
+        assert (got[g]["n"], got[g]["lags"], got[g]["nonstationary"]) == (len(x), lags, verdict)
+        assert got[g]["statistic"] == pytest.approx(t, rel=1e-6)
+
+
+def test_unit_roots_without_an_answer(spark):
+    kinds = {"constant": np.full(50, 0.1), "short": np.arange(9.0), "line": np.arange(60.0), "one": np.ones(1)}
+    rows = [(g, i, float(v)) for g, x in kinds.items() for i, v in enumerate(x)] + [("null", 0, None)]
+    got = {r["g"]: r["nonstationary"] for r in S.unit_root(spark.createDataFrame(rows, "g string, i long, v double"), ["g"], "i", "v").collect()}
+    assert got == {"constant": None, "short": None, "line": None, "one": None}
+    noise = spark.range(300).selectExpr("id AS i", "sin(id * id) AS v")
+    assert S.unit_root(noise, [], "i", "v").first()["nonstationary"] is False
+
+
+@pytest.mark.parametrize("chunk_rows", [7, 20])
+def test_bootstrap_of_many_chunks_equals_that_of_one(spark, chunk_rows):
+    rng = np.random.default_rng(5)
+    rows = [(g, i, float(rng.normal()), float(rng.normal())) for g, n in (("a", 43), (None, 61), ("b", 3), ("c", 2)) for i in range(n)]
+    xy = spark.createDataFrame(rows, "g string, i long, x double, y double")
+    one, many = ({r["g"]: r for r in S.block_bootstrap_corr(xy, ["g"], "i", n_boot=100, chunk_rows=k).collect()} for k in (1000, chunk_rows))
+    assert one.keys() == many.keys() == {"a", None, "b", "c"} and one["c"]["p"] is None
+    for g, r in one.items():
+        assert many[g][:] == pytest.approx(r[:], nan_ok=True) if r["p"] is not None else many[g]["p"] is None
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 61, 1000])
+def test_shuffled_places_are_permutations(n):
+    places = np.arange(n)
+    seen = [S.shuffled_place(places, n, 3, rep) for rep in range(400)]
+    assert all(sorted(p) == list(range(n)) for p in seen)
+    assert (S.shuffled_place(places[n // 2 :], n, 3, 7) == seen[7][n // 2 :]).all()
+    if n == 5:  # every place is taken about as often by each
+        counts = np.array([np.bincount([p[i] for p in seen], minlength=5) for i in range(5)])
+        assert ((counts - 80) ** 2 / 80).sum(axis=1).max() < 25
+        assert len({tuple(p) for p in seen}) > 50
+
+
+def test_break_by_permutation_in_chunks_equals_its_definition(spark):
+    rng = np.random.default_rng(21)
+    v = rng.normal(size=130) + 0.5 * (np.arange(130) > 80)
+    rows = [(None, i, float(x)) for i, x in enumerate(v)] + [("flat", i, 0.1) for i in range(80)] + [("short", i, 1.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "g string, i long, v double")
+    splits = np.arange(20, 111, 10)
+    score = lambda x: max(abs(x[:k].mean() - x[k:].mean()) for k in splits)
+    shuffled = []
+    for rep in range(60):
+        x = np.empty(130)
+        x[S.shuffled_place(np.arange(130), 130, 4, rep)] = v
+        shuffled.append(score(x))
+    want = (1 + sum(s >= score(v) for s in shuffled)) / 61
+    for chunk_rows in (25, 1000):
+        got = {r["g"]: r for r in S.mean_shift_break(df, ["g"], "i", "v", step=10, min_side=20, n_perm=60, seed=4, chunk_rows=chunk_rows).collect()}
+        assert got[None]["p"] == pytest.approx(want) and got[None]["score"] == pytest.approx(score(v))
+        assert got["flat"]["p"] == 1.0 and not got["flat"]["detected"]
+        assert got["short"]["p"] is None and got["short"]["score"] is None and not got["short"]["detected"]
+
+
 def test_cooldown(spark):
     rng = np.random.default_rng(2)
     days = {t: sorted(rng.choice(200, 60, replace=False).tolist()) for t in (1, 2)}

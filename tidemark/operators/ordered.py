@@ -50,5 +50,29 @@ def least_from_here(rows: DataFrame, value: str, out: str) -> DataFrame:
     return rows.withColumn(out, F.min(value).over(inside)).join(later, [GROUP, PART]).withColumn(out, F.least(out, "__later")).drop("__later")
 
 
+#: Rows of a group that a task works on together, besides those that it needs of its neighbours.
+CHUNK_ROWS = 1 << 18
+
+
+def in_chunks(rows: DataFrame, rank: str, size: str, before: Column | int = 0, after: Column | int = 0, circular: bool = False, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """rows of ranked() dealt to chunks of chunk_rows neighbours, the last one of up to twice as many: adds
+    __first and __until, the chunk's own places, and __pos, the row's.
+
+    A chunk also gets the `before` rows that precede it and the `after` rows that follow it (chunk_rows
+    at most each); circular: after a group's last row come its first ones, with places from its size on.
+    """
+    i, n = F.col(rank), F.col(size)
+    last = F.greatest(F.floor(n / chunk_rows) - 1, F.lit(0))
+    own = F.least(F.floor(i / chunk_rows), last)
+    at = lambda chunk, pos: F.struct(chunk.cast("long").alias("chunk"), pos.cast("long").alias("pos"))
+    places = [at(own, i), F.when((own < last) & (i >= (own + 1) * chunk_rows - before), at(own + 1, i)), F.when((own > 0) & (i - own * chunk_rows < after), at(own - 1, i))]
+    if circular:
+        places.append(F.when(i < after, at(last, i + n)))
+    dealt = rows.withColumn("__to", F.explode(F.filter(F.array(*places), lambda x: x.isNotNull())))
+    first = F.col("__to.chunk") * chunk_rows
+    until = F.when(F.col("__to.chunk") == last, n).otherwise(first + chunk_rows)
+    return dealt.withColumns({"__first": first, "__until": until.cast("long"), "__pos": F.col("__to.pos")}).drop("__to")
+
+
 def bare(df: DataFrame) -> DataFrame:
     return df.drop(GROUP, PART, PLACE)

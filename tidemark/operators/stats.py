@@ -3,21 +3,24 @@ mean-shift breaks, unit roots and specification curves.
 
 Functions take long tables; a `group` column separates series that are worked on together. Nulls and
 NaN are left out. Random replicates come from (seed, replicate), so a seed always gives the same
-result, whatever the partitions; draws are our own. Replicates are made in tasks that hold one
-group's series, as the unit-root test does; all else takes series of any length.
+result, whatever the partitions; draws are our own. A series may be of any length: ranks, resampling
+and unit roots work on chunks of it, whose sums are added.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import laid_out, least_from_here, ranked
+from .ordered import CHUNK_ROWS, GROUP, in_chunks, laid_out, least_from_here, ranked
 
 
 def align_calendar(calendar: DataFrame, sessions: DataFrame, how: str = "sum", lead: int = 1, day: str = "day", value: str = "value", session: str = "session_date") -> DataFrame:
@@ -98,59 +101,91 @@ def hac_slope(xy: DataFrame, group: list[str], order: str, x: str = "x", y: str
     return out.withColumn("t", F.try_divide("slope", "hac_se")).withColumn("p", two_sided_p(F.col("t")))
 
 
-#: Parts that the replicates of a bootstrap or a permutation test are dealt to, as tasks.
+#: Tasks that a group's replicates are dealt to, at least; a long series has as many chunks.
 BATCHES = 16
 
 
-def _replicated(df: DataFrame, group: list[str], order: str, values: list[str], n: int, work: Callable[..., list[tuple]], schema: str) -> DataFrame:
-    """Rows of work(values in order, replicate numbers) of each group, with the group's columns.
+@dataclass(frozen=True)
+class Chunk:
+    """A stretch of a group's series, with neighbours: places first..until are its own, of n in all."""
 
-    Each of BATCHES tasks has the group's series once and makes its part of the n replicates there.
+    values: list[np.ndarray]
+    places: np.ndarray
+    n: int
+    first: int
+    until: int
+    batch: int
+    batches: int
+
+    def own(self) -> slice:
+        return slice(*np.searchsorted(self.places, [self.first, self.until]))
+
+
+def _by_chunk(series: DataFrame, group: list[str], order: str, values: list[str], work: Callable[[Chunk], pd.DataFrame], schema: str, before: Column | int = 0, after: Column | int = 0, circular: bool = False, batches: int = 1, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Rows of work(chunk) of each chunk of each group's series, with the group's columns.
+
+    A series of one chunk goes to `batches` tasks, of more to fewer each, so that none is copied more
+    often than that.
     """
-    kinds = dict(df.dtypes)
-    names = [*group, *(c.split()[0] for c in schema.split(", "))]
+    parts = ranked(laid_out(series.select(*group, order, *values), group, [order]), "__i", "__n")
+    many = F.greatest(F.lit(1), F.ceil(batches / F.ceil(F.col("__n") / chunk_rows))).cast("int")
+    dealt = in_chunks(parts, "__i", "__n", before, after, circular, chunk_rows).withColumns({"__of": many, "__batch": F.explode(F.sequence(F.lit(0), many - 1))})
+    kinds = dict(series.dtypes)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        mine = range(int(rows["__batch"].iloc[0]), n, BATCHES)
-        rows = rows.sort_values("__order", kind="stable")
-        key = [rows[g].iloc[0] for g in group]
-        return pd.DataFrame([(*key, *r) for r in work(*(rows[v].to_numpy(float) for v in values), mine)], columns=names)
+        rows = rows.sort_values("__pos", kind="stable")
+        one = rows.iloc[0]
+        out = work(Chunk([rows[v].to_numpy(float) for v in values], rows["__pos"].to_numpy(), *(int(one[c]) for c in ("__n", "__first", "__until", "__batch", "__of"))))
+        for k, g in enumerate(group):
+            out.insert(k, g, pd.Series([one[g]] * len(out), dtype=rows[g].dtype))
+        return out
 
-    dealt = df.select(*group, F.col(order).alias("__order"), *values, F.explode(F.sequence(F.lit(0), F.lit(BATCHES - 1))).alias("__batch"))
-    return dealt.groupBy(*group, "__batch").applyInPandas(run, ", ".join([*(f"{g} {kinds[g]}" for g in group), schema]))
+    dealt = dealt.select(*group, *values, GROUP, "__n", "__pos", "__first", "__until", "__batch", "__of")
+    return dealt.groupBy(GROUP, "__first", "__batch").applyInPandas(run, ", ".join([*(f"`{g}` {kinds[g]}" for g in group), schema]))
 
 
-def block_bootstrap_corr(xy: DataFrame, group: list[str], order: str, x: str = "x", y: str = "y", block: int = 5, n_boot: int = 2000, seed: int = 12345) -> DataFrame:
+def _alike(a: DataFrame, b: DataFrame, group: list[str], how: str = "left") -> DataFrame:
+    """a joined with b on the group's columns, nulls being equal; without columns b is one row."""
+    if not group:
+        return a.crossJoin(b)
+    other = b.withColumnsRenamed({g: f"__of_{g}" for g in group})
+    return a.join(other, reduce(lambda x, y: x & y, (F.col(g).eqNullSafe(F.col(f"__of_{g}")) for g in group)), how).drop(*(f"__of_{g}" for g in group))
+
+
+def block_bootstrap_corr(xy: DataFrame, group: list[str], order: str, x: str = "x", y: str = "y", block: int = 5, n_boot: int = 2000, seed: int = 12345, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """n, r, ci_low, ci_high, p of each group's Pearson correlation by a circular moving-block bootstrap.
 
-    A replicate is only block starts, drawn by (seed, replicate). Sums over a block are differences of
-    running sums, so a replicate costs a step for each block, not for each point.
+    A replicate is only block starts, drawn by (seed, replicate). A task has a chunk of the series, and
+    the few rows after it that a block may reach into; it adds up the blocks that start there, as
+    differences of running sums. The chunks' sums of a replicate are then added.
     """
     d = finite(xy, x, y).select(*group, order, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    known = d.groupBy(*group).agg(F.count("*").alias("n"), F.corr("x", "y").alias("r"), (F.max("x") - F.min("x")).alias("sx"), (F.max("y") - F.min("y")).alias("sy"))
-
-    def draw(x: np.ndarray, y: np.ndarray, reps: range) -> list[tuple]:
-        n = len(x)
-        if n < 3 or not np.ptp(x) or not np.ptp(y):
-            return []
-        x, y = x - x.mean(), y - y.mean()
-        moments = np.stack([x, y, x * x, y * y, x * y])
-        upto = np.concatenate([np.zeros((5, 1)), np.cumsum(np.tile(moments, -(-(n + block) // n)), axis=1)], axis=1)
-        length = np.minimum(block, n - block * np.arange(-(-n // block)))
+    known = d.groupBy(*group).agg(F.count("*").alias("n"), F.corr("x", "y").alias("r"), F.avg("x").alias("mx"), F.avg("y").alias("my"), (F.max("x") - F.min("x")).alias("sx"), (F.max("y") - F.min("y")).alias("sy"))
+    fine = (F.col("n") >= 3) & (F.col("sx") > 0) & (F.col("sy") > 0)
+    known = known.withColumn("r", F.when(fine, F.col("r")))
+    centred = _alike(d, known.where(fine).select(*group, "mx", "my"), group, "inner").select(*group, order, (F.col("x") - F.col("mx")).alias("x"), (F.col("y") - F.col("my")).alias("y"))
+    names = ["a", "b", "aa", "bb", "ab"]
+
+    def draw(c: Chunk) -> pd.DataFrame:
+        x, y = c.values
+        upto = np.concatenate([np.zeros((5, 1)), np.cumsum([x, y, x * x, y * y, x * y], axis=1)], axis=1)
+        length = np.minimum(block, c.n - block * np.arange(-(-c.n // block)))
         out = []
-        for rep in reps:
-            start = np.random.default_rng([seed, rep]).integers(0, n, len(length))
-            a, b, aa, bb, ab = (upto[:, start + length] - upto[:, start]).sum(axis=1)
-            va, vb = aa - a * a / n, bb - b * b / n
-            out.append((float((ab - a * b / n) / np.sqrt(va * vb)) if va > 1e-12 and vb > 1e-12 else 0.0,))
-        return out
-
-    boots = _replicated(d, group, order, ["x", "y"], n_boot, draw, "boot double")
-    boots = boots.join(known.select(*group, "r"), group) if group else boots.crossJoin(known.select("r"))
+        for rep in range(c.batch, n_boot, c.batches):
+            start = np.random.default_rng([seed, rep]).integers(0, c.n, len(length))
+            mine = (start >= c.first) & (start < c.until)
+            at, size = start[mine] - c.first, length[mine]
+            out.append((rep, *(upto[:, at + size] - upto[:, at]).sum(axis=1)))
+        return pd.DataFrame(out, columns=["rep", *names])
+
+    sums = _by_chunk(centred, group, order, ["x", "y"], draw, "rep int, " + ", ".join(f"{c} double" for c in names), after=block - 1, circular=True, batches=BATCHES, chunk_rows=max(chunk_rows, block))
+    sums = _alike(sums.groupBy(*group, "rep").agg(*(F.sum(c).alias(c) for c in names)), known.select(*group, "n", "r"), group)
+    va, vb = F.col("aa") - F.col("a") * F.col("a") / F.col("n"), F.col("bb") - F.col("b") * F.col("b") / F.col("n")
+    boot = F.when((va > 1e-12) & (vb > 1e-12), (F.col("ab") - F.col("a") * F.col("b") / F.col("n")) / F.sqrt(va * vb)).otherwise(0.0)
+    boots = sums.withColumn("boot", boot)
     other = F.avg(F.when(F.col("r") > 0, (F.col("boot") <= 0).cast("double")).otherwise((F.col("boot") >= 0).cast("double")))
     found = boots.groupBy(*group).agg(F.percentile("boot", F.lit(0.025)).alias("ci_low"), F.percentile("boot", F.lit(0.975)).alias("ci_high"), F.least(F.lit(1.0), F.greatest(F.lit(1 / n_boot), 2 * other)).alias("p"))
-    left = known.select(*group, "n", F.when((F.col("n") >= 3) & (F.col("sx") > 0) & (F.col("sy") > 0), F.col("r")).alias("r"))
-    return left.join(found, group, "left") if group else left.crossJoin(found)
+    return _alike(known.select(*group, "n", "r"), found, group)
 
 
 def split_scores(series: DataFrame, group: list[str], order: str, value: str, step: int = 30, min_side: int = 30) -> DataFrame:
@@ -163,7 +198,7 @@ def split_scores(series: DataFrame, group: list[str], order: str, value: str, st
     return d.where(fits).select(*group, F.col(order).alias("at"), "n", F.col("i").alias("split"), score.alias("score"))
 
 
-def mean_shift_break(series: DataFrame, group: list[str], order: str, value: str, step: int = 30, min_abs_shift: float | None = None, alpha: float = 0.05, n_perm: int = 500, seed: int = 12345, min_side: int = 30) -> DataFrame:
+def mean_shift_break(series: DataFrame, group: list[str], order: str, value: str, step: int = 30, min_abs_shift: float | None = None, alpha: float = 0.05, n_perm: int = 500, seed: int = 12345, min_side: int = 30, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """The best split of each group: n, score, at, split, detected, p.
 
     detected by min_abs_shift if stated, else by permutation: p = (1 + exceeding) / (1 + n_perm) < alpha.
@@ -174,26 +209,56 @@ def mean_shift_break(series: DataFrame, group: list[str], order: str, value: str
     sizes = finite(series, value).groupBy(*group).agg(F.count("*").alias("n"))
     scores = split_scores(series, group, order, value, step, min_side)
     best = scores.groupBy(*group).agg(F.max_by(F.struct("at", "split", "score"), F.struct("score", -F.col("split"))).alias("b")).select(*group, "b.at", "b.split", "b.score")
-    out = sizes.join(best, group, "left")
+    out = _alike(sizes, best, group)
     if min_abs_shift is not None:
         return out.withColumns({"p": F.lit(None).cast("double"), "detected": F.coalesce(F.col("score") >= min_abs_shift, F.lit(False))})
 
-    def permute(v: np.ndarray, reps: range) -> list[tuple]:
-        n = len(v)
-        splits = np.arange(min_side, n - min_side + 1, step) if n >= 2 * min_side + 1 else np.empty(0, int)
-        if not len(splits):
-            return []
-
-        def score(v: np.ndarray) -> float:
-            before = np.cumsum(v)[splits - 1]
-            return float(np.abs(before / splits - (v.sum() - before) / (n - splits)).max())
-
-        own = score(v)
-        return [(sum(score(np.random.default_rng([seed, r]).permutation(v)) >= own for r in reps), len(reps))]
-
-    counted = _replicated(finite(series, value).withColumn("__v", F.col(value).cast("double")), group, order, ["__v"], n_perm, permute, "__over long, __of long")
-    exceeding = counted.groupBy(*group).agg(((1 + F.sum("__over")) / (1 + F.sum("__of"))).alias("p"))
-    return (out.join(exceeding, group, "left") if group else out.crossJoin(exceeding)).withColumn("detected", F.coalesce(F.col("p") < alpha, F.lit(False)))
+    def permute(c: Chunk) -> pd.DataFrame:
+        v, out = c.values[0], [pd.DataFrame({"rep": np.empty(0, np.int32), "segment": np.empty(0, np.int64), "total": np.empty(0)})]
+        last = (c.n - 2 * min_side) // step + 1  # segments lie between the splits: before the first, ..., after the last
+        for rep in range(c.batch, n_perm if c.n > 2 * min_side else 0, c.batches):
+            place = shuffled_place(c.places, c.n, seed, rep)
+            segment = np.where(place < min_side, 0, np.minimum((place - min_side) // step + 1, last))
+            some, at = np.unique(segment, return_inverse=True)
+            out.append(pd.DataFrame({"rep": rep, "segment": some, "total": np.bincount(at, v)}))
+        return pd.concat(out, ignore_index=True)
+
+    d = finite(series, value).select(*group, order, F.col(value).cast("double").alias("__v"))
+    span = d.groupBy(*group).agg(F.avg("__v").alias("__mean"), (F.max("__v") - F.min("__v")).alias("__span"))
+    d = _alike(d, span, group).withColumn("__v", F.col("__v") - F.col("__mean"))
+    sums = _by_chunk(d, group, order, ["__v"], permute, "rep int, segment long, total double", batches=BATCHES, chunk_rows=chunk_rows)
+    sums = sums.groupBy(*group, "rep", "segment").agg(F.sum("total").alias("total"))
+    w = Window.partitionBy(*group, "rep")
+    sums = sums.withColumns({"before": F.sum("total").over(w.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)), "whole": F.sum("total").over(w)})
+    known = _alike(out.select(*group, "n", F.col("score").alias("__own")), span, group)
+    split = min_side + step * (F.col("segment") - 1)
+    shift = F.abs(F.col("before") / split - (F.col("whole") - F.col("before")) / (F.col("n") - split))
+    best = _alike(sums.where("segment > 0"), known, group).withColumn("shift", shift).groupBy(*group, "rep", "__own", "__span").agg(F.max("shift").alias("shift"))
+    # sums in another order differ in their last digits only
+    over = (F.col("__span") == 0) | (F.col("shift") >= F.col("__own") - 1e-9 * F.col("__span"))
+    p = best.groupBy(*group).agg(((1 + F.sum(over.cast("int"))) / (1 + F.count("*"))).alias("p"))
+    return _alike(out, p, group).withColumn("detected", F.coalesce(F.col("p") < alpha, F.lit(False)))
+
+
+def shuffled_place(places: np.ndarray, n: int, seed: int, rep: int) -> np.ndarray:
+    """Where a pseudo-random permutation of n places, drawn by (seed, rep), puts the given ones.
+
+    Halves of a place's bits are mixed into each other in rounds, which permutes the next power of 4;
+    places that land outside n go on until they are inside. So a task can permute its own places only.
+    """
+    half = max(1, ((n - 1).bit_length() + 1) // 2)
+    keys, mask = np.random.SeedSequence([seed, rep]).generate_state(6, np.uint64), np.uint64((1 << half) - 1)
+    out = places.astype(np.uint64)
+    todo = np.arange(len(out))
+    while len(todo):
+        left, right = out[todo] >> np.uint64(half), out[todo] & mask
+        for key in keys:
+            z = (right + key) * np.uint64(0x9E3779B97F4A7C15)
+            z = (z ^ (z >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            left, right = right, left ^ ((z ^ (z >> np.uint64(32))) & mask)
+        out[todo] = (left << np.uint64(half)) | right
+        todo = todo[out[todo] >= n]
+    return out.astype(np.int64)
 
 
 def predictor_transforms(x: DataFrame, order: str, value: str, baseline: float | None = None, group: list[str] | None = None) -> DataFrame:
@@ -216,45 +281,118 @@ def target_transforms(y: DataFrame, order: str, value: str, vol_window: int = 5,
     return made.unpivot([*group, order], ["signed_return", "abs_return", "realized_vol"], "target", "value").where("value is not null")
 
 
-def _adf(v: np.ndarray) -> bool | None:
-    """Whether an augmented Dickey-Fuller test with a constant keeps the unit root at 5 %."""
-    n = len(v)
-    if n < 10 or np.ptp(v) == 0:
-        return None
-    d = np.diff(v)
-    most = min(int(np.ceil(12 * (n / 100) ** 0.25)), (len(d) - 1) // 2 - 2)
+def _most_lags(n: int) -> int:
+    """The largest lag order that is tried on n values."""
+    return max(0, min(int(np.ceil(12 * (n / 100) ** 0.25)), (n - 2) // 2 - 2))
+
+
+def _lag_sums(c: Chunk) -> pd.DataFrame:
+    """What a chunk adds to the sums of products of levels and lagged changes; and the series' ends."""
+    v, own, most = c.values[0], c.own(), _most_lags(c.n)
+    d, t = np.diff(v), c.places
+    until = own.stop if c.until < c.n else own.stop - 1  # the last level has no change after it
+    out = []
+    for k in range(most + 1):
+        a = max(own.start, k + own.start - int(t[own.start]))  # place k is the first with a lag of k
+        now, then = slice(a, max(a, until)), slice(a - k, max(a, until) - k)
+        out += [("changes", k, d[now] @ d[then]), ("levels", k, v[now] @ d[then])]
+    level = v[own.start : until]
+    out += [("sum", 0, level.sum()), ("squares", 0, level @ level)]
+    for name, low, high in (("head", 0, most + 1), ("tail", c.n - 1 - most, c.n)):
+        mine = np.arange(own.start, own.stop)
+        mine = mine[(t[mine] >= low) & (t[mine] < high)]
+        out += [(name, int(k), x) for k, x in zip(t[mine] - low, v[mine], strict=True)]
+    return pd.DataFrame(out, columns=["what", "k", "x"])
+
+
+def _unit_root(n: int, sums: dict[str, dict[int, float]]) -> tuple[int | None, float | None, bool | None]:
+    """Lag order, statistic and verdict of an augmented Dickey-Fuller test with a constant, from the sums."""
+    if n < 10 or sums["squares"].get(0, 0.0) <= 0:
+        return None, None, None
+    most, last = _most_lags(n), n - 1
+    array = lambda what: np.array([sums[what][k] for k in sorted(sums[what])])
+    changes, levels, head, tail = (array(x) for x in ("changes", "levels", "head", "tail"))
+    dh, dt = np.diff(head), np.diff(tail)  # the first and last `most` changes
+
+    def gram(m: int, lags: int) -> np.ndarray:
+        """Products of (change, level, 1, changes 1..lags before) over the places from m on."""
+        g = np.empty((lags + 3, lags + 3))
+        at = [0, *range(3, lags + 3)]
+        for i in range(lags + 1):
+            g[1, at[i]] = levels[i] - head[i:m] @ dh[: m - i]
+            g[2, at[i]] = tail[most - i] - head[m - i]
+            for j in range(i, lags + 1):
+                k = j - i
+                late = dt[most - i :] @ dt[most - j : most - k] if i else 0.0
+                g[at[i], at[j]] = g[at[j], at[i]] = changes[k] - dh[k : m - i] @ dh[: m - i - k] - late
+        g[1, 1], g[1, 2], g[2, 2] = sums["squares"][0] - head[:m] @ head[:m], sums["sum"][0] - head[:m].sum(), last - m
+        g[2, 1] = g[1, 2]
+        g[:, 1:3] = g[1:3].T.copy()
+        return g
+
+    def fit(g: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
+        """Coefficients, squared residuals and the inverse of the products; columns are scaled to one length."""
+        scale = np.sqrt(np.maximum(np.diag(g), 1e-300))
+        z = g / np.outer(scale, scale)
+        inverse = np.linalg.pinv(z[1:, 1:], rcond=1e-12, hermitian=True)
+        beta = inverse @ z[1:, 0]
+        left = max(float(1 - z[1:, 0] @ beta), 0.0) * g[0, 0]
+        return beta * scale[0] / scale[1:], left, inverse / np.outer(scale[1:], scale[1:])
+
     best = None
-    for lags in range(max(0, most) + 1):
-        rows = np.arange(max(0, most), len(d))  # one sample for all lag orders, as the criterion asks
-        x = np.column_stack([v[rows], np.ones(len(rows)), *(d[rows - k] for k in range(1, lags + 1))])
-        beta, *_ = np.linalg.lstsq(x, d[rows], rcond=None)
-        e = d[rows] - x @ beta
-        criterion = len(rows) * np.log(max(e @ e, 1e-300) / len(rows)) + 2 * x.shape[1]
+    full = gram(most, most)
+    for lags in range(most + 1):
+        keep = np.arange(lags + 3)
+        _, left, _ = fit(full[np.ix_(keep, keep)])
+        size = last - most
+        criterion = size * np.log(max(left, 1e-300) / size) + 2 * (lags + 2)
         if best is None or criterion < best[0]:
             best = criterion, lags
     lags = best[1]
-    rows = np.arange(lags, len(d))
-    x = np.column_stack([v[rows], np.ones(len(rows)), *(d[rows - k] for k in range(1, lags + 1))])
-    beta, *_ = np.linalg.lstsq(x, d[rows], rcond=None)
-    e = d[rows] - x @ beta
-    se = np.sqrt(e @ e / max(1, len(rows) - x.shape[1]) * np.linalg.pinv(x.T @ x)[0, 0])
-    if se == 0:
-        return None
-    size = len(rows)
+    g = gram(lags, lags)
+    beta, left, inverse = fit(g)
+    size = last - lags
+    if left <= 1e-12 * g[0, 0]:
+        return lags, None, None
+    statistic = float(beta[0] / np.sqrt(left / max(1, size - lags - 2) * inverse[0, 0]))
     # The 5 % critical value's response surface for a constant (MacKinnon).
     critical = -2.86154 - 2.8903 / size - 4.234 / size**2 - 40.04 / size**3
-    return bool(beta[0] / se > critical)
+    return lags, statistic, bool(statistic > critical)
 
 
-def nonstationary(series: DataFrame, group: list[str], order: str, value: str) -> DataFrame:
-    """nonstationary of each group: true where a unit root isn't rejected; null for short or constant series.
-    A group is one series of a specification curve (daily values), small enough for a task."""
-    keys = ", ".join(f"{g} {dict(series.dtypes)[g]}" for g in group)
+def unit_root(series: DataFrame, group: list[str], order: str, value: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """n, lags, statistic, nonstationary of each group: an augmented Dickey-Fuller test with a constant, the
+    lag order by Akaike's criterion on one sample; nonstationary where a unit root isn't rejected at 5 %.
 
-    def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([[*pdf[group].iloc[0], _adf(pdf.sort_values(order)[value].to_numpy(float))]], columns=[*group, "nonstationary"])
+    Null for series that are short, constant, or fitted without a rest. A regression needs only sums of
+    products of levels and lagged changes, which chunks of the series add up, and some 12 (n / 100)^(1/4)
+    values at either end; so a task solves the regressions of a series from a few numbers.
+    """
+    d = finite(series, value).select(*group, order, F.col(value).cast("double").alias("__v"))
+    centred = _alike(d, d.groupBy(*group).agg(F.avg("__v").alias("__mean"), (F.max("__v") - F.min("__v")).alias("__span")), group)
+    centred = centred.withColumn("__v", F.when(F.col("__span") > 0, F.col("__v") - F.col("__mean")).otherwise(0.0))
+    most = F.ceil(12 * F.pow(F.col("__n") / 100, F.lit(0.25))) + 2
+    sums = _by_chunk(centred, group, order, ["__v"], _lag_sums, "what string, k long, x double", before=most, after=1, chunk_rows=chunk_rows)
+    sums = sums.groupBy(*group, "what", "k").agg(F.sum("x").alias("x"))
+    sums = sums.groupBy(*group).agg(F.collect_list(F.struct("what", "k", "x")).alias("sums"))  # some 4 * lags rows
+    sizes = d.groupBy(*group).agg(F.count("*").alias("n"))
+
+    @F.pandas_udf("lags int, statistic double, nonstationary boolean")
+    def solve(n: pd.Series, sums: pd.Series) -> pd.DataFrame:
+        out = []
+        for size, rows in zip(n, sums, strict=True):
+            by: dict[str, dict[int, float]] = defaultdict(dict)
+            for r in rows:
+                by[r["what"]][r["k"]] = r["x"]
+            out.append(_unit_root(int(size), by))
+        return pd.DataFrame(out, columns=["lags", "statistic", "nonstationary"]).astype({"lags": "Int32", "nonstationary": "boolean"})
+
+    return _alike(sizes, sums, group).withColumn("__r", solve("n", "sums")).select(*group, "n", "__r.*")
 
-    return finite(series, value).select(*group, order, value).groupBy(*group).applyInPandas(test, f"{keys}, nonstationary boolean")
+
+def nonstationary(series: DataFrame, group: list[str], order: str, value: str) -> DataFrame:
+    """nonstationary of each group, as unit_root() has it."""
+    return unit_root(series, group, order, value).select(*group, "nonstationary")
 
 
 def spec_curve(predictor: DataFrame, rets: DataFrame, order: str = "ts", value: str = "value", baseline: float | None = None, regimes: list[tuple[str, object, object]] | None = None, vol_window: int = 5, maxlags: int = 5, min_n: int = 20, alpha: float = 0.05) -> DataFrame:
