@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources.storage import written
+
 from .ordered import CHUNK_ROWS, GROUP, in_chunks, laid_out, least_from_here, ranked
 
 
@@ -56,19 +58,36 @@ def benjamini_hochberg(p: DataFrame, family: list[str], pvalue: str = "p", alpha
     A family may be all rows: ranks and running minima go over from one range of p-values to the next.
     """
     ok = F.col(pvalue).isNotNull() & ~F.isnan(pvalue)
-    tested = ranked(laid_out(p.where(ok), family, [pvalue]), "__rank", "__tests")
+    tested = ranked(laid_out(p.withColumn("__ok", ok), [*family, "__ok"], [pvalue]), "__rank", "__tests")
     raw = tested.withColumn("__raw", F.col(pvalue) * F.col("__tests") / (F.col("__rank") + 1))
-    adjusted = least_from_here(raw, "__raw", "__least").select(*p.columns, F.least("__least", F.lit(1.0)).alias("adjusted"))
-    out = adjusted.unionByName(p.where(~ok).withColumn("adjusted", F.lit(None).cast("double")))
+    return _rejected(least_from_here(raw, "__raw", "__least"), p.columns, ok, alpha)
+
+
+def _rejected(p: DataFrame, columns: list[str], ok: Column, alpha: float) -> DataFrame:
+    out = p.select(*columns, F.when(ok, F.least("__least", F.lit(1.0))).alias("adjusted"))
     return out.withColumn("reject", F.coalesce(F.col("adjusted") <= alpha, F.lit(False)))
 
 
+def _step_up(p: DataFrame, pvalue: str, alpha: float) -> DataFrame:
+    """benjamini_hochberg() of one family of as many rows as parameters have been stated: one small window."""
+    ok = F.col(pvalue).isNotNull() & ~F.isnan(pvalue)
+    w = Window.partitionBy(ok)
+    raw = p.withColumn("__rank", F.row_number().over(w.orderBy(pvalue))).withColumn("__raw", F.col(pvalue) * F.count("*").over(w) / F.col("__rank"))
+    least = F.min("__raw").over(w.orderBy(F.desc("__rank")).rowsBetween(Window.unboundedPreceding, 0))
+    return _rejected(raw.withColumn("__least", least), p.columns, ok, alpha)
+
+
 def finite(df: DataFrame, *columns: str) -> DataFrame:
     for c in columns:
         df = df.where(F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     return df
 
 
+def correlation(x: str, y: str) -> Column:
+    """Pearson's, null where either is constant."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def two_sided_p(z: Column) -> Column:
     """Two-sided normal p-value; on a row for each group only, since Spark has no erfc."""
 
@@ -80,13 +99,14 @@ def two_sided_p(z: Column) -> Column:
 
 
 def hac_slope(xy: DataFrame, group: list[str], order: str, x: str = "x", y: str = "y", maxlags: int = 5) -> DataFrame:
-    """n, slope, hac_se, t, p, lags of y on x for each group: Bartlett weights, no small-sample correction.
+    """n, slope, hac_se, t, p, lags of y on x for each group: Bartlett weights, no small-sample correction;
+    also the correlation r and the spans of x and y, from the same pass.
 
     slope is null where n < 3 or x is constant. Cross-moments of lagged products are plain window and
     group aggregates, so a group may be of any length.
     """
     d = finite(xy, x, y).select(*group, order, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    line = d.groupBy(*group).agg(F.count("*").alias("n"), F.avg("x").alias("mx"), F.avg("y").alias("my"), F.regr_slope("y", "x").alias("slope"), F.regr_sxx("y", "x").alias("sxx"), (F.max("x") - F.min("x")).alias("span"))
+    line = d.groupBy(*group).agg(F.count("*").alias("n"), F.avg("x").alias("mx"), F.avg("y").alias("my"), F.regr_slope("y", "x").alias("slope"), F.regr_sxx("y", "x").alias("sxx"), correlation("x", "y").alias("r"), (F.max("x") - F.min("x")).alias("span"), (F.max("y") - F.min("y")).alias("y_span"))
     line = line.withColumn("lags", F.greatest(F.lit(1), F.least(F.lit(maxlags), F.col("n") - 2)))
     u = d.join(line, group).withColumn("__u", (F.col("x") - F.col("mx")) * (F.col("y") - F.col("my") - F.col("slope") * (F.col("x") - F.col("mx"))))
     # with a constant in the regression the slope's variance needs only (x - mean x) e
@@ -97,7 +117,7 @@ def hac_slope(xy: DataFrame, group: list[str], order: str, x: str = "x", y: str
         total = total + 2 * weight * F.coalesce(F.col("__u") * F.lag("__u", k).over(w), F.lit(0.0))
     s = u.withColumn("part", total).groupBy(*group).agg(F.sum("part").alias("meat"))
     fine = (F.col("n") >= 3) & (F.col("span") > 0)
-    out = line.join(s, group).select(*group, "n", F.when(fine, F.col("slope")).alias("slope"), F.when(fine, F.sqrt(F.greatest("meat", F.lit(0.0))) / F.col("sxx")).alias("hac_se"), "lags")
+    out = line.join(s, group).select(*group, "n", F.when(fine, F.col("slope")).alias("slope"), F.when(fine, F.sqrt(F.greatest("meat", F.lit(0.0))) / F.col("sxx")).alias("hac_se"), "lags", "r", "span", "y_span")
     return out.withColumn("t", F.try_divide("slope", "hac_se")).withColumn("p", two_sided_p(F.col("t")))
 
 
@@ -128,9 +148,14 @@ def _by_chunk(series: DataFrame, group: list[str], order: str, values: list[str]
     often than that.
     """
     parts = ranked(laid_out(series.select(*group, order, *values), group, [order]), "__i", "__n")
+    return _over_chunks(parts, group, values, work, schema, before, after, circular, batches, chunk_rows)
+
+
+def _over_chunks(parts: DataFrame, group: list[str], values: list[str], work: Callable[[Chunk], pd.DataFrame], schema: str, before: Column | int = 0, after: Column | int = 0, circular: bool = False, batches: int = 1, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """_by_chunk() of rows that have their place __i and their group's size __n."""
     many = F.greatest(F.lit(1), F.ceil(batches / F.ceil(F.col("__n") / chunk_rows))).cast("int")
     dealt = in_chunks(parts, "__i", "__n", before, after, circular, chunk_rows).withColumns({"__of": many, "__batch": F.explode(F.sequence(F.lit(0), many - 1))})
-    kinds = dict(series.dtypes)
+    kinds = dict(parts.dtypes)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("__pos", kind="stable")
@@ -160,7 +185,7 @@ def block_bootstrap_corr(xy: DataFrame, group: list[str], order: str, x: str = "
     differences of running sums. The chunks' sums of a replicate are then added.
     """
     d = finite(xy, x, y).select(*group, order, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    known = d.groupBy(*group).agg(F.count("*").alias("n"), F.corr("x", "y").alias("r"), F.avg("x").alias("mx"), F.avg("y").alias("my"), (F.max("x") - F.min("x")).alias("sx"), (F.max("y") - F.min("y")).alias("sy"))
+    known = d.groupBy(*group).agg(F.count("*").alias("n"), correlation("x", "y").alias("r"), F.avg("x").alias("mx"), F.avg("y").alias("my"), (F.max("x") - F.min("x")).alias("sx"), (F.max("y") - F.min("y")).alias("sy"))
     fine = (F.col("n") >= 3) & (F.col("sx") > 0) & (F.col("sy") > 0)
     known = known.withColumn("r", F.when(fine, F.col("r")))
     centred = _alike(d, known.where(fine).select(*group, "mx", "my"), group, "inner").select(*group, order, (F.col("x") - F.col("mx")).alias("x"), (F.col("y") - F.col("my")).alias("y"))
@@ -369,13 +394,17 @@ def unit_root(series: DataFrame, group: list[str], order: str, value: str, chunk
     values at either end; so a task solves the regressions of a series from a few numbers.
     """
     d = finite(series, value).select(*group, order, F.col(value).cast("double").alias("__v"))
-    centred = _alike(d, d.groupBy(*group).agg(F.avg("__v").alias("__mean"), (F.max("__v") - F.min("__v")).alias("__span")), group)
-    centred = centred.withColumn("__v", F.when(F.col("__span") > 0, F.col("__v") - F.col("__mean")).otherwise(0.0))
+    return _unit_roots(ranked(laid_out(d, group, [order]), "__i", "__n"), group, chunk_rows)
+
+
+def _unit_roots(parts: DataFrame, group: list[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """unit_root() of finite values __v that have their place __i and their group's size __n."""
+    known = parts.groupBy(*group).agg(F.count("*").alias("n"), F.avg("__v").alias("__mean"), (F.max("__v") - F.min("__v")).alias("__span"))
+    centred = _alike(parts, known.drop("n"), group).withColumn("__v", F.when(F.col("__span") > 0, F.col("__v") - F.col("__mean")).otherwise(0.0))
     most = F.ceil(12 * F.pow(F.col("__n") / 100, F.lit(0.25))) + 2
-    sums = _by_chunk(centred, group, order, ["__v"], _lag_sums, "what string, k long, x double", before=most, after=1, chunk_rows=chunk_rows)
+    sums = _over_chunks(centred, group, ["__v"], _lag_sums, "what string, k long, x double", before=most, after=1, chunk_rows=chunk_rows)
     sums = sums.groupBy(*group, "what", "k").agg(F.sum("x").alias("x"))
     sums = sums.groupBy(*group).agg(F.collect_list(F.struct("what", "k", "x")).alias("sums"))  # some 4 * lags rows
-    sizes = d.groupBy(*group).agg(F.count("*").alias("n"))
 
     @F.pandas_udf("lags int, statistic double, nonstationary boolean")
     def solve(n: pd.Series, sums: pd.Series) -> pd.DataFrame:
@@ -387,7 +416,7 @@ def unit_root(series: DataFrame, group: list[str], order: str, value: str, chunk
             out.append(_unit_root(int(size), by))
         return pd.DataFrame(out, columns=["lags", "statistic", "nonstationary"]).astype({"lags": "Int32", "nonstationary": "boolean"})
 
-    return _alike(sizes, sums, group).withColumn("__r", solve("n", "sums")).select(*group, "n", "__r.*")
+    return _alike(known.select(*group, "n"), sums, group).withColumn("__r", solve("n", "sums")).select(*group, "n", "__r.*")
 
 
 def nonstationary(series: DataFrame, group: list[str], order: str, value: str) -> DataFrame:
@@ -397,29 +426,52 @@ def nonstationary(series: DataFrame, group: list[str], order: str, value: str) -
 
 def spec_curve(predictor: DataFrame, rets: DataFrame, order: str = "ts", value: str = "value", baseline: float | None = None, regimes: list[tuple[str, object, object]] | None = None, vol_window: int = 5, maxlags: int = 5, min_n: int = 20, alpha: float = 0.05) -> DataFrame:
     """A row for each sample x predictor transform x target: spec, sample, transform, target, n, r, hac_p,
-    likely_spurious_levels, hac_p_fdr, survives_fdr, skipped (why it was not tested, else null)."""
-    windows = [("full", None, None), *(regimes or [])]
-    px = predictor_transforms(predictor, order, value, baseline)
-    inside = lambda df, a, b: df if a is None else df.where(F.col(order).between(F.lit(a), F.lit(b)))
-    parts, levels, cells = [], [], []
-    for name, a, b in windows:
-        x, y = inside(px, a, b), target_transforms(inside(rets, a, b), order, value, vol_window)
-        parts.append(x.withColumnRenamed("value", "x").join(y.withColumnRenamed("value", "y"), order).withColumn("sample", F.lit(name)))
-        levels.append(x.where("transform = 'level'").withColumn("sample", F.lit(name)))
-        grid = px.select("transform").distinct().crossJoin(predictor.sparkSession.createDataFrame([("signed_return",), ("abs_return",), ("realized_vol",)], "target string"))
-        cells.append(grid.withColumn("sample", F.lit(name)))
-    both, level, grid = (p[0] if len(p) == 1 else _union(p) for p in (parts, levels, cells))
+    likely_spurious_levels, hac_p_fdr, survives_fdr, skipped (why it was not tested, else null).
+
+    Both series are laid out once; transforms look at neighbours within chunks. They meet by time, one row
+    with all transforms and targets, which then becomes a row for each specification: a single table of
+    which slopes, correlations and sizes are aggregates.
+    """
+    samples = [("full", None, None), *(regimes or [])]
+    held = F.array(*(F.when(F.lit(True) if a is None else F.col("t").between(F.lit(a), F.lit(b)), F.lit(name)) for name, a, b in samples))
+    x, y = (df.select(F.col(order).alias("t"), F.col(value).cast("double").alias("__v")) for df in (predictor, rets))
+    in_samples = lambda df, side: df.select(F.lit(side).alias("side"), F.explode(F.filter(held, lambda s: s.isNotNull())).alias("sample"), "t", "__v")
+    whole = x.select(F.lit("x").alias("side"), F.lit("full").alias("sample"), "t", "__v")
+    both = _union([whole, in_samples(finite(x, "__v"), "level"), in_samples(y, "y")])
+    parts = ranked(laid_out(both, ["side", "sample"], ["t"]), "__i", "__n")
+
+    w = Window.partitionBy(GROUP, "__first").orderBy("__pos")
+    near = lambda side, n: in_chunks(parts.where(F.col("side") == side), "__i", "__n", before=n)
+    own = (F.col("__pos") >= F.col("__first")) & (F.col("__pos") < F.col("__until"))
+    v, before = F.col("__v"), F.col("__before")
+    xs = near("x", 1).withColumn("__before", F.lag("__v").over(w)).where(own)
+    dlog = F.when((v > 0) & (before > 0), F.log(F.when(v > 0, v)) - F.log(F.when(before > 0, before)))
+    changed = {"level": v, "diff": v - before, "dlog": dlog} | ({"basedev": v / baseline - 1} if baseline else {})
+    xs = xs.select("t", *(c.alias(name) for name, c in changed.items()))
+    window = w.rowsBetween(1 - vol_window, 0)
+    vol = F.when(F.count("__v").over(window) == vol_window, F.stddev_samp("__v").over(window))
+    ys = near("y", vol_window - 1).withColumn("realized_vol", vol).where(own).select("sample", "t", v.alias("signed_return"), F.abs("__v").alias("abs_return"), "realized_vol")
+
+    targets = ["signed_return", "abs_return", "realized_vol"]
+    listed = lambda names, kind, to: F.explode(F.array(*(F.struct(F.lit(n).alias(kind), F.col(n).alias(to)) for n in names)))
+    cells = xs.join(ys, "t").withColumn("px", listed(changed, "transform", "x")).withColumn("py", listed(targets, "target", "y"))
+    cells = written(finite(cells.select("sample", "t", "px.*", "py.*"), "x", "y"), "cells")
+
     keys = ["sample", "transform", "target"]
-    size = finite(both, "x", "y").groupBy(*keys).agg(F.count("*").alias("n"), F.corr("x", "y").alias("r"), (F.max("x") - F.min("x")).alias("sx"), (F.max("y") - F.min("y")).alias("sy"))
-    hac = hac_slope(both, keys, order, maxlags=maxlags).select(*keys, F.col("p").alias("hac_p"))
-    unit = nonstationary(level, ["sample"], order, "value").withColumn("transform", F.lit("level"))
-    out = grid.join(size, keys, "left").join(hac, keys, "left").join(unit, ["sample", "transform"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    skipped = F.when(F.col("n") < min_n, F.lit(f"n<{min_n}")).when((F.col("sx") == 0) | (F.col("sy") == 0), "degenerate (no variance)")
+    # a transform is there if it has a value, logarithms only if all values have one
+    there = xs.agg(*(F.count(c).alias(c) for c in changed), F.bool_and(F.col("level") > 0).alias("positive"))
+    named = [F.when((F.col(c) > 0) & (F.col("positive") if c == "dlog" else F.lit(True)), F.lit(c)) for c in changed]
+    grid = there.select(F.explode(F.filter(F.array(*named), lambda c: c.isNotNull())).alias("transform"))
+    grid = grid.select(F.explode(F.array(*(F.lit(n) for n, _, _ in samples))).alias("sample"), "transform").select("sample", "transform", F.explode(F.array(*map(F.lit, targets))).alias("target"))
+    hac = hac_slope(cells, keys, "t", maxlags=maxlags).select(*keys, "n", "r", "span", "y_span", F.col("p").alias("hac_p"))
+    unit = _unit_roots(parts.where("side = 'level'"), ["sample"]).select("sample", F.lit("level").alias("transform"), "nonstationary")
+    out = grid.join(hac, keys, "left").join(unit, ["sample", "transform"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+    skipped = F.when(F.col("n") < min_n, F.lit(f"n<{min_n}")).when((F.col("span") == 0) | (F.col("y_span") == 0), "degenerate (no variance)")
     tested = skipped.isNull()
     out = out.select(
         F.concat("sample", F.lit(":"), "transform", F.lit("->"), "target").alias("spec"), *keys, "n", F.when(tested, F.col("r")).alias("r"), F.when(tested, F.col("hac_p")).alias("hac_p"), F.when(tested, F.col("nonstationary")).alias("likely_spurious_levels"), skipped.alias("skipped")
     )
-    fdr = benjamini_hochberg(out, [], "hac_p", alpha)
+    fdr = _step_up(out, "hac_p", alpha)
     return fdr.withColumn("survives_fdr", F.col("reject") & ~F.coalesce("likely_spurious_levels", F.lit(False))).withColumnRenamed("adjusted", "hac_p_fdr").drop("reject")
 
 
