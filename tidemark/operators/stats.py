@@ -455,7 +455,7 @@ def spec_curve(predictor: DataFrame, rets: DataFrame, order: str = "ts", value:
     targets = ["signed_return", "abs_return", "realized_vol"]
     listed = lambda names, kind, to: F.explode(F.array(*(F.struct(F.lit(n).alias(kind), F.col(n).alias(to)) for n in names)))
     cells = xs.join(ys, "t").withColumn("px", listed(changed, "transform", "x")).withColumn("py", listed(targets, "target", "y"))
-    cells = written(finite(cells.select("sample", "t", "px.*", "py.*"), "x", "y"), "cells")
+    cells = finite(cells.select("sample", "t", "px.*", "py.*"), "x", "y")
 
     keys = ["sample", "transform", "target"]
     # a transform is there if it has a value, logarithms only if all values have one
