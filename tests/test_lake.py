@@ -90,3 +90,26 @@ def test_a_growing_result_is_cancelled_by_its_bytes(lake):
     with pytest.raises(OverLimit) as e:
         lake.sql("SELECT uuid() AS a, uuid() AS b FROM range(0, 2000000000, 1, 4)", max_bytes=1 << 22)
     assert e.value.limit == "max_bytes" and time.monotonic() - began < 60
+
+
+def test_manifest_of_a_file_above_two_gigabytes(spark, tmp_path):
+    """Files are streamed; what an earlier manifest has is not read again."""
+    import hashlib
+
+    from tidemark.operators import quality as Q
+
+    small, large = tmp_path / "a b%.parquet", tmp_path / "b.parquet"
+    small.write_bytes(b"abc")
+    with large.open("wb") as f:
+        f.truncate(3 << 30)  # no blocks on disk
+    zeros, want = bytes(8 << 20), hashlib.sha256()
+    for _ in range(3 << 7):
+        want.update(zeros)
+    first = Q.written_manifest(spark, str(tmp_path))
+    rows = [r.asDict() for r in first.collect()]
+    assert [(r["part"], r["sha256"], r["byte_size"]) for r in rows] == [(0, hashlib.sha256(b"abc").hexdigest(), 3), (1, want.hexdigest(), 3 << 30)]
+    told = [{**r, "sha256": "f" * 64} for r in rows]
+    small.write_bytes(b"abcd")
+    again = Q.written_manifest(spark, str(tmp_path), spark.createDataFrame(told, first.schema)).orderBy("part").collect()
+    assert [r["sha256"] for r in again] == [hashlib.sha256(b"abcd").hexdigest(), "f" * 64]
+    assert Q.manifest_audit(first.withColumn("manifest", first.path.substr(1, 1))).first()["valid"]

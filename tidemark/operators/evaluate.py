@@ -13,6 +13,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .select import order_of
+
 # Names of fitness functions, and those of which less is better.
 FITNESS = ("sharpeRatio", "sortinoRatio", "maxDrawdown", "avgDrawdown", "percentChange", "dollarsSold", "ulcerPerformanceIndex", "participationRate", "distinctUnderlyingsTraded", "medianDeployment")
 SMALLER_IS_BETTER = ("maxDrawdown", "avgDrawdown")
@@ -87,9 +89,14 @@ def fitness(path: DataFrame, keys: list[str], traded: DataFrame | None = None, p
     return out.join(traded.where("weight > 0").groupBy(*keys).agg(F.count_distinct(key).alias("distinctUnderlyingsTraded")), keys, "left")
 
 
+def combinations(genes: dict[str, list]) -> list[dict[str, object]]:
+    """Every combination of the genes, each with its param_id."""
+    return [{"param_id": i, **dict(zip(genes, v, strict=True))} for i, v in enumerate(product(*genes.values()))]
+
+
 def grid(spark: SparkSession, genes: dict[str, list]) -> DataFrame:
     """param_id and a column for each gene: every combination. Grids are parameters, small by nature."""
-    rows = [(i, *v) for i, v in enumerate(product(*genes.values()))]
+    rows = [tuple(p.values()) for p in combinations(genes)]
     return spark.createDataFrame(rows, ["param_id", *genes])
 
 
@@ -98,6 +105,20 @@ def over(panel: DataFrame, params: DataFrame) -> DataFrame:
     return panel.crossJoin(F.broadcast(params))
 
 
+def by_limit(candidates: DataFrame, metric: str, params: list[dict[str, object]], limit: str, direction: str = "Highest", key: str = "ticker", time: str = "ts") -> DataFrame:
+    """select_top() for parameter sets that differ in how many they select: candidates with the set's columns.
+
+    Candidates are ranked once, as far as the largest limit; a rank then goes to each set whose limit
+    reaches it. params: what grid() is made of; its sets cost only the rows that they select.
+    """
+    most = max((p[limit] for p in params), default=0)
+    w = Window.partitionBy(time).orderBy(*order_of(metric, direction, key))
+    ranked = candidates.where(F.col(metric).isNotNull()).withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= most)
+    sets = F.array(*(F.struct(*(F.lit(v).alias(c) for c, v in p.items())) for p in params))
+    held = F.explode(F.filter(sets, lambda p: p[limit] >= F.col("__n")))
+    return ranked.withColumn("__set", held).select(*candidates.columns, "__set.*")
+
+
 def chosen(options: dict[object, Column], gene: str) -> Column:
     """The option that the gene's column names: sweeps conditions, signals, structures or policies."""
     return reduce(lambda rest, kv: F.when(F.col(gene) == kv[0], kv[1]).otherwise(rest), options.items(), F.lit(None))

@@ -5,8 +5,12 @@ Rows are never dropped silently: checks add columns that say what is wrong, call
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,12 +119,41 @@ def manifest_audit(parts: DataFrame, manifest: str = "manifest") -> DataFrame:
     return each.withColumn("__w", wrong).groupBy(manifest).agg(F.min("__w").alias("reason"), F.count("*").alias("n")).withColumn("valid", F.col("reason").isNull())
 
 
-def written_manifest(spark, path: str) -> DataFrame:  # noqa: ANN001
-    """part, path, sha256, byte_size of the Parquet files under path, in name order. A file is one row's
-    work, so files are of 2 GB at most."""
+#: Bytes of a file that a task holds at a time.
+RANGE_BYTES = 8 << 20
+
+
+def _digest(path: str) -> str:
+    """SHA-256 of a file of any size, read range by range."""
+    scheme, _, rest = path.partition(":")
+    store, at = (LocalFileSystem(), "/" + rest.lstrip("/")) if scheme == "file" else FileSystem.from_uri(path)
+    digest = hashlib.sha256()
+    with store.open_input_stream(at) as f:
+        while piece := f.read(RANGE_BYTES):
+            digest.update(piece)
+    return digest.hexdigest()
+
+
+def written_manifest(spark, path: str, known: DataFrame | None = None) -> DataFrame:  # noqa: ANN001
+    """part, path, sha256, byte_size, modified of the Parquet files under path, in name order.
+
+    Spark lists the files; a task streams each one that it digests. known: an earlier manifest of them;
+    files of the same size and time keep its digest, so a manifest that was broken off goes on from there.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    named = files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("byte_size"))
-    return named.withColumn("part", F.row_number().over(Window.orderBy("path")) - 1)  # a row for each file
+    listed = files.select("path", F.col("length").alias("byte_size"), F.col("modificationTime").alias("modified"))
+
+    def digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for at, size, time in f.itertuples(index=False):  # a row at a time: a file may be long
+                yield pd.DataFrame({"path": [at], "sha256": [_digest(at)], "byte_size": [size], "modified": [time]})
+
+    same = ["path", "byte_size", "modified"]
+    todo = listed if known is None else listed.join(known, same, "left_anti")
+    done = todo.repartition("path").mapInPandas(digests, "path string, sha256 string, byte_size bigint, modified timestamp")
+    if known is not None:
+        done = done.unionByName(listed.join(known.select(*same, "sha256"), same))
+    return done.withColumn("part", F.row_number().over(Window.orderBy("path")) - 1)  # a row for each file
 
 
 def content_key(*columns: str) -> Column:

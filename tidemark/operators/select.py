@@ -68,20 +68,20 @@ def approved_per_day(actions: DataFrame, most: int, keys: list[str], time: str =
     return actions.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= most).drop("__n")
 
 
-def _order(metric: str, direction: str, key: str) -> list[Column]:
+def order_of(metric: str, direction: str, key: str) -> list[Column]:
     return [F.desc(metric) if direction == "Highest" else F.asc(metric), F.asc(key)]
 
 
 def select_top(candidates: DataFrame, metric: str, limit: int | Column, direction: str = "Highest", key: str = "ticker", time: str = "ts", keys: list[str] | None = None) -> DataFrame:
     """The `limit` candidates of each time with the highest or lowest metric."""
-    w = Window.partitionBy(*(keys or []), time).orderBy(*_order(metric, direction, key))
+    w = Window.partitionBy(*(keys or []), time).orderBy(*order_of(metric, direction, key))
     return candidates.where(F.col(metric).isNotNull()).withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= limit).drop("__n")
 
 
 def select_percentile(candidates: DataFrame, metric: str, percentile: float, direction: str = "Highest", key: str = "ticker", time: str = "ts") -> DataFrame:
     """The highest or lowest percentile of each time, rounded up to whole candidates."""
     w = Window.partitionBy(time)
-    ranked = candidates.where(F.col(metric).isNotNull()).withColumns({"__n": F.row_number().over(w.orderBy(*_order(metric, direction, key))), "__of": F.count("*").over(w)})
+    ranked = candidates.where(F.col(metric).isNotNull()).withColumns({"__n": F.row_number().over(w.orderBy(*order_of(metric, direction, key))), "__of": F.count("*").over(w)})
     return ranked.where(F.col("__n") <= F.ceil(F.col("__of") * percentile / 100)).drop("__n", "__of")
 
 

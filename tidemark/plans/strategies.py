@@ -12,6 +12,7 @@ from tidemark.functions import indicators as I
 from tidemark.operators import evaluate as E
 from tidemark.operators import select as K
 from tidemark.operators import stats as S
+from tidemark.sources.storage import written
 
 from .common import DAILY, STEPS, T, daily, full, r, register, rounded, table
 
@@ -163,6 +164,7 @@ _q(
 
 
 def _path(p: DataFrame) -> DataFrame:
+    p = written(p.select("ticker", "ts", "close", "roc", "up"), "panel")  # read for the book, the returns and the calendar
     return E.backtest(book(p), K.returns(p))
 
 
@@ -195,6 +197,13 @@ def swept(p: DataFrame, genes: dict[str, list], build: Callable[[DataFrame], Dat
     return E.backtest(build(E.over(p, E.grid(p.sparkSession, genes))).select("param_id", "ts", "ticker", "weight"), K.returns(p), ["param_id"])
 
 
+def swept_limits(p: DataFrame, metric: str, limits: list[int]) -> DataFrame:
+    """Backtest rows of the best by metric, for each number of names: ranked once for all."""
+    p = written(p.select("ticker", "ts", "close", metric), "panel")
+    best = E.by_limit(p, metric, E.combinations({"k": limits}), "k")
+    return E.backtest(K.weights(best, keys=["param_id"]).select("param_id", "ts", "ticker", "weight"), K.returns(p), ["param_id"])
+
+
 _KEYS = ["param_id", "ts"]
 
 
@@ -214,14 +223,14 @@ _FIT = f""", dw AS (SELECT *, 100 * (1 - equity / max(equity) OVER (PARTITION BY
     SELECT param_id, {r('sh')} AS "sharpeRatio", {r('so')} AS "sortinoRatio", {r('md')} AS "maxDrawdown", {r('ad')} AS "avgDrawdown", {r('ln(greatest(1 + pc / 100, 1e-12))')} AS "percentChange", {r('ln(abs(pc / nullif(ul, 0)))')} AS "ulcerPerformanceIndex", {r('pr')} AS "participationRate", {r('de')} AS "medianDeployment" FROM ft"""
 
 
-def _gene(name: str, genes: dict[str, list], build: Callable[[DataFrame], DataFrame], weights: str) -> None:
-    """weights: SQL for param_id, ts, ticker, weight from pp and g (the grid)."""
+def _gene(name: str, genes: dict[str, list], build: Callable[[DataFrame], DataFrame] | None, weights: str, path: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """weights: SQL for param_id, ts, ticker, weight from pp and g (the grid). path: the backtest's rows, else made of build."""
     names = list(genes)
     from itertools import product
 
     values = ", ".join(str((i, *v)) for i, v in enumerate(product(*genes.values())))
     grid = f"g AS (SELECT * FROM (VALUES {values}) t(param_id, {', '.join(names)}))"
-    _q(name, lambda p: _fit(swept(p, genes, build)), f", {grid}, w AS ({weights}), {_path_sql('w', 'param_id')}{_FIT}")
+    _q(name, lambda p: _fit(path(p) if path else swept(p, genes, build)), f", {grid}, w AS ({weights}), {_path_sql('w', 'param_id')}{_FIT}")
 
 
 _EQW = "SELECT param_id, ts, ticker, {scale} / count(*) OVER (PARTITION BY param_id, ts) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY param_id, ts ORDER BY {metric} DESC, ticker) AS n FROM pp, g WHERE {where}) WHERE n <= {limit}"
@@ -231,7 +240,7 @@ def _sql(metric: str = "roc", where: str = "roc IS NOT NULL", limit: object = 3,
     return _EQW.format(metric=metric, where=where, limit=limit, scale=scale)
 
 
-_gene("ev4_fitness", {"k": [1, 2, 3]}, lambda p: _by(p, "roc", F.col("k")), _sql(limit="k"))
+_gene("ev4_fitness", {"k": [1, 2, 3]}, None, _sql(limit="k"), lambda p: swept_limits(p, "roc", [1, 2, 3]))
 _gene("ev7_gene_subject", {"subject": [1, 4, 7]}, lambda p: _by(p.where(F.col("ticker") == F.col("subject")), "roc", 1), _sql(where="roc IS NOT NULL AND ticker = subject", limit=1))
 _ENTRY = lambda: {0: F.col("up"), 1: F.col("roc") > 5}
 _gene("ev8_gene_entry_condition", {"entry": [0, 1]}, lambda p: _by(p.where(F.coalesce(E.chosen(_ENTRY(), "entry"), F.lit(False))), "roc", 3), _sql(where="roc IS NOT NULL AND CASE entry WHEN 0 THEN up ELSE roc > 5 END"))
@@ -253,7 +262,7 @@ _gene("ev21_gene_exposure_policy", {"target": [5, 20]}, lambda p: _by(p, "roc",
 _gene("ev26_gene_select_top_limit", {"top": [1, 2, 5]}, lambda p: _by(p, "roc", F.col("top")), _sql(limit="top"))
 _gene("ev27_gene_universe_pipeline_filter", {"f": [0, 1]}, lambda p: _by(p.where(F.coalesce(E.chosen({0: F.col("volume") > 20, 1: F.col("close") > 1500}, "f"), F.lit(False))), "roc", 3), _sql(where="roc IS NOT NULL AND CASE f WHEN 0 THEN volume > 20 ELSE close > 1500 END"))
 _K3 = f", g AS (SELECT * FROM (VALUES (0, 1), (1, 2), (2, 3)) t(param_id, k)), w AS ({_sql(limit='k')}), {_path_sql('w', 'param_id')}"
-_sweep = lambda p: swept(p, {"k": [1, 2, 3]}, lambda d: _by(d, "roc", F.col("k")))
+_sweep = lambda p: swept_limits(p, "roc", [1, 2, 3])
 _q(
     "ev5_selection_policy",
     lambda p: E.select_by_policy(E.fitness(_sweep(p), ["param_id"]).withColumns({c: F.round(c, 6) for c in ("sharpeRatio", "percentChange")}), ["sharpeRatio"], {"percentChange": 0.0}).select("param_id", "meets_floors", "rank"),
