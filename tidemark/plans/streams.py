@@ -22,9 +22,16 @@ def _finished(s: SparkSession, out: DataFrame) -> DataFrame:
     return s.read.schema(out.schema).parquet(f"{at}/out")
 
 
+def _st1(s: SparkSession, d: str) -> DataFrame:
+    feed = _source(s, d).select(F.col("user_id").alias("id"), F.col("event_id").alias("seq"), F.col("event_type").alias("digest"), F.col("ts").cast("timestamp").alias("at"))
+    with feeds.on_disk_state(s):
+        out = feeds.absorbed(feed, time="at", forget_after="90 days")
+        return _finished(s, out).select("seq", "supersedes")
+
+
 register(
     "st1_absorb_feed",
-    lambda s, d: _finished(s, feeds.absorbed(_source(s, d).select(F.col("user_id").alias("id"), F.col("event_id").alias("seq"), F.col("event_type").alias("digest"), F.col("ts").cast("timestamp").alias("at")), time="at", forget_after="90 days")).select("seq", "supersedes"),
+    _st1,
     "SELECT seq, n > 1 AS supersedes FROM (SELECT event_id AS seq, event_type, lag(event_type) OVER w AS before, row_number() OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) WHERE before IS NULL OR before <> event_type",
 )
 
