@@ -176,3 +176,17 @@ def test_asof_by_spans_equals_asof(spark, forward):
     right = spark.createDataFrame([(rnd.choice([1, 2, None]), when(), float(rnd.randrange(9))) for i in range(40)] * 2, "k int, at timestamp_ntz, v double")
     got = [sorted(map(tuple, asof(left, right, ["k"], "ts", "at", {"v": F.col("v")}, "found", forward, span).collect()), key=str) for span in (None, "month", "day")]
     assert got[0] == got[1] == got[2] and len(got[0]) == 300
+
+
+def test_points_of_fields(spark):
+    from tidemark.operators import availability as A
+
+    rows = [
+        (0, {"timestamp": "2024-01-02", "value": "1.5", "assetType": "Stock", "availableAt": "2024-01-03"}),
+        (1, {"timestamp": "2024-01-02", "value": "1.5", "asset_type": "a", "assetType": "b", "ticker": "T"}),
+        (2, {"timestamp": "2024-01-02", "value": "1", "zeta": "1", "Value": "2"}),
+        (3, {"value": "1"}), (4, {"timestamp": "2024-01-02", "value": None}), (5, None), (6, {}),
+    ]
+    got = A.points_of(spark.createDataFrame(rows, "id int, fields map<string,string>"), "fields").orderBy("id").drop("id", "fields").collect()
+    assert [tuple(r) for r in got[:2]] == [("2024-01-02", "1.5", None, "Stock", "2024-01-03", None), ("2024-01-02", "1.5", "T", "a", None, None)]
+    assert [r["error"] for r in got[2:]] == ["unknown field Value", "no timestamp", "no value", "no timestamp", "no timestamp"]

@@ -101,3 +101,22 @@ def normalized_points(points: DataFrame) -> DataFrame:
     if unknown or not {"timestamp", "value"} <= {*points.columns}:
         raise ValueError(f"unknown fields: {unknown}" if unknown else "timestamp and value are required")
     return points.withColumnsRenamed({c: FIELDS[c] for c in points.columns})
+
+
+def points_of(rows: DataFrame, fields: str) -> DataFrame:
+    """rows with timestamp, value, ticker, asset_type, available_at and error, from a map of each point's own fields.
+
+    Values are text (times as ISO 8601). A field's stored name comes before its other one where both have
+    a value; fields without a value count as missing. error (null: a point): an unknown field, in name
+    order the first, or no timestamp or value.
+    """
+    f = F.coalesce(F.col(fields), F.create_map().cast("map<string,string>"))
+    names: dict[str, list[str]] = {}
+    for given, stored in FIELDS.items():
+        names.setdefault(stored, []).insert(0 if given == stored else len(names.get(stored, [])), given)
+    out = {stored: F.coalesce(*(F.try_element_at(f, F.lit(n)) for n in given)) for stored, given in names.items()}
+    unknown = F.array_min(F.array_except(F.map_keys(f), F.array(*map(F.lit, FIELDS))))
+    error = F.when(unknown.isNotNull(), F.concat(F.lit("unknown field "), unknown))
+    for needed in ("timestamp", "value"):
+        error = F.coalesce(error, F.when(out[needed].isNull(), F.lit(f"no {needed}")))
+    return rows.withColumns({**out, "error": error})

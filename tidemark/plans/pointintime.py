@@ -155,6 +155,26 @@ def _kind(name: str, kind: str, period: str | None, available: str, error: str)
 
 
 _TS = "CAST({} AS TIMESTAMP)"
+def _points(s: SparkSession, d: str) -> DataFrame:
+    """Each event as the fields of a point, named now one way, now the other, some with a field too many or too few."""
+    i, day = F.col("event_id"), F.to_date("ts").cast("string")
+    fields = F.create_map(
+        *(F.lit("timestamp"), F.when(i % 17 != 0, day)),
+        *(F.lit("value"), F.when(i % 19 != 0, F.col("user_id").cast("string"))),
+        *(F.when(i % 2 == 0, "assetType").otherwise("asset_type"), F.col("event_type")),
+        *(F.when(i % 23 == 0, "note").when(i % 3 == 0, "availableAt").otherwise("available_at"), F.when(i % 5 != 0, day)),
+    )
+    return table(s, d, "events").select("event_id", fields.alias("fields"))
+
+
+register(
+    "pt8_points_of_fields",
+    lambda s, d: V.points_of(_points(s, d), "fields").drop("fields"),
+    """SELECT event_id, CASE WHEN event_id % 17 <> 0 THEN day END AS timestamp, CASE WHEN event_id % 19 <> 0 THEN CAST(user_id AS VARCHAR) END AS value, CAST(NULL AS VARCHAR) AS ticker, event_type AS asset_type,
+        CASE WHEN event_id % 23 <> 0 AND event_id % 5 <> 0 THEN day END AS available_at,
+        CASE WHEN event_id % 23 = 0 THEN 'unknown field note' WHEN event_id % 17 = 0 THEN 'no timestamp' WHEN event_id % 19 = 0 THEN 'no value' END AS error
+    FROM (SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM events)""",
+)
 _kind("pt7_observation", "observation", None, "coalesce(CASE WHEN ad = d THEN CAST(d AS TIMESTAMP) ELSE CAST(ad + 1 AS TIMESTAMP) END, ai, CAST(d AS TIMESTAMP))", "coalesce(coalesce(ad, CAST(ai AS DATE)) > d, false)")
 _kind("pt7_disclosed", "disclosed", None, "coalesce(CAST(ad + 1 AS TIMESTAMP), ai)", "(ad IS NULL AND ai IS NULL)")
 _kind("pt7_period_1d", "period_aggregate", "1d", "coalesce(CAST(ad + 1 AS TIMESTAMP), ai, CAST(d + 1 AS TIMESTAMP))", "coalesce(coalesce(CAST(ad + 1 AS TIMESTAMP), ai) < CAST(d + 1 AS TIMESTAMP), false)")

@@ -88,13 +88,12 @@ _q("rk10_alert", lambda p: K.strategy(p, "watch", I.Price() > 2000, K.alert("hig
 
 # names and eligibility
 register("pf12_stock_asset", lambda s, d: table(s, d, "customer").select("c_custkey", K.stock_asset("c_name").alias("symbol")), "SELECT c_custkey, upper(trim(c_name)) AS symbol FROM customer")
-# Symbols as users state them, and their pairs; the first ten are all that have one by name.
-_COINS = ("btc", "ETH", " sol", "doge", "ada", "XRP", "avax ", "link", "dot", "matic", "bitcoin", "xrp-usd", "pepe", " ", "")
-_PAIRS = ("BTC-USD", "ETH-USD", "SOL-USD", "DOGE-USD", "ADA-USD", "XRP-USD", "AVAX-USD", "LINK-USD", "DOT-USD", "MATIC-USD", "BITCOIN-USD", "XRP-USD", "PEPE-USD", None, None)
+# Symbols as users state them: brands and segments with blanks, in either case, some with the pair's end.
+_SYMBOL = "CASE p_partkey % 4 WHEN 0 THEN lower(p_brand) WHEN 1 THEN concat(' ', p_brand, ' ') WHEN 2 THEN concat(p_brand, '-usd') ELSE substring(p_brand, 1, p_partkey % 3) END"
 register(
     "pf13_crypto_asset",
-    lambda s, d: table(s, d, "nation").select("n_nationkey", K.crypto_asset(F.get(F.array(*map(F.lit, _COINS)), F.when(F.col("n_nationkey") < len(_COINS), F.col("n_nationkey")).cast("int"))).alias("pair")),
-    "SELECT n_nationkey, CASE n_nationkey " + " ".join(f"WHEN {i} THEN '{p}'" for i, p in enumerate(_PAIRS) if p) + " END AS pair FROM nation",
+    lambda s, d: table(s, d, "part").select("p_partkey", K.crypto_asset(F.expr(_SYMBOL)).alias("pair")),
+    f"SELECT p_partkey, CASE WHEN s = '' THEN NULL WHEN s LIKE '%-USD' THEN s ELSE s || '-USD' END AS pair FROM (SELECT p_partkey, upper(trim({_SYMBOL})) AS s FROM part)",
 )
 
 
