@@ -244,3 +244,26 @@ def test_counts_are_exact_beyond_64_bits(spark):
     n, of = 9_000_000_000_000, 20_000_000_000_007
     row = spark.range(1).select(source_audit._share(F.lit(n), F.lit(of)).alias("p"), source_audit._gap(F.lit(1_000_000_000).cast("long"), F.lit(1).cast("long")).alias("f")).first()
     assert row["p"] == 1 + 10**9 * (n + 1) // of and row["f"] == (10**9 - 1) ** 2
+
+
+# -- 8: very many spans in one text ------------------------------------------------------------------------
+
+
+def test_a_hundred_thousand_spans_in_one_text(spark):
+    """A row's work grows with its spans, not with pairs of them; rows that repeat stay apart."""
+    import time
+
+    from tidemark.llm import pii
+
+    unit = "ann@ex.org 4111111111111111 (212) 555-0123 bob [at] ex.com "
+    began = time.monotonic()
+    rows = [(1, unit * 25_000), (2, unit * 2), (2, unit * 2), (None, "nothing here")]
+    got = pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert time.monotonic() - began < 90
+    by = {r["doc_id"]: r for r in got}
+    assert len(got) == 4 and by[None]["spans"] == "" and sum(r["doc_id"] == 2 for r in got) == 2
+    assert (by[1]["n_email"], by[1]["n_card"], by[1]["n_phone"], by[1]["n_ip"]) == (25_000, 25_000, 0, 0)
+    few = Counter(x.split(":")[0] for x in by[2]["spans"].split(","))
+    assert Counter(x.split(":")[0] for x in by[1]["spans"].split(",")) == {k: 12_500 * n for k, n in few.items()}
+    spans = [tuple(map(int, x.split(":")[1:])) for x in by[1]["spans"].split(",")]
+    assert len(spans) == len(set(spans)) >= 50_000

@@ -16,9 +16,8 @@ from __future__ import annotations
 
 import math
 from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -95,9 +94,12 @@ def _spans(matches: Column, gaps: str) -> Column:
         return F.concat(state, F.array(F.aggregate(run, start, add))).cast(_RUNS)
 
     # an array grows by copying, so spans are added in runs, and runs to the list of runs
-    runs = F.transform(F.sequence(F.lit(1), F.size(pieces), F.lit(RUN)), lambda i: F.slice(pieces, i, RUN))
-    done = F.aggregate(runs, F.array().cast(_RUNS), add_run, lambda s: F.flatten(F.transform(s, lambda r: r["out"])))
-    return F.when(F.size(pieces) > 0, done).otherwise(none)
+    def in_runs(p: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(1), F.size(p), F.lit(RUN)), lambda i: F.slice(p, i, RUN))
+        return F.aggregate(runs, F.array().cast(_RUNS), add_run, lambda s: F.flatten(F.transform(s, lambda r: r["out"])))
+
+    # the pieces are made once: as an expression inside the runs they would be made anew for each
+    return F.when(F.size(matches) > 0, F.get(F.transform(F.array(pieces), in_runs), 0)).otherwise(none)
 
 
 def _digits(text: Column) -> Column:
@@ -207,9 +209,26 @@ def train(rows: list[tuple[int, int, int]], real: dict[int, float], rounds: int
     return w
 
 
+def _meets(of: Column) -> Column:
+    """Whether a span overlaps one of the row's spans that `of` holds for, by its neighbours in order of start."""
+    w, until = Window.partitionBy("row"), (Window.unboundedPreceding, 0)
+    rank = F.when(of, 0).otherwise(1)
+    before = F.max(F.when(of, F.col("end"))).over(w.orderBy("start", rank).rowsBetween(*until))
+    after = F.last(F.when(of, F.col("start")), ignorenulls=True).over(w.orderBy(F.desc("start"), rank).rowsBetween(*until))
+    return F.coalesce(before > F.col("start"), F.lit(False)) | F.coalesce(after < F.col("end"), F.lit(False))
+
+
+def alone(spans: DataFrame) -> DataFrame:
+    """Of (row, kind, base, start, end) the added spans that meet no base span, nor one of an earlier kind that meets none."""
+    free = spans.withColumn("met", _meets(F.col("base"))).where(~F.col("base") & ~F.col("met")).drop("met")
+    kinds = [KINDS.index(k) for k in FURTHER]
+    free = free.withColumns({f"met_{k}": _meets(F.col("kind") < k) for k in kinds[1:]})
+    return free.where(reduce(lambda rest, k: F.when(F.col("kind") == k, ~F.col(f"met_{k}")).otherwise(rest), kinds[1:], F.lit(True)))
+
+
 def scan(df: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every row of df."""
-    found = written(candidates(df))
+    found = written(candidates(df).withColumn("row", F.monotonically_increasing_id()))
     each = found.select(F.explode("spans").alias("s"))
     patterns = each.groupBy("s.kind", "s.votes", "s.size").count().collect()  # kinds x patterns x sizes at most
     models: dict[int, list[float]] = {}
@@ -232,26 +251,19 @@ def scan(df: DataFrame) -> DataFrame:
             out = F.when(s["kind"] == k, total >= 0).otherwise(out)
         return out
 
-    base = F.filter("spans", lambda s: s["base"])
-    meets = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    parted = found.select("doc_id", base.alias("base"), F.filter("spans", lambda s: ~s["base"] & (s["votes"].bitwiseAND(VALID) > 0) & likely(s)).alias("more"))
-    free = F.filter("more", lambda s: ~F.exists("base", lambda b: meets(s, b)))
-    parted = parted.withColumn("more", free)
-    of_kind = lambda k: F.filter("more", lambda s: s["kind"] == KINDS.index(k))
-    parted = parted.withColumns({f"more_{k}": of_kind(k) for k in FURTHER})
-
-    def alone(kind: str) -> Column:
-        before = [o for o in FURTHER if KINDS.index(o) < KINDS.index(kind)]
-        return F.filter(f"more_{kind}", lambda s: ~reduce(or_, [F.exists(f"more_{o}", lambda x: meets(s, x)) for o in before], F.lit(False)))
-
-    parted = parted.withColumn("more", F.concat(*map(alone, FURTHER)))
+    more = F.filter("spans", lambda s: ~s["base"] & (s["votes"].bitwiseAND(VALID) > 0) & likely(s))
+    parted = found.select("row", "doc_id", F.filter("spans", lambda s: s["base"]).alias("base"), more.alias("more"))
+    added = alone(parted.where(F.size("more") > 0).select("row", F.explode(F.concat("base", "more")).alias("s")).select("row", "s.kind", "s.base", "s.start", "s.end"))
+    parted = parted.drop("more").join(added.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more")), "row", "left")
     name = F.array(*map(F.lit, KINDS))
 
     def text(spans: Column) -> Column:
-        ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["kind"], s["start"], s["end"])))
+        ordered = F.array_sort(spans)
         return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", F.get(name, s["kind"]), s["start"], s["end"])), ",")
 
+    plain = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+
     def number(kind: int) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
 
-    return parted.select("doc_id", *map(number, range(len(KINDS))), F.sha2(text(F.col("base")), 256).alias("base_sha256"), text(F.concat("base", "more")).alias("spans"))
+    return parted.select("doc_id", *map(number, range(len(KINDS))), F.sha2(text(plain), 256).alias("base_sha256"), text(F.concat(plain, F.coalesce("more", F.array()))).alias("spans"))
