@@ -49,10 +49,7 @@ def _carried(out: DataFrame, both: DataFrame, keys: list[str], forward: bool) ->
     edge = F.max(F.when(F.col("__side") != 1, F.struct((-micros if forward else micros).alias("__m"), "__seen"))).alias("__edge")
     w = Window.partitionBy(*keys).orderBy(F.desc("__span") if forward else F.asc("__span")).rowsBetween(Window.unboundedPreceding, -1)
     edges = both.groupBy(*keys, "__span").agg(edge).withColumn("__edge", F.last("__edge", ignorenulls=True).over(w))
-    names = {c: f"__e_{i}" for i, c in enumerate([*keys, "__span"])}
-    same = [F.col(c).eqNullSafe(F.col(e)) for c, e in names.items()]
-    joined = out.join(edges.withColumnsRenamed(names), same, "left")
-    return joined.withColumn("__seen", F.coalesce("__seen", "__edge.__seen"))
+    return _by_span(out, edges, keys).withColumn("__seen", F.coalesce("__seen", "__edge.__seen"))
 
 
 def asof_calendar(panel: DataFrame, series: DataFrame, time: str, series_time: str, values: dict[str, Column]) -> DataFrame:
@@ -62,19 +59,46 @@ def asof_calendar(panel: DataFrame, series: DataFrame, time: str, series_time: s
     return panel.join(found.drop("__one"), time, "left")
 
 
-def running(left: DataFrame, events: DataFrame, keys: list[str], time: str, event_time: str, totals: dict[str, Column], seconds: int | None = None) -> DataFrame:
-    """left with sums over the events at or before its time, or in the `seconds` up to it (both ends in)."""
+def running(left: DataFrame, events: DataFrame, keys: list[str], time: str, event_time: str, totals: dict[str, Column], seconds: int | None = None, span: str | None = None) -> DataFrame:
+    """left with sums over the events at or before its time, or in the `seconds` up to it (both ends in).
+
+    span (year, month, day, ...): a key's history is added up in tasks of such a length each, and the sums
+    of the spans before are carried over; not with seconds, whose sums don't reach back far.
+    """
+    if seconds is not None and span is not None:
+        raise ValueError("a span is for sums over all that came before")
     both, _ = _stacked(left, events, keys, time, event_time, totals, True)
+    parts = list(keys)
+    if span is not None:
+        both = both.withColumn("__span", F.date_trunc(span, "__t"))
+        parts.append("__span")
     if seconds is None:
-        w = Window.partitionBy(*keys).orderBy("__t", "__side").rangeBetween(Window.unboundedPreceding, 0)
+        w = Window.partitionBy(*parts).orderBy("__t", "__side").rangeBetween(Window.unboundedPreceding, 0)
     else:
         both = both.withColumn("__s", F.unix_micros(F.col("__t").cast("timestamp")))
         w = Window.partitionBy(*keys).orderBy("__s").rangeBetween(-seconds * 1_000_000, 0)
     sums = {f"__sum_{k}": F.coalesce(F.sum(f"__seen.{k}").over(w), F.lit(0)) for k in totals}
     out = both.withColumns(sums).where("__side = 1")
+    if span is not None:
+        out = _added(out, both, keys, list(totals))
     return out.select("__own.*", *(F.col(f"__sum_{k}").alias(k) for k in totals))
 
 
+def _added(out: DataFrame, both: DataFrame, keys: list[str], totals: list[str]) -> DataFrame:
+    """out, its sums with those of all spans before added."""
+    w = Window.partitionBy(*keys).orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = both.groupBy(*keys, "__span").agg(*(F.sum(f"__seen.{k}").alias(f"__was_{k}") for k in totals))
+    spans = spans.withColumns({f"__was_{k}": F.sum(f"__was_{k}").over(w) for k in totals})
+    joined = _by_span(out, spans, keys)
+    return joined.withColumns({f"__sum_{k}": F.col(f"__sum_{k}") + F.coalesce(f"__was_{k}", F.lit(0)) for k in totals})
+
+
+def _by_span(out: DataFrame, spans: DataFrame, keys: list[str]) -> DataFrame:
+    """out with the columns of the row of its key and span; keys are matched as groupBy does."""
+    names = {c: f"__e_{i}" for i, c in enumerate([*keys, "__span"])}
+    return out.join(spans.withColumnsRenamed(names), [F.col(c).eqNullSafe(F.col(e)) for c, e in names.items()], "left")
+
+
 def days_between(later: str | Column, earlier: str | Column) -> Column:
     return F.datediff(F.to_date(later), F.to_date(earlier))
 

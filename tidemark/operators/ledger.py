@@ -48,15 +48,15 @@ def sum_orders(clock: DataFrame, orders: DataFrame, keys: list[str], time: str,
     return running(clock, matching(orders, **filters), keys, time, order_time, {"value": amount}, seconds)
 
 
-def positions(clock: DataFrame, fills: DataFrame, key: str = "ticker", time: str = "ts", fill_time: str = "filled_at", price: str = "close") -> DataFrame:
+def positions(clock: DataFrame, fills: DataFrame, key: str = "ticker", time: str = "ts", fill_time: str = "filled_at", price: str = "close", span: str | None = None) -> DataFrame:
     """clock (a row for each ticker and time, with a price) with quantity, value, cash_flow and cost.
 
     fills: quantity (negative when sold) and price. cost: the position at the average price of all
-    that was bought so far.
+    that was bought so far. span: as running() has it, for tickers with very many rows.
     """
     bought = F.when(F.col("quantity") > 0, F.col("quantity")).otherwise(0)
     totals = {"quantity": F.col("quantity"), "cash_flow": -F.col("quantity") * F.col("price"), "__in": bought, "__paid": bought * F.col("price")}
-    out = running(clock, fills, [key], time, fill_time, totals)
+    out = running(clock, fills, [key], time, fill_time, totals, span=span)
     value = F.col("quantity") * F.col(price)
     return out.withColumn("value", value).withColumn("cost", F.try_divide(F.col("__paid"), F.col("__in")) * F.col("quantity")).drop("__in", "__paid")
 

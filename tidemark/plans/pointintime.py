@@ -39,11 +39,13 @@ def events(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return table(spark, sf_dir, "events").where(F.col("event_type") == kind).select(F.col("user_id").alias("ticker"), F.col("ts").alias("at"))
 
 
-def _jn3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.asof(days(spark, sf_dir), facts(spark, sf_dir), ["ticker"], "ts", "at", {"value": F.col("value")}).select("ticker", "ts", rounded("value").alias("value"))
+def _jn3(spark: SparkSession, sf_dir: str, span: str | None = None) -> DataFrame:
+    return A.asof(days(spark, sf_dir), facts(spark, sf_dir), ["ticker"], "ts", "at", {"value": F.col("value")}, span=span).select("ticker", "ts", rounded("value").alias("value"))
 
 
-register("jn3_fundamental", _jn3, f"WITH {DAYS}, {FACTS} SELECT b.ticker, b.ts, {r('f.value')} AS value FROM b ASOF LEFT JOIN f ON b.ticker = f.ticker AND b.ts >= f.seen")
+_JN3 = f"WITH {DAYS}, {FACTS} SELECT b.ticker, b.ts, {r('f.value')} AS value FROM b ASOF LEFT JOIN f ON b.ticker = f.ticker AND b.ts >= f.seen"
+register("jn3_fundamental", _jn3, _JN3)
+register("jn3_fundamental_by_years", lambda spark, sf_dir: _jn3(spark, sf_dir, "year"), _JN3)
 
 
 def _earnings(name: str, forward: bool) -> None:
@@ -277,9 +279,9 @@ _sum_orders("ag15_sum_order_quantity", lambda: F.col("quantity"), "quantity")
 # -- positions -----------------------------------------------------------------------------------
 
 
-def held(spark: SparkSession, sf_dir: str) -> DataFrame:
+def held(spark: SparkSession, sf_dir: str, span: str | None = None) -> DataFrame:
     fills = L.matching(orders(spark, sf_dir), status="Filled").select("ticker", F.col("at").alias("filled_at"), F.when(F.col("side") == "Buy", F.col("quantity")).otherwise(-F.col("quantity")).alias("quantity"), (F.col("price") / 1000).alias("price"))
-    return L.positions(days(spark, sf_dir), fills)
+    return L.positions(days(spark, sf_dir), fills, span=span)
 
 
 HELD = f"""{_DO}, fl AS (SELECT ticker, seen, CASE WHEN side = 'Buy' THEN quantity ELSE -quantity END AS quantity, price / 1000 AS price FROM q WHERE status = 'Filled'),
@@ -295,6 +297,11 @@ def _ps(name: str, build: Callable[[DataFrame], DataFrame], sql: str) -> None:
 
 _pv = lambda h: L.portfolio_values(h, 100_000)
 _ps("ps1_portfolio_value", lambda h: _pv(h).select("ts", rounded("portfolio_value").alias("value")), f"SELECT ts, {r('portfolio_value')} AS value FROM pv")
+register(
+    "ps1_portfolio_value_by_years",
+    lambda spark, sf_dir: _pv(held(spark, sf_dir, "year")).select("ts", rounded("portfolio_value").alias("value")),
+    f"WITH {HELD} SELECT ts, {r('portfolio_value')} AS value FROM pv",
+)
 _ps("ps2_buying_power", lambda h: _pv(h).select("ts", rounded("buying_power").alias("value")), f"SELECT ts, {r('buying_power')} AS value FROM pv")
 _ps("ps3_initial_value", lambda h: _pv(h).agg(rounded(F.min_by("portfolio_value", "ts")).alias("value")), f"SELECT {r('arg_min(portfolio_value, ts)')} AS value FROM pv")
 _ps("ps4_position_value", lambda h: h.where("ticker in (1, 2, 3)").groupBy("ts").agg(rounded(F.sum("value")).alias("value")), f"SELECT ts, {r('sum(value)')} AS value FROM h WHERE ticker IN (1, 2, 3) GROUP BY 1")
