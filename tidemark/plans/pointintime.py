@@ -157,7 +157,7 @@ def _kind(name: str, kind: str, period: str | None, available: str, error: str)
 
 
 _TS = "CAST({} AS TIMESTAMP)"
-def _points(s: SparkSession, d: str) -> DataFrame:
+def _fields(s: SparkSession, d: str) -> DataFrame:
     """Each event as the fields of a point, named now one way, now the other, some with a field too many or too few."""
     i, day = F.col("event_id"), F.to_date("ts").cast("string")
     fields = F.create_map(
@@ -171,7 +171,7 @@ def _points(s: SparkSession, d: str) -> DataFrame:
 
 register(
     "pt8_points_of_fields",
-    lambda s, d: V.points_of(_points(s, d), "fields").drop("fields"),
+    lambda s, d: V.points_of(_fields(s, d), "fields").drop("fields"),
     """SELECT event_id, CASE WHEN event_id % 17 <> 0 THEN day END AS timestamp, CASE WHEN event_id % 19 <> 0 THEN CAST(user_id AS VARCHAR) END AS value, CAST(NULL AS VARCHAR) AS ticker, event_type AS asset_type,
         CASE WHEN event_id % 23 <> 0 AND event_id % 5 <> 0 THEN day END AS available_at,
         CASE WHEN event_id % 23 = 0 THEN 'unknown field note' WHEN event_id % 17 = 0 THEN 'no timestamp' WHEN event_id % 19 = 0 THEN 'no value' END AS error
