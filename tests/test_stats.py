@@ -268,3 +268,46 @@ def test_covariance_of_many_names(spark):
     for r in sums:
         assert (r["n"], r["least"]) == (3_000, 25)
         assert r["s"] == pytest.approx(cov[r["i"]].sum()) and r["by_j"] == pytest.approx(cov[r["i"]] @ np.arange(3_000))
+
+
+def _gaps() -> list[tuple]:
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(70, 11)) + rng.normal(size=(70, 1))
+    x[rng.random(x.shape) < 0.4] = np.nan
+    return [(t, f"n{i}", float(x[t, i])) for t in range(70) for i in range(11) if x[t, i] == x[t, i]]
+
+
+@pytest.mark.parametrize("blocks", [None, (4, 6, 2), (1, 1, 1)])
+def test_book_variance_is_that_of_the_covariances(spark, blocks):
+    from tidemark.operators import select as K
+
+    rets = spark.createDataFrame(_gaps(), "ts int, ticker string, ret double")
+    books = [(b, "x" if b % 2 else "y", f"n{i}", float((i * 7 + b) % 5 - 1)) for b in range(5) for i in range(12) if b != 3 or i == 11]
+    w = spark.createDataFrame([*books, (9, None, "n1", 1.0), (0, "y", "n3", 0.5)], "b int, kind string, ticker string, weight double")
+    cov = K.covariance(rets, least=22)
+    want = {(r["b"], r["kind"]): r["variance"] for r in K.portfolio_variance(w, cov, ["b", "kind"]).collect()}
+    got = {(r["b"], r["kind"]): r["variance"] for r in K.book_variance(w, rets, ["b", "kind"], least=22, blocks=blocks).collect()}
+    assert set(got) == set(want) == {(0, "y"), (1, "x"), (2, "y"), (4, "y")}
+    assert 11 < cov.count() < 121 and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_variances_are_the_diagonal(spark):
+    from tidemark.operators import select as K
+
+    rets = spark.createDataFrame(_gaps(), "ts int, ticker string, ret double")
+    want = {r["i"]: (r["n"], r["cov"]) for r in K.covariance(rets, least=40).where("i = j").collect()}
+    got = {r["i"]: (r["n"], r["cov"]) for r in K.variances(rets, least=40).collect()}
+    assert set(got) == set(want) and 0 < len(got) < 11
+    assert all(got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1]) for k in got)
+
+
+def test_no_pair_of_names_is_exchanged(spark):
+    """Returns are stored once by group, not copied to each other group, and pairs stay where they are made."""
+    from tidemark.operators import select as K
+
+    rets = spark.createDataFrame(_gaps(), "ts int, ticker string, ret double")
+    plan = K.covariance(rets, blocks=(4, 3, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "hashpartitioning(i" not in plan and plan.count("Generate explode") == 1
+    weights = rets.select("ticker").distinct().selectExpr("ticker", "1 as k", "0.1 as weight")
+    assert "Generate" not in K.book_variance(weights, rets, ["k"], blocks=(4, 3, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in K.variances(rets)._jdf.queryExecution().executedPlan().toString()
