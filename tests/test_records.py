@@ -190,3 +190,12 @@ def test_points_of_fields(spark):
     got = A.points_of(spark.createDataFrame(rows, "id int, fields map<string,string>"), "fields").orderBy("id").drop("id", "fields").collect()
     assert [tuple(r) for r in got[:2]] == [("2024-01-02", "1.5", None, "Stock", "2024-01-03", None), ("2024-01-02", "1.5", "T", "a", None, None)]
     assert [r["error"] for r in got[2:]] == ["unknown field Value", "no timestamp", "no value", "no timestamp", "no timestamp"]
+
+
+def test_a_row_schema_computes_each_key_once(spark):
+    rows = spark.createDataFrame([({"A b": "1", "a_b": "2", "_k": "3", "Alias": None},), ({},), (None,)], "m map<string,string>")
+    out = rows.select(D.with_constants(D.row_schema("m", {"alias": "field"}, ["field", "more"]), {"A b": F.lit("9"), "New one": F.lit("8")}).alias("m"))
+    assert [r["m"] for r in out.collect()] == [{"a_b": "2", "_k": "3", "field": None, "more": None, "new_one": "8"}, {"field": None, "more": None, "a_b": "9", "new_one": "8"}, None]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # the entries' keys are made in one place, whose expression nullif() and the alias may repeat
+    assert plan.count("map_entries(") == 1 and plan.count("regexp_replace(") <= 4
