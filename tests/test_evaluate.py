@@ -20,3 +20,12 @@ def test_limits_share_one_ranking(spark):
         assert sorted(got.select(want.columns).collect()) == sorted(want.collect()) and got.count() == 2 * 30 * (1 + 3 + 12)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window [") == 1 and "Join" not in plan
+
+
+def test_a_sweep_reads_its_panel_once(spark):
+    """The bars and indicators are computed once, not for each book, the returns and the calendar."""
+    import __spark_entry__ as entry
+
+    for name in ("ev20_gene_allocation_policy", "ev15_gene_deployment_pct", "ev9_gene_exit_condition"):
+        plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "lineitem.parquet" not in plan and "l_suppkey" not in plan
