@@ -22,14 +22,24 @@ def days_to_expiration(expiration: str = "expiration", time: str = "ts") -> Colu
     return F.datediff(F.to_date(expiration), F.to_date(time))
 
 
+def best_of(rows: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
+    """The first row by order of each group of keys.
+
+    Rows are dealt to tasks by strike too before any are sorted: each task keeps its own first row of a
+    group, so neither a file of many rows nor a large group is sorted in one task.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return rows.repartition(*keys, "strike").withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+
+
 # -- volatility --------------------------------------------------------------------------------------
 
 
 def implied_volatility(chain: DataFrame, dte: int = 30) -> DataFrame:
     """underlying, ts, iv at a constant maturity: the contract nearest the money of each expiry, then
     linear in total variance between the expiries around dte, the nearest one outside them."""
-    w = Window.partitionBy(*_AT, "expiration").orderBy(F.abs(F.col("strike") - F.col("spot")), "strike", "option_type")
-    atm = chain.where("iv is not null").withColumn("days", days_to_expiration()).where("days > 0").withColumn("__n", F.row_number().over(w)).where("__n = 1")
+    alive = chain.where("iv is not null").withColumn("days", days_to_expiration()).where("days > 0")
+    atm = best_of(alive, [*_AT, "expiration"], [F.abs(F.col("strike") - F.col("spot")), "strike", "option_type"])
     point = F.struct("days", (F.col("iv") * F.col("iv") * F.col("days")).alias("total"))
     both = atm.groupBy(*_AT).agg(F.max(F.when(F.col("days") <= dte, point)).alias("lo"), F.min(F.when(F.col("days") >= dte, point)).alias("hi"))
     lo, hi = F.coalesce("lo", "hi"), F.coalesce("hi", "lo")
@@ -132,8 +142,7 @@ def select_leg(chain: DataFrame, leg: Leg, keys: list[str] | None = None) -> Dat
         has = F.when(F.col("delta").isNull(), 1).otherwise(0)
         away = F.coalesce(away, _away(leg, *leg.fallback))
     by_day = {"nearest": F.col("days"), "farthest": -F.col("days"), "middle": F.abs(2 * F.col("days") - _value(leg.min_days_to_expiration) - _value(leg.max_days_to_expiration))}[leg.preference]
-    w = Window.partitionBy(*keys, *_AT).orderBy(has, by_day, "expiration", away, "strike")
-    best = rows.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    best = best_of(rows, [*keys, *_AT], [has, by_day, "expiration", away, "strike"])
     return best.withColumns({"direction": F.lit(leg.direction), "ratio": F.lit(leg.ratio)})
 
 
