@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -419,6 +420,35 @@ def test_packing_round_trip(spark):
     assert o[o.doc_id == 7].piece.value_counts().unique().tolist() == [2] and not o.duplicated(["sequence_id", "offset"]).any()
 
 
+def test_ids_are_the_vocabularys_whatever_the_white_space():
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    tk, encode, rng = Tokenizer.from_file(P.path("byte_bpe_50k.json")), packing.encoder(), np.random.default_rng(12)
+    parts = [*" \n\t\r\x0b\x1c\x1f\x85\xa0\u2003\u2028\u3000\u200b'.-7é😀", "'s", "'ll", "word", "Ñandú", "don't", "12", "<|endoftext|>", "<|end"]
+    for k in range(4_000):
+        some = rng.choice(parts, rng.integers(1, 14))
+        text = "".join(some) if k % 2 else "".join(f"{x}{'x1.'[i % 3]}" for i, x in enumerate(some))  # every second one: no two spaces meet
+        assert np.frombuffer(encode(text), "<u4").tolist() == tk.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_new_words_cost_no_more_than_known_ones():
+    import public_tokenizers as P
+    import tiktoken
+
+    rng, path = np.random.default_rng(13), P.path("byte_bpe_50k.json")
+    plain, encode = tiktoken.Encoding("rule", pat_str=packing.PATTERN, mergeable_ranks=packing._ranks(path), special_tokens={}).encode_ordinary, packing.encoder()
+    spent = {plain: [], encode: []}
+    for _ in range(3):
+        texts = [" ".join("".join(map(chr, rng.integers(97, 123, n))) + "," for n in rng.integers(4, 9, 400)) for _ in range(200)]
+        for fn, seconds in spent.items():
+            t = time.process_time()
+            for x in texts:
+                fn(x)
+            seconds.append(time.process_time() - t)
+    assert min(spent[encode]) < min(spent[plain]), spent
+
+
 def test_sequences_follow_the_order_of_documents(spark):
     rng = np.random.default_rng(6)
     cut = spark.createDataFrame([(i, 0, int(n), i) for i, n in enumerate(rng.integers(1, 1025, 6000))], "doc_id long, piece int, length long, place long")
