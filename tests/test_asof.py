@@ -44,3 +44,24 @@ def test_lookups_by_spans(spark, forward):
     values = {"v": F.col("v"), "w": F.col("w")}
     whole, *others = (sorted(map(tuple, A.asof(left, right, ["k"], "t", "at", values, "found", forward, span).collect()), key=str) for span in (None, "month", "day"))
     assert all(o == whole for o in others) and len(whole) == 400
+
+
+@pytest.mark.parametrize("forward", [False, True])
+def test_only_right_rows_are_sorted_for_what_is_carried(spark, forward):
+    left, right = tables(spark)
+    out = A.asof(left, right, ["k"], "t", "at", {"v": F.col("v")}, "found", forward, "month")
+    plan = out._jdf.queryExecution().optimizedPlan()
+    assert "Join" not in plan.toString()
+    # left rows are grouped only to tell which spans there are, which needs no sort
+    sorted_for = [line for line in plan.toString().splitlines() if "Aggregate" in line and "max(" in line]
+    assert len(sorted_for) == 1 and "Union" not in plan.toString().split(sorted_for[0])[1]
+
+
+def test_spans_without_right_rows_and_the_first_one(spark):
+    day = lambda n: dt.datetime(2020, 1, 1) + dt.timedelta(days=n)
+    left = spark.createDataFrame([("a", day(n), n) for n in (0, 5, 40, 100, 400, 1000)] + [("b", day(7), 7), ("b", None, -1)], "k string, t timestamp, no int")
+    right = spark.createDataFrame([("a", day(5), 1.0), ("a", day(50), 2.0), ("a", day(450), None), ("c", day(0), 9.0)], "k string, at timestamp, v double")
+    for forward, want in ((False, [None, None, 1.0, None, 1.0, 2.0, 2.0, None]), (True, [None, 1.0, 1.0, None, 2.0, None, None, None])):
+        for span in (None, "day", "month", "year"):
+            got = A.asof(left, right, ["k"], "t", "at", {"v": F.col("v")}, "found", forward, span).orderBy("no").collect()
+            assert [(r["no"], r["v"]) for r in got] == list(zip((-1, 0, 5, 7, 40, 100, 400, 1000), want, strict=True))

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: The side of rows that bring what is carried over into a span.
+CARRIED = -1
+
 
 def _stacked(left: DataFrame, right: DataFrame, keys: list[str], time: str, right_time: str, values: dict[str, Column], right_first: bool) -> tuple[DataFrame, list[Column]]:
     own = F.struct(*(F.col(c) for c in left.columns))
@@ -28,28 +31,37 @@ def asof(left: DataFrame, right: DataFrame, keys: list[str], time: str, right_ti
     """
     both, order = _stacked(left, right, keys, time, right_time, values, not forward)
     parts = list(keys)
+    if forward:
+        order[2] = order[2].desc()
     if span is not None:
         both = both.withColumn("__span", F.date_trunc(span, "__t"))
+        both = both.unionByName(_carried(both, keys, forward), allowMissingColumns=True)
         parts.append("__span")
-    w = Window.partitionBy(*parts).orderBy(*(order[:2] + [order[2].desc()] if forward else order))
+        order.insert(0, F.col("__side") == CARRIED if forward else F.col("__side") != CARRIED)
+    w = Window.partitionBy(*parts).orderBy(*order)
     if forward:
         seen = F.first("__seen", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
     else:
         seen = F.last("__seen", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     out = both.withColumn("__seen", seen).where("__side = 1")
-    if span is not None:
-        out = _carried(out, both, keys, forward)
     at = [F.col("__seen.__at").alias(found_at)] if found_at else []
     return out.select("__own.*", *(F.col(f"__seen.{k}").alias(k) for k in values), *at)
 
 
-def _carried(out: DataFrame, both: DataFrame, keys: list[str], forward: bool) -> DataFrame:
-    """out, with what the spans before (forward: after) have last (first) where its own span has nothing."""
+def _carried(both: DataFrame, keys: list[str], forward: bool) -> DataFrame:
+    """For each span with left rows, what the spans before (forward: after) it have last (first), if anything.
+
+    Only right rows are sorted for it; left rows only tell which spans there are.
+    """
     micros = F.unix_micros(F.col("__t").cast("timestamp"))
-    edge = F.max(F.when(F.col("__side") != 1, F.struct((-micros if forward else micros).alias("__m"), "__seen"))).alias("__edge")
-    w = Window.partitionBy(*keys).orderBy(F.desc("__span") if forward else F.asc("__span")).rowsBetween(Window.unboundedPreceding, -1)
-    edges = both.groupBy(*keys, "__span").agg(edge).withColumn("__edge", F.last("__edge", ignorenulls=True).over(w))
-    return _by_span(out, edges, keys).withColumn("__seen", F.coalesce("__seen", "__edge.__seen"))
+    edge = F.max(F.struct((-micros if forward else micros).alias("__m"), "__seen")).alias("__edge")
+    edges = both.where("__side <> 1").groupBy(*keys, "__span").agg(edge)
+    asked = both.where("__side = 1").select(*keys, "__span").distinct()
+    # a span's own edge comes after its question, so that only other spans answer it
+    w = Window.partitionBy(*keys).orderBy(F.desc("__span") if forward else F.asc("__span"), F.col("__edge").isNotNull())
+    last = F.last("__edge.__seen", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    answers = edges.unionByName(asked, allowMissingColumns=True).withColumn("__seen", last)
+    return answers.where("__edge IS NULL AND __seen IS NOT NULL").select(*keys, "__span", F.lit(CARRIED).alias("__side"), "__seen")
 
 
 def asof_calendar(panel: DataFrame, series: DataFrame, time: str, series_time: str, values: dict[str, Column]) -> DataFrame:
