@@ -311,3 +311,36 @@ def test_no_pair_of_names_is_exchanged(spark):
     weights = rets.select("ticker").distinct().selectExpr("ticker", "1 as k", "0.1 as weight")
     assert "Generate" not in K.book_variance(weights, rets, ["k"], blocks=(4, 3, 1))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in K.variances(rets)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_names_with_the_same_bars_are_summed(spark, monkeypatch):
+    """Where more names than sets have the same bars, blocks get a sum for each set, not the names."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import select as K
+
+    rng = np.random.default_rng(12)
+    x, seen = rng.normal(size=(80, 40)) + rng.normal(size=(80, 1)), rng.random((80, 5)) < 0.6
+    seen[:, 3] = np.arange(80) < 30  # few bars: unknown with some
+    kind = np.repeat(np.arange(5), (20, 12, 2, 5, 1))
+    rets = spark.createDataFrame([(t, i, float(x[t, i])) for t in range(80) for i in range(40) if seen[t, kind[i]]], "ts int, ticker int, ret double")
+    w = [(b, i, float((i * 7 + b) % 5 - 1)) for b in range(3) for i in range(40) if b != 2 or kind[i] != 1]
+    w = spark.createDataFrame([*w, (0, 0, 2.5), (1, 7, None), (0, 99, 1.0), (4, 99, 1.0)], "b int, ticker int, weight double")
+    pairs, met = K._block_pairs, []
+    monkeypatch.setattr(K, "_block_pairs", lambda own, *a: (met.append(own), pairs(own, *a))[1])
+    want = {r["b"]: r["variance"] for r in K.portfolio_variance(w, K.covariance(rets, least=22), ["b"]).collect()}
+    met.clear()
+    got = {r["b"]: r["variance"] for r in K.book_variance(w, rets, ["b"], least=22).collect()}
+    assert set(got) == set(want) == {0, 1, 2} and all(got[b] == pytest.approx(want[b]) for b in want)
+    # four sets: 20, 12 and 5 names become 3, 2 and 3 sums (set 2 has none of the 12, set 4 has no known name), 3 names stay
+    assert met[0].select("name").distinct().count() == 3 + 2 + 3 + 3
+
+
+def test_returns_are_stored_once(spark):
+    """Books, variances and covariances of stored returns read their table, not what it was made of."""
+    from tidemark.operators import select as K
+
+    rets = K.stored_returns(spark.createDataFrame([*_gaps(), (3, None, 1.0), (4, "n1", None)], "ts int, ticker string, ret double").dropDuplicates(["ts", "ticker"]))
+    plans = [K.covariance(rets, blocks=(1, 1, 1)), K.variances(rets)]
+    plans = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+    assert all("returns-" in p and "LocalTableScan" not in p and "ExistingRDD" not in p for p in plans)
