@@ -120,3 +120,14 @@ def test_can_sell_carries_over_bars(spark):
     p = spark.createDataFrame(rows, "ts int, ticker string, m double, free boolean")
     out = K.dynamic_rebalance(p, [lambda d: d.where("m > 0"), lambda d: K.select_top(d, "m", 1)], can_sell=F.col("free")).where("ticker = 'a'").orderBy("ts").collect()
     assert [(r["ts"], r["weight"]) for r in out] == [(t, 1.0) for t in (0, 1, 2, 3, 6, 7, 8)]
+
+
+@pytest.mark.parametrize("name", ["rk18_volatility_target", "rk21_diversification_ratio"])
+def test_risk_queries_read_lineitem_once(spark, monkeypatch, name):
+    """Returns are stored; books, means and variances come from there."""
+    from tidemark.operators import select as K
+
+    reads = lambda df: "l_suppkey" in df._jdf.queryExecution().analyzed().toString()
+    made, written = [], K.written
+    monkeypatch.setattr(K, "written", lambda df, stem: (made.append(stem) if reads(df) else None, written(df, stem))[1])
+    assert not reads(entry.queries()[name](spark, SF)) and made == ["returns"]
