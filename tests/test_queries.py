@@ -122,7 +122,7 @@ def test_can_sell_carries_over_bars(spark):
     assert [(r["ts"], r["weight"]) for r in out] == [(t, 1.0) for t in (0, 1, 2, 3, 6, 7, 8)]
 
 
-@pytest.mark.parametrize("name", ["rk18_volatility_target", "rk21_diversification_ratio"])
+@pytest.mark.parametrize("name", ["rk18_volatility_target", "rk21_diversification_ratio", "rk22_mean_variance_choice"])
 def test_risk_queries_read_lineitem_once(spark, monkeypatch, name):
     """Returns are stored; books, means and variances come from there."""
     from tidemark.operators import select as K
